@@ -1,0 +1,18 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows.
+
+    The count is a cheap job for the small sides this is used on (nation, the
+    heavy-customer list whose size is bounded by rows/page-size). Above the
+    limit the DataFrame is returned unhinted and Spark plans a shuffle join
+    (with AQE skew handling), so a growing side never overloads the driver.
+    """
+    rows = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if rows <= max_rows else df

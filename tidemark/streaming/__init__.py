@@ -1,0 +1,6 @@
+"""Streaming: not part of the migrated workload.
+
+The reference only runs batch reads and writes; it has no watermarks, windows
+or state. Incremental loads are expressed as reruns of a batch job whose
+staging is merged by key (see ``tidemark.plans.jobs``), which is idempotent.
+"""
