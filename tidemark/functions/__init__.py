@@ -4,18 +4,22 @@ from .expressions import (
     MONEY,
     aggregate_identifier,
     bit64_text,
+    cents_to_money,
     day,
     identifier_bucket,
     identifier_hex,
     money,
+    money_cents,
 )
 
 __all__ = [
     "MONEY",
     "aggregate_identifier",
     "bit64_text",
+    "cents_to_money",
     "day",
     "identifier_bucket",
     "identifier_hex",
     "money",
+    "money_cents",
 ]

@@ -196,35 +196,71 @@ def customer_event(
     ``event_time`` fixes ``event_timestamp`` (epoch seconds) so reruns repeat;
     by default it is the query's start time, constant across task retries.
     """
-    with_orders, without_orders = _branches(profile, customer_orders, orders_per_event, max_heavy_broadcast)
-    return encode_events(with_orders, event_time).unionByName(encode_events(without_orders, event_time))
+    def order_json(paged: DataFrame) -> Column:
+        return F.to_json(F.struct(*_flat_order(paged)))
 
+    with_orders, without_orders = _page_documents(
+        profile, customer_orders, orders_per_event, max_heavy_broadcast,
+        order_json, "customer_order", lambda _t: F.array(F.lit("{}")),
+    )
+    return _encode_documents(with_orders, event_time).unionByName(
+        _encode_documents(without_orders, event_time)
+    )
 
-# ---- E2: the documented nested shape -------------------------------------------------------
 
-def _nested(rows: DataFrame) -> DataFrame:
-    if PAGE not in rows.columns:
-        rows, _, _ = order_pages(rows)
-    profile_cols = present(rows, PROFILE_EVENT_COLUMNS)
-    order_cols = present(rows, ORDER_EVENT_COLUMNS)
-    order_fields = [
-        (F.hex(ORDER_ID) if c == ORDER_ID else F.col(c)).alias(c) for c in order_cols
-    ]
-    order_obj = F.when(F.col(ORDER_ID).isNotNull(), F.struct(*order_fields))
-    lists = rows.groupBy(*profile_cols, PAGE).agg(
-        F.sort_array(F.collect_list(order_obj)).alias("customer_orders")
+def _page_documents(
+    profile: DataFrame,
+    customer_orders: DataFrame,
+    orders_per_event: int,
+    max_heavy_broadcast: int,
+    order_value,
+    list_name: str,
+    empty_list,
+) -> tuple[DataFrame, DataFrame]:
+    """Profile rows with their page's sorted order list (aggregate, then join).
+
+    Orders alone are aggregated by (customer, page) into lists sorted by order
+    identifier; the lists come out hash-partitioned on (customer, page), which
+    is the join key with the page-expanded profile, so the order payload is
+    shuffled once and profile columns are never hashed per order. Assumes the
+    profile is unique per customer (its staging primary key).
+    """
+    require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
+    paged, heavy, counts = order_pages(customer_orders, orders_per_event, max_heavy_broadcast)
+    profile_cols = _profile_part(profile)
+    entry = F.struct(F.col(ORDER_ID).alias("k"), order_value(paged).alias("v"))
+    lists = paged.groupBy(CUSTOMER_ID, PAGE).agg(F.sort_array(F.collect_list(entry)).alias("_l")).select(
+        CUSTOMER_ID, PAGE, F.transform("_l", lambda e: e["v"]).alias(list_name)
     )
-    doc_fields = [
-        (F.hex(CUSTOMER_ID) if c == CUSTOMER_ID else F.col(c)).alias(c)
-        for c in profile_cols
-        if c != "custkey"
-    ] + [F.col("customer_orders")]
-    events = lists.groupBy(CUSTOMER_ID, "custkey", PAGE).agg(
-        F.to_json(F.sort_array(F.collect_list(F.struct(*doc_fields)))).alias("event_parameters")
+    expanded = profile.select(*profile_cols).join(heavy, CUSTOMER_ID, "left").select(
+        *profile_cols,
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("event_pages"), F.lit(1)) - 1)).alias(PAGE),
+    )
+    with_orders = expanded.join(lists, [CUSTOMER_ID, PAGE], "inner")
+    list_type = lists.schema[list_name].dataType
+    without_orders = (
+        profile.select(*profile_cols)
+        .join(counts.select(CUSTOMER_ID), CUSTOMER_ID, "left_anti")
+        .select(*profile_cols, F.lit(0).alias(PAGE), empty_list(list_type).cast(list_type).alias(list_name))
+    )
+    return with_orders, without_orders
+
+
+def _encode_documents(docs: DataFrame, event_time: int | None) -> DataFrame:
+    """A8 + F9-F12: profile (+ ``customer_order``) as JSON text, wrapped in an array."""
+    profile_cols = present(docs, PROFILE_EVENT_COLUMNS)
+    doc_cols = [c for c in profile_cols if c != "custkey"] + ["customer_order"]
+    events = docs.groupBy(CUSTOMER_ID, "custkey", PAGE).agg(
+        F.to_json(F.sort_array(F.collect_list(F.to_json(F.struct(*doc_cols))))).alias("event_parameters")
+    )
+    return events.select(
+        CUSTOMER_ID, "custkey", PAGE, "event_parameters",
+        F.lit(EVENT_TYPE).alias("event_type"), _event_time(event_time).alias("event_timestamp"),
     )
-    return events
 
 
+# ---- E2: the documented nested shape -------------------------------------------------------
+
 def customer_event_nested(
     profile: DataFrame,
     customer_orders: DataFrame,
@@ -235,8 +271,28 @@ def customer_event_nested(
     """Like E1, but ``event_parameters`` nests real objects:
     ``[{..., "customer_orders": [{...}, ...]}]`` with upper-case hex identifiers
     and ``[]`` for a customer without orders."""
-    with_orders, without_orders = _branches(profile, customer_orders, orders_per_event, max_heavy_broadcast)
-    events = _nested(with_orders).unionByName(_nested(without_orders))
+    def order_obj(paged: DataFrame) -> Column:
+        return F.struct(
+            *[(F.hex(ORDER_ID) if c == ORDER_ID else F.col(c)).alias(c) for c in _flat_order(paged)]
+        )
+
+    with_orders, without_orders = _page_documents(
+        profile, customer_orders, orders_per_event, max_heavy_broadcast,
+        order_obj, "customer_orders", lambda t: F.array(),
+    )
+
+    def nest(docs: DataFrame) -> DataFrame:
+        profile_cols = present(docs, PROFILE_EVENT_COLUMNS)
+        fields = [
+            (F.hex(CUSTOMER_ID) if c == CUSTOMER_ID else F.col(c)).alias(c)
+            for c in profile_cols
+            if c != "custkey"
+        ] + [F.col("customer_orders")]
+        return docs.groupBy(CUSTOMER_ID, "custkey", PAGE).agg(
+            F.to_json(F.sort_array(F.collect_list(F.struct(*fields)))).alias("event_parameters")
+        )
+
+    events = nest(with_orders).unionByName(nest(without_orders))
     return events.select(
         CUSTOMER_ID, "custkey", PAGE, "event_parameters",
         F.lit(EVENT_TYPE).alias("event_type"), _event_time(event_time).alias("event_timestamp"),

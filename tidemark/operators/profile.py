@@ -13,7 +13,9 @@ Plan, designed for a lineitem of billions of rows:
 3. customer LEFT JOIN nation (broadcast only behind a row-count check) LEFT
    JOIN the per-customer totals (both sides unique per customer: no skew).
 
-All money is summed as exact DECIMAL; the final columns are DECIMAL(15,2).
+All money is summed as exact integer cents (``money_cents``: fixed-width
+longs in codegen rather than BigDecimal buffers); the final columns are
+DECIMAL(15,2).
 A hot customer is harmless: the per-customer aggregation combines map-side.
 """
 
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import MONEY, aggregate_identifier, money
+from ..functions import MONEY, aggregate_identifier, cents_to_money, money, money_cents
 from .joins import sized_broadcast
 
 LINE_TOTALS = ("total_net_lineitem", "total_gross_lineitem", "total_discount_lineitem", "total_tax_lineitem")
@@ -38,26 +40,38 @@ PROFILE_COLUMNS = (
 NATION_BROADCAST_ROWS = 10_000
 
 
-def _line_measures() -> list:
-    price, discount, tax = money("l_extendedprice"), money("l_discount"), money("l_tax")
-    # The reference's literal formula: price - discount + tax (not TPC-H revenue).
+def lineitem_per_order(lineitem: DataFrame) -> DataFrame:
+    """Per-order line sums in cents, aggregated before the shuffle on orderkey.
+
+    Only gross, discount and tax are summed: the reference's net total,
+    ``SUM(price - discount + tax)``, is exactly ``gross - discount + tax`` in
+    integer cents (the literal formula, not TPC-H revenue).
+    """
+    return lineitem.groupBy(F.col("l_orderkey").alias("orderkey")).agg(
+        F.sum(money_cents("l_extendedprice")).alias("gross_cents"),
+        F.sum(money_cents("l_discount")).alias("discount_cents"),
+        F.sum(money_cents("l_tax")).alias("tax_cents"),
+    )
+
+
+def _line_totals() -> list:
+    gross, discount, tax = F.col("gross_cents"), F.col("discount_cents"), F.col("tax_cents")
     return [
-        F.sum(price - discount + tax).alias("total_net_lineitem"),
-        F.sum(price).alias("total_gross_lineitem"),
-        F.sum(discount).alias("total_discount_lineitem"),
-        F.sum(tax).alias("total_tax_lineitem"),
+        cents_to_money(gross - discount + tax).alias("total_net_lineitem"),
+        cents_to_money(gross).alias("total_gross_lineitem"),
+        cents_to_money(discount).alias("total_discount_lineitem"),
+        cents_to_money(tax).alias("total_tax_lineitem"),
     ]
 
 
-def lineitem_per_order(lineitem: DataFrame) -> DataFrame:
-    """Per-order line sums, aggregated before the shuffle on orderkey."""
-    return lineitem.groupBy(F.col("l_orderkey").alias("orderkey")).agg(*_line_measures())
+def _sum_cents() -> list:
+    return [F.sum(c).alias(c) for c in ("gross_cents", "discount_cents", "tax_cents")]
 
 
 def order_totals(orders: DataFrame) -> DataFrame:
     """A1: SUM(o_totalprice) per customer."""
     return orders.groupBy("o_custkey").agg(
-        F.sum(money("o_totalprice")).cast(MONEY).alias("total_purchase_order")
+        cents_to_money(F.sum(money_cents("o_totalprice"))).alias("total_purchase_order")
     )
 
 
@@ -66,19 +80,19 @@ def lineitem_totals(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     per_order = lineitem_per_order(lineitem)
     owners = orders.select(F.col("o_orderkey").alias("orderkey"), "o_custkey")
     joined = per_order.join(owners, "orderkey", "inner")
-    return joined.groupBy("o_custkey").agg(*[F.sum(c).cast(MONEY).alias(c) for c in LINE_TOTALS])
+    return joined.groupBy("o_custkey").agg(*_sum_cents()).select("o_custkey", *_line_totals())
 
 
 def customer_totals(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """A1-A5 in one pass over orders: order total and line totals per customer."""
     per_order = lineitem_per_order(lineitem)
     owners = orders.select(
-        F.col("o_orderkey").alias("orderkey"), "o_custkey", money("o_totalprice").alias("o_totalprice")
+        F.col("o_orderkey").alias("orderkey"), "o_custkey", money_cents("o_totalprice").alias("price_cents")
     )
     joined = owners.join(per_order, "orderkey", "left")
-    return joined.groupBy("o_custkey").agg(
-        F.sum("o_totalprice").cast(MONEY).alias("total_purchase_order"),
-        *[F.sum(c).cast(MONEY).alias(c) for c in LINE_TOTALS],
+    sums = joined.groupBy("o_custkey").agg(F.sum("price_cents").alias("price_cents"), *_sum_cents())
+    return sums.select(
+        "o_custkey", cents_to_money(F.col("price_cents")).alias("total_purchase_order"), *_line_totals()
     )
 
 
