@@ -63,6 +63,10 @@ class Run:
         )
 
 
+def staging_name(job: str) -> str:
+    return f"staging.{job}"
+
+
 def staging_dataframe(run: Run, spec: TableSpec) -> DataFrame:
     df = spec.query(run.tables, run.options)
     return apply_transform(df, spec.transform)
@@ -75,8 +79,9 @@ def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:
     staging_path = f"{run.staging_root.rstrip('/')}/{name}/run={run.run_id}"
     rows = write_parquet_staging(staging_dataframe(run, spec), staging_path)
     staged = run.spark.read.parquet(staging_path)
-    # Later jobs (customer_event) read this job's staging output.
-    run.tables = run.tables.with_table(name, staged)
+    # Later jobs (customer_event) read this job's staging output; it lives in
+    # its own namespace so a copy job never shadows the source table it copied.
+    run.tables = run.tables.with_table(staging_name(name), staged)
     snapshot = merge_into_snapshot(
         staged, f"{run.target_root.rstrip('/')}/{name}", spec.merge_keys, spec.target_columns(staged)
     )

@@ -62,7 +62,7 @@ def _customer_profile(t: Mapping[str, DataFrame], _opts: JobOptions) -> DataFram
 def _customer_event(t: Mapping[str, DataFrame], opts: JobOptions) -> DataFrame:
     # Reads the staging outputs of customer_profile and customer_orders.
     return customer_event(
-        t["customer_profile"], t["customer_orders"], opts.event_time, opts.orders_per_event
+        t["staging.customer_profile"], t["staging.customer_orders"], opts.event_time, opts.orders_per_event
     )
 
 
