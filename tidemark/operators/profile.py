@@ -116,7 +116,7 @@ def customer_profile(
     )
     with_country = customer.join(nations, customer["c_nationkey"] == nations["n_nationkey"], "left")
     joined = with_country.join(totals, with_country["c_custkey"] == totals["o_custkey"], "left")
-    have = set(customer.columns)
+    have = {c.lower() for c in customer.columns}
     zero = F.lit(0).cast(MONEY)
     exprs = {
         "custkey": F.col("c_custkey"),

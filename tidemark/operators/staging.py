@@ -108,6 +108,6 @@ def stage_customer_orders(orders: DataFrame) -> DataFrame:
         "orderpriority": "o_orderpriority", "clerk": "o_clerk", "shippriority": "o_shippriority",
         "comment": "o_comment",
     }
-    have = set(orders.columns)
+    have = {c.lower() for c in orders.columns}
     keep = [c for c in CUSTOMER_ORDERS_COLUMNS if c not in sources or sources[c] in have]
     return orders.select([derived[c].alias(c) for c in keep])

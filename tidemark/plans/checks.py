@@ -39,6 +39,7 @@ from ..operators.profile import (
 )
 from ..operators.staging import COPY_KEYS, partsupp_standin, stage_copy, stage_customer_orders
 from ..sources.bounds import chunk_counts
+from ..sources.tables import SOURCE_PARTITION_KEYS as _SOURCE_KEYS
 from ..sources.tables import TableSet, present
 from .spec import SPECS, JobOptions
 
@@ -148,11 +149,9 @@ def q_customer_event_nested(spark, sf_dir):
     return for_check(rows)
 
 
-# Partition key of each source table's job.
-SOURCE_PARTITION_KEYS = (
-    ("region", "r_regionkey"), ("nation", "n_nationkey"), ("customer", "c_custkey"),
-    ("supplier", "s_suppkey"), ("part", "p_partkey"), ("orders", "o_orderkey"),
-    ("lineitem", "l_orderkey"),
+# Source tables of the check data with their jobs' partition keys.
+SOURCE_PARTITION_KEYS = tuple(
+    (t, k) for t, k in _SOURCE_KEYS.items() if t != "partsupp"
 )
 
 

@@ -67,3 +67,9 @@ JDBC_COLUMN_TYPES = {
     "phone VARCHAR(20), market_segment VARCHAR(50), comment VARCHAR(200)",
     "customer_event": "event_type VARCHAR(20)",
 }
+
+STAGING_SCHEMAS = {
+    "customer_orders": CUSTOMER_ORDERS_STAGING,
+    "customer_profile": CUSTOMER_PROFILE_STAGING,
+    "customer_event": CUSTOMER_EVENT_STAGING,
+}

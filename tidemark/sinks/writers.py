@@ -46,8 +46,13 @@ def write_jdbc(
     batch_size: int,
     mode: str = "append",
     column_types: str | None = None,
+    truncate: bool = False,
 ) -> int:
-    """K1-K3, K6: throttled, batched JDBC write; returns the rows written."""
+    """K1-K3, K6: throttled, batched JDBC write; returns the rows written.
+
+    ``mode="overwrite", truncate=True`` empties an existing table but keeps its
+    definition (keys, column types): a fresh staging load per run.
+    """
     observed, obs = counted(throttle(df, writers))
     props = endpoint.properties()
     props["batchsize"] = str(batch_size)
@@ -57,6 +62,8 @@ def write_jdbc(
     writer = writer.options(**props)
     if column_types:
         writer = writer.option("createTableColumnTypes", column_types)
+    if truncate:
+        writer = writer.option("truncate", "true")
     writer.mode(mode).save()
     return int(obs.get["rows"])
 

@@ -6,12 +6,20 @@ parquet scan; nothing here reads data on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# The TPC-H source tables the staging queries read.
+# The TPC-H source tables the staging queries read, with the
+# key each is read in ranges by (the jobs' partition keys, as source columns).
 SOURCE_TABLES = ("region", "nation", "customer", "supplier", "part", "partsupp", "orders", "lineitem")
+SOURCE_PARTITION_KEYS = {
+    "region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
+    "supplier": "s_suppkey", "part": "p_partkey", "partsupp": "ps_partkey",
+    "orders": "o_orderkey", "lineitem": "l_orderkey",
+}
+
+Loader = Callable[[str], DataFrame]
 
 
 class MissingKeyColumn(ValueError):
@@ -24,16 +32,30 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 class TableSet(Mapping[str, DataFrame]):
-    """Name -> DataFrame view over a folder of parquet tables, read on first use."""
-
-    def __init__(self, spark: SparkSession, root: str, overrides: Mapping[str, DataFrame] | None = None):
+    """Name -> DataFrame view over source tables, loaded on first use.
+
+    By default tables are parquet files under ``root``; ``loader`` replaces
+    that (e.g. partitioned JDBC reads, see ``sources.jdbc.jdbc_loader``).
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        overrides: Mapping[str, DataFrame] | None = None,
+        loader: Loader | None = None,
+    ):
         self.spark = spark
         self.root = root
+        self.loader = loader
         self._frames: dict[str, DataFrame] = dict(overrides or {})
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
-            self._frames[name] = read_table(self.spark, self.root, name)
+            if self.loader is not None and not name.startswith("staging."):
+                self._frames[name] = self.loader(name)
+            else:
+                self._frames[name] = read_table(self.spark, self.root, name)
         return self._frames[name]
 
     def __iter__(self):
@@ -45,16 +67,21 @@ class TableSet(Mapping[str, DataFrame]):
     def with_table(self, name: str, df: DataFrame) -> "TableSet":
         merged = dict(self._frames)
         merged[name] = df
-        return TableSet(self.spark, self.root, merged)
+        return TableSet(self.spark, self.root, merged, self.loader)
 
 
 def present(df: DataFrame, names: Iterable[str]) -> list[str]:
-    """The names that exist in ``df``, in the given order."""
-    have = set(df.columns)
-    return [n for n in names if n in have]
+    """The names that exist in ``df``, in the given order.
+
+    Case-insensitive, like Spark's default column resolution: databases that
+    upper-case unquoted identifiers still match.
+    """
+    have = {c.lower() for c in df.columns}
+    return [n for n in names if n.lower() in have]
 
 
 def require(df: DataFrame, names: Iterable[str], what: str = "source") -> None:
-    missing = [n for n in names if n not in set(df.columns)]
+    have = {c.lower() for c in df.columns}
+    missing = [n for n in names if n.lower() not in have]
     if missing:
         raise MissingKeyColumn(f"{what} lacks key column(s) {missing}; has {df.columns}")
