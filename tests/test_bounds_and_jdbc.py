@@ -133,3 +133,14 @@ def test_jobs_from_jdbc_source_to_jdbc_staging(spark, derby, tmp_root):
                         loader=jdbc_loader(spark, derby, partitions=4), staging_endpoint=staging_db), ["customer"])
     assert spark.read.jdbc(staging_db.jdbc_url(), "customer", properties=staging_db.properties()).count() == \
         read_table(spark, SF_SMALL, "customer").count()
+
+
+def test_spread_small_input(spark):
+    from tidemark.sources.tables import spread_small_input
+
+    one = spark.range(0, 100).coalesce(1).withColumnRenamed("id", "k")
+    spread = spread_small_input(one, 4, "k")
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r[0] for r in spread.collect()) == list(range(100))
+    many = spark.range(0, 100, numPartitions=8)
+    assert spread_small_input(many, 4) is many

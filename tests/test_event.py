@@ -133,3 +133,29 @@ def test_nested_roundtrip_matches_profile_orders(spark):
         ["order_aggregate_identifier", "orderstatus", "totalprice"],
     )
     assert flat.count() == profile_orders(profile, orders).count()
+
+
+def test_hot_customer_holding_a_third_of_orders(spark):
+    """One customer holds a third of all orders: it is split into pages of
+    bounded size, every order is kept, and other customers are unaffected."""
+    t = TableSet(spark, SF_SMALL)
+    orders = t["orders"].withColumn(
+        "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey"))
+    )
+    profile = customer_profile(t["customer"], t["nation"], orders, t["lineitem"])
+    staged = stage_customer_orders(orders)
+    k = 50
+    events = customer_event(profile, staged, event_time=1, orders_per_event=k)
+    rows = events.select(
+        "custkey", "event_page",
+        F.size(F.from_json(F.get_json_object(F.col("event_parameters"), "$[0]"), "customer_order array<string>")["customer_order"]).alias("n"),
+    ).collect()
+    hot = [r for r in rows if r["custkey"] == 7]
+    hot_orders = staged.where(F.col("customer_aggregate_identifier") == F.unhex(F.md5(F.lpad(F.bin(F.lit(7)), 64, "0")))).count()
+    assert hot_orders > staged.count() // 3 - 1
+    assert len(hot) == -(-hot_orders // k)
+    assert sum(r["n"] for r in hot) == hot_orders
+    assert max(r["n"] for r in hot) <= 3 * k  # uniform buckets: far from one unbounded group
+    others = [r for r in rows if r["custkey"] != 7]
+    assert all(r["event_page"] == 0 for r in others)
+    assert sum(r["n"] for r in others if r["n"] > 0) >= staged.count() - hot_orders
