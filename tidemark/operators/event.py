@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import MONEY, identifier_bucket
+from ..functions import identifier_bucket
 from ..sources.tables import present, require
 from .joins import sized_broadcast
 
@@ -88,8 +88,21 @@ def order_pages(
     return paged, heavy, counts
 
 
-def _profile_part(profile: DataFrame) -> list[str]:
-    return [c for c in present(profile, PROFILE_EVENT_COLUMNS)]
+def _profile_pages(profile: DataFrame, heavy: DataFrame, cols: list[str]) -> DataFrame:
+    """One profile row per (customer, page); only heavy customers have several."""
+    return profile.select(*cols).join(heavy, CUSTOMER_ID, "left").select(
+        *cols,
+        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("event_pages"), F.lit(1)) - 1)).alias(PAGE),
+    )
+
+
+def _without_orders(profile: DataFrame, counts: DataFrame, cols: list[str], *fill: Column) -> DataFrame:
+    """Customers without any order (anti join on keys unique on both sides), page 0."""
+    return (
+        profile.select(*cols)
+        .join(counts.select(CUSTOMER_ID), CUSTOMER_ID, "left_anti")
+        .select(*cols, F.lit(0).alias(PAGE), *fill)
+    )
 
 
 def _branches(
@@ -101,22 +114,13 @@ def _branches(
     """(customers with orders joined per page, customers without orders)."""
     require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
     paged, heavy, counts = order_pages(customer_orders, orders_per_event, max_heavy_broadcast)
-    profile_cols = _profile_part(profile)
+    profile_cols = present(profile, PROFILE_EVENT_COLUMNS)
     order_cols = _flat_order(paged)
-    expanded = profile.select(*profile_cols).join(heavy, CUSTOMER_ID, "left").select(
-        *profile_cols,
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("event_pages"), F.lit(1)) - 1)).alias(PAGE),
-    )
-    with_orders = expanded.join(
+    with_orders = _profile_pages(profile, heavy, profile_cols).join(
         paged.select(CUSTOMER_ID, PAGE, *order_cols), [CUSTOMER_ID, PAGE], "inner"
     )
     nulls = [F.lit(None).cast(paged.schema[c].dataType).alias(c) for c in order_cols]
-    without_orders = (
-        profile.select(*profile_cols)
-        .join(counts.select(CUSTOMER_ID), CUSTOMER_ID, "left_anti")
-        .select(*profile_cols, F.lit(0).alias(PAGE), *nulls)
-    )
-    return with_orders, without_orders
+    return with_orders, _without_orders(profile, counts, profile_cols, *nulls)
 
 
 # Fixed value: the reference's column order of the profile ⟕ orders rows.
@@ -227,23 +231,15 @@ def _page_documents(
     """
     require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
     paged, heavy, counts = order_pages(customer_orders, orders_per_event, max_heavy_broadcast)
-    profile_cols = _profile_part(profile)
+    profile_cols = present(profile, PROFILE_EVENT_COLUMNS)
     entry = F.struct(F.col(ORDER_ID).alias("k"), order_value(paged).alias("v"))
     lists = paged.groupBy(CUSTOMER_ID, PAGE).agg(F.sort_array(F.collect_list(entry)).alias("_l")).select(
         CUSTOMER_ID, PAGE, F.transform("_l", lambda e: e["v"]).alias(list_name)
     )
-    expanded = profile.select(*profile_cols).join(heavy, CUSTOMER_ID, "left").select(
-        *profile_cols,
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("event_pages"), F.lit(1)) - 1)).alias(PAGE),
-    )
-    with_orders = expanded.join(lists, [CUSTOMER_ID, PAGE], "inner")
+    with_orders = _profile_pages(profile, heavy, profile_cols).join(lists, [CUSTOMER_ID, PAGE], "inner")
     list_type = lists.schema[list_name].dataType
-    without_orders = (
-        profile.select(*profile_cols)
-        .join(counts.select(CUSTOMER_ID), CUSTOMER_ID, "left_anti")
-        .select(*profile_cols, F.lit(0).alias(PAGE), empty_list(list_type).cast(list_type).alias(list_name))
-    )
-    return with_orders, without_orders
+    empty = empty_list(list_type).cast(list_type).alias(list_name)
+    return with_orders, _without_orders(profile, counts, profile_cols, empty)
 
 
 def _encode_documents(docs: DataFrame, event_time: int | None) -> DataFrame:
@@ -334,7 +330,6 @@ def flatten_nested_events(events: DataFrame, profile_fields: list[str], order_fi
 
 __all__ = [
     "EVENT_TYPE",
-    "MONEY",
     "customer_event",
     "customer_event_nested",
     "encode_events",
