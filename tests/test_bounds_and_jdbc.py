@@ -144,3 +144,19 @@ def test_spread_small_input(spark):
     assert sorted(r[0] for r in spread.collect()) == list(range(100))
     many = spark.range(0, 100, numPartitions=8)
     assert spread_small_input(many, 4) is many
+
+
+def test_sized_broadcast_falls_back_above_limit(spark):
+    from tidemark.operators.joins import sized_broadcast
+
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        hinted = big.join(sized_broadcast(small, 100), "k")
+        plain = big.join(sized_broadcast(big.select("k"), 100), "k")
+        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
+        assert plain.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -159,3 +159,26 @@ def test_hot_customer_holding_a_third_of_orders(spark):
     others = [r for r in rows if r["custkey"] != 7]
     assert all(r["event_page"] == 0 for r in others)
     assert sum(r["n"] for r in others if r["n"] > 0) >= staged.count() - hot_orders
+
+
+def test_encoded_event_parses_to_nested_content(spark):
+    """E1 (JSON strings inside JSON) and E2 (nested objects) carry the same
+    content once identifiers are compared as hex."""
+    profile, orders = _staged(spark)
+    e1 = {r["custkey"]: r["event_parameters"] for r in customer_event(profile, orders, 1).collect()}
+    e2 = {r["custkey"]: r["event_parameters"] for r in customer_event_nested(profile, orders, 1).collect()}
+    assert set(e1) == set(e2)
+
+    def hexed(b64):
+        return base64.b64decode(b64).hex().upper()
+
+    for custkey in e1:
+        (doc1,) = [json.loads(s) for s in json.loads(e1[custkey])]
+        (doc2,) = json.loads(e2[custkey])
+        orders1 = [json.loads(o) for o in doc1.pop("customer_order") if o != "{}"]
+        orders2 = doc2.pop("customer_orders")
+        doc1["customer_aggregate_identifier"] = hexed(doc1["customer_aggregate_identifier"])
+        for o in orders1:
+            o["order_aggregate_identifier"] = hexed(o["order_aggregate_identifier"])
+        assert doc1 == doc2
+        assert sorted(orders1, key=repr) == sorted(orders2, key=repr)

@@ -1,5 +1,8 @@
 import os
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from tidemark.operators.merge import (
     current_snapshot,
     dedup_by_key,
@@ -71,3 +74,32 @@ def test_uncommitted_folder_is_ignored(spark, tmp_root):
     assert snapshot_versions(spark, root) == [1]
     p = publish(spark.createDataFrame([(5, "e", 5.0)], SCHEMA), root)
     assert p.endswith("v00000003")
+
+
+_rows_st = st.lists(
+    st.tuples(st.integers(0, 6), st.sampled_from(["a", "b", "c", None]), st.integers(-2, 2).map(float)),
+    max_size=12,
+)
+
+
+def _model_upsert(target, staging):
+    """Reference model: target rows keyed by k, staging rows applied by key;
+    among staging duplicates the greatest (a, b) wins, NULLs lowest."""
+    def order(row):
+        return tuple((v is not None, v if v is not None else 0) for v in row[1:])
+
+    best = {}
+    for r in staging:
+        if r[0] not in best or order(r) > order(best[r[0]]):
+            best[r[0]] = r
+    out = [r for r in target if r[0] not in best]
+    return sorted(out + list(best.values()), key=repr)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(target=_rows_st, staging=_rows_st)
+def test_upsert_matches_model(spark, target, staging):
+    target = list({r[0]: r for r in target}.values())  # a target is unique per key
+    t = spark.createDataFrame(target, SCHEMA)
+    s = spark.createDataFrame(staging, SCHEMA)
+    assert _rows(upsert(t, s, ["k"])) == _model_upsert(target, staging)
