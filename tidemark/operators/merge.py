@@ -6,10 +6,13 @@ Nothing is deleted.
 
 Spark plan: staging is reduced to one row per key with ``max(struct(...))``
 (a partial aggregate, so even a key holding a third of the rows is combined
-map-side before the shuffle), then ``target LEFT ANTI staged`` keeps the
-untouched rows and ``unionByName`` appends the staged rows. Both joins sides
-are unique per key, so there is no skew; the staged side's shuffle is reused
-by the anti join.
+map-side before the shuffle), then ``target LEFT ANTI staged keys`` keeps the
+untouched rows and ``unionByName`` appends the staged rows. Both join sides
+are unique per key, so there is no skew. An incremental load's distinct keys
+are usually far fewer than the target's rows: up to ``broadcast_key_rows``
+of them (counted first) are broadcast, so the target is streamed through a
+hash anti join without being shuffled; above that, both sides are shuffled
+on the key (sort-merge join).
 
 Publishing (U14) writes the merged result to a new snapshot folder and never
 overwrites the folder being read; the newest folder with a ``_SUCCESS``
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import require
+from .joins import sized_broadcast
 
 
 def dedup_by_key(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -39,12 +43,16 @@ def dedup_by_key(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*staging.columns)
 
 
+DEFAULT_BROADCAST_KEY_ROWS = 5_000_000
+
+
 def upsert(
     target: DataFrame | None,
     staging: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
     deduplicate: bool = True,
+    broadcast_key_rows: int = DEFAULT_BROADCAST_KEY_ROWS,
 ) -> DataFrame:
     """Merge ``staging`` into ``target`` on ``keys``.
 
@@ -63,7 +71,8 @@ def upsert(
         staged = dedup_by_key(staged, keys)
     if target is None:
         return staged
-    kept = target.select(*columns).join(staged.select(*keys), keys, "left_anti")
+    changed = sized_broadcast(staged.select(*keys), broadcast_key_rows)
+    kept = target.select(*columns).join(changed, keys, "left_anti")
     return kept.unionByName(staged)
 
 
