@@ -61,3 +61,16 @@ def test_identifier_bucket_in_range(spark):
     assert set(buckets) == set(range(7))
     # uniform enough: no bucket gets more than twice its share
     assert max(buckets.count(b) for b in range(7)) < 2 * 2000 / 7
+
+
+def test_size_shuffles_only_raises(spark):
+    from tidemark.session import input_bytes, size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 10 * 1024) == int(before)
+        assert size_shuffles(spark, 100 * (1 << 40)) == 50_000  # 100 TB: capped
+        assert size_shuffles(spark, 1) == 50_000  # never lowered
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert input_bytes(spark, "/root/testdata/sf0.001") > 0

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.merge import merge_into_snapshot
 from ..operators.partitioning import set_shuffle_width
 from ..operators.transforms import apply_transform
-from ..session import work_path
+from ..session import input_bytes, size_shuffles, work_path
 from ..sinks.schemas import JDBC_COLUMN_TYPES, STAGING_SCHEMAS
 from ..sinks.writers import conform, write_jdbc, write_parquet_staging
 from ..sources.jdbc import JdbcEndpoint
@@ -61,9 +61,14 @@ class Run:
         overrides: dict[str, DataFrame] | None = None,
         loader: Loader | None = None,
         staging_endpoint: JdbcEndpoint | None = None,
+        size_for_input: bool = True,
     ) -> "Run":
         """``loader`` reads sources from elsewhere than parquet under
-        ``source_root`` (e.g. ``sources.jdbc.jdbc_loader``)."""
+        ``source_root`` (e.g. ``sources.jdbc.jdbc_loader``). With
+        ``size_for_input`` the shuffle width is raised to fit the size of the
+        parquet sources (``session.size_shuffles``)."""
+        if size_for_input and loader is None:
+            size_shuffles(spark, input_bytes(spark, source_root))
         return cls(
             spark=spark,
             tables=TableSet(spark, source_root, overrides, loader),

@@ -8,7 +8,7 @@ none is configured.
 
 from __future__ import annotations
 
-import os
+import math
 import tempfile
 import uuid
 
@@ -65,9 +65,41 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([root, "tidemark", *parts]) if parts else f"{root}/tidemark/{uuid.uuid4().hex}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_dir_exists(path: str) -> bool:
-    return is_local_path(path) and os.path.isdir(path.replace("file:", "", 1))
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total bytes under the given paths (a metadata call on the file system)."""
+    jvm = spark._jvm
+    total = 0
+    for path in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(hpath):
+            total += fs.getContentSummary(hpath).getLength()
+    return total
+
+
+def size_shuffles(
+    spark: SparkSession,
+    total_input_bytes: int,
+    input_bytes_per_partition: int = 1 << 30,
+    max_partitions: int = 50_000,
+) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to fit the input; never lower it.
+
+    About one shuffle partition per GiB of *input* (shuffled data is smaller
+    after pruning and partial aggregation), capped so that map x reduce block
+    counts stay manageable. AQE then coalesces toward its advisory size and
+    splits skewed partitions, so a reducer's share fits executor memory.
+    Returns the width in effect.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    want = min(max_partitions, math.ceil(total_input_bytes / input_bytes_per_partition))
+    if want > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(want))
+        current = want
+    for key, value in (
+        ("spark.sql.adaptive.enabled", "true"),
+        ("spark.sql.adaptive.coalescePartitions.enabled", "true"),
+        ("spark.sql.adaptive.skewJoin.enabled", "true"),
+    ):
+        spark.conf.set(key, value)
+    return current
