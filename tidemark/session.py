@@ -89,13 +89,19 @@ def size_shuffles(
     after pruning and partial aggregation), capped so that map x reduce block
     counts stay manageable. AQE then coalesces toward its advisory size and
     splits skewed partitions, so a reducer's share fits executor memory.
-    Returns the width in effect.
+    Returns the shuffle width in effect.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     want = min(max_partitions, math.ceil(total_input_bytes / input_bytes_per_partition))
     if want > current:
         spark.conf.set("spark.sql.shuffle.partitions", str(want))
         current = want
+    # Above a terabyte, 512 MB scan splits (default 128 MB) quarter the number
+    # of map tasks and with it the map x reduce shuffle blocks.
+    split_key = "spark.sql.files.maxPartitionBytes"
+    split = _bytes(spark.conf.get(split_key, "128m"))
+    if total_input_bytes > (1 << 40) and split < (512 << 20):
+        spark.conf.set(split_key, str(512 << 20))
     for key, value in (
         ("spark.sql.adaptive.enabled", "true"),
         ("spark.sql.adaptive.coalescePartitions.enabled", "true"),
@@ -103,3 +109,10 @@ def size_shuffles(
     ):
         spark.conf.set(key, value)
     return current
+
+
+def _bytes(value: str) -> int:
+    """Spark size string ("128m", "1g", "134217728b", "134217728") to bytes."""
+    v = value.strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
