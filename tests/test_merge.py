@@ -103,3 +103,13 @@ def test_upsert_matches_model(spark, target, staging):
     t = spark.createDataFrame(target, SCHEMA)
     s = spark.createDataFrame(staging, SCHEMA)
     assert _rows(upsert(t, s, ["k"])) == _model_upsert(target, staging)
+
+
+def test_match_keys_replace_a_set(spark):
+    schema = "c string, page int, doc string"
+    target = spark.createDataFrame([("x", 0, "old0"), ("x", 1, "old1"), ("x", 2, "old2"), ("y", 0, "keep")], schema)
+    staging = spark.createDataFrame([("x", 0, "new0"), ("x", 1, "new1")], schema)
+    out = upsert(target, staging, ["c", "page"], match_keys=["c"])
+    assert _rows(out) == [("x", 0, "new0"), ("x", 1, "new1"), ("y", 0, "keep")]
+    plain = upsert(target, staging, ["c", "page"])
+    assert ("x", 2, "old2") in _rows(plain)

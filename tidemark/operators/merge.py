@@ -53,13 +53,20 @@ def upsert(
     columns: Sequence[str] | None = None,
     deduplicate: bool = True,
     broadcast_key_rows: int = DEFAULT_BROADCAST_KEY_ROWS,
+    match_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Merge ``staging`` into ``target`` on ``keys``.
 
     ``columns`` is the target column list (P12: staging-only columns such as
     ``orderkey`` are dropped); by default the target's columns, else staging's.
+    ``match_keys`` (a prefix of ``keys``) replaces every target row that shares
+    it with a staged row: a customer's events are replaced as a set, so pages a
+    customer no longer has do not linger. Staging stays unique on ``keys``.
     """
     keys = list(keys)
+    match = list(match_keys) if match_keys else keys
+    if any(k not in keys for k in match):
+        raise ValueError(f"match keys {match} must be among the merge keys {keys}")
     if columns is None:
         columns = target.columns if target is not None else staging.columns
     columns = list(columns)
@@ -71,8 +78,11 @@ def upsert(
         staged = dedup_by_key(staged, keys)
     if target is None:
         return staged
-    changed = sized_broadcast(staged.select(*keys), broadcast_key_rows)
-    kept = target.select(*columns).join(changed, keys, "left_anti")
+    changed = staged.select(*match)
+    if match != keys:
+        changed = changed.distinct()
+    changed = sized_broadcast(changed, broadcast_key_rows)
+    kept = target.select(*columns).join(changed, match, "left_anti")
     return kept.unionByName(staged)
 
 
@@ -141,7 +151,8 @@ def merge_into_snapshot(
     root: str,
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
+    match_keys: Sequence[str] | None = None,
 ) -> str:
     """Upsert ``staging`` into the current snapshot under ``root`` and publish."""
     target = read_current(staging.sparkSession, root)
-    return publish(upsert(target, staging, keys, columns), root)
+    return publish(upsert(target, staging, keys, columns, match_keys=match_keys), root)

@@ -258,7 +258,8 @@ def _scenario(table: str, t: TableSet) -> tuple[DataFrame, DataFrame, tuple[str,
 def _upsert_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         target, staging, keys, columns = _scenario(table, _tables(spark, sf_dir))
-        return for_check(upsert(target, staging, keys, columns))
+        match = SPECS[table].match_keys if table in SPECS else None
+        return for_check(upsert(target, staging, keys, columns, match_keys=match))
 
     return q
 

@@ -99,7 +99,8 @@ def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:
     # its own namespace so a copy job never shadows the source table it copied.
     run.tables = run.tables.with_table(staging_name(name), staged)
     snapshot = merge_into_snapshot(
-        staged, f"{run.target_root.rstrip('/')}/{name}", spec.merge_keys, spec.target_columns(staged)
+        staged, f"{run.target_root.rstrip('/')}/{name}", spec.merge_keys, spec.target_columns(staged),
+        match_keys=spec.match_keys,
     )
     exported = export_staging_jdbc(run, name, run.staging_endpoint) if run.staging_endpoint else None
     result = JobResult(name, staging_path, rows, snapshot, exported)

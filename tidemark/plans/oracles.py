@@ -247,9 +247,9 @@ def dedup_sql(sql: str, keys: list[str], columns: list[str]) -> str:
     )
 
 
-def upsert_sql(target: str, staging: str, keys: list[str], columns: list[str]) -> str:
+def upsert_sql(target: str, staging: str, keys: list[str], columns: list[str], match_keys: list[str] | None = None) -> str:
     cols = ", ".join(columns)
-    match = " AND ".join(f"s.{k} = t.{k}" for k in keys)
+    match = " AND ".join(f"s.{k} = t.{k}" for k in (match_keys or keys))
     return f"""WITH tgt AS ({target}), stg AS ({dedup_sql(staging, keys, columns)})
 SELECT {cols} FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM stg s WHERE {match})
 UNION ALL
@@ -323,7 +323,8 @@ def upsert_scenario_sql(table: str) -> str:
         kinds = EVENT_KINDS
     else:
         raise KeyError(table)
-    return present_sql(upsert_sql(old, new, list(spec.merge_keys), cols), kinds)
+    match = list(spec.match_keys) if spec.match_keys else None
+    return present_sql(upsert_sql(old, new, list(spec.merge_keys), cols, match), kinds)
 
 
 def _union(parts: list[str]) -> str:

@@ -41,6 +41,9 @@ class TableSpec:
     write_partitions: int = 20
     batch_size: int = 1000
     depends_on: tuple[str, ...] = field(default=())
+    # Target rows sharing these keys with staging are replaced as a set
+    # (default: the merge keys).
+    match_keys: tuple[str, ...] | None = None
 
     def target_columns(self, staged: DataFrame) -> list[str]:
         """The staging columns the target keeps."""
@@ -110,6 +113,7 @@ SPECS: dict[str, TableSpec] = {
         query=_customer_event,
         partition_key="custkey",
         merge_keys=("customer_aggregate_identifier", "event_page"),
+        match_keys=("customer_aggregate_identifier",),
         target_drops=("custkey",),
         transform_key="customer_aggregate_identifier",
         read_partitions=500,
