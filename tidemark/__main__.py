@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import logging
 import os
 
 from pyspark.sql import SparkSession
@@ -50,6 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--user-env", help="environment variable holding the database user")
     ap.add_argument("--password-env", help="environment variable holding the database password")
     args = ap.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
 
     spark = SparkSession.builder.appName("tidemark").getOrCreate()
     source_db = _endpoint(args.source_jdbc, args.user_env, args.password_env)

@@ -10,6 +10,8 @@ Folders default to the session's shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import logging
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -25,6 +27,8 @@ from ..sources.jdbc import JdbcEndpoint
 from ..sources.tables import Loader, TableSet
 from .spec import SPECS, JobOptions, TableSpec, ordered
 
+log = logging.getLogger("tidemark.jobs")
+
 
 @dataclass
 class JobResult:
@@ -90,10 +94,12 @@ def staging_dataframe(run: Run, spec: TableSpec) -> DataFrame:
 
 def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:
     spec = SPECS[name]
+    started = time.perf_counter()
     if adjust_shuffle:
         set_shuffle_width(run.spark, spec.read_partitions)
     staging_path = f"{run.staging_root.rstrip('/')}/{name}/run={run.run_id}"
     rows = write_parquet_staging(staging_dataframe(run, spec), staging_path)
+    log.info("%s: staged %d rows to %s", name, rows, staging_path)
     staged = run.spark.read.parquet(staging_path)
     # Later jobs (customer_event) read this job's staging output; it lives in
     # its own namespace so a copy job never shadows the source table it copied.
@@ -105,6 +111,7 @@ def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:
     exported = export_staging_jdbc(run, name, run.staging_endpoint) if run.staging_endpoint else None
     result = JobResult(name, staging_path, rows, snapshot, exported)
     run.results[name] = result
+    log.info("%s: published %s in %.1fs", name, snapshot, time.perf_counter() - started)
     return result
 
 
