@@ -160,3 +160,16 @@ def test_sized_broadcast_falls_back_above_limit(spark):
         assert plain.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_jdbc_read_by_chunk_size(spark, derby):
+    from tidemark.sources.jdbc import chunks_for_rows, read_jdbc_chunked
+
+    src = spark.range(0, 1000).select(F.col("id").alias("K"))
+    write_jdbc(src, derby, "C", writers=2, batch_size=500, mode="overwrite")
+    df = read_jdbc_chunked(spark, derby, "SELECT k FROM C", "k", chunk_rows=300)
+    assert df.rdd.getNumPartitions() == chunks_for_rows(1000, 300) == 4
+    sizes = df.rdd.glom().map(len).collect()
+    assert sum(sizes) == 1000 and max(sizes) <= 334
+    empty = read_jdbc_chunked(spark, derby, "SELECT k FROM C WHERE k < 0", "k", chunk_rows=300)
+    assert empty.count() == 0

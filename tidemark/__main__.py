@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source-jdbc", help="JDBC URL of the source database")
     ap.add_argument("--source-schema", help="schema of the source tables, e.g. tpch")
     ap.add_argument("--read-partitions", type=int, default=50, help="key-range chunks per JDBC table")
+    ap.add_argument("--chunk-rows", type=int, help="rows per JDBC chunk (instead of --read-partitions)")
     ap.add_argument("--staging-jdbc", help="also load staged rows into this database")
     ap.add_argument("--staging-root", help="staging folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--target-root", help="target snapshot folder (default: under spark.checkpoint.dir)")
@@ -55,7 +56,11 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("tidemark").getOrCreate()
     source_db = _endpoint(args.source_jdbc, args.user_env, args.password_env)
-    loader = jdbc_loader(spark, source_db, args.read_partitions, args.source_schema) if source_db else None
+    loader = (
+        jdbc_loader(spark, source_db, args.read_partitions, args.source_schema, chunk_rows=args.chunk_rows)
+        if source_db
+        else None
+    )
     run = Run.create(
         spark,
         args.source,

@@ -58,10 +58,10 @@ def derived_table(query: str, alias: str = "src") -> str:
     return f"({query.strip().rstrip(';')}) {alias}"
 
 
-def jdbc_bounds(spark: SparkSession, endpoint: JdbcEndpoint, query: str, key: str) -> KeyBounds | None:
-    """S2 over JDBC: MIN/MAX of ``key`` over the query, computed by the database."""
-    probe = f"SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {derived_table(query, 'q')}"
-    row = (
+def _probe(spark: SparkSession, endpoint: JdbcEndpoint, query: str, key: str):
+    """One row computed by the database: MIN, MAX of ``key`` and the row count."""
+    probe = f"SELECT MIN({key}) AS lo, MAX({key}) AS hi, COUNT(*) AS n FROM {derived_table(query, 'q')}"
+    return (
         spark.read.format("jdbc")
         .option("url", endpoint.jdbc_url())
         .option("dbtable", derived_table(probe, "bounds"))
@@ -69,11 +69,43 @@ def jdbc_bounds(spark: SparkSession, endpoint: JdbcEndpoint, query: str, key: st
         .load()
         .first()
     )
+
+
+def jdbc_bounds(spark: SparkSession, endpoint: JdbcEndpoint, query: str, key: str) -> KeyBounds | None:
+    """S2 over JDBC: MIN/MAX of ``key`` over the query, computed by the database."""
+    row = _probe(spark, endpoint, query, key)
     if row is None or row[0] is None:
         return None
     return KeyBounds(int(row[0]), int(row[1]))
 
 
+def chunks_for_rows(rows: int, chunk_rows: int) -> int:
+    """Number of key-range chunks so that each holds about ``chunk_rows`` rows."""
+    if chunk_rows < 1:
+        raise ValueError("chunk_rows must be >= 1")
+    return max(1, -(-rows // chunk_rows))
+
+
+def read_jdbc_chunked(
+    spark: SparkSession,
+    endpoint: JdbcEndpoint,
+    query: str,
+    key: str,
+    chunk_rows: int = 1_000_000,
+    fetch_size: int | None = None,
+) -> DataFrame:
+    """S1 + S4 by chunk *size*: one probe returns bounds and row count, then
+    ``ceil(rows / chunk_rows)`` key-range chunks are read, one task each, so a
+    task holds about ``chunk_rows`` rows (evenly so when keys are dense)."""
+    row = _probe(spark, endpoint, query, key)
+    if row is None or row[0] is None:
+        return read_jdbc_query(spark, endpoint, query, key, 1, bounds=None, fetch_size=fetch_size, probe=False)
+    bounds = KeyBounds(int(row[0]), int(row[1]))
+    return read_jdbc_query(
+        spark, endpoint, query, key, chunks_for_rows(int(row[2]), chunk_rows), bounds, fetch_size
+    )
+
+
 def read_jdbc_query(
     spark: SparkSession,
     endpoint: JdbcEndpoint,
@@ -82,13 +114,15 @@ def read_jdbc_query(
     partitions: int,
     bounds: KeyBounds | None = None,
     fetch_size: int | None = None,
+    probe: bool = True,
 ) -> DataFrame:
     """Read ``query`` in ``partitions`` key-range chunks (the S4 rule).
 
-    Bounds are probed when not given. An empty source yields an empty
-    DataFrame with the query's schema instead of failing on NULL bounds.
+    Bounds are probed when not given (``probe=False``: the source is known to
+    be empty). An empty source yields an empty DataFrame with the query's
+    schema instead of failing on NULL bounds.
     """
-    if bounds is None:
+    if bounds is None and probe:
         bounds = jdbc_bounds(spark, endpoint, query, key)
     props = endpoint.properties()
     if fetch_size:
@@ -116,11 +150,14 @@ def jdbc_loader(
     partitions: int,
     schema: str | None = None,
     keys: dict[str, str] | None = None,
+    chunk_rows: int | None = None,
 ) -> Loader:
     """A ``TableSet`` loader reading each source table in key-range chunks.
 
-    ``SELECT * FROM [schema.]table`` is read by its partition key; Spark still
-    prunes columns and pushes simple filters into each chunk's SQL.
+    ``SELECT * FROM [schema.]table`` is read by its partition key in
+    ``partitions`` chunks, or in chunks of about ``chunk_rows`` rows when that
+    is given; Spark still prunes columns and pushes simple filters into each
+    chunk's SQL.
     """
     keys = keys or SOURCE_PARTITION_KEYS
 
@@ -128,6 +165,8 @@ def jdbc_loader(
         table = f"{schema}.{name}" if schema else name
         if name not in keys:
             return read_jdbc_table(spark, endpoint, table)
+        if chunk_rows:
+            return read_jdbc_chunked(spark, endpoint, f"SELECT * FROM {table}", keys[name], chunk_rows)
         return read_jdbc_query(spark, endpoint, f"SELECT * FROM {table}", keys[name], partitions)
 
     return load
