@@ -24,6 +24,11 @@ Orders are therefore assigned to *event pages*:
 
 Customers without orders come from an anti join against the per-customer
 counts (both sides unique per customer) and are encoded the same way.
+
+When the size check finds no heavy customer (the usual case), the plan is
+specialised: no heavy-list joins, and lists and profile are joined on the
+customer alone with ``event_page = 0`` added afterwards, so a constant page
+never becomes a partitioning key.
 """
 
 from __future__ import annotations
@@ -68,7 +73,8 @@ def order_pages(
     """Assign each order row an event page.
 
     Returns ``(paged, heavy, counts)``: the rows with ``event_page``, the heavy
-    customers with ``event_pages``, and ``order_count`` per customer.
+    customers with ``event_pages`` (None when there are none), and
+    ``order_count`` per customer.
     """
     if orders_per_event < 1:
         raise ValueError("orders_per_event must be >= 1")
@@ -77,6 +83,10 @@ def order_pages(
     heavy = counts.where(F.col("order_count") > orders_per_event).select(
         CUSTOMER_ID, F.ceil(F.col("order_count") / F.lit(orders_per_event)).cast("int").alias("event_pages")
     )
+    if heavy.limit(1).count() == 0:
+        # The usual case: nobody exceeds a page, so every order is on page 0
+        # and the plan needs neither the heavy list nor its joins.
+        return orders.withColumn(PAGE, F.lit(0)), None, counts
     heavy = sized_broadcast(heavy, max_heavy_broadcast)
     paged = orders.join(heavy, CUSTOMER_ID, "left").select(
         *orders.columns,
@@ -88,8 +98,18 @@ def order_pages(
     return paged, heavy, counts
 
 
-def _profile_pages(profile: DataFrame, heavy: DataFrame, cols: list[str]) -> DataFrame:
-    """One profile row per (customer, page); only heavy customers have several."""
+def _join_keys(heavy: DataFrame | None) -> list[str]:
+    """(customer, page) when some customer is split; the customer alone
+    otherwise, so a constant page never becomes a partitioning key (which
+    would make the two join sides disagree and re-shuffle the payload)."""
+    return [CUSTOMER_ID] if heavy is None else [CUSTOMER_ID, PAGE]
+
+
+def _profile_pages(profile: DataFrame, heavy: DataFrame | None, cols: list[str]) -> DataFrame:
+    """One profile row per (customer, page); only heavy customers have several.
+    Without heavy customers there is one row per customer and no page column."""
+    if heavy is None:
+        return profile.select(*cols)
     return profile.select(*cols).join(heavy, CUSTOMER_ID, "left").select(
         *cols,
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("event_pages"), F.lit(1)) - 1)).alias(PAGE),
@@ -116,9 +136,12 @@ def _branches(
     paged, heavy, counts = order_pages(customer_orders, orders_per_event, max_heavy_broadcast)
     profile_cols = present(profile, PROFILE_EVENT_COLUMNS)
     order_cols = _flat_order(paged)
+    keys = _join_keys(heavy)
     with_orders = _profile_pages(profile, heavy, profile_cols).join(
-        paged.select(CUSTOMER_ID, PAGE, *order_cols), [CUSTOMER_ID, PAGE], "inner"
+        paged.select(*keys, *order_cols), keys, "inner"
     )
+    if heavy is None:
+        with_orders = with_orders.withColumn(PAGE, F.lit(0))
     nulls = [F.lit(None).cast(paged.schema[c].dataType).alias(c) for c in order_cols]
     return with_orders, _without_orders(profile, counts, profile_cols, *nulls)
 
@@ -232,11 +255,14 @@ def _page_documents(
     require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
     paged, heavy, counts = order_pages(customer_orders, orders_per_event, max_heavy_broadcast)
     profile_cols = present(profile, PROFILE_EVENT_COLUMNS)
+    keys = _join_keys(heavy)
     entry = F.struct(F.col(ORDER_ID).alias("k"), order_value(paged).alias("v"))
-    lists = paged.groupBy(CUSTOMER_ID, PAGE).agg(F.sort_array(F.collect_list(entry)).alias("_l")).select(
-        CUSTOMER_ID, PAGE, F.transform("_l", lambda e: e["v"]).alias(list_name)
+    lists = paged.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_l")).select(
+        *keys, F.transform("_l", lambda e: e["v"]).alias(list_name)
     )
-    with_orders = _profile_pages(profile, heavy, profile_cols).join(lists, [CUSTOMER_ID, PAGE], "inner")
+    with_orders = _profile_pages(profile, heavy, profile_cols).join(lists, keys, "inner")
+    if heavy is None:
+        with_orders = with_orders.withColumn(PAGE, F.lit(0))
     list_type = lists.schema[list_name].dataType
     empty = empty_list(list_type).cast(list_type).alias(list_name)
     return with_orders, _without_orders(profile, counts, profile_cols, empty)
