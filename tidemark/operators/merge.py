@@ -9,10 +9,11 @@ Spark plan: staging is reduced to one row per key with ``max(struct(...))``
 map-side before the shuffle), then ``target LEFT ANTI staged keys`` keeps the
 untouched rows and ``unionByName`` appends the staged rows. Both join sides
 are unique per key, so there is no skew. An incremental load's distinct keys
-are usually far fewer than the target's rows: up to ``broadcast_key_rows``
-of them (counted first) are broadcast, so the target is streamed through a
-hash anti join without being shuffled; above that, both sides are shuffled
-on the key (sort-merge join).
+are usually far fewer than the target's rows: when staging has at most
+``broadcast_key_rows`` rows (a bound on its keys, counted with an early-exit
+limit), the keys are broadcast and the target is streamed through a hash
+anti join without being shuffled; above that, both sides are shuffled on the
+key (sort-merge join).
 
 Publishing (U14) writes the merged result to a new snapshot folder and never
 overwrites the folder being read; the newest folder with a ``_SUCCESS``
@@ -28,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import require
-from .joins import sized_broadcast
 
 
 def dedup_by_key(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -81,7 +81,10 @@ def upsert(
     changed = staged.select(*match)
     if match != keys:
         changed = changed.distinct()
-    changed = sized_broadcast(changed, broadcast_key_rows)
+    # Staging rows bound its distinct keys from above, and counting them
+    # stops after the limit: a cheap, proven size check.
+    if staging.limit(broadcast_key_rows + 1).count() <= broadcast_key_rows:
+        changed = F.broadcast(changed)
     kept = target.select(*columns).join(changed, match, "left_anti")
     return kept.unionByName(staged)
 
