@@ -23,7 +23,7 @@ from tidemark.operators.event import customer_event, profile_orders  # noqa: E40
 from tidemark.operators.merge import dedup_by_key, upsert  # noqa: E402
 from tidemark.operators.profile import customer_profile  # noqa: E402
 from tidemark.operators.staging import COPY_KEYS, stage_copy, stage_customer_orders  # noqa: E402
-from tidemark.plans.checks import _scenario  # noqa: E402
+from tidemark.plans.checks import merge_scenario  # noqa: E402
 from tidemark.plans.jobs import Run, run_jobs  # noqa: E402
 from tidemark.plans.spec import JobOptions  # noqa: E402
 from tidemark.session import local_session, work_path  # noqa: E402
@@ -72,8 +72,8 @@ def main() -> None:
         "profile_orders": lambda: profile_orders(profile(), stage_customer_orders(t["orders"])),
         "customer_event": lambda: customer_event(profile(), stage_customer_orders(t["orders"]), EVENT_TIME),
         "lineitem_dedup": lambda: dedup_by_key(stage_copy(t["lineitem"], "lineitem"), COPY_KEYS["lineitem"]),
-        "upsert_orders": lambda: upsert(*_scenario("orders", t)),
-        "upsert_lineitem": lambda: upsert(*_scenario("lineitem", t)),
+        "upsert_orders": lambda: upsert(*merge_scenario("orders", t)),
+        "upsert_lineitem": lambda: upsert(*merge_scenario("lineitem", t)),
         "chunk_counts_lineitem": lambda: chunk_counts(t["lineitem"], "l_orderkey", 50),
     }
     for build in plans.values():  # warm-up pass, untimed

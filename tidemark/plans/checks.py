@@ -208,7 +208,7 @@ def _recent_keys(t: TableSet, column: str) -> DataFrame:
     return li.select(F.col(column).alias("_k")).distinct()
 
 
-def _scenario(table: str, t: TableSet) -> tuple[DataFrame, DataFrame, tuple[str, ...], list[str] | None]:
+def merge_scenario(table: str, t: TableSet) -> tuple[DataFrame, DataFrame, tuple[str, ...], list[str] | None]:
     """(target, staging, keys, target columns) of one merge scenario."""
     if table in ("region", "nation"):
         cur = stage_copy(t[table], table)
@@ -257,7 +257,7 @@ def _scenario(table: str, t: TableSet) -> tuple[DataFrame, DataFrame, tuple[str,
 
 def _upsert_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        target, staging, keys, columns = _scenario(table, _tables(spark, sf_dir))
+        target, staging, keys, columns = merge_scenario(table, _tables(spark, sf_dir))
         match = SPECS[table].match_keys if table in SPECS else None
         return for_check(upsert(target, staging, keys, columns, match_keys=match))
 

@@ -71,7 +71,7 @@ class Run:
         ``source_root`` (e.g. ``sources.jdbc.jdbc_loader``). With
         ``size_for_input`` the shuffle width is raised to fit the size of the
         parquet sources (``session.size_shuffles``)."""
-        if size_for_input and loader is None:
+        if size_for_input and loader is None and source_root:
             size_shuffles(spark, input_bytes(spark, source_root))
         return cls(
             spark=spark,
