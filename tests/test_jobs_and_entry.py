@@ -80,3 +80,11 @@ def test_every_query_has_oracle_and_matches_at_small_scale(spark):
         order = [rel.columns.index(c) for c in df.columns]
         duck = [tuple(r[i] for i in order) for r in rel.fetchall()]
         assert _norm(map(tuple, df.collect())) == _norm(duck), name
+
+
+def test_dependent_job_alone_names_its_dependency(spark, tmp_root):
+    from tidemark.plans.jobs import run_job
+
+    run = Run.create(spark, SF_SMALL, f"{tmp_root}/s", f"{tmp_root}/t", JobOptions(event_time=1))
+    with pytest.raises(KeyError, match="customer_profile"):
+        run_job(run, "customer_event")

@@ -53,8 +53,13 @@ class TableSet(Mapping[str, DataFrame]):
         self._frames: dict[str, DataFrame] = dict(overrides or {})
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._frames and name.startswith("staging."):
+            raise KeyError(
+                f"{name} is produced by job {name.split('.', 1)[1]!r} in the same run; "
+                "run it first (run_jobs pulls dependencies in)"
+            )
         if name not in self._frames:
-            if self.loader is not None and not name.startswith("staging."):
+            if self.loader is not None:
                 self._frames[name] = self.loader(name)
             else:
                 df = read_table(self.spark, self.root, name)
