@@ -128,6 +128,25 @@ def test_jobs_from_jdbc_source_to_jdbc_staging(spark, derby, tmp_root):
     assert event.rows_exported == event.rows_staged
     staged_event = spark.read.jdbc(staging_db.jdbc_url(), "customer_event", properties=staging_db.properties())
     assert "custkey" not in [c.lower() for c in staged_event.columns]
+    # W11 from a staging database (S6): the event job reads the staged profile
+    # and orders tables that earlier jobs loaded there. Spark created those
+    # Derby tables with quoted lower-case names, so the keys are quoted too.
+    from tidemark.plans.jobs import run_job
+
+    def staged(table, key):
+        return read_jdbc_query(spark, staging_db, f"SELECT * FROM {table}", f'"{key}"', 3)
+
+    from_db = Run.create(
+        spark, SF_SMALL, f"{tmp_root}/s3", f"{tmp_root}/t3", opts,
+        overrides={
+            "staging.customer_profile": staged("customer_profile", "custkey"),
+            "staging.customer_orders": staged("customer_orders", "orderkey"),
+        },
+    )
+    run_job(from_db, "customer_event")
+    a = read_current(spark, f"{tmp_root}/t3/customer_event")
+    b = read_current(spark, f"{tmp_root}/t2/customer_event")
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
     # a rerun truncates the staging table instead of appending to it
     run_jobs(Run.create(spark, SF_SMALL, f"{tmp_root}/s1", f"{tmp_root}/t1", opts,
                         loader=jdbc_loader(spark, derby, partitions=4), staging_endpoint=staging_db), ["customer"])
