@@ -45,13 +45,19 @@ def local_session(
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, setting one only if unset.
+    """Return the session's shared checkpoint folder.
 
-    Setting one is for tests and local runs; a cluster must configure a shared
-    folder (HDFS, S3, ...) so that every executor and a restarted driver see it.
+    Only a local-mode session (tests, local runs) gets one set here when it is
+    unset; on a cluster an unset folder is an error, since it must be shared
+    (HDFS, S3, ...) so that every executor and a restarted driver see it.
     """
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a folder every executor shares (HDFS, S3, ...); "
+                "a machine-local folder does not survive lost executors"
+            )
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, configured)
     if spark.sparkContext.getCheckpointDir() is None:
