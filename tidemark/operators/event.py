@@ -39,7 +39,6 @@ from pyspark.sql import types as T
 
 from ..functions import identifier_bucket
 from ..sources.tables import present, require
-from .joins import sized_broadcast
 
 # The event's profile and order fields, in the reference's order.
 PROFILE_EVENT_COLUMNS = (
@@ -83,11 +82,15 @@ def order_pages(
     heavy = counts.where(F.col("order_count") > orders_per_event).select(
         CUSTOMER_ID, F.ceil(F.col("order_count") / F.lit(orders_per_event)).cast("int").alias("event_pages")
     )
-    if heavy.limit(1).count() == 0:
+    # One bounded count answers both questions: is anyone heavy, and may the
+    # heavy list be broadcast (it has at most orders / orders_per_event rows)?
+    n_heavy = heavy.limit(max_heavy_broadcast + 1).count()
+    if n_heavy == 0:
         # The usual case: nobody exceeds a page, so every order is on page 0
         # and the plan needs neither the heavy list nor its joins.
         return orders.withColumn(PAGE, F.lit(0)), None, counts
-    heavy = sized_broadcast(heavy, max_heavy_broadcast)
+    if n_heavy <= max_heavy_broadcast:
+        heavy = F.broadcast(heavy)
     paged = orders.join(heavy, CUSTOMER_ID, "left").select(
         *orders.columns,
         F.when(F.col("event_pages").isNull(), F.lit(0))
