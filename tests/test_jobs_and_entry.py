@@ -16,11 +16,15 @@ import __spark_entry__ as E  # noqa: E402
 
 
 def test_transform_registry(spark):
+    from tidemark.operators.transforms import register
+
     assert get_transform(None) is identity
     with pytest.raises(KeyError):
         get_transform("nope")
     df = spark.range(3)
-    assert apply_transform(df, None) is not None
+    assert apply_transform(df, None).count() == 3
+    register("evens", lambda d: d.where("id % 2 = 0"))
+    assert apply_transform(df, "evens").count() == 2
 
 
 def test_job_order_pulls_dependencies():

@@ -11,7 +11,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .bounds import KeyBounds, chunk_predicates
 from .tables import SOURCE_PARTITION_KEYS, Loader
@@ -140,10 +139,6 @@ def read_jdbc_table(spark: SparkSession, endpoint: JdbcEndpoint, table: str) ->
     return spark.read.jdbc(url=endpoint.jdbc_url(), table=table, properties=endpoint.properties())
 
 
-def empty_like(df: DataFrame) -> DataFrame:
-    return df.where(F.lit(False))
-
-
 def jdbc_loader(
     spark: SparkSession,
     endpoint: JdbcEndpoint,
