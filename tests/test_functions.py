@@ -45,8 +45,12 @@ def test_money_cents_matches_exact_decimal_cast(spark):
 
 
 def test_money_cents_from_decimal_input(spark):
-    df = spark.createDataFrame([(Decimal("12.34"),), (Decimal("-0.01"),)], T.StructType([T.StructField("x", T.DecimalType(15, 2))]))
-    assert [r[0] for r in df.select(money_cents("x")).collect()] == [1234, -1]
+    values = ["12.34", "-0.01", "9999999999999.99", "999999999.99", "1234567.89", "0.00", "-87654321.09"]
+    df = spark.createDataFrame(
+        [(Decimal(v),) for v in values], T.StructType([T.StructField("x", T.DecimalType(15, 2))])
+    )
+    got = [r[0] for r in df.select(money_cents("x")).collect()]
+    assert got == [int(Decimal(v) * 100) for v in values]
 
 
 def test_cents_to_money_round_trip(spark):

@@ -45,9 +45,10 @@ def money_cents(c: Column | str) -> Column:
 
     Sums of cents run on fixed-width longs inside codegen, while DECIMAL(15,2)
     sums widen to DECIMAL(25,2) buffers that Spark handles as BigDecimal
-    objects. Conversion: a double within 1e-3 of whole cents (and below 1e9)
+    objects. Conversion: a value within 1e-3 of whole cents (and below 1e9)
     is rounded with ``rint``, which equals the HALF_UP decimal cast there;
-    every other value takes the exact decimal cast. Decimal inputs always do.
+    every other value takes the exact decimal cast. Decimal inputs pass the
+    same test: below 1e9 their double carries cents to far better than 1e-3.
     Overflow raises under ANSI mode instead of wrapping.
     """
     x = _col(c)
