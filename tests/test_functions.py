@@ -72,13 +72,16 @@ def test_size_shuffles_only_raises(spark):
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     try:
         assert size_shuffles(spark, 10 * 1024) == int(before)
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
         assert size_shuffles(spark, 100 * (1 << 40)) == 50_000  # 100 TB: capped
         assert int(spark.conf.get("spark.sql.files.maxPartitionBytes")) == 512 << 20
+        assert int(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) == 256 << 20
         assert size_shuffles(spark, 1) == 50_000  # never lowered
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", advisory)
     assert input_bytes(spark, "/root/testdata/sf0.001") > 0

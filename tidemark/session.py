@@ -104,10 +104,15 @@ def size_shuffles(
         current = want
     # Above a terabyte, 512 MB scan splits (default 128 MB) quarter the number
     # of map tasks and with it the map x reduce shuffle blocks.
-    split_key = "spark.sql.files.maxPartitionBytes"
-    split = _bytes(spark.conf.get(split_key, "128m"))
-    if total_input_bytes > (1 << 40) and split < (512 << 20):
-        spark.conf.set(split_key, str(512 << 20))
+    # AQE coalesces reducers toward 256 MB instead of 64 MB: fewer, still
+    # memory-sized reduce tasks.
+    if total_input_bytes > (1 << 40):
+        for key, floor, default in (
+            ("spark.sql.files.maxPartitionBytes", 512 << 20, "128m"),
+            ("spark.sql.adaptive.advisoryPartitionSizeInBytes", 256 << 20, "64m"),
+        ):
+            if _bytes(spark.conf.get(key, default)) < floor:
+                spark.conf.set(key, str(floor))
     for key, value in (
         ("spark.sql.adaptive.enabled", "true"),
         ("spark.sql.adaptive.coalescePartitions.enabled", "true"),
