@@ -39,7 +39,7 @@ def test_all_jobs_end_to_end_and_rerun(spark, tmp_root):
     opts = JobOptions(event_time=1)
     run = Run.create(spark, SF_SMALL, f"{tmp_root}/staging", f"{tmp_root}/target", opts,
                      overrides={"partsupp": partsupp_standin(li)})
-    results = run_jobs(run)
+    results = run_jobs(run, parallel=4)
     assert [r.name for r in results] == list(ordered())
     counts = {r.name: read_current(spark, f"{tmp_root}/target/{r.name}").count() for r in results}
     customers = read_table(spark, SF_SMALL, "customer").count()

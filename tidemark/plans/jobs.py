@@ -11,8 +11,10 @@ Folders default to the session's shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import logging
+import threading
 import time
 import uuid
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +55,8 @@ class Run:
     # Optional staging database (the reference's MySQL staging): each job's
     # staged rows are also loaded there, throttled and batched.
     staging_endpoint: JdbcEndpoint | None = None
+    # Guards ``tables`` and ``results`` when jobs run concurrently.
+    lock: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
 
     @classmethod
     def create(
@@ -103,14 +107,16 @@ def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:
     staged = run.spark.read.parquet(staging_path)
     # Later jobs (customer_event) read this job's staging output; it lives in
     # its own namespace so a copy job never shadows the source table it copied.
-    run.tables = run.tables.with_table(staging_name(name), staged)
+    with run.lock:
+        run.tables = run.tables.with_table(staging_name(name), staged)
     snapshot = merge_into_snapshot(
         staged, f"{run.target_root.rstrip('/')}/{name}", spec.merge_keys, spec.target_columns(staged),
         match_keys=spec.match_keys,
     )
     exported = export_staging_jdbc(run, name, run.staging_endpoint) if run.staging_endpoint else None
     result = JobResult(name, staging_path, rows, snapshot, exported)
-    run.results[name] = result
+    with run.lock:
+        run.results[name] = result
     log.info("%s: published %s in %.1fs", name, snapshot, time.perf_counter() - started)
     return result
 
@@ -136,6 +142,31 @@ def export_staging_jdbc(run: Run, name: str, endpoint: JdbcEndpoint, table: str
     )
 
 
-def run_jobs(run: Run, names: list[str] | None = None) -> list[JobResult]:
-    """Run jobs in dependency order (customer_event after profile and orders)."""
-    return [run_job(run, n) for n in ordered(names)]
+def run_jobs(run: Run, names: list[str] | None = None, parallel: int = 1) -> list[JobResult]:
+    """Run jobs in dependency order (customer_event after profile and orders).
+
+    With ``parallel > 1`` up to that many independent jobs are submitted at
+    once from driver threads; Spark schedules their stages side by side (set
+    ``spark.scheduler.mode=FAIR`` to share executors evenly), so small tables
+    do not leave the cluster idle. A job starts only after its dependencies
+    have published. Results come back in dependency order either way.
+    """
+    order = ordered(names)
+    if parallel <= 1:
+        return [run_job(run, n) for n in order]
+    done: set[str] = set()
+    pending = list(order)
+    running = {}
+    with ThreadPoolExecutor(max_workers=parallel, thread_name_prefix="tidemark-job") as pool:
+        while pending or running:
+            ready = [n for n in pending if all(d in done for d in SPECS[n].depends_on)]
+            for n in ready[: parallel - len(running)]:
+                pending.remove(n)
+                running[pool.submit(run_job, run, n)] = n
+            if not running:
+                raise RuntimeError(f"jobs {pending} wait for dependencies that are not scheduled")
+            finished, _ = wait(running, return_when=FIRST_COMPLETED)
+            for fut in finished:
+                fut.result()  # re-raise a failed job
+                done.add(running.pop(fut))
+    return [run.results[n] for n in order]
