@@ -84,8 +84,11 @@ def test_parquet_staging_counts_and_fresh_folder(spark, tmp_root):
 
 
 def test_throttle_and_conform(spark):
-    df = spark.range(0, 100)
+    df = spark.range(0, 100, numPartitions=8)
     assert throttle(df, 3).rdd.getNumPartitions() == 3
+    coalesced = throttle(df, 3, materialized=True)
+    assert coalesced.rdd.getNumPartitions() == 3
+    assert "Exchange" not in coalesced._jdf.queryExecution().executedPlan().toString()
     ev = spark.createDataFrame([(bytearray(b"x" * 16), 1, "p", "MigEvent", 5)],
                                "customer_aggregate_identifier binary, custkey bigint, event_parameters string, event_type string, event_timestamp bigint")
     with pytest.raises(ValueError):

@@ -1,9 +1,10 @@
 """Partitioning operators.
 
 ``repartition_by_key`` (R1) hash-partitions on a key; ``throttle`` (R2/K2)
-caps the number of concurrent writer tasks for a database sink by a
-round-robin repartition, which keeps upstream stages fully parallel (unlike
-``coalesce``, which would run the whole upstream stage in ``n`` tasks).
+caps the number of concurrent writer tasks for a database sink: by a
+round-robin repartition for computed inputs, which keeps upstream stages
+fully parallel (``coalesce`` would run the whole upstream stage in ``n``
+tasks), and by ``coalesce`` for inputs already written to files.
 Round-robin output is deterministic on retry because Spark sorts rows
 before a round-robin exchange (``spark.sql.execution.sortBeforeRepartition``).
 """
@@ -22,10 +23,18 @@ def repartition_by_key(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return df.repartition(partitions, *keys)
 
 
-def throttle(df: DataFrame, writers: int) -> DataFrame:
-    """R2/K2: at most ``writers`` concurrent write tasks (round robin, even sizes)."""
+def throttle(df: DataFrame, writers: int, materialized: bool = False) -> DataFrame:
+    """R2/K2: at most ``writers`` concurrent write tasks.
+
+    A computed input is spread round-robin (even sizes; upstream stays fully
+    parallel). An input that is already materialized, such as a staging folder
+    being exported, is coalesced instead: the same number of writers without
+    shuffling the data.
+    """
     if writers < 1:
         raise ValueError("writers must be >= 1")
+    if materialized:
+        return df.coalesce(writers)
     return df.repartition(writers)
 
 

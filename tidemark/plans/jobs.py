@@ -138,7 +138,7 @@ def export_staging_jdbc(run: Run, name: str, endpoint: JdbcEndpoint, table: str
     types = JDBC_COLUMN_TYPES.get(name) if endpoint.protocol != "derby" else None
     return write_jdbc(
         df, endpoint, table or name, writers=spec.write_partitions, batch_size=spec.batch_size,
-        mode="overwrite", column_types=types, truncate=True,
+        mode="overwrite", column_types=types, truncate=True, materialized=True,
     )
 
 

@@ -47,13 +47,16 @@ def write_jdbc(
     mode: str = "append",
     column_types: str | None = None,
     truncate: bool = False,
+    materialized: bool = False,
 ) -> int:
     """K1-K3, K6: throttled, batched JDBC write; returns the rows written.
 
     ``mode="overwrite", truncate=True`` empties an existing table but keeps its
     definition (keys, column types): a fresh staging load per run.
+    ``materialized=True`` (the input is a file scan) throttles by coalescing,
+    without a shuffle.
     """
-    observed, obs = counted(throttle(df, writers))
+    observed, obs = counted(throttle(df, writers, materialized))
     props = endpoint.properties()
     props["batchsize"] = str(batch_size)
     if endpoint.protocol == "mysql":
