@@ -53,9 +53,13 @@ def test_all_jobs_end_to_end_and_rerun(spark, tmp_root):
     # a second run over the same sources leaves every target unchanged
     run2 = Run.create(spark, SF_SMALL, f"{tmp_root}/staging", f"{tmp_root}/target", opts,
                       overrides={"partsupp": partsupp_standin(li)})
+    run2.keep_snapshots = 1
     for r in run_jobs(run2, ["customer_event", "lineitem"]):
         after = read_current(spark, f"{tmp_root}/target/{r.name}")
         assert after.count() == counts[r.name]
+    from tidemark.operators.merge import snapshot_versions
+
+    assert snapshot_versions(spark, f"{tmp_root}/target/lineitem") == [2]
 
 
 def test_entry_smoke(spark):

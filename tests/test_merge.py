@@ -113,3 +113,18 @@ def test_match_keys_replace_a_set(spark):
     assert _rows(out) == [("x", 0, "new0"), ("x", 1, "new1"), ("y", 0, "keep")]
     plain = upsert(target, staging, ["c", "page"])
     assert ("x", 2, "old2") in _rows(plain)
+
+
+def test_prune_snapshots_keeps_newest(spark, tmp_root):
+    from tidemark.operators.merge import prune_snapshots
+
+    root = os.path.join(tmp_root, "target")
+    for i in range(4):
+        publish(spark.createDataFrame([(i, "a", 1.0)], SCHEMA), root)
+    os.makedirs(os.path.join(root, "v00000005"))  # a failed, newer attempt stays
+    deleted = prune_snapshots(spark, root, keep=2)
+    assert [os.path.basename(p) for p in deleted] == ["v00000001", "v00000002"]
+    assert snapshot_versions(spark, root) == [3, 4]
+    assert sorted(os.listdir(root)) == ["v00000003", "v00000004", "v00000005"]
+    assert _rows(read_current(spark, root)) == [(3, "a", 1.0)]
+    assert prune_snapshots(spark, root, keep=2) == []

@@ -48,6 +48,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--staging-root", help="staging folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--target-root", help="target snapshot folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--parallel", type=int, default=1, help="independent jobs submitted at once")
+    ap.add_argument("--keep-snapshots", type=int, help="committed target snapshots kept per table")
     ap.add_argument("--event-time", type=int, help="fixed event_timestamp (epoch seconds)")
     ap.add_argument("--orders-per-event", type=int, default=JobOptions().orders_per_event)
     ap.add_argument("--user-env", help="environment variable holding the database user")
@@ -71,6 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         loader=loader,
         staging_endpoint=_endpoint(args.staging_jdbc, args.user_env, args.password_env),
     )
+    run.keep_snapshots = args.keep_snapshots
     for result in run_jobs(run, args.jobs, parallel=args.parallel):
         print(json.dumps(result.__dict__))
 

@@ -149,6 +149,29 @@ def publish(df: DataFrame, root: str) -> str:
     return path
 
 
+def prune_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete committed snapshots older than the newest ``keep`` (and failed,
+    uncommitted folders older than those); returns the deleted paths.
+
+    Copy-on-write snapshots otherwise grow storage by one full target per run.
+    Keep at least two, so readers still on the previous snapshot finish.
+    """
+    if keep < 1:
+        raise ValueError("keep at least one snapshot")
+    committed = snapshot_versions(spark, root)
+    if len(committed) <= keep:
+        return []
+    oldest_kept = committed[-keep]
+    fs, hroot = _fs(spark, root)
+    deleted = []
+    for status in fs.listStatus(hroot):
+        m = _VERSION.match(status.getPath().getName())
+        if m and status.isDirectory() and int(m.group(1)) < oldest_kept:
+            fs.delete(status.getPath(), True)
+            deleted.append(str(status.getPath()))
+    return sorted(deleted)
+
+
 def merge_into_snapshot(
     staging: DataFrame,
     root: str,

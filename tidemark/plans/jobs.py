@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.merge import merge_into_snapshot
+from ..operators.merge import merge_into_snapshot, prune_snapshots
 from ..operators.partitioning import set_shuffle_width
 from ..operators.transforms import apply_transform
 from ..session import input_bytes, size_shuffles, work_path
@@ -55,6 +55,8 @@ class Run:
     # Optional staging database (the reference's MySQL staging): each job's
     # staged rows are also loaded there, throttled and batched.
     staging_endpoint: JdbcEndpoint | None = None
+    # Committed target snapshots kept per table after a publish (None: all).
+    keep_snapshots: int | None = None
     # Guards ``tables`` and ``results`` when jobs run concurrently.
     lock: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
 
@@ -109,10 +111,12 @@ def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:
     # its own namespace so a copy job never shadows the source table it copied.
     with run.lock:
         run.tables = run.tables.with_table(staging_name(name), staged)
+    target_root = f"{run.target_root.rstrip('/')}/{name}"
     snapshot = merge_into_snapshot(
-        staged, f"{run.target_root.rstrip('/')}/{name}", spec.merge_keys, spec.target_columns(staged),
-        match_keys=spec.match_keys,
+        staged, target_root, spec.merge_keys, spec.target_columns(staged), match_keys=spec.match_keys,
     )
+    if run.keep_snapshots:
+        prune_snapshots(run.spark, target_root, run.keep_snapshots)
     exported = export_staging_jdbc(run, name, run.staging_endpoint) if run.staging_endpoint else None
     result = JobResult(name, staging_path, rows, snapshot, exported)
     with run.lock:
