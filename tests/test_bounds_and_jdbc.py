@@ -195,3 +195,19 @@ def test_jdbc_read_by_chunk_size(spark, derby):
     assert sum(sizes) == 1000 and max(sizes) <= 334
     empty = read_jdbc_chunked(spark, derby, "SELECT k FROM C WHERE k < 0", "k", chunk_rows=300)
     assert empty.count() == 0
+
+
+def test_repartition_by_key_and_shuffle_width(spark):
+    from tidemark.operators.partitioning import repartition_by_key, set_shuffle_width
+
+    df = spark.range(0, 200).select((F.col("id") % 10).alias("k"), "id")
+    parts = repartition_by_key(df, 4, "k").rdd.glom().map(lambda rows: {r["k"] for r in rows}).collect()
+    assert len(parts) == 4
+    seen = [k for p in parts for k in p]
+    assert sorted(seen) == list(range(10))  # each key in exactly one partition
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert set_shuffle_width(spark, 50) == 100  # the reference's 2 x read partitions
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -182,3 +182,15 @@ def test_encoded_event_parses_to_nested_content(spark):
             o["order_aggregate_identifier"] = hexed(o["order_aggregate_identifier"])
         assert doc1 == doc2
         assert sorted(orders1, key=repr) == sorted(orders2, key=repr)
+
+
+def test_default_event_time_is_query_time_and_constant(spark):
+    import time
+
+    profile, orders = _staged(spark)
+    before = int(time.time())
+    stamps = {r["event_timestamp"] for r in customer_event(profile, orders).collect()}
+    after = int(time.time())
+    assert len(stamps) == 1  # one value for the whole query, all tasks
+    (stamp,) = stamps
+    assert before - 5 <= stamp <= after + 5
