@@ -96,3 +96,19 @@ def test_dependent_job_alone_names_its_dependency(spark, tmp_root):
     run = Run.create(spark, SF_SMALL, f"{tmp_root}/s", f"{tmp_root}/t", JobOptions(event_time=1))
     with pytest.raises(KeyError, match="customer_profile"):
         run_job(run, "customer_event")
+
+
+def test_command_line_runs_jobs(spark, tmp_root, capsys):
+    import json
+
+    from tidemark.__main__ import main
+    from tidemark.operators.merge import snapshot_versions
+
+    args = ["nation", "region", "--source", SF_SMALL, "--staging-root", f"{tmp_root}/s",
+            "--target-root", f"{tmp_root}/t", "--parallel", "2", "--keep-snapshots", "1"]
+    main(args)
+    main(args)
+    lines = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert [r["name"] for r in lines] == ["region", "nation", "region", "nation"]
+    assert snapshot_versions(spark, f"{tmp_root}/t/nation") == [2]
+    assert lines[1]["rows_staged"] == 25
