@@ -194,3 +194,13 @@ def test_default_event_time_is_query_time_and_constant(spark):
     assert len(stamps) == 1  # one value for the whole query, all tasks
     (stamp,) = stamps
     assert before - 5 <= stamp <= after + 5
+
+
+def test_differing_profile_rows_of_one_customer_share_one_event(spark):
+    profile, orders = _staged(spark)
+    twin = profile.where("custkey = 1").withColumn("name", F.lit("Ann B"))
+    events = customer_event(profile.unionByName(twin), orders, 1).where("custkey = 1").collect()
+    assert len(events) == 1
+    docs = [json.loads(s) for s in json.loads(events[0]["event_parameters"])]
+    assert sorted(d["name"] for d in docs) == ["Ann", "Ann B"]
+    assert all(len(d["customer_order"]) == 2 for d in docs)
