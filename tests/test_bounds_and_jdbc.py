@@ -211,3 +211,15 @@ def test_repartition_by_key_and_shuffle_width(spark):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_jdbc_loader_by_chunk_rows(spark, derby):
+    from tidemark.sources.jdbc import jdbc_loader
+
+    src = spark.range(0, 900).select(F.col("id").alias("O_ORDERKEY"), (F.col("id") % 5).alias("O_CUSTKEY"))
+    write_jdbc(src, derby, "ORDERS", writers=2, batch_size=500, mode="overwrite")
+    load = jdbc_loader(spark, derby, partitions=50, chunk_rows=250)
+    orders = load("orders")
+    assert orders.rdd.getNumPartitions() == 4  # ceil(900 / 250)
+    assert orders.count() == 900
+    assert jdbc_loader(spark, derby, partitions=3)("orders").rdd.getNumPartitions() == 3
