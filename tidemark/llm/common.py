@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +43,30 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-llm/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: a zip of its sources, laid in
+    the shared folder and added to the session (once an application), as
+    ``spark-submit --py-files`` would."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    top = Path(__file__).resolve().parents[1]
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.writestr(zipfile.ZipInfo(str(f.relative_to(top.parent))), f.read_bytes())
+    uri = shared_path(spark, "package") + "/tidemark-package.zip"
+    store, path = fs.FileSystem.from_uri(uri)
+    store.create_dir(path.rpartition("/")[0])
+    with store.open_output_stream(path) as out:
+        out.write(buffer.getvalue())
+    spark.sparkContext.addPyFile(uri)
+    _shipped.add(app)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back."""
     spark = df.sparkSession

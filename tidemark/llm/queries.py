@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, line_dedup, mixing
+from . import contamination, line_dedup, mixing, near_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its near-duplicate class and whether it is the one kept."""
+    return near_dedup.near_classes(_table(spark, sf_dir, "documents")).select("row.doc_id", "class_id", "kept")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its text without its host's boilerplate lines."""
     done = line_dedup.drop_boilerplate(_table(spark, sf_dir, "documents"))
@@ -32,4 +37,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_line_dedup, op6_mixing, op10_decontamination)}
+    return {f.__name__: f for f in (op2_near_dedup, op3_line_dedup, op6_mixing, op10_decontamination)}
