@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, line_dedup, mixing, near_dedup
+from . import contamination, line_dedup, mixing, near_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,11 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", F.col("clean_text").alias("text"), "n_lines", "n_dropped")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document and passage of 50 words or more that another document repeats."""
+    return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its cell, calibrated probability, and whether it is drawn."""
     done = mixing.mixed(_table(spark, sf_dir, "documents"))
@@ -37,4 +42,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_near_dedup, op3_line_dedup, op6_mixing, op10_decontamination)}
+    return {f.__name__: f for f in (op2_near_dedup, op3_line_dedup, op5_suffix_dedup, op6_mixing, op10_decontamination)}
