@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, line_dedup, mixing, near_dedup, suffix_dedup
+from . import contamination, line_dedup, lm, mixing, near_dedup, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,10 +36,15 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "source", "lang", "topic", "tokens", F.round("prob", 6).alias("prob"), "sampled")
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: exact base score and the filter model's log10 probability."""
+    return lm.score_texts(_table(spark, sf_dir, "documents"), lm.fold(F.col("doc_id"), 10) == 0)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item that it contains."""
     return contamination.contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_near_dedup, op3_line_dedup, op5_suffix_dedup, op6_mixing, op10_decontamination)}
+    return {f.__name__: f for f in (op2_near_dedup, op3_line_dedup, op5_suffix_dedup, op6_mixing, op8_lm_scoring, op10_decontamination)}
