@@ -119,9 +119,10 @@ def contained_items(
     # written: the pairs are used twice below, the search behind them reads every text
     pairs = written(blocks.join(item_side, ["cls", "hash"]).select("text_key", "item_key").distinct(), "leak-pairs")
     full = pairs.join(sketches.select("item_key", "item_id", "shingles"), "item_key")
-    texts = base.select(text_key(F.col("text")).alias("text_key"), "text")
-    # each different candidate text once, found by semi-join, before the pairs multiply it
-    texts = texts.join(pairs.select("text_key").distinct(), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    # each different text once (combined before the shuffle), then only the candidates, before the pairs multiply them.
+    # Candidates grow with the documents, so the join is a merge join at every size.
+    texts = base.groupBy(text_key(F.col("text")).alias("text_key")).agg(F.first("text").alias("text"))
+    texts = texts.join(pairs.select("text_key").distinct().hint("merge"), "text_key", "left_semi")
     texts = texts.select("text_key", shingle_set(words(F.col("text"))).alias("doc_shingles"))
     checked = full.join(texts, "text_key").select(
         "text_key",
@@ -148,4 +149,4 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", thr
     """The documents that contain no item; null texts stay."""
     hits = contained_items(docs, items, text, threshold=threshold).select("text_key").distinct()
     rows = docs.select(packed(docs).alias("row"), F.coalesce(text_key(col(text)), F.lit("")).alias("text_key"))
-    return rows.join(hits, "text_key", "left_anti").select(*unpacked(rows, "row", docs.columns))
+    return rows.join(hits.hint("merge"), "text_key", "left_anti").select(*unpacked(rows, "row", docs.columns))
