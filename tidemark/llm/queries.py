@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, line_dedup, lm, mixing, near_dedup, suffix_dedup
+from . import contamination, line_dedup, lm, mixing, near_dedup, quality, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: calibrated score of each view and of both, and whether it is kept."""
+    return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its near-duplicate class and whether it is the one kept."""
     return near_dedup.near_classes(_table(spark, sf_dir, "documents")).select("row.doc_id", "class_id", "kept")
@@ -36,6 +41,11 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "source", "lang", "topic", "tokens", F.round("prob", 6).alias("prob"), "sampled")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: toxicity score by compression distance."""
+    return toxicity.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), lm.fold(F.col("doc_id"), 3) == 1)
+
+
 def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: exact base score and the filter model's log10 probability."""
     return lm.score_texts(_table(spark, sf_dir, "documents"), lm.fold(F.col("doc_id"), 10) == 0)
@@ -47,4 +57,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_near_dedup, op3_line_dedup, op5_suffix_dedup, op6_mixing, op8_lm_scoring, op10_decontamination)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_near_dedup, op3_line_dedup, op5_suffix_dedup, op6_mixing, op7_toxicity, op8_lm_scoring, op10_decontamination)}
