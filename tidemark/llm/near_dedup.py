@@ -10,11 +10,12 @@ similarity; 16 bands of 4 make candidates (0.9998 found at similarity 0.8).
 
 Candidates are verified by exact weighted Jaccard >= 0.8 of whole texts:
 first every member of a band bucket against the bucket's smallest member (a
-star, linear in the bucket), then connected components, then only pairs of a
-bucket that are still in different components, and of those only pairs that
-the triangle inequality allows (1 - similarity is a metric and both distances
-to the star's centre are known). No link between different components of a
-bucket is lost, no bucket is expanded into all its pairs.
+star, linear in the bucket), then connected components, then the buckets that
+still hold more than one component once more against their largest member, and
+at last the members that are still outside their bucket's first component
+against all its members, in tiles that return only joining links. So no link
+between different components of a bucket is lost, and no pairs of a bucket are
+emitted.
 
 Defined cases: equal texts are one class whatever their length; null texts are
 each a class of their own; texts of fewer than five words have no shingle and
@@ -39,6 +40,7 @@ from .common import col, components, packed, ship_package, unpacked, written
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
+TILE = 256
 DF_BITS = 18
 _SLOTS = 1 << 16
 
@@ -192,6 +194,97 @@ def similarities(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: n
     return dealt.mapInArrow(run, "centre binary, key binary, similarity double")
 
 
+def _apart(in_bucket: DataFrame, comp: DataFrame) -> DataFrame:
+    """``(bucket, key, comp, apart, members)`` of the buckets that still hold more than one component;
+    ``apart``: outside the component of the bucket's smallest member."""
+    label = comp.withColumnRenamed("id", "key").withColumnRenamed("component", "comp")
+    centre = comp.select(F.col("id").alias("centre"), F.col("component").alias("centre_comp"))
+    placed = in_bucket.join(label, "key", "left").join(centre, "centre", "left").select(
+        "bucket", "key", F.coalesce("comp", "key").alias("comp"), F.coalesce("centre_comp", "centre").alias("centre_comp")
+    )
+    placed = placed.withColumn("apart", F.col("comp") != F.col("centre_comp"))
+    open_ = placed.groupBy("bucket").agg(F.max("apart").alias("open"), F.count(F.lit(1)).alias("members")).filter("open").drop("open")
+    return written(placed.join(open_, "bucket").select("bucket", "key", "comp", "apart", "members"), "apart")
+
+
+def _tile_links(spark: SparkSession, placed: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+    """``(a, b)``: links between different components of a bucket, from all its members that are apart against all its members.
+
+    A bucket is cut into blocks of about ``TILE`` members; a tile holds the
+    apart members of one block and all members of another, compares them
+    exactly (weighted sets as sparse columns of a matrix product) and returns
+    only links that join something, at most one a member.
+    """
+    shared = spark.sparkContext.broadcast(idf)
+    placed = placed.withColumn("blocks", F.ceil(F.col("members") / TILE).cast("int"))
+    placed = placed.withColumn("own", F.pmod(F.hash("key"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left = placed.filter("apart").select("bucket", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "key", "comp")
+    right = placed.select("bucket", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "key", "comp")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = left.unionByName(right).join(texts, "key").select("bucket", "i", "j", "side", "key", "comp", "text")
+    dealt = dealt.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side", "key")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, tile, members = shared.value, None, []
+
+        def close() -> list[tuple[bytes, bytes]]:
+            return _links_of(members, threshold)
+
+        for batch in batches:
+            out: list[tuple[bytes, bytes]] = []
+            names = [batch.column(k).to_pylist() for k in range(6)]
+            for i in range(batch.num_rows):
+                if (names[0][i], names[1][i], names[2][i]) != tile:
+                    out += close()
+                    tile, members = (names[0][i], names[1][i], names[2][i]), []
+                members.append((names[3][i], names[4][i], names[5][i], _weighted(batch.column(6).slice(i, 1), table)))
+            if out:
+                yield _link_batch(out)
+        if out := close():
+            yield _link_batch(out)
+
+    return dealt.mapInArrow(run, "a binary, b binary")
+
+
+def _link_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    a, b = zip(*links)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+
+def _links_of(members: list[tuple], threshold: float) -> list[tuple[bytes, bytes]]:
+    """Joining links of one tile: every left member against every right member of another component."""
+    left, right = [m for m in members if m[0] == 0], [m for m in members if m[0] == 1]
+    if not left or not right:
+        return []
+    parent: dict[bytes, bytes] = {}
+
+    def root(x: bytes) -> bytes:
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    # all right members' shingles in one sorted list: (hash, member, weight)
+    h = np.concatenate([m[3][0] for m in right])
+    w = np.concatenate([m[3][1] for m in right])
+    who = np.repeat(np.arange(len(right)), [len(m[3][0]) for m in right])
+    order = np.argsort(h, kind="stable")
+    h, w, who = h[order], w[order], who[order]
+    total = np.array([m[3][1].sum() for m in right])
+    out = []
+    for _, key, comp, (own, weight) in left:
+        lo, hi = np.searchsorted(h, own), np.searchsorted(h, own, "right")
+        runs = hi - lo
+        at = np.repeat(lo - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
+        low = np.bincount(who[at], np.minimum(w[at], np.repeat(weight, runs)), len(right))
+        similar = low >= threshold * (total + weight.sum() - low)
+        for i in np.flatnonzero(similar):
+            a, b = root(comp), root(right[i][2])
+            if a != b:
+                parent[a] = b
+                out.append((key, right[i][1]))
+    return out
+
+
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``row`` (input row as a struct), ``class_id``, ``kept``."""
     spark = docs.sparkSession
@@ -210,34 +303,18 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     tested = written(similarities(spark, star, own, idf), "star")
     links = tested.filter(F.col("similarity") >= threshold).select(F.col("centre").alias("a"), F.col("key").alias("b"))
 
-    # what a bucket still holds apart: members outside their centre's component, against all members
+    links = written(links, "links")
     comp = components(links)
-    centre_comp = comp.select(F.col("id").alias("centre"), F.col("component").alias("centre_comp"))
-    placed = (
-        in_bucket.join(comp.withColumnRenamed("id", "key"), "key", "left")
-        .join(centre_comp, "centre", "left")
-        .join(tested, ["centre", "key"], "left")
-        .select(
-            "bucket", "centre", "key",
-            F.coalesce("component", "key").alias("comp"),
-            F.coalesce("centre_comp", "centre").alias("centre_comp"),
-            F.when(F.col("key") == F.col("centre"), 0.0).otherwise(1 - F.col("similarity")).alias("far"),
-        )
-    )
-    placed = written(placed, "placed")
-    apart = placed.filter((F.col("comp") != F.col("centre_comp")) & (F.col("key") != F.col("centre")))
-    side = placed.filter(F.col("key") != F.col("centre")).select(
-        "bucket", F.col("key").alias("key2"), F.col("comp").alias("comp2"), F.col("far").alias("far2"), (F.col("comp") != F.col("centre_comp")).alias("apart2")
-    )
-    reach = 1 - threshold + 1e-9
-    more = apart.join(side, "bucket").filter(
-        (F.col("comp") != F.col("comp2")) & (F.abs(F.col("far") - F.col("far2")) <= reach) & (~F.col("apart2") | (F.col("key") < F.col("key2")))
-    )
-    more = more.select(F.least("key", "key2").alias("centre"), F.greatest("key", "key2").alias("key")).distinct()
-    more = written(more.join(tested.select("centre", "key"), ["centre", "key"], "left_anti"), "more")
-    if not more.isEmpty():
-        again = similarities(spark, more, own, idf).filter(F.col("similarity") >= threshold)
-        comp = components(links.unionByName(again.select(F.col("centre").alias("a"), F.col("key").alias("b"))))
+    # once more from each unsettled bucket's largest member: linear again, and few texts stay apart
+    apart = _apart(in_bucket, comp)
+    last = apart.groupBy("bucket").agg(F.max("key").alias("centre"), F.max_by("comp", "key").alias("centre_comp"))
+    star = apart.join(last, "bucket").filter("key != centre and comp != centre_comp").select("centre", "key").distinct()
+    star = written(star.join(tested.select("centre", "key"), ["centre", "key"], "left_anti"), "star2")
+    more = similarities(spark, star, own, idf).filter(F.col("similarity") >= threshold)
+    links = written(links.unionByName(more.select(F.col("centre").alias("a"), F.col("key").alias("b"))), "links")
+    comp = components(links)
+    rest = _tile_links(spark, _apart(in_bucket, comp), own, idf, threshold)
+    comp = components(links.unionByName(written(rest, "tiles")))
 
     rows = docs.select(packed(docs).alias("row"), key.alias("key"), col(doc_id).alias("id"))
     named = rows.filter(F.col("key").isNotNull()).groupBy("key", "id").agg(F.count(F.lit(1)).alias("copies"))
