@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, line_dedup, lm, mixing, near_dedup, quality, suffix_dedup, toxicity
+from . import contamination, embedding_dedup, line_dedup, lm, mixing, near_dedup, quality, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,10 +51,15 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(_table(spark, sf_dir, "documents"), lm.fold(F.col("doc_id"), 10) == 0)
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector: its links at cosine 0.9, its component, and whether it is the one kept."""
+    return embedding_dedup.classes(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and benchmark item that it contains."""
     return contamination.contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_near_dedup, op3_line_dedup, op5_suffix_dedup, op6_mixing, op7_toxicity, op8_lm_scoring, op10_decontamination)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_near_dedup, op3_line_dedup, op5_suffix_dedup, op6_mixing, op7_toxicity, op8_lm_scoring, op9_embedding_dedup, op10_decontamination)}
