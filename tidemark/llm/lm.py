@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import col, ship_package, written
 
-BLOCK = 16 << 20
+BLOCK = 6 << 20
 FILTER_BITS = 28
 PROBES = 4
 DISCOUNT = 0.75
@@ -177,13 +177,13 @@ def _pairs(bits: int):
             u[np.cumsum(lens) - lens] = END
             keep = np.repeat(~held, lens)
             u, w = u[keep], hashes[keep]
-            segment = _bucket_of(u, bits)
-            for s in range(1 << bits):
-                own = segment == s
-                key = ((u[own] >> np.uint64(16)) << np.uint64(32)) | (w[own] >> np.uint64(32))
-                if not len(key):
-                    continue
-                key.sort()
+            segment = _bucket_of(u, bits).astype(np.uint16 if bits <= 16 else np.uint32)
+            keys = ((u >> np.uint64(16)) << np.uint64(32)) | (w >> np.uint64(32))
+            order = np.argsort(segment, kind="stable")
+            keys, segment = keys[order], segment[order]
+            bounds = _cuts(segment)
+            for lo, hi in zip(bounds[:-1], bounds[1:]):
+                s, key = int(segment[lo]), np.sort(keys[lo:hi])
                 cuts = _cuts(key)
                 key, count = key[cuts[:-1]], np.diff(cuts)
                 high = (key >> np.uint64(32)).astype(np.uint32)
