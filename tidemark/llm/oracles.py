@@ -69,5 +69,15 @@ def _mix_sql() -> str:
     )
 
 
+_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS payload_digest FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to FROM m
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": _LINES, "op6_mixing": _mix_sql(), "op10_decontamination": _LEAKS}
+    return {"op3_line_dedup": _LINES, "op4_warc": _WARC, "op6_mixing": _mix_sql(), "op10_decontamination": _LEAKS}

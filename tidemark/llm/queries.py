@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, embedding_dedup, line_dedup, lm, mixing, near_dedup, quality, suffix_dedup, toxicity
+from . import contamination, embedding_dedup, line_dedup, lm, mixing, near_dedup, quality, suffix_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", F.col("clean_text").alias("text"), "n_lines", "n_dropped")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its record as read back from the archives."""
+    done = warc.archived(_table(spark, sf_dir, "pages"))
+    return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document and passage of 50 words or more that another document repeats."""
     return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
@@ -62,4 +68,4 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_near_dedup, op3_line_dedup, op5_suffix_dedup, op6_mixing, op7_toxicity, op8_lm_scoring, op9_embedding_dedup, op10_decontamination)}
+    return {f.__name__: f for f in (op1_quality_classifier, op2_near_dedup, op3_line_dedup, op4_warc, op5_suffix_dedup, op6_mixing, op7_toxicity, op8_lm_scoring, op9_embedding_dedup, op10_decontamination)}
