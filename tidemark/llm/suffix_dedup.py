@@ -190,7 +190,8 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     ship_package(spark)
     base = docs.select(F.unhex(F.md5(col(text).cast("binary"))).alias("key"), col(text).alias("text")).filter(F.col("text").isNotNull())
     kept = written(positions(base, length), "suffixes")
-    shared = kept.groupBy("gram").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo != hi").select("gram")
+    # written, so that the join below has plain exchanges on both sides and AQE can split a hot gram
+    shared = written(kept.groupBy("gram").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo != hi").select("gram"), "shared")
     lists = kept.join(shared, "gram").groupBy("key").agg(F.collect_set("pos").alias("at"))
     once = base.groupBy("key").agg(F.first("text").alias("text"))
     rows = _contexts(once.join(lists, "key").select("key", "text", "at"), length)
