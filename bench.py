@@ -44,7 +44,7 @@ def _all_jobs(spark, sf_dir: str) -> float:
     lineitem."""
     import uuid
 
-    from tidemark.operators.staging import partsupp_standin
+    from tidemark.plans.checks import partsupp_standin
 
     root = work_path(spark, "bench", uuid.uuid4().hex[:8])
     t = TableSet(spark, sf_dir)

@@ -36,7 +36,7 @@ def tree(df) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    t = TableSet(spark, sf_dir, min_partitions=1)
+    t = TableSet(spark, sf_dir)
     profile = customer_profile(t["customer"], t["nation"], t["orders"], t["lineitem"])
     orders = stage_customer_orders(t["orders"])
     li = stage_copy(t["lineitem"], "lineitem")
@@ -46,10 +46,10 @@ def main() -> None:
         "customer_profile (W10)": profile,
         "customer_event (W11)": customer_event(profile, orders, event_time=1),
         "upsert lineitem: small delta into a large target (U9, U13)": upsert(
-            target, delta, COPY_KEYS["lineitem"]
+            target, delta, COPY_KEYS["lineitem"], staged_rows=1000
         ),
         "upsert lineitem: delta above the key broadcast limit": upsert(
-            target, delta, COPY_KEYS["lineitem"], broadcast_key_rows=10
+            target, delta, COPY_KEYS["lineitem"],
         ),
     }
     for name, df in plans.items():

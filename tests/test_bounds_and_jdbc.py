@@ -92,9 +92,9 @@ def test_throttle_and_conform(spark):
     ev = spark.createDataFrame([(bytearray(b"x" * 16), 1, "p", "MigEvent", 5)],
                                "customer_aggregate_identifier binary, custkey bigint, event_parameters string, event_type string, event_timestamp bigint")
     with pytest.raises(ValueError):
-        conform(ev, CUSTOMER_EVENT_STAGING)
+        conform(ev.drop("event_type"), CUSTOMER_EVENT_STAGING)
     out = conform(ev, CUSTOMER_EVENT_STAGING, fill_missing=True)
-    assert out.columns == ["customer_aggregate_identifier", "event_page", "event_type", "event_timestamp", "event_parameters"]
+    assert out.columns == ["customer_aggregate_identifier", "event_type", "event_timestamp", "event_parameters"]
 
 
 def test_jobs_from_jdbc_source_to_jdbc_staging(spark, derby, tmp_root):
@@ -157,31 +157,20 @@ def test_jobs_from_jdbc_source_to_jdbc_staging(spark, derby, tmp_root):
         read_table(spark, SF_SMALL, "customer").count()
 
 
-def test_spread_small_input(spark):
-    from tidemark.sources.tables import spread_small_input
+def test_table_without_a_known_key_is_refused(spark, derby):
+    from tidemark.sources.jdbc import jdbc_loader
 
-    one = spark.range(0, 100).coalesce(1).withColumnRenamed("id", "k")
-    spread = spread_small_input(one, 4, "k")
-    assert spread.rdd.getNumPartitions() == 4
-    assert sorted(r[0] for r in spread.collect()) == list(range(100))
-    many = spark.range(0, 100, numPartitions=8)
-    assert spread_small_input(many, 4) is many
+    with pytest.raises(KeyError, match="no partition key"):
+        jdbc_loader(spark, derby, partitions=4)("unknown")
 
 
-def test_sized_broadcast_falls_back_above_limit(spark):
-    from tidemark.operators.joins import sized_broadcast
+def test_not_null_columns_fail_the_load(spark):
+    from tidemark.sinks.writers import require_not_null
 
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        hinted = big.join(sized_broadcast(small, 100), "k")
-        plain = big.join(sized_broadcast(big.select("k"), 100), "k")
-        assert "BroadcastHashJoin" in hinted._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plain._jdf.queryExecution().executedPlan().toString()
-        assert plain.count() == 1000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "k bigint, a string")
+    assert require_not_null(df, ["a"]).count() == 2
+    with pytest.raises(Exception, match="NOT NULL column k"):
+        require_not_null(df, ["k"]).collect()
 
 
 def test_jdbc_read_by_chunk_size(spark, derby):

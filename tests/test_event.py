@@ -1,6 +1,5 @@
 import base64
 import json
-from collections import defaultdict
 
 from pyspark.sql import functions as F
 
@@ -9,7 +8,6 @@ from tidemark.operators.event import (
     customer_event_nested,
     encode_events,
     flatten_nested_events,
-    order_pages,
     profile_orders,
 )
 from tidemark.operators.profile import customer_profile
@@ -30,7 +28,7 @@ def test_event_shape_and_no_orders(spark):
     events = {r["custkey"]: r for r in customer_event(profile, orders, event_time=42).collect()}
     assert len(events) == 3
     cid = events[3]
-    assert cid["event_type"] == "MigEvent" and cid["event_timestamp"] == 42 and cid["event_page"] == 0
+    assert cid["event_type"] == "MigEvent" and cid["event_timestamp"] == 42
     (doc,) = [json.loads(s) for s in json.loads(cid["event_parameters"])]
     assert doc["customer_order"] == ["{}"]
     assert "custkey" not in doc and doc["name"] == "Cid"
@@ -70,58 +68,36 @@ def test_transform_called_twice_same_output(spark):
 
 def test_encode_flat_rows_equals_customer_event(spark):
     profile, orders = _staged(spark)
-    flat = profile_orders(profile, orders).drop("event_page")
+    flat = profile_orders(profile, orders)
     a = sorted(map(tuple, encode_events(flat, 5).select("custkey", "event_parameters").collect()))
     b = sorted(map(tuple, customer_event(profile, orders, 5).select("custkey", "event_parameters").collect()))
     assert a == b
 
 
-def test_paging_splits_heavy_customers_exactly(spark):
-    """With a tiny page size every customer is heavy: the pages must hold each
-    order exactly once, in sorted order, and no page may be far above the size."""
+def test_two_levels_keep_every_order_in_identifier_order(spark):
+    """Sub-lists by the identifier's first digit, joined: each customer's event
+    holds its orders once, sorted by the raw 16 bytes (not by base64 text)."""
     t = TableSet(spark, SF_SMALL)
     profile = customer_profile(t["customer"], t["nation"], t["orders"], t["lineitem"])
     orders = stage_customer_orders(t["orders"])
-    k = 3
-    events = customer_event(profile, orders, event_time=1, orders_per_event=k).collect()
-    seen = defaultdict(list)
+    expected = {}
+    for r in orders.select("customer_aggregate_identifier", "order_aggregate_identifier").collect():
+        expected.setdefault(bytes(r[0]), []).append(bytes(r[1]))
+    events = customer_event(profile, orders, event_time=1).collect()
+    assert len(events) == profile.count()
     for e in events:
         (doc,) = [json.loads(s) for s in json.loads(e["event_parameters"])]
         ids = [json.loads(o).get("order_aggregate_identifier") for o in doc["customer_order"]]
-        # sorted by the raw 16-byte identifier (unsigned bytes), not by base64 text
         raw = [base64.b64decode(i) for i in ids if i is not None]
-        assert raw == sorted(raw)
-        seen[e["custkey"]].extend(i for i in ids if i is not None)
-    expected = defaultdict(list)
-    cust_of = {
-        r["custkey"]: r["customer_aggregate_identifier"] for r in profile.select("custkey", "customer_aggregate_identifier").collect()
-    }
-    by_cid = defaultdict(list)
-    for r in orders.select("customer_aggregate_identifier", "order_aggregate_identifier").collect():
-        by_cid[bytes(r[0])].append(base64.b64encode(bytes(r[1])).decode())
-    for custkey, cid in cust_of.items():
-        expected[custkey] = sorted(by_cid.get(bytes(cid), []))
-    assert {c: sorted(v) for c, v in seen.items()} == {c: v for c, v in expected.items()}
-    # pages per customer: ceil(n / k) at most, and every page non-empty
-    pages = defaultdict(int)
-    for e in events:
-        pages[e["custkey"]] += 1
-    for custkey, ids in expected.items():
-        n = len(ids)
-        assert pages[custkey] <= max(1, -(-n // k))
+        assert raw == sorted(expected.get(bytes(e["customer_aggregate_identifier"]), []))
 
 
-def test_order_pages_heavy_bound(spark):
-    t = TableSet(spark, SF_SMALL)
-    orders = stage_customer_orders(t["orders"])
-    paged, heavy, counts = order_pages(orders, orders_per_event=5)
-    total = orders.count()
-    assert heavy.count() <= total // 5
-    assert paged.count() == total
-    bad = paged.join(heavy, "customer_aggregate_identifier", "left").where(
-        (F.col("event_page") < 0) | (F.col("event_page") >= F.coalesce("event_pages", F.lit(1)))
-    )
-    assert bad.count() == 0
+def test_null_order_identifiers_come_first(spark):
+    profile, orders = _staged(spark)
+    nameless = orders.where("orderstatus = 'O'").withColumn("order_aggregate_identifier", F.lit(None).cast("binary"))
+    event = customer_event(profile, orders.unionByName(nameless), 1).where("custkey = 1").first()
+    (doc,) = [json.loads(s) for s in json.loads(event["event_parameters"])]
+    assert ["order_aggregate_identifier" in json.loads(o) for o in doc["customer_order"]] == [False, True, True]
 
 
 def test_nested_roundtrip_matches_profile_orders(spark):
@@ -136,29 +112,22 @@ def test_nested_roundtrip_matches_profile_orders(spark):
 
 
 def test_hot_customer_holding_a_third_of_orders(spark):
-    """One customer holds a third of all orders: it is split into pages of
-    bounded size, every order is kept, and other customers are unaffected."""
+    """One customer holds a third of all orders: still one event, with every order."""
     t = TableSet(spark, SF_SMALL)
     orders = t["orders"].withColumn(
         "o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey"))
     )
     profile = customer_profile(t["customer"], t["nation"], orders, t["lineitem"])
     staged = stage_customer_orders(orders)
-    k = 50
-    events = customer_event(profile, staged, event_time=1, orders_per_event=k)
-    rows = events.select(
-        "custkey", "event_page",
-        F.size(F.from_json(F.get_json_object(F.col("event_parameters"), "$[0]"), "customer_order array<string>")["customer_order"]).alias("n"),
-    ).collect()
-    hot = [r for r in rows if r["custkey"] == 7]
-    hot_orders = staged.where(F.col("customer_aggregate_identifier") == F.unhex(F.md5(F.lpad(F.bin(F.lit(7)), 64, "0")))).count()
-    assert hot_orders > staged.count() // 3 - 1
-    assert len(hot) == -(-hot_orders // k)
-    assert sum(r["n"] for r in hot) == hot_orders
-    assert max(r["n"] for r in hot) <= 3 * k  # uniform buckets: far from one unbounded group
-    others = [r for r in rows if r["custkey"] != 7]
-    assert all(r["event_page"] == 0 for r in others)
-    assert sum(r["n"] for r in others if r["n"] > 0) >= staged.count() - hot_orders
+    parsed = F.from_json(F.get_json_object(F.col("event_parameters"), "$[0]"), "customer_order array<string>")
+    events = customer_event(profile, staged, event_time=1)
+    rows = events.select("custkey", F.size(parsed["customer_order"]).alias("n"), F.col("event_parameters").contains('"{}"').alias("none")).collect()
+    assert len(rows) == profile.count() == len({r["custkey"] for r in rows})
+    hot = next(r for r in rows if r["custkey"] == 7)
+    hot_orders = orders.where("o_custkey = 7").count()
+    assert hot["n"] == hot_orders > staged.count() // 3 - 1
+    with_orders = {r[0] for r in orders.select("o_custkey").distinct().collect()}
+    assert sum(r["n"] for r in rows if r["custkey"] in with_orders) == staged.count()
 
 
 def test_encoded_event_parses_to_nested_content(spark):

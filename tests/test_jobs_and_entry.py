@@ -32,7 +32,7 @@ def test_job_order_pulls_dependencies():
 
 
 def test_all_jobs_end_to_end_and_rerun(spark, tmp_root):
-    from tidemark.operators.staging import partsupp_standin
+    from tidemark.plans.checks import partsupp_standin
     from tidemark.sources.tables import read_table
 
     li = read_table(spark, SF_SMALL, "lineitem")
@@ -60,6 +60,10 @@ def test_all_jobs_end_to_end_and_rerun(spark, tmp_root):
     from tidemark.operators.merge import snapshot_versions
 
     assert snapshot_versions(spark, f"{tmp_root}/target/lineitem") == [2]
+    # one transform by name: the event job has no encoding of its own
+    from tidemark.plans.spec import SPECS
+
+    assert SPECS["customer_event"].transform == "customer_event"
 
 
 def test_entry_smoke(spark):
@@ -76,8 +80,11 @@ def _norm(rows):
 
 
 def test_every_query_has_oracle_and_matches_at_small_scale(spark):
-    qs, sqls = E.queries(), E.oracle_sql()
+    from tidemark.plans import checks, oracles
+
+    qs, sqls = checks.queries(), oracles.oracle_sql()
     assert set(qs) == set(sqls)
+    assert set(qs) <= set(E.queries()) and set(sqls) <= set(E.oracle_sql())
     con = duckdb.connect()
     for t in "region nation customer supplier part orders lineitem".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
@@ -112,3 +119,22 @@ def test_command_line_runs_jobs(spark, tmp_root, capsys):
     assert [r["name"] for r in lines] == ["region", "nation", "region", "nation"]
     assert snapshot_versions(spark, f"{tmp_root}/t/nation") == [2]
     assert lines[1]["rows_staged"] == 25
+
+
+def test_shuffle_width_follows_read_partitions(spark, tmp_root):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        run = Run.create(spark, SF_SMALL, f"{tmp_root}/s", f"{tmp_root}/t", JobOptions(event_time=1), size_for_input=False)
+        run_jobs(run, ["nation"], adjust_shuffle=True)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"  # 2 x the job's 50
+        with pytest.raises(ValueError):
+            run_jobs(run, ["nation"], parallel=2, adjust_shuffle=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_transform_gets_the_options_it_names(spark):
+    from tidemark.operators.transforms import register
+
+    register("stamp", lambda d, event_time=None: d.selectExpr("id", f"{event_time} AS t"))
+    assert apply_transform(spark.range(1), "stamp", event_time=7, other=1).first()["t"] == 7

@@ -1,14 +1,17 @@
 import os
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tidemark.operators.merge import (
+    PublishConflict,
     current_snapshot,
     dedup_by_key,
     merge_into_snapshot,
     publish,
     read_current,
+    snapshot,
     snapshot_versions,
     upsert,
 )
@@ -64,16 +67,82 @@ def test_publish_versions_and_reads(spark, tmp_root):
     assert snapshot_versions(spark, root) == [1, 2]
     assert _rows(read_current(spark, root)) == [(1, "b", 2.0), (2, "c", 3.0)]
     # the earlier snapshot is untouched
-    assert _rows(spark.read.parquet(p1)) == [(1, "a", 1.0)]
+    old = [os.path.join(root, p) for p in snapshot(spark, root, 1)["parts"].values()]
+    assert _rows(spark.read.schema(SCHEMA).parquet(*old)) == [(1, "a", 1.0)]
 
 
-def test_uncommitted_folder_is_ignored(spark, tmp_root):
+def test_data_without_a_pointer_is_ignored(spark, tmp_root):
     root = os.path.join(tmp_root, "target")
-    publish(spark.createDataFrame([(1, "a", 1.0)], SCHEMA), root)
-    os.makedirs(os.path.join(root, "v00000002"))  # a failed write: no _SUCCESS
+    publish(spark.createDataFrame([(1, "a", 1.0)], SCHEMA), root, ["k"])
+    spark.createDataFrame([(9, "z", 9.0)], SCHEMA).write.parquet(os.path.join(root, "data", "failed"))
     assert snapshot_versions(spark, root) == [1]
-    p = publish(spark.createDataFrame([(5, "e", 5.0)], SCHEMA), root)
-    assert p.endswith("v00000003")
+    assert _rows(read_current(spark, root)) == [(1, "a", 1.0)]
+    p = publish(spark.createDataFrame([(5, "e", 5.0)], SCHEMA), root, ["k"])
+    assert p.endswith("v00000002.json")
+    assert _rows(read_current(spark, root)) == [(5, "e", 5.0)]
+
+
+def test_second_publisher_on_one_base_fails(spark, tmp_root):
+    root = os.path.join(tmp_root, "target")
+    df = spark.createDataFrame([(1, "a", 1.0)], SCHEMA)
+    publish(df, root, ["k"])
+    publish(spark.createDataFrame([(2, "b", 2.0)], SCHEMA), root, ["k"], base=1)
+    with pytest.raises(PublishConflict):  # stale base: the target is at version 2 by now
+        publish(df, root, ["k"], base=1)
+    assert snapshot_versions(spark, root) == [1, 2]
+    assert _rows(read_current(spark, root)) == [(2, "b", 2.0)]
+
+
+def test_pointer_created_meanwhile_is_a_conflict(spark, tmp_root, monkeypatch):
+    """Two publishers that both saw version 1 as the newest: one pointer is created, the other fails."""
+    import tidemark.operators.merge as merge
+
+    root = os.path.join(tmp_root, "target")
+    df = spark.createDataFrame([(1, "a", 1.0)], SCHEMA)
+    publish(df, root, ["k"])
+    publish(spark.createDataFrame([(2, "b", 2.0)], SCHEMA), root, ["k"])
+    monkeypatch.setattr(merge, "snapshot_versions", lambda *_: [1])
+    with pytest.raises(PublishConflict):
+        publish(df, root, ["k"], base=1)
+    monkeypatch.undo()
+    assert _rows(read_current(spark, root)) == [(2, "b", 2.0)]
+
+
+def test_null_merge_key_fails(spark, tmp_root):
+    target = spark.createDataFrame([(1, "a", 1.0)], SCHEMA)
+    staging = spark.createDataFrame([(None, "x", 1.0), (2, "b", 2.0)], SCHEMA)
+    with pytest.raises(Exception, match="NULL merge key k"):
+        upsert(target, staging, ["k"]).collect()
+    with pytest.raises(Exception, match="NULL merge key k"):
+        merge_into_snapshot(staging, os.path.join(tmp_root, "t"), ["k"])
+    assert snapshot_versions(spark, os.path.join(tmp_root, "t")) == []
+
+
+def test_merge_rewrites_touched_buckets_only(spark, tmp_root):
+    root = os.path.join(tmp_root, "target")
+    rows = [(k, "old", float(k)) for k in range(200)]
+    merge_into_snapshot(spark.createDataFrame(rows, SCHEMA), root, ["k"], buckets=8)
+    before = snapshot(spark, root, 1)["parts"]
+    files = {p: sorted(os.listdir(os.path.join(root, p))) for p in before.values()}
+    merge_into_snapshot(spark.createDataFrame([(7, "new", 70.0)], SCHEMA), root, ["k"])
+    after = snapshot(spark, root, 2)["parts"]
+    changed = [b for b in after if after[b] != before[b]]
+    assert len(before) == len(after) == 8 and len(changed) == 1
+    assert {p: sorted(os.listdir(os.path.join(root, p))) for p in before.values()} == files
+    want = sorted([(k, "old", float(k)) for k in range(200) if k != 7] + [(7, "new", 70.0)], key=repr)
+    assert _rows(read_current(spark, root)) == want
+    with pytest.raises(ValueError, match="keyed on"):
+        merge_into_snapshot(spark.createDataFrame([(1, "b", 2.0)], SCHEMA), root, ["a"])
+
+
+def test_empty_staging_publishes_the_same_rows(spark, tmp_root):
+    root = os.path.join(tmp_root, "target")
+    empty = spark.createDataFrame([], SCHEMA)
+    merge_into_snapshot(empty, root, ["k"])
+    assert _rows(read_current(spark, root)) == []
+    merge_into_snapshot(spark.createDataFrame([(1, "a", 1.0)], SCHEMA), root, ["k"])
+    merge_into_snapshot(empty, root, ["k"])
+    assert _rows(read_current(spark, root)) == [(1, "a", 1.0)]
 
 
 _rows_st = st.lists(
@@ -105,26 +174,34 @@ def test_upsert_matches_model(spark, target, staging):
     assert _rows(upsert(t, s, ["k"])) == _model_upsert(target, staging)
 
 
-def test_match_keys_replace_a_set(spark):
-    schema = "c string, page int, doc string"
-    target = spark.createDataFrame([("x", 0, "old0"), ("x", 1, "old1"), ("x", 2, "old2"), ("y", 0, "keep")], schema)
-    staging = spark.createDataFrame([("x", 0, "new0"), ("x", 1, "new1")], schema)
-    out = upsert(target, staging, ["c", "page"], match_keys=["c"])
-    assert _rows(out) == [("x", 0, "new0"), ("x", 1, "new1"), ("y", 0, "keep")]
-    plain = upsert(target, staging, ["c", "page"])
-    assert ("x", 2, "old2") in _rows(plain)
+def test_every_merge_scenario_inserts_updates_and_keeps(spark):
+    from tidemark.plans.checks import UPSERT_TABLES, merge_scenario
+    from tidemark.sources.tables import TableSet
+
+    from .conftest import SF_SMALL
+
+    t = TableSet(spark, SF_SMALL)
+    for table in UPSERT_TABLES:
+        target, staging, keys, _ = merge_scenario(table, t)
+        old, new = target.select(*keys).distinct(), staging.select(*keys).distinct()
+        counts = (new.join(old, list(keys), "left_anti").count(), new.join(old, list(keys), "left_semi").count(), old.join(new, list(keys), "left_anti").count())
+        assert min(counts) > 0, (table, counts)
+    target, staging, keys, _ = merge_scenario("customer_event", t)
+    kept = target.join(staging, list(keys), "left_anti")
+    assert kept.where(kept.event_parameters.contains("{}")).count() > 0  # customers without orders among them
 
 
 def test_prune_snapshots_keeps_newest(spark, tmp_root):
     from tidemark.operators.merge import prune_snapshots
 
     root = os.path.join(tmp_root, "target")
-    for i in range(4):
-        publish(spark.createDataFrame([(i, "a", 1.0)], SCHEMA), root)
-    os.makedirs(os.path.join(root, "v00000005"))  # a failed, newer attempt stays
+    merge_into_snapshot(spark.createDataFrame([(k, "a", 0.0) for k in range(50)], SCHEMA), root, ["k"], buckets=4)
+    for i in range(3):
+        merge_into_snapshot(spark.createDataFrame([(1, "b", float(i))], SCHEMA), root, ["k"])
     deleted = prune_snapshots(spark, root, keep=2)
-    assert [os.path.basename(p) for p in deleted] == ["v00000001", "v00000002"]
+    assert [os.path.basename(p) for p in deleted] == ["v00000001.json", "v00000002.json"]
     assert snapshot_versions(spark, root) == [3, 4]
-    assert sorted(os.listdir(root)) == ["v00000003", "v00000004", "v00000005"]
-    assert _rows(read_current(spark, root)) == [(3, "a", 1.0)]
+    # buckets that version 1 wrote and no merge touched are still referred to
+    assert read_current(spark, root).count() == 50
+    assert _rows(read_current(spark, root).where("k = 1")) == [(1, "b", 2.0)]
     assert prune_snapshots(spark, root, keep=2) == []

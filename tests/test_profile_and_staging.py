@@ -5,7 +5,6 @@ import pytest
 
 from tidemark.operators.profile import customer_profile, lineitem_totals, order_totals
 from tidemark.operators.staging import (
-    partsupp_standin,
     stage_copy,
     stage_customer_orders,
 )
@@ -120,6 +119,8 @@ def test_customer_orders_schema(spark):
 
 
 def test_partsupp_standin(spark):
+    from tidemark.plans.checks import partsupp_standin
+
     li = spark.createDataFrame(
         [(1, 2, 3.0, 10.0), (1, 2, 4.0, 5.5), (1, 3, 1.0, 2.0)],
         "l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double",

@@ -45,12 +45,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--read-partitions", type=int, default=50, help="key-range chunks per JDBC table")
     ap.add_argument("--chunk-rows", type=int, help="rows per JDBC chunk (instead of --read-partitions)")
     ap.add_argument("--staging-jdbc", help="also load staged rows into this database")
-    ap.add_argument("--staging-root", help="staging folder (default: under spark.checkpoint.dir)")
-    ap.add_argument("--target-root", help="target snapshot folder (default: under spark.checkpoint.dir)")
+    ap.add_argument("--staging-root", required=True, help="staging folder, shared by all executors")
+    ap.add_argument("--target-root", required=True, help="target snapshot folder, shared by all executors")
+    ap.add_argument("--adjust-shuffle", action="store_true", help="shuffle width 2 x each job's read partitions")
     ap.add_argument("--parallel", type=int, default=1, help="independent jobs submitted at once")
     ap.add_argument("--keep-snapshots", type=int, help="committed target snapshots kept per table")
     ap.add_argument("--event-time", type=int, help="fixed event_timestamp (epoch seconds)")
-    ap.add_argument("--orders-per-event", type=int, default=JobOptions().orders_per_event)
     ap.add_argument("--user-env", help="environment variable holding the database user")
     ap.add_argument("--password-env", help="environment variable holding the database password")
     args = ap.parse_args(argv)
@@ -68,12 +68,12 @@ def main(argv: list[str] | None = None) -> None:
         args.source,
         args.staging_root,
         args.target_root,
-        JobOptions(event_time=args.event_time, orders_per_event=args.orders_per_event),
+        JobOptions(event_time=args.event_time),
         loader=loader,
         staging_endpoint=_endpoint(args.staging_jdbc, args.user_env, args.password_env),
     )
     run.keep_snapshots = args.keep_snapshots
-    for result in run_jobs(run, args.jobs, parallel=args.parallel):
+    for result in run_jobs(run, args.jobs, parallel=args.parallel, adjust_shuffle=args.adjust_shuffle):
         print(json.dumps(result.__dict__))
 
 

@@ -6,38 +6,29 @@ is a JSON array holding the customer's profile as a JSON *string*; in it,
 without orders gets ``"customer_order":["{}"]``. E2 is the documented nested
 shape with real objects and hex identifiers.
 
-Scale design. A customer's orders become one cell, so a hot customer (one
-that holds a large share of all orders) must not be gathered by one task.
-Orders are therefore assigned to *event pages*:
-
-* ``order_count`` per customer is a partial (map-side combined) aggregate.
-* Customers with more than ``orders_per_event`` orders are *heavy*; there are
-  at most ``orders / orders_per_event`` of them, so the heavy list has a proven
-  size bound and is broadcast behind a row-count check.
-* A heavy customer's order goes to page ``bucket(order identifier, pages)``
-  (uniform: the identifier is an MD5); everyone else has the single page 0,
-  which reproduces the reference's one-event-per-customer output exactly.
-* The profile is expanded to one row per (customer, page) and joined to the
-  orders on (customer, page): the join and both aggregations that build the
-  document share that hash partitioning, so the order payload is shuffled
-  once and no group exceeds about ``orders_per_event`` orders.
-
-Customers without orders come from an anti join against the per-customer
-counts (both sides unique per customer) and are encoded the same way.
-
-When the size check finds no heavy customer (the usual case), the plan is
-specialised: no heavy-list joins, and lists and profile are joined on the
-customer alone with ``event_page = 0`` added afterwards, so a constant page
-never becomes a partitioning key.
+Scale design. A customer's orders become one cell, whose size is inherent in
+the document; past Spark's cell limit the job fails, it never changes shape.
+What a hot customer must not do is gather and sort all its orders in one task,
+so lists are built in two levels, the same way for every customer: orders are
+collected, sorted and encoded per (customer, first hex digit of the order
+identifier), uniform because the identifier is an MD5, and the at most 16
+sub-lists of a customer are then joined in digit order. Both levels keep the
+order of the raw identifier, so the text repeats.
+
+The profile meets the finished lists in one LEFT JOIN on the customer; the
+event is a projection of the joined row. Differing profile rows of one
+customer share its event, as an array of documents: the profile rows are
+gathered per customer before the join, on the join's own partitioning.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import identifier_bucket
 from ..sources.tables import present, require
 
 # The event's profile and order fields, in the reference's order.
@@ -54,100 +45,6 @@ EVENT_TYPE = "MigEvent"
 
 CUSTOMER_ID = "customer_aggregate_identifier"
 ORDER_ID = "order_aggregate_identifier"
-PAGE = "event_page"
-
-DEFAULT_ORDERS_PER_EVENT = 10_000
-DEFAULT_MAX_HEAVY_BROADCAST = 2_000_000
-
-
-def _flat_order(rows: DataFrame) -> list[str]:
-    return present(rows, ORDER_EVENT_COLUMNS)
-
-
-def order_pages(
-    orders: DataFrame,
-    orders_per_event: int = DEFAULT_ORDERS_PER_EVENT,
-    max_heavy_broadcast: int = DEFAULT_MAX_HEAVY_BROADCAST,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Assign each order row an event page.
-
-    Returns ``(paged, heavy, counts)``: the rows with ``event_page``, the heavy
-    customers with ``event_pages`` (None when there are none), and
-    ``order_count`` per customer.
-    """
-    if orders_per_event < 1:
-        raise ValueError("orders_per_event must be >= 1")
-    require(orders, [CUSTOMER_ID, ORDER_ID], "customer_orders")
-    counts = orders.groupBy(CUSTOMER_ID).agg(F.count(F.lit(1)).alias("order_count"))
-    heavy = counts.where(F.col("order_count") > orders_per_event).select(
-        CUSTOMER_ID, F.ceil(F.col("order_count") / F.lit(orders_per_event)).cast("int").alias("event_pages")
-    )
-    # One bounded count answers both questions: is anyone heavy, and may the
-    # heavy list be broadcast (it has at most orders / orders_per_event rows)?
-    n_heavy = heavy.limit(max_heavy_broadcast + 1).count()
-    if n_heavy == 0:
-        # The usual case: nobody exceeds a page, so every order is on page 0
-        # and the plan needs neither the heavy list nor its joins.
-        return orders.withColumn(PAGE, F.lit(0)), None, counts
-    if n_heavy <= max_heavy_broadcast:
-        heavy = F.broadcast(heavy)
-    paged = orders.join(heavy, CUSTOMER_ID, "left").select(
-        *orders.columns,
-        F.when(F.col("event_pages").isNull(), F.lit(0))
-        .otherwise(F.coalesce(identifier_bucket(ORDER_ID, "event_pages"), F.lit(0)))
-        .cast("int")
-        .alias(PAGE),
-    )
-    return paged, heavy, counts
-
-
-def _join_keys(heavy: DataFrame | None) -> list[str]:
-    """(customer, page) when some customer is split; the customer alone
-    otherwise, so a constant page never becomes a partitioning key (which
-    would make the two join sides disagree and re-shuffle the payload)."""
-    return [CUSTOMER_ID] if heavy is None else [CUSTOMER_ID, PAGE]
-
-
-def _profile_pages(profile: DataFrame, heavy: DataFrame | None, cols: list[str]) -> DataFrame:
-    """One profile row per (customer, page); only heavy customers have several.
-    Without heavy customers there is one row per customer and no page column."""
-    if heavy is None:
-        return profile.select(*cols)
-    return profile.select(*cols).join(heavy, CUSTOMER_ID, "left").select(
-        *cols,
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("event_pages"), F.lit(1)) - 1)).alias(PAGE),
-    )
-
-
-def _without_orders(profile: DataFrame, counts: DataFrame, cols: list[str], *fill: Column) -> DataFrame:
-    """Customers without any order (anti join on keys unique on both sides), page 0."""
-    return (
-        profile.select(*cols)
-        .join(counts.select(CUSTOMER_ID), CUSTOMER_ID, "left_anti")
-        .select(*cols, F.lit(0).alias(PAGE), *fill)
-    )
-
-
-def _branches(
-    profile: DataFrame,
-    customer_orders: DataFrame,
-    orders_per_event: int,
-    max_heavy_broadcast: int,
-) -> tuple[DataFrame, DataFrame]:
-    """(customers with orders joined per page, customers without orders)."""
-    require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
-    paged, heavy, counts = order_pages(customer_orders, orders_per_event, max_heavy_broadcast)
-    profile_cols = present(profile, PROFILE_EVENT_COLUMNS)
-    order_cols = _flat_order(paged)
-    keys = _join_keys(heavy)
-    with_orders = _profile_pages(profile, heavy, profile_cols).join(
-        paged.select(*keys, *order_cols), keys, "inner"
-    )
-    if heavy is None:
-        with_orders = with_orders.withColumn(PAGE, F.lit(0))
-    nulls = [F.lit(None).cast(paged.schema[c].dataType).alias(c) for c in order_cols]
-    return with_orders, _without_orders(profile, counts, profile_cols, *nulls)
-
 
 # Fixed value: the reference's column order of the profile ⟕ orders rows.
 PROFILE_ORDERS_COLUMNS = (
@@ -158,170 +55,120 @@ PROFILE_ORDERS_COLUMNS = (
 )
 
 
-def profile_orders(
-    profile: DataFrame,
-    customer_orders: DataFrame,
-    orders_per_event: int = DEFAULT_ORDERS_PER_EVENT,
-    max_heavy_broadcast: int = DEFAULT_MAX_HEAVY_BROADCAST,
-) -> DataFrame:
+def profile_orders(profile: DataFrame, customer_orders: DataFrame) -> DataFrame:
     """Profile LEFT JOIN customer_orders on the customer identifier.
 
     One row per (customer, order), or one row with NULL order fields for a
-    customer without orders; ``event_page`` says which event carries the row.
+    customer without orders. AQE splits a hot customer's side of the join.
     """
-    with_orders, without_orders = _branches(profile, customer_orders, orders_per_event, max_heavy_broadcast)
-    rows = with_orders.unionByName(without_orders)
-    return rows.select(*present(rows, PROFILE_ORDERS_COLUMNS), PAGE)
+    require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
+    require(customer_orders, [CUSTOMER_ID, ORDER_ID], "customer_orders")
+    orders = customer_orders.select(CUSTOMER_ID, *present(customer_orders, ORDER_EVENT_COLUMNS))
+    rows = profile.select(*present(profile, PROFILE_EVENT_COLUMNS)).join(orders, CUSTOMER_ID, "left")
+    return rows.select(*present(rows, PROFILE_ORDERS_COLUMNS))
 
 
 def _event_time(event_time: int | None) -> Column:
     return F.unix_timestamp() if event_time is None else F.lit(int(event_time)).cast("bigint")
 
 
-def encode_events(
-    rows: DataFrame,
-    event_time: int | None = None,
-    orders_per_event: int = DEFAULT_ORDERS_PER_EVENT,
-    max_heavy_broadcast: int = DEFAULT_MAX_HEAVY_BROADCAST,
-) -> DataFrame:
-    """E1 over profile ⟕ orders rows (the reference's transform, A7 + A8).
-
-    Groups by the profile fields and page, so input partitioned by
-    (customer, page) needs no further shuffle. Rows without ``event_page``
-    (e.g. joined by a source database) are paged first, so a hot customer is
-    still split. Orders are sorted by identifier so that the text repeats.
-    """
-    if PAGE not in rows.columns:
-        rows, _, _ = order_pages(rows, orders_per_event, max_heavy_broadcast)
-    profile_cols = present(rows, PROFILE_EVENT_COLUMNS)
-    order_cols = present(rows, ORDER_EVENT_COLUMNS)
-    order_json = F.to_json(F.struct(*order_cols))
-    lists = rows.groupBy(*profile_cols, PAGE).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(ORDER_ID).alias("k"), order_json.alias("j")))).alias("_orders")
+def _order_lists(orders: DataFrame, keys: list[str], value: Column, name: str) -> DataFrame:
+    """Per ``keys`` the values of its orders in identifier order, built in two levels."""
+    digit = F.coalesce(F.substring(F.hex(F.substring(ORDER_ID, 1, 1)), 1, 1), F.lit(""))
+    parts = orders.groupBy(*keys, digit.alias("_digit")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col(ORDER_ID).alias("k"), value.alias("v")))).alias("_part")
     )
-    lists = lists.withColumn("customer_order", F.transform("_orders", lambda o: o["j"]))
-    doc_cols = [c for c in profile_cols if c != "custkey"] + ["customer_order"]
-    events = lists.groupBy(CUSTOMER_ID, "custkey", PAGE).agg(
-        F.to_json(F.sort_array(F.collect_list(F.to_json(F.struct(*doc_cols))))).alias("event_parameters")
+    lists = parts.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("_digit").alias("d"), F.col("_part.v").alias("p")))).alias("_parts")
     )
-    return events.select(
-        CUSTOMER_ID,
-        "custkey",
-        PAGE,
-        "event_parameters",
-        F.lit(EVENT_TYPE).alias("event_type"),
-        _event_time(event_time).alias("event_timestamp"),
+    return lists.select(*keys, F.flatten(F.transform("_parts", lambda x: x["p"])).alias(name))
+
+
+def _with_lists(profile: DataFrame, customer_orders: DataFrame, value: Column, name: str, empty: Column) -> DataFrame:
+    """J5 + A7: one row per customer: ``custkey``, its profile rows ``_profiles`` and its order list."""
+    require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
+    require(customer_orders, [CUSTOMER_ID, ORDER_ID], "customer_orders")
+    fields = present(profile, PROFILE_EVENT_COLUMNS)
+    profiles = profile.groupBy(CUSTOMER_ID).agg(
+        F.min("custkey").alias("custkey"), F.collect_list(F.struct(*fields)).alias("_profiles")
+    )
+    lists = _order_lists(customer_orders, [CUSTOMER_ID], value, name)
+    joined = profiles.join(lists, CUSTOMER_ID, "left")
+    return joined.withColumn(name, F.coalesce(name, empty.cast(lists.schema[name].dataType)))
+
+
+def _order_json(orders: DataFrame) -> Column:
+    return F.to_json(F.struct(*present(orders, ORDER_EVENT_COLUMNS)))
+
+
+def event_rows(profile: DataFrame, customer_orders: DataFrame) -> DataFrame:
+    """W11's staging rows: per customer its profile rows and the encoded list of its orders."""
+    return _with_lists(profile, customer_orders, _order_json(customer_orders), "customer_order", F.array(F.lit("{}")))
+
+
+def _events(rows: DataFrame, event_time: int | None, document: Callable[[Column], Column]) -> DataFrame:
+    """A8 + F9-F12: the event columns, ``document`` applied to each profile row of a customer."""
+    return rows.select(
+        CUSTOMER_ID, "custkey",
+        F.to_json(F.sort_array(F.transform("_profiles", document))).alias("event_parameters"),
+        F.lit(EVENT_TYPE).alias("event_type"), _event_time(event_time).alias("event_timestamp"),
     )
 
 
-def customer_event(
-    profile: DataFrame,
-    customer_orders: DataFrame,
-    event_time: int | None = None,
-    orders_per_event: int = DEFAULT_ORDERS_PER_EVENT,
-    max_heavy_broadcast: int = DEFAULT_MAX_HEAVY_BROADCAST,
-) -> DataFrame:
-    """Encoded events, one per customer and page.
+def _profile_fields(rows: DataFrame) -> list[str]:
+    return [f for f in rows.schema["_profiles"].dataType.elementType.names if f != "custkey"]
+
+
+def encode_events(rows: DataFrame, event_time: int | None = None) -> DataFrame:
+    """E1 (the reference's transform, A7 + A8): one encoded event per customer.
 
+    Takes ``event_rows``, or flat profile ⟕ orders rows (e.g. joined by a
+    source database), whose lists it first builds in the same two levels.
     ``event_time`` fixes ``event_timestamp`` (epoch seconds) so reruns repeat;
     by default it is the query's start time, constant across task retries.
     """
-    def order_json(paged: DataFrame) -> Column:
-        return F.to_json(F.struct(*_flat_order(paged)))
+    if "_profiles" not in rows.columns:
+        flat = rows
+        fields = present(flat, PROFILE_EVENT_COLUMNS)
+        documents = _order_lists(flat, fields, _order_json(flat), "customer_order")
+        # the list belongs to the profile row here: it travels in the row's struct
+        rows = documents.groupBy(CUSTOMER_ID).agg(
+            F.min("custkey").alias("custkey"), F.collect_list(F.struct(*fields, "customer_order")).alias("_profiles")
+        )
+    fields = _profile_fields(rows)
+    own = "customer_order" in fields
+    fields = [f for f in fields if f != "customer_order"]
 
-    with_orders, without_orders = _page_documents(
-        profile, customer_orders, orders_per_event, max_heavy_broadcast,
-        order_json, "customer_order", lambda _t: F.array(F.lit("{}")),
-    )
-    return _encode_documents(with_orders, event_time).unionByName(
-        _encode_documents(without_orders, event_time)
-    )
+    def document(p: Column) -> Column:
+        orders = p["customer_order"] if own else F.col("customer_order")
+        return F.to_json(F.struct(*[p[f].alias(f) for f in fields], orders.alias("customer_order")))
 
+    return _events(rows, event_time, document)
 
-def _page_documents(
-    profile: DataFrame,
-    customer_orders: DataFrame,
-    orders_per_event: int,
-    max_heavy_broadcast: int,
-    order_value,
-    list_name: str,
-    empty_list,
-) -> tuple[DataFrame, DataFrame]:
-    """Profile rows with their page's sorted order list (aggregate, then join).
-
-    Orders alone are aggregated by (customer, page) into lists sorted by order
-    identifier; the lists come out hash-partitioned on (customer, page), which
-    is the join key with the page-expanded profile, so the order payload is
-    shuffled once and profile columns are never hashed per order. Assumes the
-    profile is unique per customer (its staging primary key).
-    """
-    require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
-    paged, heavy, counts = order_pages(customer_orders, orders_per_event, max_heavy_broadcast)
-    profile_cols = present(profile, PROFILE_EVENT_COLUMNS)
-    keys = _join_keys(heavy)
-    entry = F.struct(F.col(ORDER_ID).alias("k"), order_value(paged).alias("v"))
-    lists = paged.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_l")).select(
-        *keys, F.transform("_l", lambda e: e["v"]).alias(list_name)
-    )
-    with_orders = _profile_pages(profile, heavy, profile_cols).join(lists, keys, "inner")
-    if heavy is None:
-        with_orders = with_orders.withColumn(PAGE, F.lit(0))
-    list_type = lists.schema[list_name].dataType
-    empty = empty_list(list_type).cast(list_type).alias(list_name)
-    return with_orders, _without_orders(profile, counts, profile_cols, empty)
-
-
-def _encode_documents(docs: DataFrame, event_time: int | None) -> DataFrame:
-    """A8 + F9-F12: profile (+ ``customer_order``) as JSON text, wrapped in an array."""
-    profile_cols = present(docs, PROFILE_EVENT_COLUMNS)
-    doc_cols = [c for c in profile_cols if c != "custkey"] + ["customer_order"]
-    events = docs.groupBy(CUSTOMER_ID, "custkey", PAGE).agg(
-        F.to_json(F.sort_array(F.collect_list(F.to_json(F.struct(*doc_cols))))).alias("event_parameters")
-    )
-    return events.select(
-        CUSTOMER_ID, "custkey", PAGE, "event_parameters",
-        F.lit(EVENT_TYPE).alias("event_type"), _event_time(event_time).alias("event_timestamp"),
-    )
+
+def customer_event(profile: DataFrame, customer_orders: DataFrame, event_time: int | None = None) -> DataFrame:
+    """Encoded events, one per customer."""
+    return encode_events(event_rows(profile, customer_orders), event_time)
 
 
 # ---- E2: the documented nested shape -------------------------------------------------------
 
-def customer_event_nested(
-    profile: DataFrame,
-    customer_orders: DataFrame,
-    event_time: int | None = None,
-    orders_per_event: int = DEFAULT_ORDERS_PER_EVENT,
-    max_heavy_broadcast: int = DEFAULT_MAX_HEAVY_BROADCAST,
-) -> DataFrame:
+def customer_event_nested(profile: DataFrame, customer_orders: DataFrame, event_time: int | None = None) -> DataFrame:
     """Like E1, but ``event_parameters`` nests real objects:
     ``[{..., "customer_orders": [{...}, ...]}]`` with upper-case hex identifiers
     and ``[]`` for a customer without orders."""
-    def order_obj(paged: DataFrame) -> Column:
-        return F.struct(
-            *[(F.hex(ORDER_ID) if c == ORDER_ID else F.col(c)).alias(c) for c in _flat_order(paged)]
-        )
-
-    with_orders, without_orders = _page_documents(
-        profile, customer_orders, orders_per_event, max_heavy_broadcast,
-        order_obj, "customer_orders", lambda t: F.array(),
+    order = F.struct(
+        *[(F.hex(ORDER_ID) if c == ORDER_ID else F.col(c)).alias(c) for c in present(customer_orders, ORDER_EVENT_COLUMNS)]
     )
+    rows = _with_lists(profile, customer_orders, order, "customer_orders", F.array())
+    fields = _profile_fields(rows)
 
-    def nest(docs: DataFrame) -> DataFrame:
-        profile_cols = present(docs, PROFILE_EVENT_COLUMNS)
-        fields = [
-            (F.hex(CUSTOMER_ID) if c == CUSTOMER_ID else F.col(c)).alias(c)
-            for c in profile_cols
-            if c != "custkey"
-        ] + [F.col("customer_orders")]
-        return docs.groupBy(CUSTOMER_ID, "custkey", PAGE).agg(
-            F.to_json(F.sort_array(F.collect_list(F.struct(*fields)))).alias("event_parameters")
+    def document(p: Column) -> Column:
+        return F.struct(
+            *[(F.hex(p[f]) if f == CUSTOMER_ID else p[f]).alias(f) for f in fields], F.col("customer_orders")
         )
 
-    events = nest(with_orders).unionByName(nest(without_orders))
-    return events.select(
-        CUSTOMER_ID, "custkey", PAGE, "event_parameters",
-        F.lit(EVENT_TYPE).alias("event_type"), _event_time(event_time).alias("event_timestamp"),
-    )
+    return _events(rows, event_time, document)
 
 
 def nested_event_schema(profile_fields: list[str], order_fields: list[str]) -> T.ArrayType:
@@ -362,7 +209,7 @@ __all__ = [
     "customer_event",
     "customer_event_nested",
     "encode_events",
+    "event_rows",
     "flatten_nested_events",
-    "order_pages",
     "profile_orders",
 ]

@@ -2,34 +2,50 @@
 
 ``INSERT ... ON DUPLICATE KEY UPDATE`` semantics: a new key is inserted, an
 existing key takes every column of the staging row, a target-only row stays.
-Nothing is deleted.
+Nothing is deleted. Merge keys are NOT NULL, as in the DDL: a NULL key fails
+the job.
 
 Spark plan: staging is reduced to one row per key with ``max(struct(...))``
 (a partial aggregate, so even a key holding a third of the rows is combined
 map-side before the shuffle), then ``target LEFT ANTI staged keys`` keeps the
 untouched rows and ``unionByName`` appends the staged rows. Both join sides
-are unique per key, so there is no skew. An incremental load's distinct keys
-are usually far fewer than the target's rows: when staging has at most
-``broadcast_key_rows`` rows (a bound on its keys, counted with an early-exit
-limit), the keys are broadcast and the target is streamed through a hash
-anti join without being shuffled; above that, both sides are shuffled on the
-key (sort-merge join).
-
-Publishing (U14) writes the merged result to a new snapshot folder and never
-overwrites the folder being read; the newest folder with a ``_SUCCESS``
-marker is the current target.
+are unique per key, so there is no skew. No job runs while the plan is built:
+a caller that knows the staged row count (a job observed it while writing
+staging) passes it, and few enough keys are then broadcast; otherwise the join
+is left to ``autoBroadcastJoinThreshold`` and AQE.
+
+Publishing (U14). A target's rows lie in a fixed number of hash buckets of the
+merge key, one folder each. A merge reads and rewrites the buckets its staging
+touches, into a new data folder, and refers to the other buckets where they
+are. A snapshot is a small pointer file ``vNNNNNNNN.json`` that names the
+folder of each bucket; it is created last and never overwritten, as the
+version after the one the merge was based on. So a half-written run is never
+seen, nothing that is being read changes, and of two publishers on one base
+the second fails (``PublishConflict``) and must merge again. This needs a file
+system whose create-without-overwrite is exclusive (HDFS; not plain S3).
 """
 
 from __future__ import annotations
 
+import json
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.tables import require
 
+BROADCAST_KEY_ROWS = 1_000_000
+BUCKETS = 16
+_BUCKET = "_bucket"
+
+
+class PublishConflict(RuntimeError):
+    """The target moved on since the version this merge was based on."""
+
 
 def dedup_by_key(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key; among duplicates the row that is greatest on the
@@ -43,7 +59,11 @@ def dedup_by_key(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*staging.columns)
 
 
-DEFAULT_BROADCAST_KEY_ROWS = 5_000_000
+
+def _not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fail, when the rows are computed, on a NULL in a merge key."""
+    checked = {k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL merge key {k}")).cast(df.schema[k].dataType)) for k in keys}
+    return df.withColumns(checked)
 
 
 def upsert(
@@ -52,46 +72,37 @@ def upsert(
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
     deduplicate: bool = True,
-    broadcast_key_rows: int = DEFAULT_BROADCAST_KEY_ROWS,
-    match_keys: Sequence[str] | None = None,
+    staged_rows: int | None = None,
 ) -> DataFrame:
     """Merge ``staging`` into ``target`` on ``keys``.
 
     ``columns`` is the target column list (P12: staging-only columns such as
     ``orderkey`` are dropped); by default the target's columns, else staging's.
-    ``match_keys`` (a prefix of ``keys``) replaces every target row that shares
-    it with a staged row: a customer's events are replaced as a set, so pages a
-    customer no longer has do not linger. Staging stays unique on ``keys``.
+    ``staged_rows``, where known, bounds the staged keys: up to
+    ``BROADCAST_KEY_ROWS`` of them are broadcast.
     """
     keys = list(keys)
-    match = list(match_keys) if match_keys else keys
-    if any(k not in keys for k in match):
-        raise ValueError(f"match keys {match} must be among the merge keys {keys}")
     if columns is None:
         columns = target.columns if target is not None else staging.columns
     columns = list(columns)
     missing = [k for k in keys if k not in columns]
     if missing:
         raise ValueError(f"merge keys {missing} are not target columns {columns}")
-    staged = staging.select(*columns)
+    staged = _not_null(staging.select(*columns), keys)
     if deduplicate:
         staged = dedup_by_key(staged, keys)
     if target is None:
         return staged
-    changed = staged.select(*match)
-    if match != keys:
-        changed = changed.distinct()
-    # Staging rows bound its distinct keys from above, and counting them
-    # stops after the limit: a cheap, proven size check.
-    if staging.limit(broadcast_key_rows + 1).count() <= broadcast_key_rows:
+    changed = staged.select(*keys)
+    if staged_rows is not None and staged_rows <= BROADCAST_KEY_ROWS:
         changed = F.broadcast(changed)
-    kept = target.select(*columns).join(changed, match, "left_anti")
+    kept = target.select(*columns).join(changed, keys, "left_anti")
     return kept.unionByName(staged)
 
 
 # ---- U14: publish as a new snapshot ---------------------------------------------------------
 
-_VERSION = re.compile(r"^v(\d{8})$")
+_VERSION = re.compile(r"^v(\d{8})\.json$")
 
 
 def _fs(spark: SparkSession, path: str):
@@ -100,76 +111,114 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
 
 
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, hpath = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def _pointer_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/v{version:08d}.json"
+
+
 def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed snapshot versions under ``root`` (folders ``vNNNNNNNN`` with ``_SUCCESS``)."""
-    fs, hroot = _fs(spark, root)
-    if not fs.exists(hroot):
-        return []
-    versions = []
-    for status in fs.listStatus(hroot):
-        m = _VERSION.match(status.getPath().getName())
-        if m and status.isDirectory():
-            marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                versions.append(int(m.group(1)))
-    return sorted(versions)
+    """Published versions under ``root``."""
+    return sorted(int(m.group(1)) for n in _names(spark, root) if (m := _VERSION.match(n)))
+
+
+def snapshot(spark: SparkSession, root: str, version: int) -> dict:
+    """A version's pointer: ``keys``, ``buckets``, ``schema`` and the folder of each bucket, below ``root``."""
+    fs, hpath = _fs(spark, _pointer_path(root, version))
+    stream = fs.open(hpath)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _read(spark: SparkSession, root: str, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+    """The rows of a version, or of some of its buckets."""
+    schema = T.StructType.fromJson(pointer["schema"])
+    paths = [f"{root.rstrip('/')}/{p}" for b, p in pointer["parts"].items() if buckets is None or int(b) in buckets]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def current_snapshot(spark: SparkSession, root: str) -> str | None:
     versions = snapshot_versions(spark, root)
-    return f"{root.rstrip('/')}/v{versions[-1]:08d}" if versions else None
+    return _pointer_path(root, versions[-1]) if versions else None
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    path = current_snapshot(spark, root)
-    return spark.read.parquet(path) if path else None
+    versions = snapshot_versions(spark, root)
+    return _read(spark, root, snapshot(spark, root, versions[-1])) if versions else None
 
 
-def publish(df: DataFrame, root: str) -> str:
-    """Write ``df`` as the next snapshot under ``root`` and return its path.
+def _with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
-    Spark's file commit protocol writes ``_SUCCESS`` only after every task
-    committed, so a failed or half-written run is never picked up; retried
-    tasks overwrite their own attempt files. Readers of the previous snapshot
-    are unaffected because nothing is overwritten.
-    """
-    spark = df.sparkSession
+
+def _commit(spark: SparkSession, root: str, base: int, pointer: dict) -> str:
+    """Create the pointer of version ``base + 1``, or fail if someone else has."""
     versions = snapshot_versions(spark, root)
-    # Skip numbers of uncommitted folders too, so a failed attempt is never reused.
-    fs, hroot = _fs(spark, root)
-    taken = set(versions)
-    if fs.exists(hroot):
-        for status in fs.listStatus(hroot):
-            m = _VERSION.match(status.getPath().getName())
-            if m:
-                taken.add(int(m.group(1)))
-    nxt = max(taken, default=0) + 1
-    path = f"{root.rstrip('/')}/v{nxt:08d}"
-    df.write.mode("errorifexists").parquet(path)
+    path = _pointer_path(root, base + 1)
+    if versions and versions[-1] != base:
+        raise PublishConflict(f"{root} is at version {versions[-1]}, this merge was based on {base}")
+    fs, hpath = _fs(spark, path)
+    try:
+        out = fs.create(hpath, False)
+    except Exception as e:  # a Java exception: only an existing pointer is a conflict
+        if fs.exists(hpath):
+            raise PublishConflict(f"{path} was published meanwhile") from e
+        raise
+    out.write(bytearray(json.dumps(pointer).encode()))
+    out.close()
     return path
 
 
+def publish(df: DataFrame, root: str, keys: Sequence[str], base: int | None = None, buckets: int = BUCKETS) -> str:
+    """Write all of ``df`` as the version after ``base`` (default: the current one); returns the pointer's path."""
+    spark = df.sparkSession
+    if base is None:
+        base = max(snapshot_versions(spark, root), default=0)
+    parts = _write(_with_bucket(df, keys, buckets).repartition(F.col(_BUCKET)), root)
+    return _commit(spark, root, base, _pointer(df, keys, buckets, parts))
+
+
+def _pointer(df: DataFrame, keys: Sequence[str], buckets: int, parts: dict[str, str]) -> dict:
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields if f.name != _BUCKET])
+    return {"keys": list(keys), "buckets": buckets, "schema": schema.jsonValue(), "parts": parts}
+
+
+def _write(df: DataFrame, root: str) -> dict[str, str]:
+    """Write rows with their bucket to a new data folder; bucket -> folder."""
+    data = f"data/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{data}"
+    df.write.partitionBy(_BUCKET).parquet(path)
+    names = [n for n in _names(df.sparkSession, path) if n.startswith(f"{_BUCKET}=")]
+    return {n.partition("=")[2]: f"{data}/{n}" for n in names}
+
+
 def prune_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Delete committed snapshots older than the newest ``keep`` (and failed,
-    uncommitted folders older than those); returns the deleted paths.
+    """Forget versions older than the newest ``keep`` and delete the bucket
+    folders only they refer to; returns the deleted pointers.
 
-    Copy-on-write snapshots otherwise grow storage by one full target per run.
-    Keep at least two, so readers still on the previous snapshot finish.
+    Folders of failed or running publishers, which no pointer names, are left.
+    Keep at least two, so readers still on the previous version finish.
     """
     if keep < 1:
         raise ValueError("keep at least one snapshot")
-    committed = snapshot_versions(spark, root)
-    if len(committed) <= keep:
-        return []
-    oldest_kept = committed[-keep]
-    fs, hroot = _fs(spark, root)
+    versions = snapshot_versions(spark, root)
+    old, kept = versions[:-keep], versions[-keep:]
+    folders = lambda vs: {p for v in vs for p in snapshot(spark, root, v)["parts"].values()}
+    gone = folders(old) - folders(kept)
     deleted = []
-    for status in fs.listStatus(hroot):
-        m = _VERSION.match(status.getPath().getName())
-        if m and status.isDirectory() and int(m.group(1)) < oldest_kept:
-            fs.delete(status.getPath(), True)
-            deleted.append(str(status.getPath()))
-    return sorted(deleted)
+    for v in old:
+        fs, hpath = _fs(spark, _pointer_path(root, v))
+        fs.delete(hpath, False)
+        deleted.append(_pointer_path(root, v))
+    for p in sorted(gone):
+        fs, hpath = _fs(spark, f"{root.rstrip('/')}/{p}")
+        fs.delete(hpath, True)
+    return deleted
 
 
 def merge_into_snapshot(
@@ -177,8 +226,25 @@ def merge_into_snapshot(
     root: str,
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
-    match_keys: Sequence[str] | None = None,
+    staged_rows: int | None = None,
+    buckets: int = BUCKETS,
 ) -> str:
-    """Upsert ``staging`` into the current snapshot under ``root`` and publish."""
-    target = read_current(staging.sparkSession, root)
-    return publish(upsert(target, staging, keys, columns, match_keys=match_keys), root)
+    """Upsert ``staging`` into the current version under ``root`` and publish.
+
+    ``staging`` is read twice (touched buckets, merge): pass a written table.
+    ``buckets`` counts when the target is first published; later merges keep
+    its number. Choose it so that a bucket's rows fit a few tasks.
+    """
+    spark = staging.sparkSession
+    base = max(snapshot_versions(spark, root), default=0)
+    if not base:
+        return publish(upsert(None, staging, keys, columns), root, keys, 0, buckets)
+    pointer = snapshot(spark, root, base)
+    if pointer["keys"] != list(keys):
+        raise ValueError(f"{root} is keyed on {pointer['keys']}, not on {list(keys)}")
+    buckets = pointer["buckets"]
+    touched = [r[0] for r in _with_bucket(_not_null(staging, keys), keys, buckets).select(_BUCKET).distinct().collect()]  # at most ``buckets`` rows
+    target = _read(spark, root, pointer, touched)
+    merged = _with_bucket(upsert(target, staging, keys, columns, staged_rows=staged_rows), keys, buckets)
+    parts = _write(merged.repartition(F.col(_BUCKET)), root) if touched else {}
+    return _commit(spark, root, base, _pointer(merged, keys, buckets, {**pointer["parts"], **parts}))

@@ -10,7 +10,7 @@ Plan, designed for a lineitem of billions of rows:
    one aggregation by customer yields the order total and the four line totals.
    The per-order sums are one row per order, so ``o_totalprice`` is never
    counted once per line.
-3. customer LEFT JOIN nation (broadcast only behind a row-count check) LEFT
+3. customer LEFT JOIN nation (broadcast by Spark while below its threshold) LEFT
    JOIN the per-customer totals (both sides unique per customer: no skew).
 
 All money is summed as exact integer cents (``money_cents``: fixed-width
@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, aggregate_identifier, cents_to_money, money, money_cents
-from .joins import sized_broadcast
 
 LINE_TOTALS = ("total_net_lineitem", "total_gross_lineitem", "total_discount_lineitem", "total_tax_lineitem")
 
@@ -37,8 +36,6 @@ PROFILE_COLUMNS = (
     "total_discount_lineitem", "total_tax_lineitem", "market_segment", "comment",
 )
 
-NATION_BROADCAST_ROWS = 10_000
-
 
 def lineitem_per_order(lineitem: DataFrame) -> DataFrame:
     """Per-order line sums in cents, aggregated before the shuffle on orderkey.
@@ -98,9 +95,7 @@ def customer_totals(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def customer_country(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Customer LEFT JOIN nation -> (custkey, country)."""
-    nations = sized_broadcast(
-        nation.select(F.col("n_nationkey"), F.col("n_name").alias("country")), NATION_BROADCAST_ROWS
-    )
+    nations = nation.select("n_nationkey", F.col("n_name").alias("country"))
     return customer.join(nations, customer["c_nationkey"] == nations["n_nationkey"], "left").select(
         F.col("c_custkey").alias("custkey"), "country"
     )
@@ -111,9 +106,7 @@ def customer_profile(
 ) -> DataFrame:
     """14-column profile per customer with exact totals (0 when none)."""
     totals = customer_totals(orders, lineitem)
-    nations = sized_broadcast(
-        nation.select("n_nationkey", F.col("n_name").alias("country")), NATION_BROADCAST_ROWS
-    )
+    nations = nation.select("n_nationkey", F.col("n_name").alias("country"))
     with_country = customer.join(nations, customer["c_nationkey"] == nations["n_nationkey"], "left")
     joined = with_country.join(totals, with_country["c_custkey"] == totals["o_custkey"], "left")
     have = {c.lower() for c in customer.columns}

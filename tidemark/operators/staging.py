@@ -73,21 +73,6 @@ def stage_copy(df: DataFrame, table: str) -> DataFrame:
     return df.select([F.col(c).alias(staged_name(c)) for c in present(df, columns)])
 
 
-def partsupp_standin(lineitem: DataFrame) -> DataFrame:
-    """A partsupp source derived from lineitem, for data sets without partsupp.
-
-    One row per (part, supplier) pair seen in lineitem: quantity shipped as
-    availability and the lowest extended price as supply cost. Partial
-    aggregation runs before the shuffle on the pair.
-    """
-    return lineitem.groupBy(
-        F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")
-    ).agg(
-        F.sum("l_quantity").cast("int").alias("ps_availqty"),
-        money(F.min("l_extendedprice")).alias("ps_supplycost"),
-    )
-
-
 def stage_customer_orders(orders: DataFrame) -> DataFrame:
     """Orders with MD5 identifiers for order and customer, exact money, dates."""
     require(orders, ["o_orderkey", "o_custkey"], "orders")

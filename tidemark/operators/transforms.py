@@ -7,13 +7,14 @@ unknown *explicit* name is an error.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
 from .event import encode_events
 
-Transform = Callable[[DataFrame], DataFrame]
+Transform = Callable[..., DataFrame]
 
 
 def identity(df: DataFrame) -> DataFrame:
@@ -22,7 +23,7 @@ def identity(df: DataFrame) -> DataFrame:
 
 TRANSFORMS: dict[str, Transform] = {
     "identity": identity,
-    # Flat profile ⟕ orders rows -> encoded events (e.g. rows joined by a source DB).
+    # Staged rows per customer, or flat profile ⟕ orders rows -> encoded events.
     "customer_event": encode_events,
 }
 
@@ -40,6 +41,12 @@ def get_transform(name: str | None) -> Transform:
         raise KeyError(f"unknown transform {name!r}; known: {sorted(TRANSFORMS)}") from None
 
 
-def apply_transform(df: DataFrame, name: str | None) -> DataFrame:
-    """Look the transform up and apply it with ``DataFrame.transform``."""
-    return df.transform(get_transform(name))
+def apply_transform(df: DataFrame, name: str | None, **options) -> DataFrame:
+    """Look the transform up and apply it with ``DataFrame.transform``.
+
+    ``options`` are the run's values (e.g. ``event_time``); a transform gets
+    those that it names as parameters.
+    """
+    fn = get_transform(name)
+    wanted = {k: v for k, v in options.items() if k in inspect.signature(fn).parameters}
+    return df.transform(fn, **wanted)

@@ -8,10 +8,14 @@ dates and timestamps become ISO text. The oracle SQL (DuckDB dialect)
 restates the reference's staging SQL over the same tables and applies the
 same conversions.
 
-Merge scenarios use whole tables with a natural change criterion: the
-target is an earlier load (rows up to a date, or stale values), the staging
-is what changed since (rows from a later date, or rows touched by recent
-activity); the two overlap, so inserts, updates and untouched rows all occur.
+Merge scenarios split whole tables by a natural criterion: the target is an
+earlier load (rows up to a date or a price, some values stale), the staging
+what came or changed since (rows from a date or price below that on, customers
+with recent orders). The two overlap and neither holds the other, so every
+scenario inserts, updates and keeps rows; a test counts all three.
+
+Job rows run a whole job twice (staging written, merged, published) in the
+shared work folder and read the target back.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import money
 from ..operators.event import (
     ORDER_EVENT_COLUMNS,
     PROFILE_EVENT_COLUMNS,
@@ -30,27 +35,38 @@ from ..operators.event import (
     flatten_nested_events,
     profile_orders,
 )
-from ..operators.merge import dedup_by_key, upsert
+from ..operators.merge import dedup_by_key, read_current, upsert
 from ..operators.profile import (
     customer_country,
     customer_profile,
     lineitem_totals,
     order_totals,
 )
-from ..operators.staging import COPY_KEYS, partsupp_standin, stage_copy, stage_customer_orders
-from ..sources.bounds import chunk_counts
+from ..operators.staging import COPY_KEYS, stage_copy, stage_customer_orders
+from ..session import work_path
+from ..sources.bounds import chunk_counts, key_bounds
 from ..sources.tables import SOURCE_PARTITION_KEYS as _SOURCE_KEYS
 from ..sources.tables import TableSet, present
-from .spec import SPECS, JobOptions
+from .jobs import Run, run_jobs
+from .spec import JOB_ORDER, SPECS, JobOptions
 
-# Check parameters: a fixed event time so event rows repeat, the spec's page size.
+# Check parameter: a fixed event time so event rows repeat.
 CHECK_EVENT_TIME = 1_700_000_000
-ORDERS_PER_EVENT = JobOptions().orders_per_event
 # Scenario dates: the earlier load holds rows before OLD_UNTIL, the change set
 # rows from NEW_FROM (a year of overlap); "recent activity" starts at RECENT_FROM.
 OLD_UNTIL = "1998-01-01"
 NEW_FROM = "1997-01-01"
-RECENT_FROM = "2000-01-01"
+RECENT_FROM = "2001-06-01"
+# The earlier load of events knows the orders of the first half year only, so
+# that many of its customers have none.
+FIRST_ORDERS_UNTIL = "1995-07-01"
+# The earlier loads of tables without a date, and their changes: [key column, below, from].
+SPLITS = {
+    "region": ("name", "F", "AS"), "nation": ("regionkey", 4, 1),
+    "supplier": ("acctbal", 5000.0, 2000.0), "part": ("retailprice", 915.0, 905.0),
+}
+STALE = {"supplier": "acctbal", "part": "retailprice"}
+EARLY_BALANCE = 8000.0
 
 
 def for_check(df: DataFrame) -> DataFrame:
@@ -71,6 +87,21 @@ def for_check(df: DataFrame) -> DataFrame:
     return df.select(cols)
 
 
+def partsupp_standin(lineitem: DataFrame) -> DataFrame:
+    """A partsupp source derived from lineitem, for data sets without partsupp.
+
+    One row per (part, supplier) pair seen in lineitem: quantity shipped as
+    availability and the lowest extended price as supply cost. Partial
+    aggregation runs before the shuffle on the pair.
+    """
+    return lineitem.groupBy(
+        F.col("l_partkey").alias("ps_partkey"), F.col("l_suppkey").alias("ps_suppkey")
+    ).agg(
+        F.sum("l_quantity").cast("int").alias("ps_availqty"),
+        money(F.min("l_extendedprice")).alias("ps_supplycost"),
+    )
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> TableSet:
     return TableSet(spark, sf_dir)
 
@@ -124,14 +155,12 @@ def q_customer_profile(spark, sf_dir):
 
 def q_profile_orders(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return for_check(profile_orders(_profile(t), stage_customer_orders(t["orders"]), ORDERS_PER_EVENT))
+    return for_check(profile_orders(_profile(t), stage_customer_orders(t["orders"])))
 
 
 def _events(t: TableSet, orders: DataFrame | None = None) -> DataFrame:
     o = t["orders"] if orders is None else orders
-    return customer_event(
-        _profile(t, o), stage_customer_orders(o), CHECK_EVENT_TIME, ORDERS_PER_EVENT
-    )
+    return customer_event(_profile(t, o), stage_customer_orders(o), CHECK_EVENT_TIME)
 
 
 def q_customer_event(spark, sf_dir):
@@ -142,7 +171,7 @@ def q_customer_event_nested(spark, sf_dir):
     t = _tables(spark, sf_dir)
     profile = _profile(t)
     orders = stage_customer_orders(t["orders"])
-    events = customer_event_nested(profile, orders, CHECK_EVENT_TIME, ORDERS_PER_EVENT)
+    events = customer_event_nested(profile, orders, CHECK_EVENT_TIME)
     rows = flatten_nested_events(
         events, present(profile, PROFILE_EVENT_COLUMNS), present(orders, ORDER_EVENT_COLUMNS)
     )
@@ -157,18 +186,9 @@ SOURCE_PARTITION_KEYS = tuple(
 
 def q_pk_bounds(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    parts = [
-        t[name].agg(
-            F.lit(name).alias("table_name"),
-            F.min(key).cast("bigint").alias("min_key"),
-            F.max(key).cast("bigint").alias("max_key"),
-        )
-        for name, key in SOURCE_PARTITION_KEYS
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    found = [(name, key_bounds(t[name], key)) for name, key in SOURCE_PARTITION_KEYS]
+    rows = [(name, b and b.lower, b and b.upper) for name, b in found]
+    return spark.createDataFrame(rows, "table_name string, min_key long, max_key long")
 
 
 def q_chunk_counts_orders(spark, sf_dir):
@@ -176,20 +196,29 @@ def q_chunk_counts_orders(spark, sf_dir):
     return chunk_counts(t["orders"], "o_orderkey", SPECS["orders"].read_partitions)
 
 
+def _run(spark: SparkSession, sf_dir: str) -> Run:
+    """A run of the jobs in a fresh work folder; partsupp, absent from the data, is derived from lineitem."""
+    root = work_path(spark)
+    options = JobOptions(event_time=CHECK_EVENT_TIME)
+    standin = partsupp_standin(_tables(spark, sf_dir)["lineitem"])
+    return Run.create(spark, sf_dir, f"{root}/staging", f"{root}/target", options, overrides={"partsupp": standin}, size_for_input=False)
+
+
 def q_load_counts(spark, sf_dir):
-    t = _tables(spark, sf_dir)
-    frames = [(n, t[n]) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")]
-    frames += [
-        ("partsupp", partsupp_standin(t["lineitem"])),
-        ("customer_orders", stage_customer_orders(t["orders"])),
-        ("customer_profile", _profile(t)),
-        ("customer_event", _events(t)),
-    ]
-    parts = [df.agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")) for n, df in frames]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows that each job observed while it wrote its staging (K4)."""
+    rows = [(r.name, r.rows_staged) for r in run_jobs(_run(spark, sf_dir), parallel=4)]
+    return spark.createDataFrame(rows, "table_name string, rows long")
+
+
+def _job(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        run = _run(spark, sf_dir)
+        run_jobs(run, [name])
+        again = Run(spark, run.tables, run.staging_root, run.target_root, options=run.options)
+        run_jobs(again, [name])
+        return for_check(read_current(spark, f"{run.target_root}/{name}"))
+
+    return q
 
 
 def q_upsert_duplicate_keys(spark, sf_dir):
@@ -203,31 +232,26 @@ def _stale(df: DataFrame, column: str, value) -> DataFrame:
     return df.withColumn(column, value.cast(df.schema[column].dataType))
 
 
-def _recent_keys(t: TableSet, column: str) -> DataFrame:
-    li = _from(t["lineitem"], "l_shipdate", RECENT_FROM)
-    return li.select(F.col(column).alias("_k")).distinct()
+def _recent_customers(t: TableSet) -> DataFrame:
+    return _from(t["orders"], "o_orderdate", RECENT_FROM).select(F.col("o_custkey").alias("custkey")).distinct()
 
 
 def merge_scenario(table: str, t: TableSet) -> tuple[DataFrame, DataFrame, tuple[str, ...], list[str] | None]:
     """(target, staging, keys, target columns) of one merge scenario."""
-    if table in ("region", "nation"):
+    if table in SPLITS:
         cur = stage_copy(t[table], table)
-        return _stale(cur, "name", F.lower("name")), cur, COPY_KEYS[table], None
+        by, below, since = SPLITS[table]
+        old = cur.where(F.col(by) < F.lit(below))
+        old = _stale(old, STALE[table], F.lit(0.0)) if table in STALE else _stale(old, "name", F.lower("name"))
+        return old, cur.where(F.col(by) >= F.lit(since)), COPY_KEYS[table], None
     if table == "customer":
         cur = stage_copy(t["customer"], "customer")
-        recent = _from(t["orders"], "o_orderdate", RECENT_FROM).select(F.col("o_custkey").alias("custkey"))
-        changed = cur.join(recent, "custkey", "left_semi")
-        return _stale(cur, "acctbal", F.lit(0.0)), changed, COPY_KEYS["customer"], None
-    if table in ("supplier", "part"):
-        cur = stage_copy(t[table], table)
-        key = COPY_KEYS[table][0]
-        changed = cur.join(_recent_keys(t, f"l_{key}").withColumnRenamed("_k", key), key, "left_semi")
-        measure = "acctbal" if table == "supplier" else "retailprice"
-        return _stale(cur, measure, F.lit(0.0)), changed, COPY_KEYS[table], None
+        old = _stale(cur.where(F.col("acctbal") < EARLY_BALANCE), "acctbal", F.lit(0.0))
+        return old, cur.join(_recent_customers(t), "custkey", "left_semi"), COPY_KEYS["customer"], None
     if table == "partsupp":
         old = stage_copy(partsupp_standin(_before(t["lineitem"], "l_shipdate", OLD_UNTIL)), "partsupp")
-        cur = stage_copy(partsupp_standin(t["lineitem"]), "partsupp")
-        return old, cur, COPY_KEYS["partsupp"], None
+        new = stage_copy(partsupp_standin(_from(t["lineitem"], "l_shipdate", NEW_FROM)), "partsupp")
+        return old, new, COPY_KEYS["partsupp"], None
     if table == "orders":
         old = _stale(stage_copy(_before(t["orders"], "o_orderdate", OLD_UNTIL), "orders"), "orderstatus", F.lit("O"))
         new = stage_copy(_from(t["orders"], "o_orderdate", NEW_FROM), "orders")
@@ -243,14 +267,16 @@ def merge_scenario(table: str, t: TableSet) -> tuple[DataFrame, DataFrame, tuple
         old = stage_customer_orders(_before(t["orders"], "o_orderdate", OLD_UNTIL))
         old = _stale(old, "orderstatus", F.lit("O"))
         new = stage_customer_orders(_from(t["orders"], "o_orderdate", NEW_FROM))
-    elif table == "customer_profile":
-        old = _profile(t, _before(t["orders"], "o_orderdate", OLD_UNTIL))
-        new = _profile(t)
-    elif table == "customer_event":
-        old = _events(t, _before(t["orders"], "o_orderdate", OLD_UNTIL))
-        new = _events(t)
     else:
-        raise KeyError(table)
+        early = t["customer"].where(F.col("c_acctbal") < EARLY_BALANCE).select(F.col("c_custkey").alias("custkey"))
+        if table == "customer_profile":
+            old, new = _profile(t, _before(t["orders"], "o_orderdate", OLD_UNTIL)), _profile(t)
+        elif table == "customer_event":
+            old, new = _events(t, _before(t["orders"], "o_orderdate", FIRST_ORDERS_UNTIL)), _events(t)
+        else:
+            raise KeyError(table)
+        old = old.join(early, "custkey", "left_semi")
+        new = new.join(_recent_customers(t), "custkey", "left_semi")
     old = old.select(spec.target_columns(old))
     return old, new, spec.merge_keys, spec.target_columns(new)
 
@@ -258,8 +284,7 @@ def merge_scenario(table: str, t: TableSet) -> tuple[DataFrame, DataFrame, tuple
 def _upsert_query(table: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         target, staging, keys, columns = merge_scenario(table, _tables(spark, sf_dir))
-        match = SPECS[table].match_keys if table in SPECS else None
-        return for_check(upsert(target, staging, keys, columns, match_keys=match))
+        return for_check(upsert(target, staging, keys, columns))
 
     return q
 
@@ -290,4 +315,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         upsert_duplicate_keys=q_upsert_duplicate_keys,
     )
     qs.update({f"upsert_{t}": _upsert_query(t) for t in UPSERT_TABLES})
+    qs.update({f"job_{t}": _job(t) for t in JOB_ORDER})
     return qs

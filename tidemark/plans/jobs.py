@@ -5,7 +5,8 @@ observed while writing) -> read back (this cuts the lineage; a lost executor
 recomputes from the staging files, not from the sources) -> upsert into the
 target's current snapshot -> publish a new snapshot.
 
-Folders default to the session's shared ``spark.checkpoint.dir``.
+Staging and target folders are named by the caller and must be shared by all
+executors.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.merge import merge_into_snapshot, prune_snapshots
 from ..operators.partitioning import set_shuffle_width
 from ..operators.transforms import apply_transform
-from ..session import input_bytes, size_shuffles, work_path
+from ..session import input_bytes, size_shuffles
 from ..sinks.schemas import JDBC_COLUMN_TYPES, STAGING_SCHEMAS
-from ..sinks.writers import conform, write_jdbc, write_parquet_staging
+from ..sinks.writers import conform, require_not_null, write_jdbc, write_parquet_staging
 from ..sources.jdbc import JdbcEndpoint
-from ..sources.tables import Loader, TableSet
+from ..sources.tables import SOURCE_TABLES, Loader, TableSet
 from .spec import SPECS, JobOptions, TableSpec, ordered
 
 log = logging.getLogger("tidemark.jobs")
@@ -65,8 +66,8 @@ class Run:
         cls,
         spark: SparkSession,
         source_root: str,
-        staging_root: str | None = None,
-        target_root: str | None = None,
+        staging_root: str,
+        target_root: str,
         options: JobOptions | None = None,
         overrides: dict[str, DataFrame] | None = None,
         loader: Loader | None = None,
@@ -78,13 +79,14 @@ class Run:
         ``size_for_input`` the shuffle width is raised to fit the size of the
         parquet sources (``session.size_shuffles``)."""
         if size_for_input and loader is None and source_root:
-            size_shuffles(spark, input_bytes(spark, source_root))
+            read = [t for t in SOURCE_TABLES if t not in (overrides or {})]
+            size_shuffles(spark, input_bytes(spark, *(f"{source_root.rstrip('/')}/{t}.parquet" for t in read)))
         return cls(
             spark=spark,
             tables=TableSet(spark, source_root, overrides, loader),
             staging_endpoint=staging_endpoint,
-            staging_root=staging_root or work_path(spark, "staging"),
-            target_root=target_root or work_path(spark, "target"),
+            staging_root=staging_root,
+            target_root=target_root,
             options=options or JobOptions(),
         )
 
@@ -95,7 +97,9 @@ def staging_name(job: str) -> str:
 
 def staging_dataframe(run: Run, spec: TableSpec) -> DataFrame:
     df = spec.query(run.tables, run.options)
-    return apply_transform(df, spec.transform)
+    df = apply_transform(df, spec.transform, event_time=run.options.event_time)
+    # the derived tables' DDL: key columns are NOT NULL
+    return require_not_null(df, spec.merge_keys)
 
 
 def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:
@@ -113,7 +117,7 @@ def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:
         run.tables = run.tables.with_table(staging_name(name), staged)
     target_root = f"{run.target_root.rstrip('/')}/{name}"
     snapshot = merge_into_snapshot(
-        staged, target_root, spec.merge_keys, spec.target_columns(staged), match_keys=spec.match_keys,
+        staged, target_root, spec.merge_keys, spec.target_columns(staged), staged_rows=rows,
     )
     if run.keep_snapshots:
         prune_snapshots(run.spark, target_root, run.keep_snapshots)
@@ -146,7 +150,7 @@ def export_staging_jdbc(run: Run, name: str, endpoint: JdbcEndpoint, table: str
     )
 
 
-def run_jobs(run: Run, names: list[str] | None = None, parallel: int = 1) -> list[JobResult]:
+def run_jobs(run: Run, names: list[str] | None = None, parallel: int = 1, adjust_shuffle: bool = False) -> list[JobResult]:
     """Run jobs in dependency order (customer_event after profile and orders).
 
     With ``parallel > 1`` up to that many independent jobs are submitted at
@@ -154,10 +158,14 @@ def run_jobs(run: Run, names: list[str] | None = None, parallel: int = 1) -> lis
     ``spark.scheduler.mode=FAIR`` to share executors evenly), so small tables
     do not leave the cluster idle. A job starts only after its dependencies
     have published. Results come back in dependency order either way.
+    ``adjust_shuffle`` sets each job's shuffle width to twice its read
+    partitions (R3); the width is the session's, so jobs then run one by one.
     """
     order = ordered(names)
+    if adjust_shuffle and parallel > 1:
+        raise ValueError("adjust_shuffle sets the session's shuffle width: run the jobs one by one")
     if parallel <= 1:
-        return [run_job(run, n) for n in order]
+        return [run_job(run, n, adjust_shuffle) for n in order]
     done: set[str] = set()
     pending = list(order)
     running = {}

@@ -10,17 +10,20 @@ from __future__ import annotations
 
 from .checks import (
     CHECK_EVENT_TIME,
+    EARLY_BALANCE,
+    FIRST_ORDERS_UNTIL,
     NEW_FROM,
     OLD_UNTIL,
-    ORDERS_PER_EVENT,
     RECENT_FROM,
     SOURCE_PARTITION_KEYS,
+    SPLITS,
+    STALE,
 )
-from .spec import SPECS
+from .spec import JOB_ORDER, SPECS
 
 MONEY = "DECIMAL(15,2)"
 
-# Source columns present in the check data (see FIXTURES.md), reference order.
+# Source columns present in the check data (see FIXTURES.md), reference order.
 PRESENT = {
     "region": ("r_regionkey", "r_name"),
     "nation": ("n_nationkey", "n_name", "n_regionkey"),
@@ -114,57 +117,31 @@ CO_COLUMNS = [
 
 
 def profile_sql(where: str = "") -> str:
-    """The reference's customer_profile staging query, on the present columns."""
-    o_where = where.replace("o_orderdate", "o.o_orderdate")
-    return f"""WITH total_purchase_order AS (
-  SELECT o_custkey, SUM({money('o_totalprice')}) AS total
-    FROM orders {where}
-   GROUP BY o_custkey
-), total_lineitem AS (
-  SELECT o.o_custkey,
-         SUM({money('l.l_extendedprice')} - {money('l.l_discount')} + {money('l.l_tax')}) AS total_net_lineitem,
-         SUM({money('l.l_extendedprice')}) AS total_gross_lineitem,
-         SUM({money('l.l_discount')}) AS total_discount_lineitem,
-         SUM({money('l.l_tax')}) AS total_tax_lineitem
-    FROM lineitem l
-    JOIN orders o ON o.o_orderkey = l.l_orderkey
-   {o_where}
-   GROUP BY o.o_custkey
-)
-SELECT c.c_custkey AS custkey,
-       {agg_id('c.c_custkey')} AS customer_aggregate_identifier,
-       c.c_name AS name,
-       n.n_name AS country,
-       {money('c.c_acctbal')} AS account_balance,
-       {money('COALESCE(t.total, 0)')} AS total_purchase_order,
-       {money('COALESCE(l.total_net_lineitem, 0)')} AS total_net_lineitem,
-       {money('COALESCE(l.total_gross_lineitem, 0)')} AS total_gross_lineitem,
-       {money('COALESCE(l.total_discount_lineitem, 0)')} AS total_discount_lineitem,
-       {money('COALESCE(l.total_tax_lineitem, 0)')} AS total_tax_lineitem,
-       c.c_mktsegment AS market_segment
-  FROM customer c
-  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-  LEFT JOIN total_purchase_order t ON c.c_custkey = t.o_custkey
-  LEFT JOIN total_lineitem l ON c.c_custkey = l.o_custkey"""
+    """The profile by its meaning: lines summed per order, orders (with their
+    lines' sums) per customer, one row per customer with zeros where none."""
+    lines = ", ".join(
+        f"SUM({e}) AS {n}"
+        for n, e in (("gross", money("l_extendedprice")), ("discount", money("l_discount")), ("tax", money("l_tax")))
+    )
+    per_order = f"SELECT l_orderkey, {lines} FROM lineitem GROUP BY l_orderkey"
+    owned = f"SELECT o_orderkey, o_custkey, {money('o_totalprice')} AS price FROM orders {where}"
+    spent = (
+        "SELECT o_custkey, SUM(price) AS bought, SUM(gross) AS gross, SUM(discount) AS discount, SUM(tax) AS tax "
+        f"FROM ({owned}) own LEFT JOIN ({per_order}) line ON o_orderkey = l_orderkey GROUP BY o_custkey"
+    )
+    zero = lambda e: money(f"COALESCE({e}, 0)")
+    return f"""SELECT c_custkey AS custkey, {agg_id('c_custkey')} AS customer_aggregate_identifier, c_name AS name,
+       (SELECT min(n_name) FROM nation WHERE n_nationkey = c_nationkey) AS country,
+       {money('c_acctbal')} AS account_balance, {zero('bought')} AS total_purchase_order,
+       {zero('gross - discount + tax')} AS total_net_lineitem, {zero('gross')} AS total_gross_lineitem,
+       {zero('discount')} AS total_discount_lineitem, {zero('tax')} AS total_tax_lineitem,
+       c_mktsegment AS market_segment
+  FROM customer LEFT JOIN ({spent}) spent ON o_custkey = c_custkey"""
 
 
 PROFILE_COLUMNS = ["custkey", "customer_aggregate_identifier", "name", "country", "account_balance", *TOTALS, "market_segment"]
 
 
-def paged_orders_sql(co: str) -> str:
-    """Orders with their event page: customers above the page size are split
-    by the leading 32 bits of the order identifier."""
-    k = ORDERS_PER_EVENT
-    return f"""WITH co AS ({co}),
-cnt AS (SELECT customer_aggregate_identifier, count(*) AS order_count FROM co GROUP BY customer_aggregate_identifier)
-SELECT co.*,
-       CAST(CASE WHEN cnt.order_count > {k}
-            THEN ('0x' || substr(hex(co.order_aggregate_identifier), 1, 8))::BIGINT
-                 % CAST(ceil(cnt.order_count / {k}) AS BIGINT)
-            ELSE 0 END AS INTEGER) AS event_page
-  FROM co JOIN cnt ON co.customer_aggregate_identifier = cnt.customer_aggregate_identifier"""
-
-
 P11_PROFILE = ["name", "country", "account_balance", *TOTALS, "market_segment"]
 P11_ORDER = ["orderstatus", "totalprice", "orderdate", "orderpriority"]
 
@@ -173,10 +150,9 @@ def profile_orders_sql(where: str = "") -> str:
     """Profile LEFT JOIN customer orders on the customer identifier."""
     prof = ", ".join(f"cp.{c}" for c in P11_PROFILE)
     ords = ", ".join(f"p.{c}" for c in P11_ORDER)
-    return f"""SELECT cp.customer_aggregate_identifier, p.order_aggregate_identifier, cp.custkey, {prof}, {ords},
-       COALESCE(p.event_page, 0) AS event_page
+    return f"""SELECT cp.customer_aggregate_identifier, p.order_aggregate_identifier, cp.custkey, {prof}, {ords}
   FROM ({profile_sql(where)}) cp
-  LEFT JOIN ({paged_orders_sql(customer_orders_sql(where))}) p
+  LEFT JOIN ({customer_orders_sql(where)}) p
     ON cp.customer_aggregate_identifier = p.customer_aggregate_identifier"""
 
 
@@ -211,21 +187,21 @@ PROFILE_JSON = [
 
 def events_sql(where: str = "") -> str:
     """Encoded events with the reference's double JSON encoding."""
-    group = ", ".join(["customer_aggregate_identifier", "custkey", *P11_PROFILE, "event_page"])
+    group = ", ".join(["customer_aggregate_identifier", "custkey", *P11_PROFILE])
     return f"""WITH r AS ({profile_orders_sql(where)}),
 o AS (SELECT r.*, {_jobject(ORDER_JSON)} AS otext FROM r),
 l AS (SELECT {group},
              CAST(to_json(list(otext ORDER BY order_aggregate_identifier NULLS FIRST, otext)) AS VARCHAR) AS customer_order
         FROM o GROUP BY {group}),
 p AS (SELECT l.*, {_jobject(PROFILE_JSON)} AS ptext FROM l)
-SELECT customer_aggregate_identifier, custkey, event_page,
+SELECT customer_aggregate_identifier, custkey,
        CAST(to_json(list(ptext ORDER BY ptext)) AS VARCHAR) AS event_parameters,
        'MigEvent' AS event_type,
        CAST({CHECK_EVENT_TIME} AS BIGINT) AS event_timestamp
-  FROM p GROUP BY customer_aggregate_identifier, custkey, event_page"""
+  FROM p GROUP BY customer_aggregate_identifier, custkey"""
 
 
-EVENT_COLUMNS = ["customer_aggregate_identifier", "custkey", "event_page", "event_parameters", "event_type", "event_timestamp"]
+EVENT_COLUMNS = ["customer_aggregate_identifier", "custkey", "event_parameters", "event_type", "event_timestamp"]
 
 
 def nested_flat_sql() -> str:
@@ -247,9 +223,9 @@ def dedup_sql(sql: str, keys: list[str], columns: list[str]) -> str:
     )
 
 
-def upsert_sql(target: str, staging: str, keys: list[str], columns: list[str], match_keys: list[str] | None = None) -> str:
+def upsert_sql(target: str, staging: str, keys: list[str], columns: list[str]) -> str:
     cols = ", ".join(columns)
-    match = " AND ".join(f"s.{k} = t.{k}" for k in (match_keys or keys))
+    match = " AND ".join(f"s.{k} = t.{k}" for k in keys)
     return f"""WITH tgt AS ({target}), stg AS ({dedup_sql(staging, keys, columns)})
 SELECT {cols} FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM stg s WHERE {match})
 UNION ALL
@@ -273,26 +249,30 @@ def _only(sql: str, columns: list[str]) -> str:
     return f"SELECT {', '.join(columns)} FROM ({sql}) x"
 
 
+RECENT = f"(SELECT o_custkey FROM orders WHERE o_orderdate >= DATE '{RECENT_FROM}')"
+EARLY = f"(SELECT c_custkey FROM customer WHERE c_acctbal < {EARLY_BALANCE})"
+
+
+def _where(sql: str, condition: str) -> str:
+    return f"SELECT * FROM ({sql}) w WHERE {condition}"
+
+
 def upsert_scenario_sql(table: str) -> str:
-    recent = f"DATE '{RECENT_FROM}'"
-    if table in ("region", "nation"):
+    if table in SPLITS:
         cur = copy_sql(table)
-        cols = copy_columns(table)
-        sql = upsert_sql(_replace(cur, name="lower(name)"), cur, ["regionkey" if table == "region" else "nationkey"], cols)
-        return present_sql(sql, {})
+        by, below, since = SPLITS[table]
+        text = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+        stale = {STALE[table]: "CAST(0.0 AS DOUBLE)"} if table in STALE else {"name": "lower(name)"}
+        old = _replace(_where(cur, f"{by} < {text(below)}"), **stale)
+        key = copy_columns(table)[0]
+        return upsert_sql(old, _where(cur, f"{by} >= {text(since)}"), [key], copy_columns(table))
     if table == "customer":
         cur = copy_sql("customer")
-        changed = f"SELECT * FROM ({cur}) c WHERE custkey IN (SELECT o_custkey FROM orders WHERE o_orderdate >= {recent})"
-        return upsert_sql(_replace(cur, acctbal="CAST(0.0 AS DOUBLE)"), changed, ["custkey"], copy_columns("customer"))
-    if table in ("supplier", "part"):
-        cur = copy_sql(table)
-        key = "suppkey" if table == "supplier" else "partkey"
-        measure = "acctbal" if table == "supplier" else "retailprice"
-        changed = f"SELECT * FROM ({cur}) c WHERE {key} IN (SELECT l_{key} FROM lineitem WHERE l_shipdate >= {recent})"
-        return upsert_sql(_replace(cur, **{measure: "CAST(0.0 AS DOUBLE)"}), changed, [key], copy_columns(table))
+        old = _replace(_where(cur, f"acctbal < {EARLY_BALANCE}"), acctbal="CAST(0.0 AS DOUBLE)")
+        return upsert_sql(old, _where(cur, f"custkey IN {RECENT}"), ["custkey"], copy_columns("customer"))
     if table == "partsupp":
         sql = upsert_sql(
-            standin_sql(_before("l_shipdate")), standin_sql(), ["partkey", "suppkey"], copy_columns("partsupp")
+            standin_sql(_before("l_shipdate")), standin_sql(_from("l_shipdate")), ["partkey", "suppkey"], copy_columns("partsupp")
         )
         return present_sql(sql, COPY_KINDS["partsupp"])
     if table == "orders":
@@ -313,18 +293,18 @@ def upsert_scenario_sql(table: str) -> str:
         kinds = CO_KINDS
     elif table == "customer_profile":
         cols = [c for c in PROFILE_COLUMNS if c not in spec.target_drops]
-        old = _only(profile_sql(_before("o_orderdate")), cols)
-        new = profile_sql()
+        old = _only(_where(profile_sql(_before("o_orderdate")), f"custkey IN {EARLY}"), cols)
+        new = _where(profile_sql(), f"custkey IN {RECENT}")
         kinds = PROFILE_KINDS
     elif table == "customer_event":
         cols = [c for c in EVENT_COLUMNS if c not in spec.target_drops]
-        old = _only(events_sql(_before("o_orderdate")), cols)
-        new = events_sql()
+        first = f"WHERE o_orderdate < DATE '{FIRST_ORDERS_UNTIL}'"
+        old = _only(_where(events_sql(first), f"custkey IN {EARLY}"), cols)
+        new = _where(events_sql(), f"custkey IN {RECENT}")
         kinds = EVENT_KINDS
     else:
         raise KeyError(table)
-    match = list(spec.match_keys) if spec.match_keys else None
-    return present_sql(upsert_sql(old, new, list(spec.merge_keys), cols, match), kinds)
+    return present_sql(upsert_sql(old, new, list(spec.merge_keys), cols), kinds)
 
 
 def _union(parts: list[str]) -> str:
@@ -343,6 +323,21 @@ SELECT CAST(COALESCE(least((SELECT n FROM s) - 1,
  GROUP BY 1"""
 
 
+def job_sql(table: str) -> str:
+    """A job's target after its first (and any further) run: staging, one row a key, target columns."""
+    spec = SPECS[table]
+    staged, columns, kinds = {
+        "customer_orders": (customer_orders_sql(), CO_COLUMNS, CO_KINDS),
+        "customer_profile": (profile_sql(), PROFILE_COLUMNS, PROFILE_KINDS),
+        "customer_event": (events_sql(), EVENT_COLUMNS, EVENT_KINDS),
+    }.get(table) or (
+        standin_sql() if table == "partsupp" else copy_sql(table), copy_columns(table), COPY_KINDS.get(table, {})
+    )
+    kept = [c for c in columns if c not in spec.target_drops]
+    kinds = {c: k for c, k in kinds.items() if c in kept}
+    return present_sql(dedup_sql(staged, list(spec.merge_keys), kept), kinds)
+
+
 def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
     for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
@@ -396,4 +391,6 @@ def oracle_sql() -> dict[str, str]:
         "customer_orders", "customer_profile", "customer_event",
     ):
         sql[f"upsert_{t}"] = upsert_scenario_sql(t)
+    for t in JOB_ORDER:
+        sql[f"job_{t}"] = job_sql(t)
     return sql

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from ..operators.event import customer_event
+from ..operators.event import event_rows
 from ..operators.profile import customer_profile
 from ..operators.staging import COPY_KEYS, stage_copy, stage_customer_orders
 
@@ -25,7 +25,6 @@ class JobOptions:
     """Per-run values: a fixed event time makes reruns repeat."""
 
     event_time: int | None = None
-    orders_per_event: int = 10_000
 
 
 @dataclass(frozen=True)
@@ -36,14 +35,10 @@ class TableSpec:
     merge_keys: tuple[str, ...]
     target_drops: tuple[str, ...] = ()
     transform: str | None = None
-    transform_key: str | None = None
     read_partitions: int = 50
     write_partitions: int = 20
     batch_size: int = 1000
     depends_on: tuple[str, ...] = field(default=())
-    # Target rows sharing these keys with staging are replaced as a set
-    # (default: the merge keys).
-    match_keys: tuple[str, ...] | None = None
 
     def target_columns(self, staged: DataFrame) -> list[str]:
         """The staging columns the target keeps."""
@@ -62,11 +57,10 @@ def _customer_profile(t: Mapping[str, DataFrame], _opts: JobOptions) -> DataFram
     return customer_profile(t["customer"], t["nation"], t["orders"], t["lineitem"])
 
 
-def _customer_event(t: Mapping[str, DataFrame], opts: JobOptions) -> DataFrame:
-    # Reads the staging outputs of customer_profile and customer_orders.
-    return customer_event(
-        t["staging.customer_profile"], t["staging.customer_orders"], opts.event_time, opts.orders_per_event
-    )
+def _customer_event(t: Mapping[str, DataFrame], _opts: JobOptions) -> DataFrame:
+    # Reads the staging outputs of customer_profile and customer_orders; the
+    # job's transform encodes the rows.
+    return event_rows(t["staging.customer_profile"], t["staging.customer_orders"])
 
 
 # Partition keys and tuning values of the reference's job configs.
@@ -112,10 +106,9 @@ SPECS: dict[str, TableSpec] = {
         name="customer_event",
         query=_customer_event,
         partition_key="custkey",
-        merge_keys=("customer_aggregate_identifier", "event_page"),
-        match_keys=("customer_aggregate_identifier",),
+        merge_keys=("customer_aggregate_identifier",),
         target_drops=("custkey",),
-        transform_key="customer_aggregate_identifier",
+        transform="customer_event",
         read_partitions=500,
         write_partitions=50,
         batch_size=10_000,

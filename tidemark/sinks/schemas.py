@@ -3,8 +3,7 @@
 Fixed values: column names and types of the reference's DDL, with the
 primary key named after the existing identifier column. Integer keys are
 ``bigint`` (TPC-H keys outgrow INT at large scale factors) and the event
-timestamp is ``bigint`` epoch seconds. ``event_page`` is ours: a customer
-whose orders exceed one event's capacity gets several events.
+timestamp is ``bigint`` epoch seconds.
 """
 
 from __future__ import annotations
@@ -52,14 +51,13 @@ CUSTOMER_PROFILE_TARGET = T.StructType(CUSTOMER_PROFILE_STAGING.fields[1:])
 
 CUSTOMER_EVENT_STAGING = _schema(
     ("customer_aggregate_identifier", T.BinaryType()),
-    ("event_page", T.IntegerType()),
     ("event_type", T.StringType()),
     ("event_timestamp", T.LongType()),
     ("event_parameters", T.StringType()),
 )
 CUSTOMER_EVENT_TARGET = CUSTOMER_EVENT_STAGING
 
-# JDBC column types for tables Spark creates (``createTableColumnTypes``).
+# JDBC column types for tables Spark creates (``createTableColumnTypes``).
 JDBC_COLUMN_TYPES = {
     "customer_orders": "orderstatus VARCHAR(2), orderpriority VARCHAR(10), clerk VARCHAR(50), "
     "shippriority VARCHAR(10), comment VARCHAR(200)",

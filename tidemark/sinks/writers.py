@@ -38,6 +38,13 @@ def write_parquet_staging(df: DataFrame, path: str, max_records_per_file: int |
     return int(obs.get["rows"])
 
 
+def require_not_null(df: DataFrame, columns) -> DataFrame:
+    """K5: the DDL's NOT NULL columns: a NULL fails the load instead of passing silently."""
+    return df.withColumns(
+        {c: F.coalesce(F.col(c), F.raise_error(F.lit(f"NULL in NOT NULL column {c}")).cast(df.schema[c].dataType)) for c in columns}
+    )
+
+
 def write_jdbc(
     df: DataFrame,
     endpoint: JdbcEndpoint,

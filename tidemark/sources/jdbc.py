@@ -159,7 +159,7 @@ def jdbc_loader(
     def load(name: str) -> DataFrame:
         table = f"{schema}.{name}" if schema else name
         if name not in keys:
-            return read_jdbc_table(spark, endpoint, table)
+            raise KeyError(f"no partition key known for {name}: one connection would read all of it; name one in ``keys``")
         if chunk_rows:
             return read_jdbc_chunked(spark, endpoint, f"SELECT * FROM {table}", keys[name], chunk_rows)
         return read_jdbc_query(spark, endpoint, f"SELECT * FROM {table}", keys[name], partitions)
