@@ -1,11 +1,10 @@
-"""Print the physical plans of the headline operators as they run at scale.
+"""Print the physical plans of headline check queries as they run at scale.
 
 Usage: python scripts/show_plans.py [sf_dir]
 
-Large inputs are simulated: automatic broadcasts are off (a big side would
-exceed the threshold) and small-input spreading is off (big sources have
-enough splits). Only the explicit, size-checked broadcasts remain. Prints the
-tree part of ``explain("formatted")`` for each plan.
+The plans are those of the registered queries themselves. Large inputs are
+simulated by switching automatic broadcasts off (a big side would exceed the
+threshold). Prints the tree part of ``explain("formatted")`` for each plan.
 """
 
 from __future__ import annotations
@@ -17,12 +16,10 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidemark.operators.event import customer_event  # noqa: E402
-from tidemark.operators.merge import upsert  # noqa: E402
-from tidemark.operators.profile import customer_profile  # noqa: E402
-from tidemark.operators.staging import COPY_KEYS, stage_copy, stage_customer_orders  # noqa: E402
+from tidemark.plans.checks import queries  # noqa: E402
 from tidemark.session import local_session  # noqa: E402
-from tidemark.sources.tables import TableSet  # noqa: E402
+
+NAMES = ("customer_profile", "profile_orders", "customer_event", "upsert_lineitem")
 
 
 def tree(df) -> str:
@@ -36,24 +33,8 @@ def tree(df) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1"})
-    t = TableSet(spark, sf_dir)
-    profile = customer_profile(t["customer"], t["nation"], t["orders"], t["lineitem"])
-    orders = stage_customer_orders(t["orders"])
-    li = stage_copy(t["lineitem"], "lineitem")
-    target = li.where("shipdate < DATE '1998-01-01'")
-    delta = li.where("shipdate >= DATE '2001-01-01'")
-    plans = {
-        "customer_profile (W10)": profile,
-        "customer_event (W11)": customer_event(profile, orders, event_time=1),
-        "upsert lineitem: small delta into a large target (U9, U13)": upsert(
-            target, delta, COPY_KEYS["lineitem"], staged_rows=1000
-        ),
-        "upsert lineitem: delta above the key broadcast limit": upsert(
-            target, delta, COPY_KEYS["lineitem"],
-        ),
-    }
-    for name, df in plans.items():
-        print(f"### {name}\n\n```\n{tree(df)}\n```\n")
+    for name in NAMES:
+        print(f"### {name}\n\n```\n{tree(queries()[name](spark, sf_dir))}\n```\n")
 
 
 if __name__ == "__main__":

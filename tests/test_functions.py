@@ -7,7 +7,6 @@ from tidemark.functions import (
     aggregate_identifier,
     bit64_text,
     cents_to_money,
-    identifier_bucket,
     identifier_hex,
     money_cents,
 )
@@ -59,14 +58,6 @@ def test_cents_to_money_round_trip(spark):
     assert got == [Decimal("99.97"), Decimal("-0.05"), Decimal("0.00")]
 
 
-def test_identifier_bucket_in_range(spark):
-    df = spark.range(0, 2000).select(aggregate_identifier("id").alias("i"))
-    buckets = [r[0] for r in df.select(identifier_bucket("i", 7)).collect()]
-    assert set(buckets) == set(range(7))
-    # uniform enough: no bucket gets more than twice its share
-    assert max(buckets.count(b) for b in range(7)) < 2 * 2000 / 7
-
-
 def test_size_shuffles_only_raises(spark):
     from tidemark.session import input_bytes, size_shuffles
 

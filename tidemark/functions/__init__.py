@@ -6,7 +6,6 @@ from .expressions import (
     bit64_text,
     cents_to_money,
     day,
-    identifier_bucket,
     identifier_hex,
     money,
     money_cents,
@@ -18,7 +17,6 @@ __all__ = [
     "bit64_text",
     "cents_to_money",
     "day",
-    "identifier_bucket",
     "identifier_hex",
     "money",
     "money_cents",

@@ -67,15 +67,3 @@ def cents_to_money(c: Column | str) -> Column:
 def day(c: Column | str) -> Column:
     """Calendar date of a date or timestamp column."""
     return _col(c).cast("date")
-
-
-def identifier_bucket(identifier: Column | str, buckets: Column | str | int) -> Column:
-    """Uniform bucket in ``[0, buckets)`` from the first 4 bytes of an MD5 identifier.
-
-    The identifier is already a uniform hash, so its leading 32 bits spread a
-    hot customer's orders evenly over the buckets. Portable: any SQL engine
-    with ``hex`` and base-16 parsing computes the same bucket.
-    """
-    lead = F.conv(F.substring(F.hex(_col(identifier)), 1, 8), 16, 10).cast("bigint")
-    n = F.lit(buckets) if isinstance(buckets, int) else _col(buckets)
-    return F.pmod(lead, n.cast("bigint"))
