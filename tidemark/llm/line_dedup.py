@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, packed
+from .common import col, packed, written
 
 _EDGE = " \t\r"
 
@@ -66,11 +66,12 @@ def drop_boilerplate(
     """``row`` (the input row as a struct), ``clean_text``, ``n_lines``, ``n_dropped``.
 
     ``min_pages`` is the least number of pages a line must repeat on, so that a
-    host with one or two pages is not emptied. The per-host lists join to the
-    pages on the host: broadcast by AQE while small, else a sort-merge join
-    whose hot host AQE splits on the page side.
+    host with one or two pages is not emptied. The per-host lists are written
+    first, so their size is known when the pages are joined: while below Spark's
+    broadcast threshold they are sent to the pages, which are then not shuffled;
+    beyond it a sort-merge join whose hot host AQE splits on the page side.
     """
-    listed = boilerplate_lines(docs, host, text, ratio, min_pages)
+    listed = written(boilerplate_lines(docs, host, text, ratio, min_pages), "boilerplate")
     base = docs.select(packed(docs).alias("row"), _host_key(col(host)).alias("host_key"), col(text).alias("text"))
     joined = base.join(listed, "host_key", "left").withColumn("all_lines", _lines(F.col("text")))
     kept = F.when(F.col("lines").isNull(), F.col("all_lines")).otherwise(
