@@ -60,8 +60,8 @@ def _marginal(cells: DataFrame, dim: str, alpha: float, given: Mapping[str, floa
         per = per.select(dim, "t", F.coalesce(F.element_at(shares, F.col(dim)), F.lit(0.0)).alias("share"))
     else:
         per = per.select(dim, "t", F.pow(F.col("t").cast("double"), F.lit(alpha)).alias("share"))
-    total = per.agg(F.sum("t").alias("all_t"), F.sum("share").alias("all_share"))
-    return per.join(F.broadcast(total)).select(dim, (F.col("share") / F.col("all_share") * F.col("all_t")).alias("target"))
+    all_t, all_share = per.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("share"), F.lit(0.0))).first()  # two numbers
+    return per.select(dim, (F.col("share") / F.lit(all_share or 1.0) * F.lit(all_t)).alias("target"))
 
 
 def rake(
