@@ -10,12 +10,10 @@ similarity; 16 bands of 4 make candidates (0.9998 found at similarity 0.8).
 
 Candidates are verified by exact weighted Jaccard >= 0.8 of whole texts:
 first every member of a band bucket against the bucket's smallest member (a
-star, linear in the bucket), then connected components, then the buckets that
-still hold more than one component once more against their largest member, and
-at last the members that are still outside their bucket's first component
-against all its members, in tiles that return only joining links. So no link
-between different components of a bucket is lost, and no pairs of a bucket are
-emitted.
+star, linear in the bucket), then connected components, then the members that
+are still outside their bucket's first component against all its members, in
+tiles that return only joining links. So no link between different components
+of a bucket is lost, and no pairs of a bucket are emitted.
 
 Defined cases: equal texts are one class whatever their length; null texts are
 each a class of their own; texts of fewer than five words have no shingle and
@@ -305,14 +303,6 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
 
     links = written(links, "links")
     comp = components(links)
-    # once more from each unsettled bucket's largest member: linear again, and few texts stay apart
-    apart = _apart(in_bucket, comp)
-    last = apart.groupBy("bucket").agg(F.max("key").alias("centre"), F.max_by("comp", "key").alias("centre_comp"))
-    star = apart.join(last, "bucket").filter("key != centre and comp != centre_comp").select("centre", "key").distinct()
-    star = written(star.join(tested.select("centre", "key"), ["centre", "key"], "left_anti"), "star2")
-    more = similarities(spark, star, own, idf).filter(F.col("similarity") >= threshold)
-    links = written(links.unionByName(more.select(F.col("centre").alias("a"), F.col("key").alias("b"))), "links")
-    comp = components(links)
     rest = _tile_links(spark, _apart(in_bucket, comp), own, idf, threshold)
     comp = components(links.unionByName(written(rest, "tiles")))
 
