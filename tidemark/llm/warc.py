@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer, and a reader of its archives.
 
 Records are sorted by id and cut into shards by id ranges of about
-``SHARD_BYTES`` of payload. The bounds come from the ids whose hash falls into
+``SHARD_BYTES`` of payload (more where that would make over ``MAX_SHARDS``). The bounds come from the ids whose hash falls into
 a class chosen from the row count, so they depend on the records alone: the
 same records give the same files on any cluster and after any retry. A shard
 is one task's sorted stream; it rolls to a new file when the compressed size
@@ -47,6 +47,7 @@ from .common import col, shared_path, ship_package
 REVISIT_BYTES = 1000
 SHARD_BYTES = 32 << 20
 FILE_BYTES = 4 << 20
+MAX_SHARDS = 4096  # beyond this many the shards grow instead: a row's shard is looked up among their bounds
 DATE = "2024-01-01T00:00:00Z"
 _SAMPLE = 16_384  # ids looked at for the bounds, in the mean
 _MANIFEST = "shard int, seq int, temporary string, name string, records long, bytes long, sha1 string"
@@ -138,7 +139,7 @@ def write_warc(
     # the largest id of each repeated payload: counted without the payloads, combined before the shuffle
     first = rows.filter(large).groupBy("sha1").agg(F.max("page_id").alias("response_id"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").drop("copies")
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0))).first()
-    shards = max(1, -(-size // shard_bytes))
+    shards = min(MAX_SHARDS, max(1, -(-size // shard_bytes)))
     bounds = _bounds(rows, shards, n)
     edges = F.array(*[F.lit(int(b)) for b in bounds]) if len(bounds) else F.array().cast("array<bigint>")
     shard = F.when(F.col("page_id").isNull(), 0).otherwise(F.size(F.filter(edges, lambda b: b <= F.col("page_id"))))
