@@ -138,3 +138,13 @@ def test_transform_gets_the_options_it_names(spark):
 
     register("stamp", lambda d, event_time=None: d.selectExpr("id", f"{event_time} AS t"))
     assert apply_transform(spark.range(1), "stamp", event_time=7, other=1).first()["t"] == 7
+
+
+def test_customer_without_a_nation_fails_the_load(spark, tmp_root):
+    from tidemark.plans.jobs import run_job
+    from tidemark.sources.tables import read_table
+
+    none = read_table(spark, SF_SMALL, "nation").limit(0)
+    run = Run.create(spark, SF_SMALL, f"{tmp_root}/s", f"{tmp_root}/t", JobOptions(event_time=1), overrides={"nation": none})
+    with pytest.raises(Exception, match="NOT NULL column country"):
+        run_job(run, "customer_profile")

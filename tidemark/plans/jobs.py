@@ -24,10 +24,10 @@ from ..operators.merge import merge_into_snapshot, prune_snapshots
 from ..operators.partitioning import set_shuffle_width
 from ..operators.transforms import apply_transform
 from ..session import input_bytes, size_shuffles
-from ..sinks.schemas import JDBC_COLUMN_TYPES, STAGING_SCHEMAS
+from ..sinks.schemas import JDBC_COLUMN_TYPES, NOT_NULL, STAGING_SCHEMAS
 from ..sinks.writers import conform, require_not_null, write_jdbc, write_parquet_staging
 from ..sources.jdbc import JdbcEndpoint
-from ..sources.tables import SOURCE_TABLES, Loader, TableSet
+from ..sources.tables import SOURCE_TABLES, Loader, TableSet, present
 from .spec import SPECS, JobOptions, TableSpec, ordered
 
 log = logging.getLogger("tidemark.jobs")
@@ -98,8 +98,8 @@ def staging_name(job: str) -> str:
 def staging_dataframe(run: Run, spec: TableSpec) -> DataFrame:
     df = spec.query(run.tables, run.options)
     df = apply_transform(df, spec.transform, event_time=run.options.event_time)
-    # the derived tables' DDL: key columns are NOT NULL
-    return require_not_null(df, spec.merge_keys)
+    # the DDL's NOT NULL: all columns of a derived table that the source gives, a copied table's keys
+    return require_not_null(df, present(df, NOT_NULL.get(spec.name, spec.merge_keys)))
 
 
 def run_job(run: Run, name: str, adjust_shuffle: bool = False) -> JobResult:

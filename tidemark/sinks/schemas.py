@@ -71,3 +71,8 @@ STAGING_SCHEMAS = {
     "customer_profile": CUSTOMER_PROFILE_STAGING,
     "customer_event": CUSTOMER_EVENT_STAGING,
 }
+
+# The DDL declares every column of the derived tables NOT NULL but the event's document.
+NOT_NULL = {
+    name: tuple(f.name for f in schema.fields if f.name != "event_parameters") for name, schema in STAGING_SCHEMAS.items()
+}
