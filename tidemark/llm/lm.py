@@ -45,7 +45,8 @@ from pyspark.sql import functions as F
 from . import tokens
 from .common import col, ship_package, written
 
-BLOCK = 6 << 20
+BLOCK = 4 << 20
+STRETCH = 200_000  # tokens scored at a time
 FILTER_BITS = 28
 PROBES = 4
 DISCOUNT = 0.75
@@ -295,29 +296,33 @@ def _score(shared, n: int, v: int, starts: int):
                 words, total = words[order], total[order]
                 p0 = (total + 0.1) / (n + 0.1 * (v + 1))
                 first = np.cumsum(lens) - lens
-                w = number.astype(np.int64)
                 # contexts: the text's start is the word END in the model's pairs, seen once a training text
                 end = int(np.searchsorted(words, END))
-                u = np.empty_like(w)
-                u[1:] = w[:-1]
-                u[first] = end
                 seen = total.copy()
                 seen[end] = starts
                 segment = _bucket_of(words, model.bits)
                 u32 = (words << np.uint64(16)) >> np.uint64(32)
                 left = model.level(segment, context_key(u32), 16)
                 share = np.where((left > 0) & (seen > 0), (left - 0.5) / 15, 1.0).clip(0, 1)
-                p = share[u] * p0[w]
-                try_ = np.flatnonzero((left > 0)[u])
-                key = tokens.mix((u32[u[try_]] << np.uint64(32)) | (words[w[try_]] >> np.uint64(32)))
-                c = restored(model.level(segment[u[try_]], key, 80))
-                p[try_] += np.maximum(c - DISCOUNT, 0) / np.maximum(seen[u[try_]], 1)
-                add = lambda x: np.add.reduceat(x, first)
+                log_p0 = np.log10(p0)
+                known, base, score = np.zeros(len(lens), np.int64), np.zeros(len(lens)), np.zeros(len(lens))
+                cut = np.unique(np.append(np.searchsorted(first, np.arange(0, len(number), STRETCH)), len(lens)))
+                for lo, hi in zip(cut[:-1], cut[1:]):  # whole texts, some tokens at a time
+                    at = first[lo:hi] - first[lo]
+                    w = number[first[lo] : first[hi - 1] + lens[hi - 1]].astype(np.int64)
+                    u = np.empty_like(w)
+                    u[1:] = w[:-1]
+                    u[at] = end
+                    p = share[u] * p0[w]
+                    try_ = np.flatnonzero((left > 0)[u])
+                    key = tokens.mix((u32[u[try_]] << np.uint64(32)) | (words[w[try_]] >> np.uint64(32)))
+                    c = restored(model.level(segment[u[try_]], key, 80))
+                    p[try_] += np.maximum(c - DISCOUNT, 0) / np.maximum(seen[u[try_]], 1)
+                    known[lo:hi] = np.add.reduceat((total > 0)[w].astype(np.int64), at)
+                    base[lo:hi] = np.add.reduceat(log_p0[w], at)
+                    score[lo:hi] = np.add.reduceat(np.log10(np.minimum(p, 1.0)), at)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        ids, held, pa.array(lens), pa.array(add((total > 0)[w].astype(np.int64))), pa.array(np.full(len(lens), n)),
-                        pa.array(add(np.log10(p0)[w])), pa.array(add(np.log10(np.minimum(p, 1.0)))),
-                    ],
+                    [ids, held, pa.array(lens), pa.array(known), pa.array(np.full(len(lens), n)), pa.array(base), pa.array(score)],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 
