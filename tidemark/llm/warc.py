@@ -143,17 +143,28 @@ def write_warc(
     bounds = _bounds(rows, shards, n)
     edges = F.array(*[F.lit(int(b)) for b in bounds]) if len(bounds) else F.array().cast("array<bigint>")
     shard = F.when(F.col("page_id").isNull(), 0).otherwise(F.size(F.filter(edges, lambda b: b <= F.col("page_id"))))
-    marked = rows.join(first, "sha1", "left").withColumn("shard", shard)
+    rows = rows.withColumn("shard", shard)
+    # which response a repeated payload refers to goes to the shard as a row of its own, sorted before the
+    # page's: payloads are shuffled once, to their shards, and not to meet their digests
+    notes = rows.filter(large).select("shard", "page_id", "sha1").distinct().join(first, "sha1")
+    notes = notes.select("shard", "page_id", "sha1", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "response_id")
+    records_ = rows.select("shard", "page_id", "sha1", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("response_id"))
     store, path = _store(root)
     store.create_dir(f"{path}/_temporary", recursive=True)
-    dealt = marked.repartition(int(shards), "shard").sortWithinPartitions("shard", "page_id", "sha1", "url")
+    dealt = notes.unionByName(records_).repartitionById(int(shards), F.col("shard")).sortWithinPartitions("shard", "page_id", "sha1", "kind", "url")
+
+    columns = ["page_id", "url", "payload", "sha1", "response_id", "shard", "kind"]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller, before, copy = None, None, 0
+        roller, before, copy, noted = None, None, 0, None
         for batch in batches:
             done: list[tuple] = []
             for i in range(batch.num_rows):
-                row = {x: batch.column(x)[i].as_py() for x in ("page_id", "url", "payload", "sha1", "response_id", "shard")}
+                row = {x: batch.column(x)[i].as_py() for x in columns}
+                if row["kind"] == 0:
+                    noted = (row["page_id"], row["sha1"], row["response_id"])
+                    continue
+                response = noted[2] if noted is not None and noted[:2] == (row["page_id"], row["sha1"]) else None
                 if roller is None or roller.shard != row["shard"]:
                     if roller is not None and roller.out is not None:
                         done.append(roller.close())
@@ -162,7 +173,7 @@ def write_warc(
                 copy = copy + 1 if before == (row["page_id"], row["sha1"]) else 0
                 before = (row["page_id"], row["sha1"])
                 large = len(row["payload"]) >= REVISIT_BYTES
-                refers = row["response_id"] if large and (copy or row["response_id"] != row["page_id"]) else None
+                refers = response if large and (copy or response != row["page_id"]) else None
                 revisits = refers is not None or (large and copy > 0)
                 done += roller.add(record(row["page_id"], row["url"], row["payload"], refers, copy) if revisits or not copy else _again(row, copy))
             if done:
@@ -170,7 +181,6 @@ def write_warc(
         if roller is not None and roller.out is not None:
             yield _manifest([roller.close()])
 
-    columns = ["page_id", "url", "payload", "sha1", "response_id", "shard"]
     dealt.select(*columns).mapInArrow(write, _MANIFEST).write.parquet(f"{root}/_written")  # one attempt of each task counts
     _publish(spark, root)
 
