@@ -143,3 +143,40 @@ def test_lm_edges(spark, edges, empty):
     assert lm.score_texts(empty, lm.fold(F.col("doc_id"), 10) == 0).count() == 0
     untrained = lm.score_texts(edges, F.lit(True)).collect()  # no training tokens: N = V = 0
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and math.isfinite(r["base_score"]) for r in untrained)
+
+
+def test_lm_keeps_every_counted_pair(spark, monkeypatch):
+    """Scores equal the model from exact pair counts, with more counted pairs than a filter of 2**20 bits would hold in a segment."""
+    names = lm.score_texts.__defaults__
+    monkeypatch.setattr(lm.score_texts, "__defaults__", (*names[:2], *[20 for _ in names[2:]]))  # a fixed filter, if there is one, of 2**20 bits
+    r = random.Random(8)
+    texts = []
+    for i in range(400):  # "of" precedes every second word: a hot context with thousands of successors
+        own = [f"x{r.randrange(12_000)}" for _ in range(150)]
+        texts += [" ".join(f"of {w}" for w in own)] * 2
+    rows = [(i, t) for i, t in enumerate(texts)]
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 10]
+    pairs, single = Counter(), Counter()
+    for t in train:
+        ws = _tokens(t)
+        single.update(ws)
+        pairs.update(zip([None, *ws], ws))
+    n, v, used = sum(single.values()), len(single), Counter()
+    for (u, _), c in pairs.items():
+        used[u] += c - lm.DISCOUNT if c >= 2 else 0
+    assert sum(lm.quantised(np.array([c for c in pairs.values() if c >= 2]))) * 8 > 1 << 16  # 16 segments of 2**16 bits
+
+    def want(t):
+        ws, out = _tokens(t), 0.0
+        for u, w in zip([None, *ws], ws):
+            c = pairs[u, w]
+            p = (1 - used[u] / single[u] if used[u] else 1.0) * (single[w] + 0.1) / (n + 0.1 * (v + 1))
+            if c >= 2:
+                p += max(float(lm.restored(lm.quantised(np.array([c])))[0]) - lm.DISCOUNT, 0) / single[u]
+            out += math.log10(min(p, 1.0))
+        return out
+
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    off = [r["score"] - want(texts[r["doc_id"]]) for r in lm.score_texts(docs, lm.fold(F.col("doc_id"), 10) == 0).collect()]
+    per_token = np.array(off) / 301
+    assert len(off) == len(rows) and np.abs(per_token).mean() < 0.005  # a filter's false positives only

@@ -4,26 +4,26 @@ The model is a bigram model over the training documents' tokens: words (runs
 of bytes other than space and 0x09-0x0D, A-Z lower-cased), then one end.
 
 A pair (u, w) seen c >= 2 times is put into a Bloom filter at every level
-1 .. 1 + floor(2 log2(c / 2)): its quantised log-frequency. A context u with
-such pairs is put in at levels 1 .. 1 + floor(15 f) with f the share of its
-mass that is left over (pairs seen once, and a discount of 0.75 a pair). Membership is
+1 .. 1 + floor(2 log2(c / 2)): its quantised log-frequency. Membership is
 probed level by level until a probe fails; the last level that holds gives the
-count back. The probability is absolute discounting down to the base model:
+count back. What is left over of a context's mass (pairs seen once, and a
+discount of 0.75 a pair) is its f(u). The probability is absolute discounting
+down to the base model:
 
     P(w | u) = max(c(u, w) - 0.75, 0) / c(u) + f(u) * P0(w)
     P0(w)    = (c(w) + 0.1) / (N + 0.1 (V + 1))
 
-where c(u), c(w), N and V are exact and a context that the filter does not
-hold has f = 1. P0 alone gives the base score.
+where c(u), c(w), N, V and f(u) are exact and a context without such pairs has
+f = 1. P0 alone gives the base score.
 
 Exact counts without a table of all words anywhere: documents are cut into
 blocks of some megabytes; a block sends its distinct words and counts to the
 words' hash buckets, which add them up over all blocks and answer each block
-with its own words' totals. The filter is cut into segments by the context's
-hash; a segment is built from all blocks' counted pairs of its contexts. The
-filter's size is fixed (2**bits), so what is broadcast is bounded; a segment
-whose entries exceed its capacity at 8 bits an entry raises its own least
-count. Everything that is gathered covers all training documents.
+with its own words' totals. Its distinct pairs and their training counts go to
+the pairs' segments in the same way: a segment adds them up, builds its own
+part of the filter, as large as its entries need, and answers each block with
+its pairs' levels. The filter is never in one place and grows with the corpus;
+no counted pair is left out. Everything covers all training documents.
 
 Defined cases: a null or empty text has one token, the end. A null id counts
 as the empty string for the fold (held out). Repeated rows count each. Without
@@ -47,11 +47,12 @@ from .common import col, ship_package, written
 
 BLOCK = 4 << 20
 STRETCH = 200_000  # tokens scored at a time
-FILTER_BITS = 28
+ENTRY_BITS = 8  # of the filter for each entry, at least
 PROBES = 4
 DISCOUNT = 0.75
 END = np.uint64(0x1D872B41A9E3F577)  # hash of the end token; also the context of a text's first word
 _LEVEL = np.uint64(0xA24BAED4963EE407)
+CONTEXT = np.uint64(24)  # a context is told by the bits of its hash above
 
 
 def fold(doc_id: Column, modulus: int) -> Column:
@@ -120,7 +121,7 @@ def _cuts(bucket: np.ndarray) -> np.ndarray:
 
 
 def _vocabulary(bits: int):
-    """A row per block (its documents as word numbers) and a row per block and word bucket (hashes, training counts)."""
+    """A row per block (its documents as word numbers, its words) and a row per block and word bucket (hashes, training counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for hashes, lens, ids, held in _blocks(batches):
@@ -133,63 +134,90 @@ def _vocabulary(bits: int):
                 [
                     pa.array([name] * n), pa.array(bucket[cuts[:-1]].astype(np.int32)),
                     pa.array([_packed(words[a:b], count[a:b].astype(np.int64)) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
-                    pa.nulls(n, pa.list_(ids.type)), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.bool_())),
+                    pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(ids.type)), pa.nulls(n, pa.list_(pa.int64())), pa.nulls(n, pa.list_(pa.bool_())),
                 ],
-                names=["block", "bucket", "blob", "ids", "lens", "held"],
+                names=["block", "bucket", "blob", "words", "ids", "lens", "held"],
             )
             whole = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), a)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([name]), pa.array([-1], pa.int32()), pa.array([_packed(number.astype(np.uint32))], pa.binary()),
-                    whole(ids), whole(pa.array(lens.astype(np.int64))), whole(pa.array(held)),
+                    pa.array([_packed(words)], pa.binary()), whole(ids), whole(pa.array(lens.astype(np.int64))), whole(pa.array(held)),
                 ],
-                names=["block", "bucket", "blob", "ids", "lens", "held"],
+                names=["block", "bucket", "blob", "words", "ids", "lens", "held"],
             )
 
     return run
 
 
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, their sums, and where each given key stands among them."""
+    key, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
+    total = np.zeros(len(key), np.int64)
+    np.add.at(total, at, np.concatenate([np.zeros(0, np.int64), *values]).astype(np.int64))
+    return key, total, at
+
+
 def _add_up(group: pa.Table) -> pa.Table:
-    """All blocks' words of one bucket: totals back to each block, and the bucket's N and V."""
-    parts = [_unpacked(x, np.uint64, np.int64) for x in group["blob"].to_pylist()]
-    words, at = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
-    total = np.zeros(len(words), np.int64)
-    np.add.at(total, at, np.concatenate([c for _, c in parts]))
+    """All blocks' words of one bucket and its contexts' used mass: both back to each block, and the bucket's N and V."""
+    blobs = list(zip(group["block"].to_pylist(), group["blob"].to_pylist()))
+    names = [b for b, _ in blobs if b is not None]
+    parts = [_unpacked(x, np.uint64, np.int64) for b, x in blobs if b is not None]
+    used = [_unpacked(x, np.uint64, np.int64) for b, x in blobs if b is None]
+    words, total, at = _summed([w for w, _ in parts], [c for _, c in parts])
+    context, mass, _ = _summed([u for u, _ in used], [m for _, m in used])
+    own = np.zeros(len(words), np.int64)
+    if len(context):
+        where = np.minimum(np.searchsorted(context, words >> CONTEXT), len(context) - 1)
+        own = np.where(context[where] == words >> CONTEXT, mass[where], 0)
     ends = np.cumsum([len(w) for w, _ in parts])
-    blobs = [_packed(w, total[at[e - len(w) : e]]) for (w, _), e in zip(parts, ends)]
+    answers = [_packed(total[k], own[k]) for (w, _), e in zip(parts, ends) for k in (at[e - len(w) : e],)]
+    bucket = group["bucket"][0].as_py()
     return pa.table(
         {
-            "block": pa.chunked_array([*group["block"].chunks, pa.array([None], pa.string())]),
-            "bucket": pa.chunked_array([*group["bucket"].chunks, pa.array([-1], pa.int32())]),
-            "blob": pa.array([*blobs, None], pa.binary()),
-            "n": pa.array([None] * len(blobs) + [int(total.sum())], pa.int64()),
-            "v": pa.array([None] * len(blobs) + [int((total > 0).sum())], pa.int64()),
+            "block": pa.array([*names, None], pa.string()),
+            "at": pa.array([bucket] * (len(names) + 1), pa.int32()),
+            "blob": pa.array([*answers, None], pa.binary()),
+            "n": pa.array([None] * len(names) + [int(total.sum())], pa.int64()),
+            "v": pa.array([None] * len(names) + [int((total > 0).sum())], pa.int64()),
         }
     )
 
 
+def _pairs_of(words: np.ndarray, number: np.ndarray, lens: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's distinct pairs by segment, then key; their segments; and where each token's pair stands among them.
+
+    A key is 40 bits of the context and 24 of the word; the segment tells more of them.
+    """
+    u = np.empty(len(number), np.uint64)
+    w = words[number]
+    u[1:] = w[:-1]
+    u[np.cumsum(lens) - lens] = END
+    key, at = np.unique((u >> CONTEXT << CONTEXT) | (w >> np.uint64(40)), return_inverse=True)
+    segment = _bucket_of(key, bits)
+    order = np.argsort(segment, kind="stable")
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    return key[order], segment[order], back[at]
+
+
 def _pairs(bits: int):
-    """A row per block and segment: its contexts' counted pairs (context and word as 32 bits each)."""
+    """A row per block and segment: its pairs, held-out ones too, and their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for hashes, lens, _, held in _blocks(batches):
-            u = np.empty_like(hashes)
-            u[1:] = hashes[:-1]
-            u[np.cumsum(lens) - lens] = END
-            keep = np.repeat(~held, lens)
-            u, w = u[keep], hashes[keep]
-            segment = _bucket_of(u, bits).astype(np.uint16 if bits <= 16 else np.uint32)
-            keys = ((u >> np.uint64(16)) << np.uint64(32)) | (w >> np.uint64(32))
-            order = np.argsort(segment, kind="stable")
-            keys, segment = keys[order], segment[order]
-            bounds = _cuts(segment)
-            for lo, hi in zip(bounds[:-1], bounds[1:]):
-                s, key = int(segment[lo]), np.sort(keys[lo:hi])
-                cuts = _cuts(key)
-                key, count = key[cuts[:-1]], np.diff(cuts)
-                high = (key >> np.uint64(32)).astype(np.uint32)
-                blob = _packed(np.diff(high, prepend=np.uint32(0)), key.astype(np.uint32), count.astype(np.uint32))
-                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([blob], pa.binary())], names=["segment", "blob"])
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = {x: batch.column(x)[i] for x in batch.schema.names}
+                (number,), (words,) = _unpacked(row["blob"].as_py(), np.uint32), _unpacked(row["words"].as_py(), np.uint64)
+                lens, held = row["lens"].values.to_numpy(), row["held"].values.to_numpy(zero_copy_only=False)
+                key, segment, at = _pairs_of(words, number, lens, bits)
+                count = np.bincount(at[np.repeat(~held, lens)], minlength=len(key)).astype(np.uint32)
+                cuts = _cuts(segment)
+                blobs = [_packed(np.diff(key[a:b], prepend=np.uint64(0)), count[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"].as_py()] * len(blobs), pa.string()), pa.array(segment[cuts[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())],
+                    names=["block", "segment", "blob"],
+                )
 
     return run
 
@@ -214,48 +242,48 @@ def restored(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, np.sqrt(low * high), 0.0)
 
 
-def context_key(u32: np.ndarray) -> np.ndarray:
-    return tokens.mix((u32 << np.uint64(32)) ^ np.uint64(0x5DEECE66D))
-
-
-def _segment(size: int):
-    """Build one segment of the filter from all blocks' pairs of its contexts."""
+def _segment(word_bits: int):
+    """All blocks' pairs of one segment: their levels in the segment's filter back to each block, and the mass
+    that counted pairs use of each context, in quarters, to the contexts' word buckets."""
 
     def run(group: pa.Table) -> pa.Table:
-        keys, counts = [], []
-        for blob in group["blob"].to_pylist():
-            high, low, count = _unpacked(blob, np.uint32, np.uint32, np.uint32)
-            keys.append((np.cumsum(high, dtype=np.uint64) << np.uint64(32)) | low)
-            counts.append(count)
-        key, at = np.unique(np.concatenate(keys), return_inverse=True)
-        count = np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
-        u = key >> np.uint64(32)
-        cuts = _cuts(u)
-        owner = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
-        mass = np.bincount(owner, weights=count)
-        least = 2
-        while True:  # entries beyond the segment's capacity raise its least count
-            held = count >= least
-            used = np.bincount(owner, weights=np.where(held, count - DISCOUNT, 0), minlength=len(mass))
-            context = np.flatnonzero(used > 0)
-            left = 1 + np.floor(15 * (mass[context] - used[context]) / mass[context]).astype(np.int64)
-            level = quantised(count[held])
-            if (level.sum() + left.sum()) * 8 <= size:
-                break
-            least += 1
+        parts = [_unpacked(x, np.uint64, np.uint32) for x in group["blob"].to_pylist()]
+        key, count, at = _summed([np.cumsum(d, dtype=np.uint64) for d, _ in parts], [c for _, c in parts])
+        held = count >= 2
+        level = quantised(count[held])
+        size = 1 << max(6, math.ceil(math.log2(max(1, int(level.sum()) * ENTRY_BITS))))
         bits = np.zeros(size, bool)
-        for k, levels in ((tokens.mix(key[held]), level), (context_key(u[cuts[:-1]][context]), left)):
-            for j in range(1, int(levels.max(initial=0)) + 1):
-                own = k[levels >= j]
-                for slot in _slots(own, np.full(len(own), j), size):
-                    bits[slot] = True
-        return pa.table({"segment": group["segment"].slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+        mixed = tokens.mix(key)
+        own = mixed[held]
+        for j in range(1, int(level.max(initial=0)) + 1):
+            own, level = own[level >= j], level[level >= j]
+            for slot in _slots(own, np.full(len(own), j), size):
+                bits[slot] = True
+        model = Filter(0, size)
+        model.put(0, np.packbits(bits, bitorder="little").tobytes())
+        found = model.level(np.zeros(len(key), np.int64), mixed, 80).astype(np.uint8)
+        ends = np.cumsum([len(d) for d, _ in parts])
+        answers = [_packed(found[at[e - len(d) : e]]) for (d, _), e in zip(parts, ends)]
+        u = key[held] >> CONTEXT
+        cuts = _cuts(u)
+        used = np.add.reduceat(4 * count[held] - round(4 * DISCOUNT), cuts[:-1]) if len(u) else u.astype(np.int64)
+        u = u[cuts[:-1]]
+        ranges = _cuts(bucket := _bucket_of(u << CONTEXT, word_bits))
+        sums = [_packed(u[a:b], used[a:b]) for a, b in zip(ranges[:-1], ranges[1:])]
+        segment = group["segment"][0].as_py()
+        return pa.table(
+            {
+                "block": pa.concat_arrays([group["block"].combine_chunks(), pa.nulls(len(sums), pa.string())]),
+                "at": pa.array([segment] * len(answers) + bucket[ranges[:-1]].tolist(), pa.int32()),
+                "blob": pa.array([*answers, *sums], pa.binary()),
+            }
+        )
 
     return run
 
 
 class Filter:
-    """The filter's segments side by side."""
+    """Segments of equal size side by side."""
 
     def __init__(self, bits: int, size: int):
         self.bits, self.size = bits, size
@@ -281,43 +309,37 @@ class Filter:
         return out
 
 
-def _score(shared, n: int, v: int, starts: int):
-    """Rows of (block, documents, [(hashes and totals)]) to scored documents."""
+def _score(n: int, v: int, bits: int):
+    """Rows of a block, its words' totals and its pairs' levels to scored documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Filter = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {x: batch.column(x)[i] for x in batch.schema.names}
                 ids, lens, held = row["ids"].values, row["lens"].values.to_numpy(), row["held"].values
-                (number,) = _unpacked(row["blob"].as_py(), np.uint32)
-                words, total = (np.concatenate(x) for x in zip(*(_unpacked(x, np.uint64, np.int64) for x in row["answers"].as_py())))
-                order = np.argsort(words)
-                words, total = words[order], total[order]
+                (number,), (words,) = _unpacked(row["blob"].as_py(), np.uint32), _unpacked(row["words"].as_py(), np.uint64)
+                answers = sorted(row["answers"].as_py(), key=lambda x: (x["pair"], x["at"]))  # as the block's own words and pairs are
+                total, used = (np.concatenate(x) for x in zip(*(_unpacked(x["blob"], np.int64, np.int64) for x in answers if not x["pair"])))
+                level = np.concatenate([_unpacked(x["blob"], np.uint8)[0] for x in answers if x["pair"]])
+                _, _, pair = _pairs_of(words, number, lens, bits)
                 p0 = (total + 0.1) / (n + 0.1 * (v + 1))
                 first = np.cumsum(lens) - lens
-                # contexts: the text's start is the word END in the model's pairs, seen once a training text
+                # the text's start is the word END as a context: it stands once in every training text
                 end = int(np.searchsorted(words, END))
-                seen = total.copy()
-                seen[end] = starts
-                segment = _bucket_of(words, model.bits)
-                u32 = (words << np.uint64(16)) >> np.uint64(32)
-                left = model.level(segment, context_key(u32), 16)
-                share = np.where((left > 0) & (seen > 0), (left - 0.5) / 15, 1.0).clip(0, 1)
+                share = np.where(used > 0, 1 - used / 4 / np.maximum(total, 1), 1.0).clip(0, 1)
+                count = restored(np.arange(256))
                 log_p0 = np.log10(p0)
                 known, base, score = np.zeros(len(lens), np.int64), np.zeros(len(lens)), np.zeros(len(lens))
                 cut = np.unique(np.append(np.searchsorted(first, np.arange(0, len(number), STRETCH)), len(lens)))
                 for lo, hi in zip(cut[:-1], cut[1:]):  # whole texts, some tokens at a time
                     at = first[lo:hi] - first[lo]
-                    w = number[first[lo] : first[hi - 1] + lens[hi - 1]].astype(np.int64)
+                    own = slice(first[lo], first[hi - 1] + lens[hi - 1])
+                    w = number[own].astype(np.int64)
                     u = np.empty_like(w)
                     u[1:] = w[:-1]
                     u[at] = end
-                    p = share[u] * p0[w]
-                    try_ = np.flatnonzero((left > 0)[u])
-                    key = tokens.mix((u32[u[try_]] << np.uint64(32)) | (words[w[try_]] >> np.uint64(32)))
-                    c = restored(model.level(segment[u[try_]], key, 80))
-                    p[try_] += np.maximum(c - DISCOUNT, 0) / np.maximum(seen[u[try_]], 1)
+                    c = np.where(used[u] > 0, count[level[pair[own]]], 0.0)
+                    p = share[u] * p0[w] + np.maximum(c - DISCOUNT, 0) / np.maximum(total[u], 1)
                     known[lo:hi] = np.add.reduceat((total > 0)[w].astype(np.int64), at)
                     base[lo:hi] = np.add.reduceat(log_p0[w], at)
                     score[lo:hi] = np.add.reduceat(np.log10(np.minimum(p, 1.0)), at)
@@ -329,33 +351,29 @@ def _score(shared, n: int, v: int, starts: int):
     return run
 
 
-def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row."""
     spark = docs.sparkSession
     ship_package(spark)
     kind = docs.select(col(doc_id)).schema[0].dataType.simpleString()
     rows = docs.select(col(doc_id).alias("doc_id"), F.coalesce(col(text), F.lit("")).alias("text"), held_out.alias("held"))
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if(~F.col("held"))).first()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # buckets and segments of bounded size: their number follows the input
-    word_bits = max(0, math.ceil(math.log2(max(1, size[0] / (64 << 20)))))
-    pair_bits = min(max(4, math.ceil(math.log2(max(1, size[0] / (16 << 20))))), filter_bits - 16)
+    word_bits = max(0, math.ceil(math.log2(max(1, size / (64 << 20)))))
+    pair_bits = max(4, math.ceil(math.log2(max(1, size / (16 << 20)))))
 
-    schema = f"block string, bucket int, blob binary, ids array<{kind}>, lens array<bigint>, held array<boolean>"
+    schema = f"block string, bucket int, blob binary, words binary, ids array<{kind}>, lens array<bigint>, held array<boolean>"
     cut = written(rows.mapInArrow(_vocabulary(word_bits), schema), "lm-blocks")
+    blocks = cut.filter("bucket < 0").select("block", "blob", "words", "lens", "held", "ids")
+    pairs = blocks.select("block", "blob", "words", "lens", "held").mapInArrow(_pairs(pair_bits), "block string, segment int, blob binary")
+    levels = written(pairs.groupBy("segment").applyInArrow(_segment(word_bits), "block string, at int, blob binary"), "lm-pairs")
     words = cut.filter("bucket >= 0").select("block", "bucket", "blob")
-    added = written(words.groupBy("bucket").applyInArrow(_add_up, "block string, bucket int, blob binary, n bigint, v bigint"), "lm-words")
+    words = words.unionByName(levels.filter("block is null").select("block", F.col("at").alias("bucket"), "blob"))
+    added = written(words.groupBy("bucket").applyInArrow(_add_up, "block string, at int, blob binary, n bigint, v bigint"), "lm-words")
     n, v = added.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
 
-    # the filter holds the same number of bits at any corpus size
-    segment_bits = 1 << (filter_bits - pair_bits)
-    pairs = rows.mapInArrow(_pairs(pair_bits), "segment int, blob binary")
-    built = pairs.groupBy("segment").applyInArrow(_segment(segment_bits), "segment int, bits binary")
-    model = Filter(pair_bits, segment_bits)
-    for r in written(built, "lm-filter").toLocalIterator():  # 2**filter_bits bits in all, a segment at a time
-        model.put(r["segment"], bytes(r["bits"]))
-    shared = spark.sparkContext.broadcast(model)
-
-    answers = added.filter("block is not null").groupBy("block").agg(F.collect_list("blob").alias("answers"))
-    blocks = cut.filter("bucket < 0").select("block", "blob", "ids", "lens", "held").join(answers, "block")
+    # a block's answers are bounded by the block
+    answers = added.select("block", F.lit(False).alias("pair"), "at", "blob").unionByName(levels.select("block", F.lit(True).alias("pair"), "at", "blob"))
+    answers = answers.filter("block is not null").groupBy("block").agg(F.collect_list(F.struct("pair", "at", "blob")).alias("answers"))
     out = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return blocks.mapInArrow(_score(shared, int(n), int(v), int(size[1])), out)
+    return blocks.join(answers, "block").mapInArrow(_score(int(n), int(v), pair_bits), out)
