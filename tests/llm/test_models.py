@@ -7,9 +7,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import functions as F
 
-from tidemark.llm import lm, quality, queries, toxicity
+from tidemark.llm import lm, quality, queries, tokens, toxicity
 
 from .conftest import DOCS, SF_SMALL, words
 
@@ -180,3 +182,22 @@ def test_lm_keeps_every_counted_pair(spark, monkeypatch):
     off = [r["score"] - want(texts[r["doc_id"]]) for r in lm.score_texts(docs, lm.fold(F.col("doc_id"), 10) == 0).collect()]
     per_token = np.array(off) / 301
     assert len(off) == len(rows) and np.abs(per_token).mean() < 0.005  # a filter's false positives only
+
+
+def test_a_hot_context_is_dealt_over_all_segments():
+    """One context before all words: its pairs lie evenly in the segments, and segments' sums give its used mass."""
+    words_ = np.unique(np.append(tokens.mix(np.arange(1, 20_001, dtype=np.uint64)), lm.END))
+    number = np.full(40_000, 7)  # word 7 before each word, each such pair twice
+    number[1::2] = np.tile(np.arange(0, 20_000, 2), 2)
+    ids, lens, held = [1], [len(number)], [False]
+    block = {"block": ["b"], "blob": [lm._packed(number.astype(np.uint32))], "words": [lm._packed(words_)], "lens": [lens], "held": [held], "ids": [ids]}
+    parts = pa.concat_tables([pa.Table.from_batches([b]) for b in lm._pairs(4)(pa.Table.from_pydict(block).to_batches())])
+    sizes, used = [], 0
+    for s in range(16):
+        out = lm._segment(0)(parts.filter(pa.compute.equal(parts["segment"], s)))
+        sums = [lm._unpacked(b, np.uint64, np.int64) for n, b in zip(out["block"].to_pylist(), out["blob"].to_pylist()) if n is None]
+        own = [int(m[u == words_[7] >> lm.CONTEXT].sum()) for u, m in sums]
+        sizes.append(sum(own))
+        used += sum(own)
+    assert used == 10_000 * (4 * 2 - 3)
+    assert min(sizes) > used / 16 / 1.3 and max(sizes) < used / 16 * 1.3

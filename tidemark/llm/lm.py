@@ -22,7 +22,9 @@ words' hash buckets, which add them up over all blocks and answer each block
 with its own words' totals. Its distinct pairs and their training counts go to
 the pairs' segments in the same way: a segment adds them up, builds its own
 part of the filter, as large as its entries need, and answers each block with
-its pairs' levels. The filter is never in one place and grows with the corpus;
+its pairs' levels. Pairs are dealt to segments by the pair's hash, so a common
+context's pairs lie in all of them, and segments send only each context's sum
+to its word bucket. The filter is never in one place and grows with the corpus;
 no counted pair is left out. Everything covers all training documents.
 
 Defined cases: a null or empty text has one token, the end. A null id counts
@@ -187,15 +189,18 @@ def _add_up(group: pa.Table) -> pa.Table:
 def _pairs_of(words: np.ndarray, number: np.ndarray, lens: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A block's distinct pairs by segment, then key; their segments; and where each token's pair stands among them.
 
-    A key is 40 bits of the context and 24 of the word; the segment tells more of them.
+    A key is 40 bits of the context and 24 of the word; the segment, a hash of both, tells more of them as the
+    corpus grows. The pairs of one context, however common, lie in all segments.
     """
+    n = np.uint64(len(words))
     u = np.empty(len(number), np.uint64)
-    w = words[number]
-    u[1:] = w[:-1]
-    u[np.cumsum(lens) - lens] = END
-    key, at = np.unique((u >> CONTEXT << CONTEXT) | (w >> np.uint64(40)), return_inverse=True)
-    segment = _bucket_of(key, bits)
-    order = np.argsort(segment, kind="stable")
+    u[1:] = number[:-1]
+    u[np.cumsum(lens) - lens] = np.searchsorted(words, END)
+    pair, at = np.unique(u * n + number.astype(np.uint64), return_inverse=True)
+    u, w = words[pair // n], words[pair % n]
+    key = (u >> CONTEXT << CONTEXT) | (w >> np.uint64(40))
+    segment = _bucket_of(tokens.mix(tokens.mix(u) + w), bits)
+    order = np.lexsort((key, segment))
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
     return key[order], segment[order], back[at]
