@@ -119,6 +119,26 @@ def test_suffix_dedup_equals_brute_force(spark):
     assert have == _covered(texts)
 
 
+def test_suffix_dedup_of_a_common_phrase_equals_brute_force(spark):
+    """A tail phrase in more than 100 texts, some pairs of which share the words before it too, and a passage repeated in one text."""
+    texts = {}
+    for k, n in enumerate((10, 15, 20, 25, 30, 40, 49)):
+        phrase = words(700 + k, n)
+        for j in range(120):
+            before = words(800 + 1000 * k + (j % 60 if j % 60 < 5 else j), 50 - n + j % 3, 5000)  # texts j and j + 60 share some of it
+            texts[1000 * k + j] = " ".join(words(9000 + 500 * k + j, 20, 5000) + before + phrase + words(20000 + 500 * k + j, 60, 5000))
+    passage = words(31, 60)
+    texts[9000] = " ".join(w for k in range(20) for w in passage + words(32 + k, 5, 5000))
+    texts[9001] = " ".join(words(60, 30, 5000) + passage + words(61, 30, 5000))
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts.items()], DOCS)
+    have = {}
+    for r in suffix_dedup.repeated_passages(docs).collect():
+        have.setdefault(r["doc_id"], set()).update(range(r["from_word"], r["to_word"]))
+    want = _covered(texts)
+    assert len(want) > 40 and {9000, 9001} <= set(want)
+    assert have == want
+
+
 def test_suffix_dedup_edges(spark, edges, empty):
     got = suffix_dedup.repeated_passages(edges).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"], r["from_word"], r["to_word"]) for r in got) == [

@@ -7,14 +7,21 @@ Suffixes are kept only at content-selected positions: of every window of 50
 words, the position whose ten-word gram has the smallest hash (about one
 position in 21). Equal windows select equal positions, so two texts that share
 50 words share a kept suffix inside them. Suffixes whose ten-word gram stands
-in one text only cannot match and go first; the others carry the 50 words to
-their right and the 40 to their left (as word hashes). They are sorted by
-range over the whole corpus, compared with their next neighbours in sorted
-order, and matches are extended right and left; a match of 50 words or more is
-a span. Longer passages are covered by the spans of their positions, which are
-merged. A partition's first and last suffixes are compared across the
-partition boundary in a second, small pass, so hot passages may spread over
-any number of partitions.
+in one text only cannot match and go first. The suffixes of a gram that has at
+most nine carry the 50 words to their right and the 40 to their left (as word
+hashes). They are sorted by range over the whole corpus, each is compared with
+the next eight, which are all others of its gram, and matches are extended
+right and left; a match of 50 words or more is a span. A partition's first and
+last suffixes are compared across the partition boundary in a second, small
+pass.
+
+A gram with more suffixes (a common phrase) has no order in which all matches
+are neighbours: a match may lie left and right of the gram. Its suffixes send
+the hash of every window of 50 words that holds the gram instead. A window
+that stands in two texts is a span; windows are counted with partial
+aggregation, without pairs, so a phrase may stand in any number of texts.
+Both ways are exact. Longer passages are covered by the spans of their
+positions, which are merged.
 
 Defined cases: repeats within one text only are no match. Equal texts (copies
 of a row's text) of 50 words or more match in full. Null, empty and shorter
@@ -124,6 +131,31 @@ def _contexts(texts: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
     return texts.mapInArrow(run, "gram long, right binary, left binary, key binary, pos int")
 
 
+def _windows(texts: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
+    """``(window, key, pos)`` for ``texts(key, text, at)``: each window of ``length`` words that holds the gram at a position."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            for piece in tokens.pieces(batch.column(1)):
+                own = lists.slice(piece.lo, piece.hi - piece.lo)
+                doc = np.repeat(np.arange(len(own)), [len(x) for x in own])
+                at = piece.first[doc] + own.flatten().to_numpy().astype(np.int64)
+                window, first = tokens.ngrams(piece, length)
+                held = np.zeros(len(piece.hashes) + 1, np.int64)  # a window's start lies up to ``length - gram`` words before
+                np.add.at(held, np.maximum(at - (length - gram), piece.first[doc]), 1)
+                np.add.at(held, at + 1, -1)
+                chosen = np.flatnonzero(np.cumsum(held)[first] > 0)
+                of = np.searchsorted(piece.first, first[chosen], "right") - 1
+                pos = (first[chosen] - piece.first[of]).astype(np.int32)
+                for lo in range(0, len(chosen), 65_536):
+                    cut = slice(lo, lo + 65_536)
+                    keys = batch.column(0).take(pa.array(of[cut] + piece.lo))
+                    yield pa.RecordBatch.from_arrays([pa.array(window[chosen[cut]].view(np.int64)), keys, pa.array(pos[cut])], names=["window", "key", "pos"])
+
+    return texts.mapInArrow(run, "window long, key binary, pos int")
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Length of the common prefix of each pair of rows; 0 is no word."""
     differ = (a != b) | (a == 0)
@@ -190,11 +222,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     ship_package(spark)
     base = docs.select(F.unhex(F.md5(col(text).cast("binary"))).alias("key"), col(text).alias("text")).filter(F.col("text").isNotNull())
     kept = written(positions(base, length), "suffixes")
-    # written, so that the join below has plain exchanges on both sides and AQE can split a hot gram
-    shared = written(kept.groupBy("gram").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo != hi").select("gram"), "shared")
-    lists = kept.join(shared, "gram").groupBy("key").agg(F.collect_set("pos").alias("at"))
+    # written, so that the joins below have plain exchanges on both sides and AQE can split a hot gram
+    counted = kept.groupBy("gram").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), (F.count(F.lit(1)) > NEIGHBOURS + 1).alias("common"))
+    shared = written(counted.filter("lo != hi").select("gram", "common"), "shared")
     once = base.groupBy("key").agg(F.first("text").alias("text"))
-    rows = _contexts(once.join(lists, "key").select("key", "text", "at"), length)
+
+    def at(grams: DataFrame) -> DataFrame:
+        lists = kept.join(grams.select("gram"), "gram").groupBy("key").agg(F.collect_set("pos").alias("at"))
+        return once.join(lists, "key").select("key", "text", "at")
+
+    rows = _contexts(at(shared.filter("not common")), length)
     order = ["gram", "right", "key", "pos"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
@@ -203,6 +240,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     edges = found.filter("edge").select("gram", "right", "left", "key", "pos").distinct().repartition(1).sortWithinPartitions(*order)
     crossing = edges.mapInArrow(_compare(length, keep_edges=False), _OUT)
     spans = found.filter("not edge").select("key", "from_word", "to_word").unionByName(crossing.select("key", "from_word", "to_word"))
+    # written: read twice below, and the join has plain exchanges as above
+    windows = written(_windows(at(shared.filter("common")), length), "windows")
+    several = written(windows.groupBy("window").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo != hi").select("window"), "several")
+    common = windows.join(several, "window").select("key", F.col("pos").alias("from_word"), (F.col("pos") + length).alias("to_word"))
+    spans = spans.unionByName(common)
     copies = base.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")).filter("copies > 1")
     copies = copies.select("key", F.lit(0).alias("from_word"), F.regexp_count("text", F.lit(_WORD)).alias("to_word")).filter(F.col("to_word") >= length)
     spans = spans.unionByName(copies)
