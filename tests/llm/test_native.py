@@ -72,6 +72,16 @@ def test_containment_threshold_is_exact(spark):
     assert {r["doc_id"]: r["n_shared"] for r in got.collect()} == {0: 36, 1: 32, 2: 29}  # 28 / 36 is below 0.8
 
 
+def test_repeated_shingles_do_not_fill_a_sketch(spark):
+    item = words(70, 55)  # 51 shingles: blocks of 128, sketches of 48
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    once = spark.createDataFrame([(f"buy{i}",) for i in range(2000)], "w string")
+    low = once.orderBy(F.xxhash64("w", "w", "w", "w", "w")).first()["w"]  # its shingle's hash is below the item's
+    docs = spark.createDataFrame([(1, " ".join(item + [low] * 77), "en", "s", 0), (2, " ".join([low] * 132), "en", "s", 0)], DOCS)
+    got = contamination.contaminated_documents(docs, bench).collect()
+    assert [(r["doc_id"], r["n_shared"]) for r in got] == [(1, 51)]
+
+
 def test_decontamination_edges(spark, edges):
     bench = spark.createDataFrame([(1, " ".join(words(2, 120)[20:60])), (1, None)], "item_id bigint, text string")
     got = contamination.contaminated_documents(edges, bench).collect()

@@ -4,7 +4,7 @@ Containment of an item in a document is the share of the item's distinct
 five-word shingles that the document holds. Items are partitioned by the
 number of their shingles into classes [8*4^k, 8*4^(k+1)); for each class every
 document is cut into blocks of the class's upper bound, and a block's
-signature is its bottom-s MinHash sketch (the s smallest shingle hashes).
+signature is its bottom-s MinHash sketch (the s smallest distinct shingle hashes).
 A short item is thereby met by blocks of its own size however long the
 document is, instead of by one signature of the whole document in which it
 would drown. Item and block are a candidate when their sketches share a hash;
@@ -104,8 +104,9 @@ def contained_items(
         starts = F.sequence(F.lit(0), F.floor((F.size(h) - 1) / length).cast("int"))
         last = lambda j: F.least((j + 1) * length, F.size(h)) - 1
         cut = F.transform(starts, lambda j: F.transform(F.sequence(j * length, last(j)), lambda i: F.get(h, i)))
-        if keep < length:  # a block shorter than its class keeps the same share
-            cut = F.transform(cut, lambda x: F.slice(F.sort_array(x), 1, F.ceil(F.size(x) * (keep / length)).cast("int")))
+        if keep < length:  # a block of fewer distinct shingles than its class keeps the same share of them
+            least = lambda d: F.slice(d, 1, F.ceil(F.size(d) * (keep / length)).cast("int"))
+            cut = F.transform(cut, lambda x: bound(F.sort_array(F.array_distinct(x)), least))
         return F.transform(F.array_distinct(F.flatten(cut)), lambda x: F.struct(F.lit(cls).alias("cls"), x.alias("hash")))
 
     def signatures(h: Column) -> Column:
