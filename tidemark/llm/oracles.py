@@ -79,5 +79,28 @@ SELECT page_id, payload_bytes, payload_digest,
 """
 
 
+_MIDDLE = """
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS w,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), x AS (
+  SELECT doc_id, t, w, len(w)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4 FROM u
+), c AS (
+  SELECT doc_id, t, w, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM x
+), p AS (
+  SELECT *, array_to_string(list_slice(w, 1, a), '') AS pre, array_to_string(list_slice(w, a + 1, b), '') AS mid,
+    array_to_string(list_slice(w, b + 1, n), '') AS suf FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre)::BIGINT END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": _LINES, "op4_warc": _WARC, "op6_mixing": _mix_sql(), "op10_decontamination": _LEAKS}
+    return {"op3_line_dedup": _LINES, "op4_warc": _WARC, "op6_mixing": _mix_sql(), "op10_decontamination": _LEAKS, "op13_fill_in_middle": _MIDDLE}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, embedding_dedup, line_dedup, lm, mixing, near_dedup, quality, suffix_dedup, toxicity, warc
+from . import contamination, embedding_dedup, fim, licence_scan, line_dedup, lm, mixing, near_dedup, quality, suffix_dedup, toxicity, warc, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,5 +67,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: places of licence phrases, and the labels of phrases and covered templates."""
+    return licence_scan.digest(licence_scan.scan(_table(spark, sf_dir, "documents")))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per vector and leading component: the whitened coordinate."""
+    return whitening.components(whitening.whiten(_table(spark, sf_dir, "embeddings")))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: how it was cut, and digests of the transformed and of the rebuilt text."""
+    done = fim.transform(_table(spark, sf_dir, "documents"))
+    again = fim.restored(F.col("output"), F.col("form"))
+    digests = [F.sha2(c, 256).alias(name) for c, name in ((F.col("output"), "output_sha256"), (again, "restored_sha256"))]
+    return done.select(F.col("key").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality_classifier, op2_near_dedup, op3_line_dedup, op4_warc, op5_suffix_dedup, op6_mixing, op7_toxicity, op8_lm_scoring, op9_embedding_dedup, op10_decontamination)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_quality_classifier, op2_near_dedup, op3_line_dedup, op4_warc, op5_suffix_dedup, op6_mixing, op7_toxicity, op8_lm_scoring,
+            op9_embedding_dedup, op10_decontamination, op11_license_scan, op12_embedding_whitening, op13_fill_in_middle,
+        )
+    }
