@@ -69,38 +69,37 @@ def refine(a: np.ndarray, x: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarr
     E's entries are (s_ij + l_j r_ij) / (l_j - l_i), or r_ij / 2 where the
     eigenvalues l differ by no more than the error of S. Vectors of such a
     cluster are then turned by the eigenvectors of their own shifted block.
-    Converges quadratically; ends when the correction is at rounding level.
+    Converges quadratically; ends when that error is at rounding level.
     """
     a, x = a.astype(np.longdouble), x.astype(np.longdouble)
     n = len(a)
     size = float(np.sqrt((a.astype(float) ** 2).sum()))
-    done = 2.0**-56 * max(1, n) ** 0.5
+    exact = 4 * n * float(np.finfo(np.longdouble).eps) * size
     before = np.inf
     for k in range(1, rounds + 1):
         r = np.eye(n, dtype=np.longdouble) - x.T @ x
         s = x.T @ (a @ x)
+        s = (s + s.T) / 2  # else its rounding, over a small gap, would cost orthogonality
         values = np.diag(s) / (1 - np.diag(r))
         off = s - np.diag(values)
         error = 2 * (float(np.linalg.norm(off.astype(float))) + size * float(np.linalg.norm(r.astype(float))))
+        if error <= exact or before / 2 < error < 2.0**-40 * size:
+            break  # at rounding level, or near it and held up by rounding over small gaps
+        before = error
         gap = values[None, :] - values[:, None]
-        near = np.abs(gap) <= error
-        e = np.where(near, r / 2, (s + values[None, :] * r) / np.where(near, 1, gap))
-        x = x + x @ e
-        turned = 0.0
-        for group in _clusters(values.astype(float), error):
+        alike = max(error, 2.0**-53 * size)  # gaps below a's own rounding mean nothing
+        near = np.abs(gap) <= alike
+        x = x + x @ np.where(near, r / 2, (s + values[None, :] * r) / np.where(near, 1, gap))
+        for group in _clusters(values.astype(float), alike):
             own = x[:, group]
             mean = values[group].mean()
             block = own.T @ (a @ own) - mean * (own.T @ own)
             block = ((block + block.T) / 2).astype(float)
             scale = np.abs(block).max()
-            if scale > 2.0**-60 * size:
-                turn = np.linalg.eigh(block / scale)[1]
-                x[:, group] = own @ turn.astype(np.longdouble)
-                turned = max(turned, float(np.abs(np.abs(turn) - np.eye(len(group))).max()))
-        change = float(np.abs(e).max())
-        if change <= done and turned <= done or change <= 64 * done and change >= before / 2:
-            break  # at rounding level, or no longer falling near it
-        before = change
+            if scale > exact:
+                turn = np.linalg.eigh(block / scale)[1].astype(np.longdouble)
+                x[:, group] = own @ (1.5 * turn - 0.5 * turn @ (turn.T @ turn))  # orthogonal beyond double precision
+    x = x + x @ (np.eye(n, dtype=np.longdouble) - x.T @ x) / 2
     values = (x * (a @ x)).sum(0) / (x * x).sum(0)
     return values, x / np.sqrt((x * x).sum(0)), k
 
