@@ -3,6 +3,8 @@ import os
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.merge import (
     PublishConflict,
@@ -15,6 +17,7 @@ from tidemark.operators.merge import (
     snapshot_versions,
     upsert,
 )
+from tidemark.operators.snapshots import order_of, parts_of, read_parts, read_range
 
 SCHEMA = "k bigint, a string, b double"
 
@@ -67,7 +70,7 @@ def test_publish_versions_and_reads(spark, tmp_root):
     assert snapshot_versions(spark, root) == [1, 2]
     assert _rows(read_current(spark, root)) == [(1, "b", 2.0), (2, "c", 3.0)]
     # the earlier snapshot is untouched
-    old = [os.path.join(root, p) for p in snapshot(spark, root, 1)["parts"].values()]
+    old = [os.path.join(root, p["folder"]) for p in snapshot(spark, root, 1)["parts"]]
     assert _rows(spark.read.schema(SCHEMA).parquet(*old)) == [(1, "a", 1.0)]
 
 
@@ -95,13 +98,13 @@ def test_second_publisher_on_one_base_fails(spark, tmp_root):
 
 def test_pointer_created_meanwhile_is_a_conflict(spark, tmp_root, monkeypatch):
     """Two publishers that both saw version 1 as the newest: one pointer is created, the other fails."""
-    import tidemark.operators.merge as merge
+    import tidemark.operators.snapshots as snapshots
 
     root = os.path.join(tmp_root, "target")
     df = spark.createDataFrame([(1, "a", 1.0)], SCHEMA)
     publish(df, root, ["k"])
     publish(spark.createDataFrame([(2, "b", 2.0)], SCHEMA), root, ["k"])
-    monkeypatch.setattr(merge, "snapshot_versions", lambda *_: [1])
+    monkeypatch.setattr(snapshots, "snapshot_versions", lambda *_: [1])
     with pytest.raises(PublishConflict):
         publish(df, root, ["k"], base=1)
     monkeypatch.undo()
@@ -118,23 +121,128 @@ def test_null_merge_key_fails(spark, tmp_root):
     assert snapshot_versions(spark, os.path.join(tmp_root, "t")) == []
 
 
-def test_merge_rewrites_touched_buckets_only(spark, tmp_root):
+def _folders(spark, root, version):
+    return [p.folder for p in parts_of(snapshot(spark, root, version))]
+
+
+def _listing(root, folders):
+    return {p: sorted(os.listdir(os.path.join(root, p))) for p in folders}
+
+
+def _holds(spark, root, part_rows):
+    """A version's parts own rising ranges, hold what their pointer says, and have no more than their share of rows."""
+    pointer = snapshot(spark, root, snapshot_versions(spark, root)[-1])
+    parts = parts_of(pointer)
+    assert not parts or parts[0].lower is None
+    assert all(a.greatest < b.lower <= b.least for a, b in zip(parts, parts[1:]))
+    _, value = order_of(T.StructType.fromJson(pointer["schema"]), pointer["keys"])
+    for p in parts:
+        got = read_parts(spark, root, pointer, [p]).agg(F.count("*"), F.min(value), F.max(value)).first()
+        assert tuple(got) == (p.rows, p.least, p.greatest) and p.rows <= 2 * part_rows
+
+
+def test_a_delta_rewrites_its_key_range_only(spark, tmp_root):
+    """1 % of the key range: at most 2 % of the parts are written anew, the others' files stay."""
     root = os.path.join(tmp_root, "target")
-    rows = [(k, "old", float(k)) for k in range(200)]
-    merge_into_snapshot(spark.createDataFrame(rows, SCHEMA), root, ["k"], buckets=8)
-    before = snapshot(spark, root, 1)["parts"]
-    files = {p: sorted(os.listdir(os.path.join(root, p))) for p in before.values()}
-    merge_into_snapshot(spark.createDataFrame([(7, "new", 70.0)], SCHEMA), root, ["k"])
-    after = snapshot(spark, root, 2)["parts"]
-    changed = [b for b in after if after[b] != before[b]]
-    assert len(before) == len(after) == 8 and len(changed) == 1
-    assert {p: sorted(os.listdir(os.path.join(root, p))) for p in before.values()} == files
-    want = sorted([(k, "old", float(k)) for k in range(200) if k != 7] + [(7, "new", 70.0)], key=repr)
-    assert _rows(read_current(spark, root)) == want
+    old = spark.range(400_000).select(F.col("id").alias("k"), F.lit("old").alias("a"), F.col("id").cast("double").alias("b"))
+    merge_into_snapshot(old, root, ["k"], part_rows=2000)
+    before = _folders(spark, root, 1)
+    files = _listing(root, before)
+    delta = old.where("k >= 200000 and k < 204000 and k % 10 = 0").withColumn("a", F.lit("new"))
+    merge_into_snapshot(delta, root, ["k"], staged_rows=400)
+    after = _folders(spark, root, 2)
+    assert len(before) == 200 and 0 < len(set(after) - set(before)) <= 4 and len(set(before) - set(after)) <= 4
+    assert _listing(root, before) == files
+    new = read_current(spark, root)
+    assert new.count() == 400_000 and new.where("a = 'new'").count() == 400
+    assert new.where("a = 'new'").select("k").exceptAll(delta.select("k")).count() == 0
+    near = read_range(spark, root, 201_000, 201_999)
+    assert near.count() == 1000 and len(near.inputFiles()) < 8
     with pytest.raises(ValueError, match="keyed on"):
         merge_into_snapshot(spark.createDataFrame([(1, "b", 2.0)], SCHEMA), root, ["a"])
 
 
+def test_rows_beside_full_parts_are_added_without_reading_them(spark, tmp_root):
+    root = os.path.join(tmp_root, "target")
+    rows = lambda lo, hi: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit("x").alias("a"), F.lit(0.0).alias("b"))
+    merge_into_snapshot(rows(1000, 2000), root, ["k"], part_rows=100)
+    before = _folders(spark, root, 1)
+    assert len(before) == 10
+    merge_into_snapshot(rows(5000, 5350), root, ["k"])  # a load of new keys: 350 rows are 4 parts
+    assert _folders(spark, root, 2)[:10] == before and len(_folders(spark, root, 2)) == 14
+    merge_into_snapshot(rows(0, 60), root, ["k"])
+    assert _folders(spark, root, 3)[1:11] == before
+    merge_into_snapshot(rows(60, 90), root, ["k"])  # joins the part below, which is not full
+    assert len(_folders(spark, root, 4)) == 15 and _folders(spark, root, 4)[1:11] == before
+    merge_into_snapshot(rows(1450, 1451), root, ["k"])
+    assert len(set(_folders(spark, root, 5)) - set(_folders(spark, root, 4))) == 1
+    assert read_current(spark, root).count() == 1000 + 350 + 90
+    _holds(spark, root, 100)
+
+
+def test_writers_follow_the_bytes(spark, tmp_root):
+    """16 parts, 200 shuffle partitions: AQE deals them to many tasks, and no file is far above the stated size."""
+    root = os.path.join(tmp_root, "target")
+    wide = spark.range(160_000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("a"))
+    size = 128 << 10
+    conf = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(size), "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    was = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        publish(wide.repartition(32), root, ["k"], part_rows=10_000)
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    folders = _folders(spark, root, 1)
+    files = [os.path.join(root, p, f) for p in folders for f in os.listdir(os.path.join(root, p)) if f.endswith(".parquet")]
+    writers = {os.path.basename(f).split("-")[1] for f in files}
+    assert len(folders) == 16 and len(writers) > 64
+    assert max(map(os.path.getsize, files)) < 2 * size
+    _holds(spark, root, 10_000)
+
+
+def test_identifier_keys_are_parted_by_hash(spark, tmp_root):
+    root = os.path.join(tmp_root, "target")
+    rows = spark.range(20_000).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("k"), F.col("id").alias("n"))
+    merge_into_snapshot(rows, root, ["k"], part_rows=100)
+    before = _folders(spark, root, 1)
+    assert 180 <= len(before) <= 220
+    merge_into_snapshot(rows.where("n < 5").withColumn("n", -F.col("n")), root, ["k"])
+    assert len(set(_folders(spark, root, 2)) - set(before)) <= 5
+    assert read_current(spark, root).count() == 20_000
+    _holds(spark, root, 100)
+    with pytest.raises(ValueError, match="not ordered"):
+        read_range(spark, root, 0, 1)
+
+
+def test_a_hot_first_key_is_one_part(spark, tmp_root):
+    """A value that a third of the rows share cannot be cut: one part, written by many tasks."""
+    root = os.path.join(tmp_root, "target")
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("int").alias("p"), F.col("id").alias("s"), F.lit(1).alias("q"))
+    merge_into_snapshot(rows, root, ["p", "s"], part_rows=200)
+    assert max(p.rows for p in parts_of(snapshot(spark, root, 1))) >= 1000
+    merge_into_snapshot(rows.where("p = 7").withColumn("q", F.lit(2)), root, ["p", "s"])
+    assert read_current(spark, root).groupBy("q").count().orderBy("q").collect()[1]["count"] == rows.where("p = 7").count()
+    assert read_current(spark, root).count() == 3000
+
+
+_loads = st.lists(st.lists(st.integers(-30, 60), max_size=25), min_size=1, max_size=5)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(loads=_loads)
+def test_any_loads_end_as_the_last_row_of_each_key(spark, tmp_root, loads):
+    import uuid
+
+    root, model = os.path.join(tmp_root, uuid.uuid4().hex), {}
+    for number, keys in enumerate(loads):
+        merge_into_snapshot(spark.createDataFrame([(k, "x", float(number)) for k in keys], SCHEMA), root, ["k"], part_rows=6)
+        model |= {k: (k, "x", float(number)) for k in keys}
+        assert _rows(read_current(spark, root)) == sorted(model.values(), key=repr)
+        _holds(spark, root, 6)
+
+
 def test_empty_staging_publishes_the_same_rows(spark, tmp_root):
     root = os.path.join(tmp_root, "target")
     empty = spark.createDataFrame([], SCHEMA)
@@ -195,13 +303,13 @@ def test_prune_snapshots_keeps_newest(spark, tmp_root):
     from tidemark.operators.merge import prune_snapshots
 
     root = os.path.join(tmp_root, "target")
-    merge_into_snapshot(spark.createDataFrame([(k, "a", 0.0) for k in range(50)], SCHEMA), root, ["k"], buckets=4)
+    merge_into_snapshot(spark.createDataFrame([(k, "a", 0.0) for k in range(50)], SCHEMA), root, ["k"], part_rows=12)
     for i in range(3):
         merge_into_snapshot(spark.createDataFrame([(1, "b", float(i))], SCHEMA), root, ["k"])
     deleted = prune_snapshots(spark, root, keep=2)
     assert [os.path.basename(p) for p in deleted] == ["v00000001.json", "v00000002.json"]
     assert snapshot_versions(spark, root) == [3, 4]
-    # buckets that version 1 wrote and no merge touched are still referred to
+    # parts that version 1 wrote and no merge touched are still referred to
     assert read_current(spark, root).count() == 50
     assert _rows(read_current(spark, root).where("k = 1")) == [(1, "b", 2.0)]
     assert prune_snapshots(spark, root, keep=2) == []

@@ -11,40 +11,54 @@ map-side before the shuffle), then ``target LEFT ANTI staged keys`` keeps the
 untouched rows and ``unionByName`` appends the staged rows. Both join sides
 are unique per key, so there is no skew. No job runs while the plan is built:
 a caller that knows the staged row count (a job observed it while writing
-staging) passes it, and few enough keys are then broadcast; otherwise the join
-is left to ``autoBroadcastJoinThreshold`` and AQE.
-
-Publishing (U14). A target's rows lie in a fixed number of hash buckets of the
-merge key, one folder each. A merge reads and rewrites the buckets its staging
-touches, into a new data folder, and refers to the other buckets where they
-are. A snapshot is a small pointer file ``vNNNNNNNN.json`` that names the
-folder of each bucket; it is created last and never overwritten, as the
-version after the one the merge was based on. So a half-written run is never
-seen, nothing that is being read changes, and of two publishers on one base
-the second fails (``PublishConflict``) and must merge again. This needs a file
-system whose create-without-overwrite is exclusive (HDFS; not plain S3).
+staging) passes it, and keys of fixed width that are few enough bytes are then
+broadcast; otherwise the join is left to ``autoBroadcastJoinThreshold`` and AQE.
+
+``merge_into_snapshot`` publishes the result (U14): see ``snapshots``.
 """
 
 from __future__ import annotations
 
-import json
-import re
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.bounds import range_index
 from ..sources.tables import require
-
-BROADCAST_KEY_ROWS = 1_000_000
-BUCKETS = 16
-_BUCKET = "_bucket"
-
-
-class PublishConflict(RuntimeError):
-    """The target moved on since the version this merge was based on."""
+from .snapshots import (
+    HASH_PART_ROWS,
+    PART,
+    PART_ROWS,
+    VALUE,
+    Part,
+    PublishConflict,
+    commit,
+    current_snapshot,
+    inner_cuts,
+    new_layout,
+    order_of,
+    parts_of,
+    plan_changes,
+    pointer_for,
+    prune_snapshots,
+    read_current,
+    read_parts,
+    snapshot,
+    snapshot_versions,
+    staged_per_part,
+    write_parts,
+)
+
+__all__ = [
+    "PublishConflict", "current_snapshot", "dedup_by_key", "merge_into_snapshot", "prune_snapshots",
+    "publish", "read_current", "snapshot", "snapshot_versions", "upsert",
+]
+
+#: Staged keys are broadcast up to this many bytes: rows observed x bytes a key takes.
+BROADCAST_KEY_BYTES = 32 << 20
+_ROW_BYTES = 16  # of a broadcast row, beside 8 for each column
 
 
 def dedup_by_key(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,6 +80,14 @@ def _not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns(checked)
 
 
+def _key_bytes(schema: T.StructType) -> int | None:
+    """Bytes of a broadcast row of these columns, None where a type's width has no bound."""
+    fixed = (T.IntegralType, T.FractionalType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    if not all(isinstance(f.dataType, fixed) for f in schema.fields):
+        return None
+    return _ROW_BYTES + sum(24 if isinstance(f.dataType, T.DecimalType) else 8 for f in schema.fields)
+
+
 def upsert(
     target: DataFrame | None,
     staging: DataFrame,
@@ -78,8 +100,8 @@ def upsert(
 
     ``columns`` is the target column list (P12: staging-only columns such as
     ``orderkey`` are dropped); by default the target's columns, else staging's.
-    ``staged_rows``, where known, bounds the staged keys: up to
-    ``BROADCAST_KEY_ROWS`` of them are broadcast.
+    ``staged_rows``, where known, bounds the staged keys: fixed-width keys of
+    up to ``BROADCAST_KEY_BYTES`` in all are broadcast.
     """
     keys = list(keys)
     if columns is None:
@@ -94,157 +116,69 @@ def upsert(
     if target is None:
         return staged
     changed = staged.select(*keys)
-    if staged_rows is not None and staged_rows <= BROADCAST_KEY_ROWS:
+    width = _key_bytes(changed.schema)
+    if staged_rows is not None and width is not None and staged_rows * width <= BROADCAST_KEY_BYTES:
         changed = F.broadcast(changed)
     kept = target.select(*columns).join(changed, keys, "left_anti")
     return kept.unionByName(staged)
 
 
-# ---- U14: publish as a new snapshot ---------------------------------------------------------
-
-_VERSION = re.compile(r"^v(\d{8})\.json$")
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, hpath = _fs(spark, path)
-    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
-
-
-def _pointer_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/v{version:08d}.json"
-
-
-def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
-    """Published versions under ``root``."""
-    return sorted(int(m.group(1)) for n in _names(spark, root) if (m := _VERSION.match(n)))
-
-
-def snapshot(spark: SparkSession, root: str, version: int) -> dict:
-    """A version's pointer: ``keys``, ``buckets``, ``schema`` and the folder of each bucket, below ``root``."""
-    fs, hpath = _fs(spark, _pointer_path(root, version))
-    stream = fs.open(hpath)
-    try:
-        return json.loads(bytes(stream.readAllBytes()).decode())
-    finally:
-        stream.close()
-
-
-def _read(spark: SparkSession, root: str, pointer: dict, buckets: Sequence[int] | None = None) -> DataFrame:
-    """The rows of a version, or of some of its buckets."""
-    schema = T.StructType.fromJson(pointer["schema"])
-    paths = [f"{root.rstrip('/')}/{p}" for b, p in pointer["parts"].items() if buckets is None or int(b) in buckets]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
-
-
-def current_snapshot(spark: SparkSession, root: str) -> str | None:
-    versions = snapshot_versions(spark, root)
-    return _pointer_path(root, versions[-1]) if versions else None
-
-
-def read_current(spark: SparkSession, root: str) -> DataFrame | None:
-    versions = snapshot_versions(spark, root)
-    return _read(spark, root, snapshot(spark, root, versions[-1])) if versions else None
-
-
-def _with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-
-
-def _commit(spark: SparkSession, root: str, base: int, pointer: dict) -> str:
-    """Create the pointer of version ``base + 1``, or fail if someone else has."""
-    versions = snapshot_versions(spark, root)
-    path = _pointer_path(root, base + 1)
-    if versions and versions[-1] != base:
-        raise PublishConflict(f"{root} is at version {versions[-1]}, this merge was based on {base}")
-    fs, hpath = _fs(spark, path)
-    try:
-        out = fs.create(hpath, False)
-    except Exception as e:  # a Java exception: only an existing pointer is a conflict
-        if fs.exists(hpath):
-            raise PublishConflict(f"{path} was published meanwhile") from e
-        raise
-    out.write(bytearray(json.dumps(pointer).encode()))
-    out.close()
-    return path
-
-
-def publish(df: DataFrame, root: str, keys: Sequence[str], base: int | None = None, buckets: int = BUCKETS) -> str:
-    """Write all of ``df`` as the version after ``base`` (default: the current one); returns the pointer's path."""
-    spark = df.sparkSession
-    if base is None:
-        base = max(snapshot_versions(spark, root), default=0)
-    parts = _write(_with_bucket(df, keys, buckets).repartition(F.col(_BUCKET)), root)
-    return _commit(spark, root, base, _pointer(df, keys, buckets, parts))
-
-
-def _pointer(df: DataFrame, keys: Sequence[str], buckets: int, parts: dict[str, str]) -> dict:
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields if f.name != _BUCKET])
-    return {"keys": list(keys), "buckets": buckets, "schema": schema.jsonValue(), "parts": parts}
-
-
-def _write(df: DataFrame, root: str) -> dict[str, str]:
-    """Write rows with their bucket to a new data folder; bucket -> folder."""
-    data = f"data/{uuid.uuid4().hex}"
-    path = f"{root.rstrip('/')}/{data}"
-    df.write.partitionBy(_BUCKET).parquet(path)
-    names = [n for n in _names(df.sparkSession, path) if n.startswith(f"{_BUCKET}=")]
-    return {n.partition("=")[2]: f"{data}/{n}" for n in names}
-
-
-def prune_snapshots(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
-    """Forget versions older than the newest ``keep`` and delete the bucket
-    folders only they refer to; returns the deleted pointers.
-
-    Folders of failed or running publishers, which no pointer names, are left.
-    Keep at least two, so readers still on the previous version finish.
-    """
-    if keep < 1:
-        raise ValueError("keep at least one snapshot")
-    versions = snapshot_versions(spark, root)
-    old, kept = versions[:-keep], versions[-keep:]
-    folders = lambda vs: {p for v in vs for p in snapshot(spark, root, v)["parts"].values()}
-    gone = folders(old) - folders(kept)
-    deleted = []
-    for v in old:
-        fs, hpath = _fs(spark, _pointer_path(root, v))
-        fs.delete(hpath, False)
-        deleted.append(_pointer_path(root, v))
-    for p in sorted(gone):
-        fs, hpath = _fs(spark, f"{root.rstrip('/')}/{p}")
-        fs.delete(hpath, True)
-    return deleted
-
-
 def merge_into_snapshot(
     staging: DataFrame,
     root: str,
     keys: Sequence[str],
     columns: Sequence[str] | None = None,
     staged_rows: int | None = None,
-    buckets: int = BUCKETS,
+    part_rows: int | None = None,
 ) -> str:
     """Upsert ``staging`` into the current version under ``root`` and publish.
 
-    ``staging`` is read twice (touched buckets, merge): pass a written table.
-    ``buckets`` counts when the target is first published; later merges keep
-    its number. Choose it so that a bucket's rows fit a few tasks.
+    ``staging`` is read two or three times (parts, cut points, merge): pass a
+    written table. ``part_rows``, the rows of a part, counts when the target is
+    first published; later merges keep it.
     """
     spark = staging.sparkSession
+    keys = list(keys)
     base = max(snapshot_versions(spark, root), default=0)
-    if not base:
-        return publish(upsert(None, staging, keys, columns), root, keys, 0, buckets)
-    pointer = snapshot(spark, root, base)
-    if pointer["keys"] != list(keys):
-        raise ValueError(f"{root} is keyed on {pointer['keys']}, not on {list(keys)}")
-    buckets = pointer["buckets"]
-    touched = [r[0] for r in _with_bucket(_not_null(staging, keys), keys, buckets).select(_BUCKET).distinct().collect()]  # at most ``buckets`` rows
-    target = _read(spark, root, pointer, touched)
-    merged = _with_bucket(upsert(target, staging, keys, columns, staged_rows=staged_rows), keys, buckets)
-    parts = _write(merged.repartition(F.col(_BUCKET)), root) if touched else {}
-    return _commit(spark, root, base, _pointer(merged, keys, buckets, {**pointer["parts"], **parts}))
+    order, value = order_of(staging.schema, keys)
+    if base:
+        pointer = snapshot(spark, root, base)
+        if pointer["keys"] != keys or pointer["order"] != order:
+            raise ValueError(f"{root} is keyed on {pointer['keys']} by {pointer['order']}, not on {keys} by {order}")
+        part_rows, parts = pointer["part_rows"], parts_of(pointer)
+    else:
+        part_rows, parts = part_rows or (PART_ROWS if order == "range" else HASH_PART_ROWS), []
+    parts = parts or [Part(None, None, None, 0, None)]
+
+    staged_values = _not_null(staging.select(*keys), keys).select(value.alias(VALUE))
+    changes = plan_changes(parts, staged_per_part(staged_values, parts), part_rows)
+    target = read_parts(spark, root, pointer, [parts[c.index] for c in changes if c.read]) if base else None
+    if not changes:
+        merged, done = target if base else upsert(None, staging, keys, columns), [p for p in parts if p.folder]
+    else:
+        values = staged_values
+        if target is not None:
+            values = values.unionByName(target.select(value.alias(VALUE)))
+        index = range_index(F.col(VALUE), [p.lower for p in parts[1:]])
+        layout = new_layout(parts, changes, inner_cuts(values.withColumn(PART, index), changes))
+        merged = upsert(target, staging, keys, columns, staged_rows=staged_rows)
+        done = write_parts(merged, root, value, layout)
+    return commit(spark, root, base, pointer_for(merged.schema, keys, order, part_rows, done))
+
+
+def publish(df: DataFrame, root: str, keys: Sequence[str], base: int | None = None, part_rows: int | None = None) -> str:
+    """Write all of ``df`` as the version after ``base`` (default: the current one); returns the pointer's path.
+
+    ``df`` has one row per key; it is read up to three times.
+    """
+    spark = df.sparkSession
+    keys = list(keys)
+    if base is None:
+        base = max(snapshot_versions(spark, root), default=0)
+    order, value = order_of(df.schema, keys)
+    part_rows = part_rows or (PART_ROWS if order == "range" else HASH_PART_ROWS)
+    whole = [Part(None, None, None, 0, None)]
+    values = df.select(value.alias(VALUE))
+    changes = plan_changes(whole, staged_per_part(values, whole), part_rows)
+    layout = new_layout(whole, changes, inner_cuts(values.withColumn(PART, F.lit(0)), changes))
+    return commit(spark, root, base, pointer_for(df.schema, keys, order, part_rows, write_parts(df, root, value, layout)))

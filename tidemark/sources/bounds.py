@@ -1,4 +1,4 @@
-"""Key bounds (S2, S3) and range chunking.
+"""Key bounds (S2, S3) and range chunking (S4), equal in width or in rows.
 
 The reference reads a source in ``n`` key ranges over ``[min, max]``: the
 first range is open below and also takes NULL keys, the last is open above.
@@ -13,10 +13,16 @@ The same rule serves three uses here:
 Chunk rule: ``n' = max(1, min(n, hi - lo))``, ``stride = (hi - lo) div n'``;
 key k falls in ``least(n' - 1, greatest(0, (k - lo) div stride))``; a NULL key
 is in chunk 0; ``hi = lo`` gives one chunk; an empty source has no chunk.
+
+Ranges of equal width over sparse or clustered keys hold very different numbers
+of rows. ``even_cuts`` takes cut points from a quantile sketch instead (one
+aggregate; the sketch is merged map-side), so each chunk holds about the same
+number of rows; a key that alone has more than a chunk's rows is a chunk.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -108,3 +114,61 @@ def chunk_predicates(key: str, bounds: KeyBounds | None, n: int) -> list[str]:
         else:
             preds.append(f"{key} >= {lo} AND {key} < {hi}")
     return preds
+
+
+# ---- chunks of equal row counts -----------------------------------------------------------------
+
+#: One in so many rows is the error of a cut point's rank, at least.
+ACCURACY = 1_000_000
+
+
+def accuracy_for(chunks: int) -> int:
+    """The sketch's accuracy: a cut's rank is off by at most a hundredth of a chunk."""
+    return max(ACCURACY, 100 * chunks)
+
+
+def even_cuts(df: DataFrame, key: str | Column, chunks: int) -> list[int]:
+    """At most ``chunks - 1`` rising keys that part the rows into chunks of about equal counts.
+
+    Chunk i holds the keys k with ``cuts[i - 1] <= k < cuts[i]``. A NULL key is
+    not counted here and lies in chunk 0 like any key below the first cut.
+    """
+    if chunks < 1:
+        raise ValueError("number of chunks must be >= 1")
+    k = (F.col(key) if isinstance(key, str) else key).cast("bigint")
+    at = F.percentile_approx(k, [i / chunks for i in range(1, chunks)], accuracy_for(chunks)) if chunks > 1 else F.lit(None)
+    row = df.agg(F.max(k).alias("hi"), at.alias("cuts")).first()
+    # the i-th percentile is the last key of chunk i
+    return sorted({c + 1 for c in row["cuts"] or () if c < row["hi"]})
+
+
+def range_index(value: Column, cuts: list[int]) -> Column:
+    """How many of the rising ``cuts`` are at most ``value`` (NULL: none), by binary search in one expression.
+
+    The cuts are one constant array, not a condition each, so the plan does not
+    grow with them and a row costs about log2 of their number.
+    """
+    if not cuts:
+        return F.lit(0)
+    array = F.from_json(F.lit(json.dumps(cuts)), "array<bigint>")
+    steps = F.array(*[F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1)])
+
+    def search(v: Column) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.try_element_at(array, at + step) <= v, at + step).otherwise(at))
+
+    return F.element_at(F.transform(F.array(value), search), 1)
+
+
+def even_chunk_counts(df: DataFrame, key: str, chunks: int) -> DataFrame:
+    """Per chunk of ``even_cuts``: ``(chunk, lower, upper, rows)``, the least and greatest key in it and its rows."""
+    k = F.col(key).cast("bigint")
+    chunk = range_index(k, even_cuts(df, key, chunks)).alias("chunk")
+    return df.select(k.alias("k"), chunk).groupBy("chunk").agg(F.min("k").alias("lower"), F.max("k").alias("upper"), F.count(F.lit(1)).alias("rows"))
+
+
+def cut_predicates(key: str, cuts: list[int]) -> list[str]:
+    """SQL WHERE clauses of the chunks between ``cuts``: disjoint, and together every row, NULL keys included."""
+    if not cuts:
+        return ["1 = 1"]
+    middle = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{key} < {cuts[0]} OR {key} IS NULL", *middle, f"{key} >= {cuts[-1]}"]
