@@ -121,18 +121,6 @@ def test_command_line_runs_jobs(spark, tmp_root, capsys):
     assert lines[1]["rows_staged"] == 25
 
 
-def test_shuffle_width_follows_read_partitions(spark, tmp_root):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        run = Run.create(spark, SF_SMALL, f"{tmp_root}/s", f"{tmp_root}/t", JobOptions(event_time=1), size_for_input=False)
-        run_jobs(run, ["nation"], adjust_shuffle=True)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"  # 2 x the job's 50
-        with pytest.raises(ValueError):
-            run_jobs(run, ["nation"], parallel=2, adjust_shuffle=True)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 def test_transform_gets_the_options_it_names(spark):
     from tidemark.operators.transforms import register
 

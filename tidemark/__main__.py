@@ -47,7 +47,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--staging-jdbc", help="also load staged rows into this database")
     ap.add_argument("--staging-root", required=True, help="staging folder, shared by all executors")
     ap.add_argument("--target-root", required=True, help="target snapshot folder, shared by all executors")
-    ap.add_argument("--adjust-shuffle", action="store_true", help="shuffle width 2 x each job's read partitions")
+    ap.add_argument("--adjust-shuffle", action="store_true", help="each job's own shuffle width and transform partitions, by its read partitions")
+    ap.add_argument("--last-arrival", action="store_true", help="of staged rows with one key keep the last of the source's files")
+    ap.add_argument("--quarantine", action="store_true", help="set rows aside that break a derived table's DDL")
+    ap.add_argument("--co-partition", type=int, metavar="BUCKETS", help="bucket the staging tables that customer_event joins")
     ap.add_argument("--parallel", type=int, default=1, help="independent jobs submitted at once")
     ap.add_argument("--keep-snapshots", type=int, help="committed target snapshots kept per table")
     ap.add_argument("--event-time", type=int, help="fixed event_timestamp (epoch seconds)")
@@ -68,11 +71,12 @@ def main(argv: list[str] | None = None) -> None:
         args.source,
         args.staging_root,
         args.target_root,
-        JobOptions(event_time=args.event_time),
+        JobOptions(event_time=args.event_time, last_arrival=args.last_arrival, quarantine=args.quarantine),
         loader=loader,
         staging_endpoint=_endpoint(args.staging_jdbc, args.user_env, args.password_env),
     )
     run.keep_snapshots = args.keep_snapshots
+    run.co_partition = args.co_partition
     for result in run_jobs(run, args.jobs, parallel=args.parallel, adjust_shuffle=args.adjust_shuffle):
         print(json.dumps(result.__dict__))
 

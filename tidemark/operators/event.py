@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import present, require
+from .partitioning import repartition_by_key
 
 # The event's profile and order fields, in the reference's order.
 PROFILE_EVENT_COLUMNS = (
@@ -43,6 +44,7 @@ ORDER_EVENT_COLUMNS = (
 )
 EVENT_TYPE = "MigEvent"
 
+DIGIT = "_digit"
 CUSTOMER_ID = "customer_aggregate_identifier"
 ORDER_ID = "order_aggregate_identifier"
 
@@ -72,14 +74,28 @@ def _event_time(event_time: int | None) -> Column:
     return F.unix_timestamp() if event_time is None else F.lit(int(event_time)).cast("bigint")
 
 
+def order_digit() -> Column:
+    """First hex digit of the order's identifier: an even salt, as the identifier is an MD5."""
+    return F.coalesce(F.substring(F.hex(F.substring(ORDER_ID, 1, 1)), 1, 1), F.lit(""))
+
+
+def deal_orders(customer_orders: DataFrame, partitions: int, key: str = CUSTOMER_ID) -> DataFrame:
+    """R1 for the order side of W11: dealt by the transform's key and the digit by which lists are built.
+
+    The first level of the lists then needs no exchange of its own, and a hot
+    customer's orders lie in up to 16 partitions.
+    """
+    return repartition_by_key(customer_orders, partitions, key, salt=order_digit(), salt_name=DIGIT)
+
+
 def _order_lists(orders: DataFrame, keys: list[str], value: Column, name: str) -> DataFrame:
     """Per ``keys`` the values of its orders in identifier order, built in two levels."""
-    digit = F.coalesce(F.substring(F.hex(F.substring(ORDER_ID, 1, 1)), 1, 1), F.lit(""))
-    parts = orders.groupBy(*keys, digit.alias("_digit")).agg(
+    digit = F.col(DIGIT) if DIGIT in orders.columns else order_digit().alias(DIGIT)
+    parts = orders.groupBy(*keys, digit).agg(
         F.sort_array(F.collect_list(F.struct(F.col(ORDER_ID).alias("k"), value.alias("v")))).alias("_part")
     )
     lists = parts.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_digit").alias("d"), F.col("_part.v").alias("p")))).alias("_parts")
+        F.sort_array(F.collect_list(F.struct(F.col(DIGIT).alias("d"), F.col("_part.v").alias("p")))).alias("_parts")
     )
     return lists.select(*keys, F.flatten(F.transform("_parts", lambda x: x["p"])).alias(name))
 

@@ -61,17 +61,24 @@ BROADCAST_KEY_BYTES = 32 << 20
 _ROW_BYTES = 16  # of a broadcast row, beside 8 for each column
 
 
-def dedup_by_key(staging: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key; among duplicates the row that is greatest on the
-    remaining columns (in column order, NULLs lowest) wins, so reruns repeat."""
+def dedup_by_key(staging: DataFrame, keys: Sequence[str], arrival: str | None = None) -> DataFrame:
+    """One row per key, the same one in every run.
+
+    Among duplicates the row that is greatest on the remaining columns (in
+    column order, NULLs lowest) wins. With ``arrival``, a column that orders
+    rows as they came (``sources.tables.with_arrival``), the last to arrive
+    wins, as when a database applies them one after another; the column itself
+    is dropped. Both are partial aggregates: a hot key is combined map-side.
+    """
     keys = list(keys)
     require(staging, keys, "staging")
-    others = [c for c in staging.columns if c not in keys]
+    kept = [c for c in staging.columns if c != arrival]
+    others = [c for c in kept if c not in keys]
     if not others:
-        return staging.dropDuplicates(keys)
-    best = staging.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*staging.columns)
-
+        return staging.select(*kept).dropDuplicates(keys)
+    row = F.struct(*others)
+    best = staging.groupBy(*keys).agg((F.max(row) if arrival is None else F.max_by(row, F.col(arrival))).alias("_row"))
+    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*kept)
 
 
 def _not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -95,24 +102,26 @@ def upsert(
     columns: Sequence[str] | None = None,
     deduplicate: bool = True,
     staged_rows: int | None = None,
+    arrival: str | None = None,
 ) -> DataFrame:
     """Merge ``staging`` into ``target`` on ``keys``.
 
     ``columns`` is the target column list (P12: staging-only columns such as
     ``orderkey`` are dropped); by default the target's columns, else staging's.
     ``staged_rows``, where known, bounds the staged keys: fixed-width keys of
-    up to ``BROADCAST_KEY_BYTES`` in all are broadcast.
+    up to ``BROADCAST_KEY_BYTES`` in all are broadcast. ``arrival``: see
+    ``dedup_by_key``.
     """
     keys = list(keys)
     if columns is None:
         columns = target.columns if target is not None else staging.columns
-    columns = list(columns)
+    columns = [c for c in columns if c != arrival]
     missing = [k for k in keys if k not in columns]
     if missing:
         raise ValueError(f"merge keys {missing} are not target columns {columns}")
-    staged = _not_null(staging.select(*columns), keys)
-    if deduplicate:
-        staged = dedup_by_key(staged, keys)
+    staged = _not_null(staging.select(*columns, *([arrival] if arrival else [])), keys)
+    if deduplicate or arrival:
+        staged = dedup_by_key(staged, keys, arrival)
     if target is None:
         return staged
     changed = staged.select(*keys)
@@ -130,6 +139,7 @@ def merge_into_snapshot(
     columns: Sequence[str] | None = None,
     staged_rows: int | None = None,
     part_rows: int | None = None,
+    arrival: str | None = None,
 ) -> str:
     """Upsert ``staging`` into the current version under ``root`` and publish.
 
@@ -154,14 +164,14 @@ def merge_into_snapshot(
     changes = plan_changes(parts, staged_per_part(staged_values, parts), part_rows)
     target = read_parts(spark, root, pointer, [parts[c.index] for c in changes if c.read]) if base else None
     if not changes:
-        merged, done = target if base else upsert(None, staging, keys, columns), [p for p in parts if p.folder]
+        merged, done = target if base else upsert(None, staging, keys, columns, arrival=arrival), [p for p in parts if p.folder]
     else:
         values = staged_values
         if target is not None:
             values = values.unionByName(target.select(value.alias(VALUE)))
         index = range_index(F.col(VALUE), [p.lower for p in parts[1:]])
         layout = new_layout(parts, changes, inner_cuts(values.withColumn(PART, index), changes))
-        merged = upsert(target, staging, keys, columns, staged_rows=staged_rows)
+        merged = upsert(target, staging, keys, columns, staged_rows=staged_rows, arrival=arrival)
         done = write_parts(merged, root, value, layout)
     return commit(spark, root, base, pointer_for(merged.schema, keys, order, part_rows, done))
 

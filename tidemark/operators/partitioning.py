@@ -1,6 +1,7 @@
 """Partitioning operators.
 
-``repartition_by_key`` (R1) hash-partitions on a key; ``throttle`` (R2/K2)
+``repartition_by_key`` (R1) hash-partitions on a key, and on a salt beside it
+where what follows combines partially; ``throttle`` (R2/K2)
 caps the number of concurrent writer tasks for a database sink: by a
 round-robin repartition for computed inputs, which keeps upstream stages
 fully parallel (``coalesce`` would run the whole upstream stage in ``n``
@@ -11,16 +12,20 @@ before a round-robin exchange (``spark.sql.execution.sortBeforeRepartition``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
-def repartition_by_key(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+def repartition_by_key(df: DataFrame, partitions: int, *keys: str, salt: Column | None = None, salt_name: str = "_salt") -> DataFrame:
     """Hash partitioning on ``keys``; later groupBys/joins on them reuse it.
 
-    A key holding a large share of rows lands in one partition: use it only
-    for keys that are unique or bounded per value.
+    A key holding a large share of rows lands in one partition. Where the next
+    step combines partially, pass a ``salt``: it becomes the column
+    ``salt_name``, rows are dealt by keys and salt, and a groupBy on both needs
+    no further exchange.
     """
-    return df.repartition(partitions, *keys)
+    if salt is None:
+        return df.repartition(partitions, *keys)
+    return df.withColumn(salt_name, salt).repartition(partitions, *keys, salt_name)
 
 
 def throttle(df: DataFrame, writers: int, materialized: bool = False) -> DataFrame:

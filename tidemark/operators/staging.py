@@ -65,15 +65,15 @@ def staged_name(source_column: str) -> str:
     return source_column.split("_", 1)[1]
 
 
-def stage_copy(df: DataFrame, table: str) -> DataFrame:
-    """Rename the present source columns of ``table`` to staged names."""
+def stage_copy(df: DataFrame, table: str, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Rename the present source columns of ``table`` to staged names; ``extra`` columns pass as they are."""
     columns = COPY_COLUMNS[table]
     prefix = columns[0].split("_", 1)[0] + "_"
     require(df, [prefix + k for k in COPY_KEYS[table]], table)
-    return df.select([F.col(c).alias(staged_name(c)) for c in present(df, columns)])
+    return df.select([F.col(c).alias(staged_name(c)) for c in present(df, columns)] + list(extra))
 
 
-def stage_customer_orders(orders: DataFrame) -> DataFrame:
+def stage_customer_orders(orders: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Orders with MD5 identifiers for order and customer, exact money, dates."""
     require(orders, ["o_orderkey", "o_custkey"], "orders")
     derived = {
@@ -95,4 +95,4 @@ def stage_customer_orders(orders: DataFrame) -> DataFrame:
     }
     have = {c.lower() for c in orders.columns}
     keep = [c for c in CUSTOMER_ORDERS_COLUMNS if c not in sources or sources[c] in have]
-    return orders.select([derived[c].alias(c) for c in keep])
+    return orders.select([derived[c].alias(c) for c in keep] + list(extra))

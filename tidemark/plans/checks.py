@@ -44,9 +44,10 @@ from ..operators.profile import (
 )
 from ..operators.staging import COPY_KEYS, stage_copy, stage_customer_orders
 from ..session import work_path
-from ..sources.bounds import chunk_counts, key_bounds
+from ..sinks.conform import definition, write_conforming
+from ..sources.bounds import chunk_counts, even_chunk_counts, footer_bounds
+from ..sources.tables import ARRIVAL, TableSet, present, with_arrival
 from ..sources.tables import SOURCE_PARTITION_KEYS as _SOURCE_KEYS
-from ..sources.tables import TableSet, present
 from .jobs import Run, run_jobs
 from .spec import JOB_ORDER, SPECS, JobOptions
 
@@ -67,6 +68,8 @@ SPLITS = {
 }
 STALE = {"supplier": "acctbal", "part": "retailprice"}
 EARLY_BALANCE = 8000.0
+# Buckets of the staging tables in the co-partitioned run of W11.
+CHECK_BUCKETS = 8
 
 
 def for_check(df: DataFrame) -> DataFrame:
@@ -186,8 +189,8 @@ SOURCE_PARTITION_KEYS = tuple(
 
 def q_pk_bounds(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    found = [(name, key_bounds(t[name], key)) for name, key in SOURCE_PARTITION_KEYS]
-    rows = [(name, b and b.lower, b and b.upper) for name, b in found]
+    found = footer_bounds(spark, {name: (f"{t.root.rstrip('/')}/{name}.parquet", key) for name, key in SOURCE_PARTITION_KEYS})
+    rows = [(name, b and b.lower, b and b.upper) for name, b in found.items()]
     return spark.createDataFrame(rows, "table_name string, min_key long, max_key long")
 
 
@@ -196,11 +199,17 @@ def q_chunk_counts_orders(spark, sf_dir):
     return chunk_counts(t["orders"], "o_orderkey", SPECS["orders"].read_partitions)
 
 
-def _run(spark: SparkSession, sf_dir: str) -> Run:
+def q_even_chunks_lineitem(spark, sf_dir):
+    """Chunks of equal row counts over a key whose rows bunch."""
+    t = _tables(spark, sf_dir)
+    return even_chunk_counts(t["lineitem"], "l_orderkey", SPECS["lineitem"].read_partitions)
+
+
+def _run(spark: SparkSession, sf_dir: str, **options) -> Run:
     """A run of the jobs in a fresh work folder; partsupp, absent from the data, is derived from lineitem."""
     root = work_path(spark)
-    options = JobOptions(event_time=CHECK_EVENT_TIME)
-    standin = partsupp_standin(_tables(spark, sf_dir)["lineitem"])
+    options = JobOptions(event_time=CHECK_EVENT_TIME, **options)
+    standin = lambda session: partsupp_standin(_tables(session, sf_dir)["lineitem"])
     return Run.create(spark, sf_dir, f"{root}/staging", f"{root}/target", options, overrides={"partsupp": standin}, size_for_input=False)
 
 
@@ -210,22 +219,48 @@ def q_load_counts(spark, sf_dir):
     return spark.createDataFrame(rows, "table_name string, rows long")
 
 
-def _job(name: str) -> Callable[[SparkSession, str], DataFrame]:
+def _job(name: str, co_partition: int | None = None, **options) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        run = _run(spark, sf_dir)
+        run = _run(spark, sf_dir, **options)
+        run.co_partition = co_partition
         run_jobs(run, [name])
-        again = Run(spark, run.tables, run.staging_root, run.target_root, options=run.options)
+        again = Run(spark, run.tables, run.staging_root, run.target_root, options=run.options, co_partition=co_partition)
         run_jobs(again, [name])
         return for_check(read_current(spark, f"{run.target_root}/{name}"))
 
     return q
 
 
+def q_conform_customer_orders(spark, sf_dir):
+    """The staged orders that fit their DDL, cast to it (K5)."""
+    staged = stage_customer_orders(_tables(spark, sf_dir)["orders"])
+    done = write_conforming(staged, f"{work_path(spark)}/conform", definition("customer_orders"))
+    return for_check(done.rows(spark))
+
+
+def q_conform_counts(spark, sf_dir):
+    """Rows of the derived tables that fit their DDL, that do not, and by broken rule (K5)."""
+    t = _tables(spark, sf_dir)
+    staged = {"customer_orders": stage_customer_orders(t["orders"]), "customer_profile": _profile(t)}
+    rows = []
+    for name, df in staged.items():
+        done = write_conforming(df, f"{work_path(spark)}/conform", definition(name))
+        rows += [(name, "fitting", done.fitting), (name, "rejected", done.rejected)]
+        rows += [(name, f"{column}: {rule}", n) for (column, rule), n in done.broken.items() if n]
+    return spark.createDataFrame(rows, "table_name string, kind string, rows long")
+
+
 def q_upsert_duplicate_keys(spark, sf_dir):
     staged = stage_copy(_tables(spark, sf_dir)["lineitem"], "lineitem")
     return for_check(dedup_by_key(staged, COPY_KEYS["lineitem"]))
 
 
+def q_upsert_last_arrival(spark, sf_dir):
+    """Of lines with one key the last in the source's file (U13 by arrival)."""
+    staged = stage_copy(with_arrival(_tables(spark, sf_dir)["lineitem"]), "lineitem", (ARRIVAL,))
+    return for_check(dedup_by_key(staged, COPY_KEYS["lineitem"], ARRIVAL))
+
+
 # ---- merge scenarios ------------------------------------------------------------------------
 
 def _stale(df: DataFrame, column: str, value) -> DataFrame:
@@ -311,9 +346,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         customer_event_nested=q_customer_event_nested,
         pk_bounds=q_pk_bounds,
         chunk_counts_orders=q_chunk_counts_orders,
+        even_chunks_lineitem=q_even_chunks_lineitem,
         load_counts=q_load_counts,
         upsert_duplicate_keys=q_upsert_duplicate_keys,
+        upsert_last_arrival=q_upsert_last_arrival,
+        conform_customer_orders=q_conform_customer_orders,
+        conform_counts=q_conform_counts,
     )
     qs.update({f"upsert_{t}": _upsert_query(t) for t in UPSERT_TABLES})
     qs.update({f"job_{t}": _job(t) for t in JOB_ORDER})
+    qs.update(
+        job_lineitem_last_arrival=_job("lineitem", last_arrival=True),
+        job_customer_orders_quarantine=_job("customer_orders", quarantine=True),
+        job_customer_event_copartitioned=_job("customer_event", co_partition=CHECK_BUCKETS),
+    )
     return qs

@@ -323,6 +323,57 @@ SELECT CAST(COALESCE(least((SELECT n FROM s) - 1,
  GROUP BY 1"""
 
 
+def even_chunks_sql(table: str, key: str, n: int) -> str:
+    """Cut points at exact ranks: chunk i ends with the key at rank ceil(i / n x rows)."""
+    return f"""WITH r AS MATERIALIZED (SELECT k, row_number() OVER (ORDER BY k) AS rn, count(*) OVER () AS rows, max(k) OVER () AS hi
+  FROM (SELECT CAST({key} AS BIGINT) AS k FROM {table}) x),
+c AS MATERIALIZED (SELECT DISTINCT r.k + 1 AS cut FROM r JOIN range(1, {n}) t(i) ON r.rn = ceil(CAST(i AS DOUBLE) / {n} * r.rows) WHERE r.k < r.hi),
+k AS MATERIALIZED (SELECT k, count(*) AS rows FROM r GROUP BY k),
+p AS (SELECT k.k, any_value(k.rows) AS rows, count(c.cut) AS chunk FROM k LEFT JOIN c ON c.cut <= k.k GROUP BY k.k)
+SELECT CAST(chunk AS INTEGER) AS chunk, min(k) AS lower, max(k) AS upper, CAST(sum(rows) AS BIGINT) AS rows FROM p GROUP BY chunk"""
+
+
+def last_arrival_sql() -> str:
+    """The last line of each key in the file's order."""
+    cols, keys = copy_columns("lineitem"), "orderkey, linenumber"
+    names = ", ".join(f"{c} AS {_strip(c)}" for c in PRESENT["lineitem"])
+    numbered = f"SELECT {names}, row_number() OVER () AS _seq FROM lineitem"
+    return (
+        f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY _seq DESC) AS _rn "
+        f"FROM ({numbered}) n) d WHERE _rn = 1"
+    )
+
+
+# The longest text that a column of the DDL takes, of the columns in the check data.
+DDL_LENGTHS = {
+    "customer_orders": {"orderstatus": 2, "orderpriority": 10},
+    "customer_profile": {"name": 100, "country": 50, "market_segment": 50},
+}
+
+
+def _breaks(table: str, columns: list[str]) -> dict[str, str]:
+    nulls = {f"{c}: null": f"{c} IS NULL" for c in columns}
+    return nulls | {f"{c}: length": f"coalesce(length({c}) > {n}, false)" for c, n in DDL_LENGTHS[table].items()}
+
+
+def conform_counts_sql() -> str:
+    parts = []
+    for table, sql, columns in (("customer_orders", customer_orders_sql(), CO_COLUMNS), ("customer_profile", profile_sql(), PROFILE_COLUMNS)):
+        rules = _breaks(table, columns)
+        any_of = " OR ".join(f"({c})" for c in rules.values())
+        kinds = {"fitting": f"NOT ({any_of})", "rejected": any_of, **rules}
+        counted = [
+            f"SELECT '{table}' AS table_name, '{kind}' AS kind, count(*) FILTER (WHERE {condition}) AS rows FROM ({sql}) x" for kind, condition in kinds.items()
+        ]
+        parts.append(f"SELECT * FROM ({_union(counted)}) c WHERE rows > 0 OR kind IN ('fitting', 'rejected')")
+    return _union(parts)
+
+
+def fitting_orders_sql() -> str:
+    any_of = " OR ".join(f"({c})" for c in _breaks("customer_orders", CO_COLUMNS).values())
+    return _where(customer_orders_sql(), f"NOT ({any_of})")
+
+
 def job_sql(table: str) -> str:
     """A job's target after its first (and any further) run: staging, one row a key, target columns."""
     spec = SPECS[table]
@@ -393,4 +444,11 @@ def oracle_sql() -> dict[str, str]:
         sql[f"upsert_{t}"] = upsert_scenario_sql(t)
     for t in JOB_ORDER:
         sql[f"job_{t}"] = job_sql(t)
+    sql["even_chunks_lineitem"] = even_chunks_sql("lineitem", "l_orderkey", SPECS["lineitem"].read_partitions)
+    sql["upsert_last_arrival"] = sql["job_lineitem_last_arrival"] = present_sql(last_arrival_sql(), COPY_KINDS["lineitem"])
+    sql["conform_counts"] = conform_counts_sql()
+    sql["conform_customer_orders"] = present_sql(fitting_orders_sql(), CO_KINDS)
+    kept = [c for c in CO_COLUMNS if c not in SPECS["customer_orders"].target_drops]
+    sql["job_customer_orders_quarantine"] = present_sql(_only(fitting_orders_sql(), kept), {c: k for c, k in CO_KINDS.items() if c in kept})
+    sql["job_customer_event_copartitioned"] = sql["job_customer_event"]
     return sql

@@ -13,18 +13,30 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from ..operators.event import event_rows
+from ..operators.event import deal_orders, event_rows
 from ..operators.profile import customer_profile
 from ..operators.staging import COPY_KEYS, stage_copy, stage_customer_orders
+from ..sources.tables import ARRIVAL, with_arrival
 
 Query = Callable[[Mapping[str, DataFrame], "JobOptions"], DataFrame]
 
 
 @dataclass(frozen=True)
 class JobOptions:
-    """Per-run values: a fixed event time makes reruns repeat."""
+    """Per-run values.
+
+    ``event_time``: a fixed one makes reruns repeat. ``last_arrival``: among
+    staged rows of one key the last to arrive in the source's files wins (copy
+    jobs and customer_orders), not the greatest. ``quarantine``: rows that break
+    a derived table's DDL are set aside instead of failing the job.
+    ``partitions``: how many partitions the transform's input is dealt to by the
+    job's ``transform_key``; set by the runner.
+    """
 
     event_time: int | None = None
+    last_arrival: bool = False
+    quarantine: bool = False
+    partitions: int | None = None
 
 
 @dataclass(frozen=True)
@@ -35,6 +47,8 @@ class TableSpec:
     merge_keys: tuple[str, ...]
     target_drops: tuple[str, ...] = ()
     transform: str | None = None
+    transform_key: str | None = None
+    arrives: bool = False  # one source row a staged row: the source's arrival order can decide
     read_partitions: int = 50
     write_partitions: int = 20
     batch_size: int = 1000
@@ -46,22 +60,31 @@ class TableSpec:
 
 
 def _copy(table: str) -> Query:
-    return lambda t, _opts: stage_copy(t[table], table)
+    def query(t: Mapping[str, DataFrame], opts: JobOptions) -> DataFrame:
+        return stage_copy(with_arrival(t[table]), table, (ARRIVAL,)) if opts.last_arrival else stage_copy(t[table], table)
+
+    return query
 
 
-def _customer_orders(t: Mapping[str, DataFrame], _opts: JobOptions) -> DataFrame:
-    return stage_customer_orders(t["orders"])
+def _customer_orders(t: Mapping[str, DataFrame], opts: JobOptions) -> DataFrame:
+    return stage_customer_orders(with_arrival(t["orders"]), (ARRIVAL,)) if opts.last_arrival else stage_customer_orders(t["orders"])
 
 
 def _customer_profile(t: Mapping[str, DataFrame], _opts: JobOptions) -> DataFrame:
     return customer_profile(t["customer"], t["nation"], t["orders"], t["lineitem"])
 
 
-def _customer_event(t: Mapping[str, DataFrame], _opts: JobOptions) -> DataFrame:
+def _customer_event(t: Mapping[str, DataFrame], opts: JobOptions) -> DataFrame:
     # Reads the staging outputs of customer_profile and customer_orders; the
     # job's transform encodes the rows.
-    return event_rows(t["staging.customer_profile"], t["staging.customer_orders"])
+    profile, orders = t["staging.customer_profile"], t["staging.customer_orders"]
+    if opts.partitions:
+        orders = deal_orders(orders, opts.partitions, TRANSFORM_KEY)
+    return event_rows(profile, orders)
+
 
+# Fixed value: the transform key that all of the reference's job configs name.
+TRANSFORM_KEY = "customer_aggregate_identifier"
 
 # Partition keys and tuning values of the reference's job configs.
 _COPY_PARTITION_KEY = {
@@ -76,6 +99,7 @@ SPECS: dict[str, TableSpec] = {
             query=_copy(table),
             partition_key=key,
             merge_keys=COPY_KEYS[table],
+            arrives=table != "partsupp",
             read_partitions=50,
             write_partitions=10,
             batch_size=10_000,
@@ -87,6 +111,7 @@ SPECS: dict[str, TableSpec] = {
         query=_customer_orders,
         partition_key="orderkey",
         merge_keys=("order_aggregate_identifier",),
+        arrives=True,
         target_drops=("orderkey",),
         read_partitions=50,
         write_partitions=10,
@@ -109,6 +134,7 @@ SPECS: dict[str, TableSpec] = {
         merge_keys=("customer_aggregate_identifier",),
         target_drops=("custkey",),
         transform="customer_event",
+        transform_key=TRANSFORM_KEY,
         read_partitions=500,
         write_partitions=50,
         batch_size=10_000,

@@ -65,6 +65,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def child_session(spark: SparkSession, conf: dict[str, str] | None = None) -> SparkSession:
+    """A session beside ``spark``, with its present SQL settings and then ``conf``.
+
+    It shares the context, catalogue and cached data, but not the settings: two
+    jobs at once can each have their own shuffle width.
+    """
+    child = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and child.conf.isModifiable(key):
+            child.conf.set(key, value)
+    for key, value in (conf or {}).items():
+        child.conf.set(key, value)
+    return child
+
+
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder (staging runs, snapshots)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -23,11 +23,15 @@ number of rows; a key that alone has more than a chunk's rows is a chunk.
 from __future__ import annotations
 
 import json
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import child_session
+
 
 @dataclass(frozen=True)
 class KeyBounds:
@@ -47,6 +51,32 @@ def key_bounds(df: DataFrame, key: str) -> KeyBounds | None:
     return KeyBounds(int(row["lo"]), int(row["hi"]))
 
 
+def footer_bounds(spark: SparkSession, sources: Mapping[str, tuple[str, str]]) -> dict[str, KeyBounds | None]:
+    """S2/A6 for Parquet tables ``{name: (path, key)}``: MIN and MAX from the files' footers, all tables in one job.
+
+    Spark's own aggregate pushdown reads the row groups' statistics and no data
+    pages. Files without statistics for the key (written so, or holding NULLs
+    only) are scanned instead, again in one job.
+    """
+    try:
+        rows = footer_query(spark, sources).collect()  # a row a table
+    except Exception as e:  # raised by the reader for files without statistics
+        if "No min/max found" not in str(e):
+            raise
+        rows = footer_query(spark, sources, pushdown=False).collect()
+    return {r["name"]: None if r["lo"] is None else KeyBounds(int(r["lo"]), int(r["hi"])) for r in rows}
+
+
+def footer_query(spark: SparkSession, sources: Mapping[str, tuple[str, str]], pushdown: bool = True) -> DataFrame:
+    """``(name, lo, hi, rows)`` per table, by aggregates that the DSv2 Parquet reader answers from footers."""
+    reader = child_session(spark, {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": str(pushdown).lower()})
+    one = []
+    for name, (path, key) in sources.items():
+        found = reader.read.parquet(path).agg(F.min(key).alias("lo"), F.max(key).alias("hi"), F.count(F.lit(1)).alias("rows"))
+        one.append(found.select(F.lit(name).alias("name"), F.col("lo").cast("bigint"), F.col("hi").cast("bigint"), "rows"))
+    return reduce(DataFrame.unionByName, one)
+
+
 def chunk_plan(lower: int, upper: int, n: int) -> tuple[int, int]:
     """(number of chunks, stride) of the chunk rule for integer bounds."""
     if n < 1:
