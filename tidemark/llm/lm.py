@@ -3,29 +3,33 @@
 The model is a bigram model over the training documents' tokens: words (runs
 of bytes other than space and 0x09-0x0D, A-Z lower-cased), then one end.
 
-A pair (u, w) seen c >= 2 times is put into a Bloom filter at every level
-1 .. 1 + floor(2 log2(c / 2)): its quantised log-frequency. Membership is
-probed level by level until a probe fails; the last level that holds gives the
-count back. What is left over of a context's mass (pairs seen once, and a
-discount of 0.75 a pair) is its f(u). The probability is absolute discounting
-down to the base model:
-
-    P(w | u) = max(c(u, w) - 0.75, 0) / c(u) + f(u) * P0(w)
+Every pair (u, w) seen in training, once or more often, is put into a Bloom
+filter at the levels 1, 2, ... up to the last whose least count (1, 2, 3, 4, 6,
+8, 12, ...: powers of the root of 2, rounded up) does not exceed its own: its
+quantised log-frequency. Probes go up level by level until one fails; the last
+level that holds gives the count back, rounded down. The probability is
+Dirichlet smoothing over the base model,
+
+    P(w | u) = (c(u, w) + MU * P0(w)) / (c(u) + MU)
     P0(w)    = (c(w) + 0.1) / (N + 0.1 (V + 1))
 
-where c(u), c(w), N, V and f(u) are exact and a context without such pairs has
-f = 1. P0 alone gives the base score.
+where c(u), c(w), N and V are exact and c(u, w) is the filter's answer, at most
+c(u) and c(w). P0 alone gives the base score.
 
-Exact counts without a table of all words anywhere: documents are cut into
+Exact word counts without a table of all words anywhere: documents are cut into
 blocks of some megabytes; a block sends its distinct words and counts to the
 words' hash buckets, which add them up over all blocks and answer each block
-with its own words' totals. Its distinct pairs and their training counts go to
-the pairs' segments in the same way: a segment adds them up, builds its own
-part of the filter, as large as its entries need, and answers each block with
-its pairs' levels. Pairs are dealt to segments by the pair's hash, so a common
-context's pairs lie in all of them, and segments send only each context's sum
-to its word bucket. The filter is never in one place and grows with the corpus;
-no counted pair is left out. Everything covers all training documents.
+with its own words' totals.
+
+The filter is built and read in different stages. A block's distinct pairs are
+written once, by the pair's hash: part, segment and key. To build, the training
+counts of a segment are added up in one group, which writes its bits; a pair's
+hash deals it, so a common context lies in all segments, and a segment is of
+bounded size because their number follows the input. To read, the parts, some
+segments each and so bounded too, are broadcast one after the other, and each
+is probed by the keys of that part only: every pair is probed once, and no task
+that probes sees a count. Filter and work grow with the corpus, a broadcast
+does not.
 
 Defined cases: a null or empty text has one token, the end. A null id counts
 as the empty string for the fold (held out). Repeated rows count each. Without
@@ -45,16 +49,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import col, ship_package, written
+from .common import col, shared_path, ship_package, written
 
 BLOCK = 4 << 20
 STRETCH = 200_000  # tokens scored at a time
-ENTRY_BITS = 8  # of the filter for each entry, at least
-PROBES = 4
-DISCOUNT = 0.75
+ENTRY_BITS = 12  # of the filter for each entry
+PROBES = 4  # with 12 bits: 0.7 % of the probes of absent pairs find something
+MU = 300.0
+SEGMENT = 16 << 20  # bytes of text whose pairs make a segment
+PART = 8  # segments that are broadcast together
+KEY_BITS = np.uint64(48)  # of a pair's hash below its segment: equal keys for different pairs are one in 10**8
 END = np.uint64(0x1D872B41A9E3F577)  # hash of the end token; also the context of a text's first word
 _LEVEL = np.uint64(0xA24BAED4963EE407)
-CONTEXT = np.uint64(24)  # a context is told by the bits of its hash above
 
 
 def fold(doc_id: Column, modulus: int) -> Column:
@@ -161,19 +167,12 @@ def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarra
 
 
 def _add_up(group: pa.Table) -> pa.Table:
-    """All blocks' words of one bucket and its contexts' used mass: both back to each block, and the bucket's N and V."""
-    blobs = list(zip(group["block"].to_pylist(), group["blob"].to_pylist()))
-    names = [b for b, _ in blobs if b is not None]
-    parts = [_unpacked(x, np.uint64, np.int64) for b, x in blobs if b is not None]
-    used = [_unpacked(x, np.uint64, np.int64) for b, x in blobs if b is None]
-    words, total, at = _summed([w for w, _ in parts], [c for _, c in parts])
-    context, mass, _ = _summed([u for u, _ in used], [m for _, m in used])
-    own = np.zeros(len(words), np.int64)
-    if len(context):
-        where = np.minimum(np.searchsorted(context, words >> CONTEXT), len(context) - 1)
-        own = np.where(context[where] == words >> CONTEXT, mass[where], 0)
+    """All blocks' words of one bucket: their totals back to each block, and the bucket's N and V."""
+    names = group["block"].to_pylist()
+    parts = [_unpacked(x, np.uint64, np.int64) for x in group["blob"].to_pylist()]
+    _, total, at = _summed([w for w, _ in parts], [c for _, c in parts])
     ends = np.cumsum([len(w) for w, _ in parts])
-    answers = [_packed(total[k], own[k]) for (w, _), e in zip(parts, ends) for k in (at[e - len(w) : e],)]
+    answers = [_packed(total[at[e - len(w) : e]]) for (w, _), e in zip(parts, ends)]
     bucket = group["bucket"][0].as_py()
     return pa.table(
         {
@@ -186,28 +185,29 @@ def _add_up(group: pa.Table) -> pa.Table:
     )
 
 
-def _pairs_of(words: np.ndarray, number: np.ndarray, lens: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's distinct pairs by segment, then key; their segments; and where each token's pair stands among them.
+def _pairs_of(words: np.ndarray, number: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a block's distinct pairs, rising, and where each token's pair stands among them.
 
-    A key is 40 bits of the context and 24 of the word; the segment, a hash of both, tells more of them as the
-    corpus grows. The pairs of one context, however common, lie in all segments.
+    The hash's first bits name the segment, the ``KEY_BITS`` after them the pair within it.
     """
     n = np.uint64(len(words))
     u = np.empty(len(number), np.uint64)
     u[1:] = number[:-1]
     u[np.cumsum(lens) - lens] = np.searchsorted(words, END)
     pair, at = np.unique(u * n + number.astype(np.uint64), return_inverse=True)
-    u, w = words[pair // n], words[pair % n]
-    key = (u >> CONTEXT << CONTEXT) | (w >> np.uint64(40))
-    segment = _bucket_of(tokens.mix(tokens.mix(u) + w), bits)
-    order = np.lexsort((key, segment))
+    h = tokens.mix(tokens.mix(words[pair // n]) + words[pair % n])
+    order = np.argsort(h)
     back = np.empty_like(order)
     back[order] = np.arange(len(order))
-    return key[order], segment[order], back[at]
+    return h[order], back[at]
+
+
+def _keys(h: np.ndarray, bits: int) -> np.ndarray:
+    return (h << np.uint64(bits)) >> (np.uint64(64) - KEY_BITS)
 
 
 def _pairs(bits: int):
-    """A row per block and segment: its pairs, held-out ones too, and their training counts."""
+    """A row per block and segment: its pairs' keys, held-out ones too, and their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,106 +215,116 @@ def _pairs(bits: int):
                 row = {x: batch.column(x)[i] for x in batch.schema.names}
                 (number,), (words,) = _unpacked(row["blob"].as_py(), np.uint32), _unpacked(row["words"].as_py(), np.uint64)
                 lens, held = row["lens"].values.to_numpy(), row["held"].values.to_numpy(zero_copy_only=False)
-                key, segment, at = _pairs_of(words, number, lens, bits)
-                count = np.bincount(at[np.repeat(~held, lens)], minlength=len(key)).astype(np.uint32)
+                h, at = _pairs_of(words, number, lens)
+                count = np.bincount(at[np.repeat(~held, lens)], minlength=len(h)).astype(np.uint32)
+                segment, key = _bucket_of(h, bits), _keys(h, bits)
                 cuts = _cuts(segment)
-                blobs = [_packed(np.diff(key[a:b], prepend=np.uint64(0)), count[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+                keys = [_packed(np.diff(key[a:b], prepend=np.uint64(0))) for a, b in zip(cuts[:-1], cuts[1:])]
+                counts = [_packed(count[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
+                own = segment[cuts[:-1]].astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["block"].as_py()] * len(blobs), pa.string()), pa.array(segment[cuts[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())],
-                    names=["block", "segment", "blob"],
+                    [pa.array([row["block"].as_py()] * len(own), pa.string()), pa.array(own), pa.array(keys, pa.binary()), pa.array(counts, pa.binary()), pa.array(own // PART)],
+                    names=["block", "segment", "keys", "counts", "part"],
                 )
 
     return run
 
 
-def _slots(key: np.ndarray, level: np.ndarray, size: int) -> Iterator[np.ndarray]:
-    """The bit numbers of (key, level) within a segment of ``size`` bits (a power of two)."""
-    a = tokens.mix(key + level.astype(np.uint64) * _LEVEL)
-    b = tokens.mix(a ^ _LEVEL) | np.uint64(1)
-    for i in range(PROBES):
-        yield ((a + np.uint64(i) * b) & np.uint64(size - 1)).astype(np.int64)
+# ---- the filter -------------------------------------------------------------------------------
+
+
+def _least_counts() -> np.ndarray:
+    """The least count of level 1, 2, ...: powers of the root of 2, rounded up, each once."""
+    return np.unique(np.ceil(2.0 ** (np.arange(0, 125) / 2) - 1e-9).astype(np.int64))
+
+
+LEAST = _least_counts()
 
 
 def quantised(count: np.ndarray) -> np.ndarray:
-    """The level of a count of at least 2."""
-    return 1 + np.floor(2 * np.log2(np.maximum(count, 2) / 2) + 1e-9).astype(np.int64)
+    """The level of a count: how many least counts it reaches."""
+    return np.searchsorted(LEAST, count, "right")
 
 
 def restored(level: np.ndarray) -> np.ndarray:
-    """The middle (geometric mean) of a level's counts; 0 at level 0."""
-    low = np.ceil(2 * 2 ** ((level - 1) / 2) - 1e-9)
-    high = np.maximum(np.ceil(2 * 2 ** (level / 2) - 1e-9) - 1, low)
-    return np.where(level > 0, np.sqrt(low * high), 0.0)
-
-
-def _segment(word_bits: int):
-    """All blocks' pairs of one segment: their levels in the segment's filter back to each block, and the mass
-    that counted pairs use of each context, in quarters, to the contexts' word buckets."""
-
-    def run(group: pa.Table) -> pa.Table:
-        parts = [_unpacked(x, np.uint64, np.uint32) for x in group["blob"].to_pylist()]
-        key, count, at = _summed([np.cumsum(d, dtype=np.uint64) for d, _ in parts], [c for _, c in parts])
-        held = count >= 2
-        level = quantised(count[held])
-        size = 1 << max(6, math.ceil(math.log2(max(1, int(level.sum()) * ENTRY_BITS))))
-        bits = np.zeros(size, bool)
-        mixed = tokens.mix(key)
-        own = mixed[held]
-        for j in range(1, int(level.max(initial=0)) + 1):
-            own, level = own[level >= j], level[level >= j]
-            for slot in _slots(own, np.full(len(own), j), size):
-                bits[slot] = True
-        model = Filter(0, size)
-        model.put(0, np.packbits(bits, bitorder="little").tobytes())
-        found = model.level(np.zeros(len(key), np.int64), mixed, 80).astype(np.uint8)
-        ends = np.cumsum([len(d) for d, _ in parts])
-        answers = [_packed(found[at[e - len(d) : e]]) for (d, _), e in zip(parts, ends)]
-        u = key[held] >> CONTEXT
-        cuts = _cuts(u)
-        used = np.add.reduceat(4 * count[held] - round(4 * DISCOUNT), cuts[:-1]) if len(u) else u.astype(np.int64)
-        u = u[cuts[:-1]]
-        ranges = _cuts(bucket := _bucket_of(u << CONTEXT, word_bits))
-        sums = [_packed(u[a:b], used[a:b]) for a, b in zip(ranges[:-1], ranges[1:])]
-        segment = group["segment"][0].as_py()
-        return pa.table(
-            {
-                "block": pa.concat_arrays([group["block"].combine_chunks(), pa.nulls(len(sums), pa.string())]),
-                "at": pa.array([segment] * len(answers) + bucket[ranges[:-1]].tolist(), pa.int32()),
-                "blob": pa.array([*answers, *sums], pa.binary()),
-            }
-        )
+    """The least count of a level; 0 at level 0."""
+    return np.append(0, LEAST)[level]
 
-    return run
 
+def _slots(key: np.ndarray, level: int, size: int) -> Iterator[np.ndarray]:
+    """The bit numbers of keys at a level within a segment of ``size`` bits."""
+    a = tokens.mix(key + np.uint64(level * int(_LEVEL) % 2**64))
+    b = tokens.mix(a ^ _LEVEL) | np.uint64(1)
+    for i in range(PROBES):
+        yield ((a + np.uint64(i) * b) % np.uint64(size)).astype(np.int64)
+
+
+def filled(key: np.ndarray, count: np.ndarray) -> bytes:
+    """The bits of a segment that holds these keys at all levels of their counts."""
+    level = quantised(count)
+    size = -(-max(64, int(level.sum()) * ENTRY_BITS) // 64) * 64
+    bits = np.zeros(size, bool)
+    for j in range(1, int(level.max(initial=0)) + 1):
+        key, level = key[level >= j], level[level >= j]
+        for slot in _slots(key, j, size):
+            bits[slot] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def probed(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The last level of 1, 2, ... at which each key is still a member of a segment's bits."""
+    size = 8 * len(bits)
+    out, alive = np.zeros(len(key), np.uint8), np.arange(len(key))
+    for j in range(1, len(LEAST) + 1):
+        if not len(alive):
+            break
+        inside = np.ones(len(alive), bool)
+        for slot in _slots(key[alive], j, size):
+            inside &= (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+        alive = alive[inside]
+        out[alive] = j
+    return out
 
-class Filter:
-    """Segments of equal size side by side."""
 
-    def __init__(self, bits: int, size: int):
-        self.bits, self.size = bits, size
-        self.data = np.zeros((size << bits) // 8, np.uint8)
+def _build(group: pa.Table) -> pa.Table:
+    """All blocks' training counts of one segment to the segment's bits."""
+    parts = [np.cumsum(_unpacked(x, np.uint64)[0], dtype=np.uint64) for x in group["keys"].to_pylist()]
+    counts = [_unpacked(x, np.uint32)[0] for x in group["counts"].to_pylist()]
+    key, total, _ = _summed([k[c > 0] for k, c in zip(parts, counts)], [c[c > 0] for c in counts])
+    return pa.table({"segment": group["segment"][:1], "bits": pa.array([filled(key, total)], pa.binary())})
 
-    def put(self, segment: int, data: bytes) -> None:
-        at = segment * self.size // 8
-        self.data[at : at + self.size // 8] = np.frombuffer(data, np.uint8)
 
-    def level(self, segment: np.ndarray, key: np.ndarray, most: int) -> np.ndarray:
-        """The last level of 1, 2, ... at which ``key`` is still a member."""
-        out, alive = np.zeros(len(key), np.int64), np.arange(len(key))
-        for j in range(1, most + 1):
-            base = segment[alive] * self.size
-            inside = np.ones(len(alive), bool)
-            for slot in _slots(key[alive], np.full(len(alive), j), self.size):
-                b = base + slot
-                inside &= (self.data[b >> 3] >> (b & 7).astype(np.uint8)) & 1 == 1
-            alive = alive[inside]
-            out[alive] = j
-            if not len(alive):
-                break
-        return out
+def _probe(shared):
+    """Rows (block, segment, keys) of one part to their levels, by the part's broadcast segments."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = {s: np.frombuffer(b, np.uint8) for s, b in shared.value.items()}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = np.cumsum(_unpacked(batch.column("keys")[i].as_py(), np.uint64)[0], dtype=np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("block").slice(i, 1), batch.column("segment").slice(i, 1), pa.array([_packed(probed(bits[batch.column("segment")[i].as_py()], key))], pa.binary())],
+                    names=["block", "at", "blob"],
+                )
 
-def _score(n: int, v: int, bits: int):
+    return run
+
+
+def levels_of(pairs: DataFrame, parts: int) -> DataFrame:
+    """``(block, at, blob)``: every block's levels by segment, read off the filter part by part."""
+    spark = pairs.sparkSession
+    bits = written(pairs.groupBy("segment").applyInArrow(_build, "segment int, bits binary"), "lm-filter")
+    path = shared_path(spark, "lm-levels")
+    shape = "block string, at int, blob binary"
+    for part in range(parts):
+        own = bits.filter(F.col("segment").between(part * PART, part * PART + PART - 1))
+        shared = spark.sparkContext.broadcast({r["segment"]: bytes(r["bits"]) for r in own.collect()})  # PART segments of bounded size
+        pairs.filter(F.col("part") == part).select("block", "segment", "keys").mapInArrow(_probe(shared), shape).write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema(shape).parquet(path)
+
+
+def _score(n: int, v: int):
     """Rows of a block, its words' totals and its pairs' levels to scored documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,15 +334,13 @@ def _score(n: int, v: int, bits: int):
                 ids, lens, held = row["ids"].values, row["lens"].values.to_numpy(), row["held"].values
                 (number,), (words,) = _unpacked(row["blob"].as_py(), np.uint32), _unpacked(row["words"].as_py(), np.uint64)
                 answers = sorted(row["answers"].as_py(), key=lambda x: (x["pair"], x["at"]))  # as the block's own words and pairs are
-                total, used = (np.concatenate(x) for x in zip(*(_unpacked(x["blob"], np.int64, np.int64) for x in answers if not x["pair"])))
+                total = np.concatenate([_unpacked(x["blob"], np.int64)[0] for x in answers if not x["pair"]])
                 level = np.concatenate([_unpacked(x["blob"], np.uint8)[0] for x in answers if x["pair"]])
-                _, _, pair = _pairs_of(words, number, lens, bits)
+                _, pair = _pairs_of(words, number, lens)
                 p0 = (total + 0.1) / (n + 0.1 * (v + 1))
                 first = np.cumsum(lens) - lens
                 # the text's start is the word END as a context: it stands once in every training text
                 end = int(np.searchsorted(words, END))
-                share = np.where(used > 0, 1 - used / 4 / np.maximum(total, 1), 1.0).clip(0, 1)
-                count = restored(np.arange(256))
                 log_p0 = np.log10(p0)
                 known, base, score = np.zeros(len(lens), np.int64), np.zeros(len(lens)), np.zeros(len(lens))
                 cut = np.unique(np.append(np.searchsorted(first, np.arange(0, len(number), STRETCH)), len(lens)))
@@ -343,8 +351,8 @@ def _score(n: int, v: int, bits: int):
                     u = np.empty_like(w)
                     u[1:] = w[:-1]
                     u[at] = end
-                    c = np.where(used[u] > 0, count[level[pair[own]]], 0.0)
-                    p = share[u] * p0[w] + np.maximum(c - DISCOUNT, 0) / np.maximum(total[u], 1)
+                    c = np.minimum(restored(level[pair[own]]), np.minimum(total[u], total[w]))
+                    p = (c + MU * p0[w]) / (total[u] + MU)
                     known[lo:hi] = np.add.reduceat((total > 0)[w].astype(np.int64), at)
                     base[lo:hi] = np.add.reduceat(log_p0[w], at)
                     score[lo:hi] = np.add.reduceat(np.log10(np.minimum(p, 1.0)), at)
@@ -365,20 +373,23 @@ def score_texts(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text:
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # buckets and segments of bounded size: their number follows the input
     word_bits = max(0, math.ceil(math.log2(max(1, size / (64 << 20)))))
-    pair_bits = max(4, math.ceil(math.log2(max(1, size / (16 << 20)))))
+    pair_bits = max(3, math.ceil(math.log2(max(1, size / SEGMENT))))
 
     schema = f"block string, bucket int, blob binary, words binary, ids array<{kind}>, lens array<bigint>, held array<boolean>"
     cut = written(rows.mapInArrow(_vocabulary(word_bits), schema), "lm-blocks")
     blocks = cut.filter("bucket < 0").select("block", "blob", "words", "lens", "held", "ids")
-    pairs = blocks.select("block", "blob", "words", "lens", "held").mapInArrow(_pairs(pair_bits), "block string, segment int, blob binary")
-    levels = written(pairs.groupBy("segment").applyInArrow(_segment(word_bits), "block string, at int, blob binary"), "lm-pairs")
     words = cut.filter("bucket >= 0").select("block", "bucket", "blob")
-    words = words.unionByName(levels.filter("block is null").select("block", F.col("at").alias("bucket"), "blob"))
     added = written(words.groupBy("bucket").applyInArrow(_add_up, "block string, at int, blob binary, n bigint, v bigint"), "lm-words")
     n, v = added.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
 
+    pairs = blocks.select("block", "blob", "words", "lens", "held").mapInArrow(_pairs(pair_bits), "block string, segment int, keys binary, counts binary, part int")
+    path = shared_path(spark, "lm-pairs")
+    pairs.write.partitionBy("part").parquet(path)
+    pairs = spark.read.schema(pairs.schema).parquet(path)
+    levels = levels_of(pairs, max(1, (1 << pair_bits) // PART))
+
     # a block's answers are bounded by the block
     answers = added.select("block", F.lit(False).alias("pair"), "at", "blob").unionByName(levels.select("block", F.lit(True).alias("pair"), "at", "blob"))
     answers = answers.filter("block is not null").groupBy("block").agg(F.collect_list(F.struct("pair", "at", "blob")).alias("answers"))
     out = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return blocks.join(answers, "block").mapInArrow(_score(int(n), int(v), pair_bits), out)
+    return blocks.join(answers, "block").mapInArrow(_score(int(n), int(v)), out)
