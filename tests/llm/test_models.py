@@ -84,6 +84,27 @@ def test_toxicity_edges(spark, edges, empty, labels):
     assert toxicity.score_documents(empty, labels, lm.fold(F.col("doc_id"), 3) == 1).count() == 0
 
 
+def test_each_dictionary_is_trained_on_its_own_side():
+    """Neither side's words are chosen by the other's counts, and the window's gain is what compression makes of them."""
+    both = ["shared words stand here", "shared words stand there"]
+    toxic, ordinary = [f"{t} zzgrubvik {i}" for i, t in enumerate(both)], [f"{t} plainfolk {i}" for i, t in enumerate(both)]
+    a, b = toxicity.fit(toxic, ordinary), toxicity.fit(toxic, [*ordinary, "zzgrubvik once"])
+    assert a.toxic == b.toxic and toxicity._spelt(b"shared") in a.toxic and toxicity._spelt(b"shared") in a.ordinary
+    gain = dict(zip((b"shared", b"zzgrubvik", b"zzgrubviks", b"plainfolk", b"elsewhere"), toxicity.gains([b"shared", b"zzgrubvik", b"zzgrubviks", b"plainfolk", b"elsewhere"], a.compressors())))
+    assert gain[b"zzgrubvik"] > gain[b"zzgrubviks"] > 4 and gain[b"plainfolk"] < -4  # a word known in part gains in part
+    assert abs(gain[b"shared"]) <= 1 and gain[b"elsewhere"] == 0
+    assert max(map(len, (a.toxic, a.ordinary))) <= max(toxicity.DICT_BYTES)
+
+
+def test_toxicity_fits_on_bounded_bytes(spark):
+    docs = spark.createDataFrame([(i, f"w{i:02d} " * (20_000 if i == 3 else 50), "en", "s", 0) for i in range(20)], DOCS)
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(20)], "doc_id bigint, quality int, toxic int")
+    toxic, ordinary = toxicity.training_texts(docs, labels, F.lit(True), 6, "doc_id", "text", 1000)
+    assert len(ordinary) == len(toxic) == 5 and max(map(len, toxic + ordinary)) == 200 and sum(map(len, toxic)) <= 1000
+    whole = toxicity.training_texts(docs, labels, F.lit(True), 50, "doc_id", "text")
+    assert [len(x) for x in whole] == [10, 10]
+
+
 def _tokens(text):
     folded = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
     return re.findall(r"[^\x20\x09-\x0D]+", folded) + [None]

@@ -1,38 +1,43 @@
 """Toxicity by compression distance between two zstandard dictionaries.
 
-One dictionary is trained on ordinary text, one on toxic text: on the words of
-toxic documents that hold a byte gram which toxic documents show and ordinary
-ones do not (the rest of a toxic document is ordinary text and would teach
-both dictionaries the same). The window is a word with its borders. Its gain
-is its compressed length with the ordinary dictionary less that with the toxic
-one. A letter is written as two bytes, so that a match of four or five letters
-outweighs the few bytes a zstandard sequence costs; dictionaries are used as
-raw content, so lengths depend on matches only, not on entropy tables.
-
-A gain is calibrated by the word's length: its evidence is the log ratio of
-toxic to ordinary documents that hold a word of that length with at least that
-gain, so each length has thresholds of its own. A document's features are its
-three largest pieces of evidence and its share of words whose evidence is at
-least one; a logistic calibration gives the score. All training documents
-teach the dictionaries; they are calibrated crosswise, each half by dictionaries
-of the other half. Words are compressed once a worker and looked up afterwards (a table of
-bounded size), so the cost follows distinct words; every word of the whole
-text counts.
-
-Fitting reads at most ``fit_rows`` labelled documents of each class, those
-with the smallest hashes of their ids: this bound is the only one. Inputs of a
-score are the text alone.
+One dictionary is trained on ordinary text, one on toxic text, each on its own
+side alone: it holds, as raw content, the words that at least two documents of
+the side use, the most used last, where a reference to them is cheapest, as
+many as fit its size. Neither looks at the other side's counts; what is common
+to both sides costs the same with either.
+
+The window is a word with its borders, and every window of the whole text is
+compressed with both. Its gain is its compressed length with the ordinary
+dictionary less that with the toxic one, above or below zero; words that are
+only partly known to a dictionary cost something between. A letter is written
+as two bytes, so that a match of four or five letters outweighs the few bytes a
+zstandard sequence costs.
+
+Gains are calibrated by window length. For each length and gain there are two
+numbers: the log ratio of toxic to ordinary documents that hold such a window
+or one of a greater gain (its evidence), and the log ratio of such windows
+among all of that length (its odds). A document's features are its three
+largest pieces of evidence, its windows of evidence of at least one, and the
+sum of the odds, both of the latter also by the number of windows; a logistic
+calibration gives the score. All training documents teach the dictionaries;
+calibration is crosswise, each half judged by dictionaries of the other half.
+Distinct windows are compressed once a worker and looked up afterwards (a table
+of bounded size).
+
+Fitting reads at most ``fit_rows`` labelled documents of each class and at most
+``fit_bytes`` of their text, those with the smallest hashes of their ids: these
+bounds are the only ones. Copies of a text count once. Inputs of a score are
+the text alone.
 
 Defined cases: null and empty texts have no window and get the calibration's
 score for no evidence. Null labels are no labels; documents whose labels
-contradict each other are not used. With no toxic or no ordinary training
-document every score is the share of toxic ones among the labelled (0 without
-labels). A null id counts as the empty string for the fold.
+contradict each other are not used. With fewer than two toxic or ordinary
+training texts every score is the share of toxic ones among them (0 without
+any). A null id counts as the empty string for the fold.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -48,12 +53,11 @@ from . import tokens
 from .common import col, ship_package
 
 FIT_ROWS = 3000
-GRAM = 5
-TELLING = 18.0
-DICT_BYTES = (262_144, 32_768)  # ordinary, toxic
+FIT_BYTES = 64 << 20
+DICT_BYTES = (524_288, 131_072)  # ordinary, toxic
 THRESHOLD = 0.7
 CACHE = 1_500_000
-LENGTHS, GAINS = 24, 32
+LENGTHS, GAINS, NO_GAIN = 24, 49, 24  # a window's cell: its length, and its gain above -NO_GAIN
 _CODE = np.random.default_rng(11).integers(0, 256, (256, 2), dtype=np.uint8)
 _EDGE = bytes(b for b in range(128) if not chr(b).isalnum())
 
@@ -71,48 +75,29 @@ def _words(text: str) -> set[bytes]:
     return {w for w in (_normal(x) for x in text.encode().split()) if w}
 
 
-def _grams(word: bytes) -> set[bytes]:
-    """Byte grams of the word between borders, and its longer beginnings."""
-    edged = b" " + word + b" "
-    return {edged[i : i + GRAM] for i in range(max(1, len(edged) - GRAM + 1))} | {edged[:n] for n in (7, 9, 11) if n <= len(edged)}
-
-
-def _trained(use: Counter, size: int) -> bytes:
-    """A zstandard dictionary of words seen in at least two documents, by their use; the words themselves where they fit.
-
-    The commonest stand last: nearest to the window, cheapest to refer to.
-    """
-    words = sorted((w for w, n in use.items() if n >= 2), key=lambda w: (use[w], w))
-    whole = b"".join(map(_spelt, words))
-    if len(whole) <= size:
-        return whole
-    try:
-        return zstandard.train_dictionary(size, [_spelt(w) for w in words for _ in range(min(use[w] // 2, 20))], k=64, d=8).as_bytes()
-    except zstandard.ZstdError:
-        return whole[-size:]
-
-
-def _unlike(texts: list[str]) -> list[set[bytes]]:
-    """The texts' words, one text of those alike: copies would count one author's words many times."""
-    kept = {}
-    for doc in map(_words, texts):
-        kept.setdefault(tuple(sorted(zlib.crc32(w) for w in doc)[:3]), doc)
-    return list(kept.values())
+def _trained(texts: list[str], size: int) -> bytes:
+    """A raw-content dictionary of the words that at least two texts use, the most used last."""
+    use: Counter = Counter()
+    for text in texts:
+        use.update(w for w in _words(text) if len(w) >= 3)
+    recurring = sorted((w for w, n in use.items() if n >= 2), key=lambda w: (use[w], w))
+    return b"".join(map(_spelt, recurring))[-size:]
 
 
 @dataclass
 class Model:
     ordinary: bytes
     toxic: bytes
-    evidence: np.ndarray  # by word length and gain
-    weights: np.ndarray  # of the features, the last for 1
+    evidence: np.ndarray  # by cell
+    odds: np.ndarray  # by cell
+    weights: np.ndarray  # of the features
     constant: float | None = None
 
     def compressors(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
         out = []
         for content in (self.ordinary, self.toxic):
             params = zstandard.ZstdCompressionParameters(
-                window_log=19, chain_log=17, hash_log=17, search_log=5, min_match=5, target_length=64, strategy=zstandard.STRATEGY_BTOPT,
+                window_log=20, chain_log=17, hash_log=17, search_log=5, min_match=5, target_length=64, strategy=zstandard.STRATEGY_BTOPT,
                 write_content_size=0, write_dict_id=0, write_checksum=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS,
             )
             known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
@@ -121,176 +106,164 @@ class Model:
         return out[0], out[1]
 
 
-def gains(model: Model, words: list[bytes], compressors=None) -> np.ndarray:
+def gains(words: list[bytes], compressors) -> np.ndarray:
     """Compressed length with the ordinary dictionary less that with the toxic one, per word."""
-    out = np.zeros(len(words), np.float32)
-    at = [i for i, w in enumerate(words) if len(w) >= 3]
-    if at and model.toxic and model.ordinary:
-        spelt = [_spelt(words[i]) for i in at]
-        a, b = compressors or model.compressors()
-        x, y = a.multi_compress_to_buffer(spelt), b.multi_compress_to_buffer(spelt)
-        out[at] = [len(x[i]) - len(y[i]) for i in range(len(spelt))]
-    return out
+    if not words:
+        return np.zeros(0, np.int64)
+    spelt = list(map(_spelt, words))
+    x, y = (c.multi_compress_to_buffer(spelt) for c in compressors)
+    return np.array([len(x[i]) - len(y[i]) for i in range(len(words))], np.int64)
 
 
-def _features(best: np.ndarray, over: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """``best``: the three largest pieces of evidence per document, in falling order."""
-    return np.column_stack([best[:, 0], best[:, 1], best[:, 2], over / np.sqrt(np.maximum(n, 1)), np.ones(len(best))])
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 40) -> np.ndarray:
-    w = np.zeros(x.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (y - p) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
-
-
-def _cell(words: list[bytes], gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    n = np.minimum([len(w) for w in words], LENGTHS - 1) if words else np.zeros(0, int)
-    return n.astype(int), np.clip(gain, 0, GAINS - 1).astype(int)
-
-
-def evidence(model: Model, words: list[bytes], compressors=None) -> np.ndarray:
-    """Calibrated evidence of each word; 0 without a gain."""
-    n, g = _cell(words, gains(model, words, compressors))
-    return model.evidence[n, g]
-
-
-def _taught(toxic: list[set[bytes]], ordinary: list[set[bytes]]) -> Model:
-    """Both dictionaries from documents as sets of words."""
-    seen: list[Counter] = []
-    for side in (toxic, ordinary):
-        count: Counter = Counter()
-        for doc in side:
-            count.update(set().union(*map(_grams, doc)))
-        seen.append(count)
-    rate = (len(toxic) + 1) / (len(ordinary) + 1)
-    # a gram tells when toxic documents show it eight times as often, and chance would not give them that many
-    over = lambda g, n: n / (rate * (seen[1][g] + 0.5))
-    telling = {g for g, n in seen[0].items() if n >= 3 and over(g, n) > 8 and n * math.log(over(g, n)) >= TELLING}
-    common: Counter = Counter()
-    for doc in ordinary:
-        common.update(w for w in doc if telling.isdisjoint(_grams(w)))
-    own: Counter = Counter()
-    for doc in toxic:
-        own.update(w for w in doc if len(w) >= 3 and not telling.isdisjoint(_grams(w)))
-    blank = np.zeros((LENGTHS, GAINS), np.float32)
-    return Model(_trained(common, DICT_BYTES[0]), _trained(own, DICT_BYTES[1]), blank, np.zeros(5))
-
-
-def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    """Dictionaries from all labelled texts; calibration crosswise, each half by the other half's dictionaries."""
-    labelled = len(toxic) + len(ordinary)
-    sets = [_unlike(toxic), _unlike(ordinary)]
-    final = _taught(*sets)
-    if not final.toxic or not final.ordinary or min(map(len, sets)) < 2:
-        return Model(b"", b"", final.evidence, np.zeros(5), len(toxic) / labelled if labelled else 0.0)
-
-    judged: list[list[list[tuple[int, int]]]] = [[], []]  # per class, per document: the cells of its words
-    for half in (0, 1):
-        judge = [side[half::2] for side in sets]
-        model = _taught(*(side[1 - half :: 2] for side in sets))
-        every = sorted(set().union(*judge[0], *judge[1]))
-        cells = dict(zip(every, zip(*(x.tolist() for x in _cell(every, gains(model, every))))))
-        for kind in (0, 1):
-            judged[kind] += [[cells[w] for w in doc] for doc in judge[kind]]
-    held = []  # share of documents that hold a word of this length with at least this gain
-    for side in judged:
-        count = np.zeros((LENGTHS, GAINS))
-        for doc in side:
-            most = np.zeros(LENGTHS, int)
-            for n, g in set(doc):
-                most[n] = max(most[n], g)
-            for n in np.flatnonzero(most):
-                count[n, 1 : most[n] + 1] += 1
-        held.append((count + 0.5) / (len(side) + 1))
-    final.evidence = np.log(held[0] / held[1]).astype(np.float32)
-    final.evidence[:, 0] = 0
-    rows = []
-    for side in judged:
-        for doc in side:
-            e = np.array([final.evidence[c] for c in doc]) if doc else np.zeros(1)
-            top = np.sort(np.append(np.maximum(e, 0), [0.0, 0.0, 0.0]))[::-1][:3]
-            rows.append((*top, (e >= 1).sum(), len(doc)))
-    table = np.array(rows, float)
-    m, over, n = table[:, :3], table[:, 3], table[:, 4]
-    y = np.concatenate([np.ones(len(judged[0])), np.zeros(len(judged[1]))])
-    final.weights = _logistic(_features(m, over, n), y)
-    return final
+def cells(words: list[bytes], compressors) -> np.ndarray:
+    """Each word's cell."""
+    n = np.minimum([len(w) for w in words], LENGTHS - 1).astype(np.int64)
+    return (n * GAINS + np.clip(gains(words, compressors) + NO_GAIN, 0, GAINS - 1)).astype(np.int16)
 
 
 class _Known:
-    """Evidence of words by hash, kept in the worker; started anew when full."""
+    """Cells of words by hash, kept in the worker; started anew when full."""
 
-    def __init__(self):
-        self.hashes, self.values = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    def __init__(self, compressors):
+        self.compressors = compressors
+        self.hashes, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int16)
 
-    def look_up(self, hashes: np.ndarray, compute) -> np.ndarray:
+    def look_up(self, hashes: np.ndarray, word) -> np.ndarray:
+        """Cells of distinct words; ``word(indices)`` gives those not met before."""
         at = np.searchsorted(self.hashes, hashes)
         found = np.zeros(len(hashes), bool)
         inside = at < len(self.hashes)
         found[inside] = self.hashes[at[inside]] == hashes[inside]
-        out = np.zeros(len(hashes), np.float32)
+        out = np.zeros(len(hashes), np.int16)
         out[found] = self.values[at[found]]
         missing = np.flatnonzero(~found)
         if len(missing):
-            out[missing] = compute(missing)
+            out[missing] = cells(word(missing), self.compressors)
             if len(self.hashes) + len(missing) > CACHE:
-                self.hashes, self.values = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+                self.hashes, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int16)
             joined = np.concatenate([self.hashes, hashes[missing]])
             order = np.argsort(joined)
             self.hashes, self.values = joined[order], np.concatenate([self.values, out[missing]])[order]
         return out
 
 
-def piece_evidence(model: Model, piece: tokens.Piece, known: _Known, tool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(three largest pieces of evidence, words of evidence >= 1, words) per text; repeated words of a text count once."""
-    rows = piece.hi - piece.lo
-    doc = piece.doc
+def piece_cells(piece: tokens.Piece, known: _Known) -> tuple[np.ndarray, np.ndarray]:
+    """(text, cell) of every text's distinct words, by text."""
     hashes, first, number = np.unique(piece.hashes, return_index=True, return_inverse=True)
 
-    def compute(missing: np.ndarray) -> np.ndarray:
+    def word(missing: np.ndarray) -> list[bytes]:
         at = first[missing]
         raw = piece.data.tobytes()
-        return evidence(model, [_normal(raw[a:b]) for a, b in zip(piece.starts[at], piece.ends[at])], tool)
-
-    gain = known.look_up(hashes, compute) if len(hashes) else np.zeros(0, np.float32)
-    pair = np.unique((doc.astype(np.int64) << 32) | number)
-    doc, gain = pair >> 32, gain[pair & 0xFFFFFFFF]
-    order = np.lexsort((-gain, doc))
-    first = np.searchsorted(doc[order], np.arange(rows))
-    ends = np.searchsorted(doc[order], np.arange(rows), "right")
-    best = np.zeros((rows, 3), np.float32)
+        return [_normal(raw[a:b]) for a, b in zip(piece.starts[at], piece.ends[at])]
+
+    cell = known.look_up(hashes, word)
+    pair = np.unique((piece.doc.astype(np.int64) << 32) | number)
+    return pair >> 32, cell[pair & 0xFFFFFFFF].astype(np.int64)
+
+
+def features(doc: np.ndarray, cell: np.ndarray, rows: int, evidence: np.ndarray, odds: np.ndarray) -> np.ndarray:
+    """Three largest pieces of evidence, windows of evidence >= 1, sum of the odds by root and by number of windows, 1."""
+    e = evidence[cell]
+    order = np.lexsort((-e, doc))
+    first, ends = (np.searchsorted(doc[order], np.arange(rows), side) for side in ("left", "right"))
+    out = np.zeros((rows, 7))
     for k in range(3):
         has = first + k < ends
-        best[has, k] = np.maximum(gain[order[first[has] + k]], 0)
-    return best, np.bincount(doc[gain >= 1], minlength=rows), np.bincount(doc, minlength=rows)
+        out[has, k] = np.maximum(e[order[first[has] + k]], 0)
+    n = np.maximum(np.bincount(doc, minlength=rows), 1)
+    sums = np.bincount(doc, weights=odds[cell], minlength=rows)
+    out[:, 3] = np.bincount(doc[e >= 1], minlength=rows) / np.sqrt(n)
+    out[:, 4], out[:, 5], out[:, 6] = sums / np.sqrt(n), sums / n, 1
+    return out
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 40) -> np.ndarray:
+    """Weights of the features; both classes count the same, as the sample is drawn by class."""
+    own = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    w = np.zeros(x.shape[1])
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (own * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(h, x.T @ (own * (y - p)) - ridge * w)
+        w += step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def _judged(texts: list[str], known: _Known) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """(text, cell, texts) of the texts' pieces."""
+    return [(*piece_cells(p, known), p.hi - p.lo) for p in tokens.pieces(pa.array(texts, pa.large_string()))]
+
+
+def _tables(side: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """By length and gain: the share of documents with such a window or one of a greater gain, and of windows of the length."""
+    docs, windows, total = np.zeros((LENGTHS, GAINS)), np.zeros((LENGTHS, GAINS)), 0
+    for doc, cell, rows in side:
+        most = np.full((rows, LENGTHS), -1)
+        np.maximum.at(most, (doc, cell // GAINS), cell % GAINS)
+        for n in range(LENGTHS):
+            top = np.bincount(most[most[:, n] >= 0, n], minlength=GAINS)
+            docs[n] += top[::-1].cumsum()[::-1]
+        windows += np.bincount(cell, minlength=LENGTHS * GAINS).reshape(LENGTHS, GAINS)
+        total += rows
+    return (docs + 0.5) / (total + 1), (windows + 0.3) / (windows.sum(1, keepdims=True) + 0.3 * GAINS)
+
+
+def fit(toxic: list[str], ordinary: list[str]) -> Model:
+    """Dictionaries from all labelled texts; calibration crosswise, each half by the other half's dictionaries."""
+    # by a hash, so that the halves do not depend on the order in which texts came
+    sets = [sorted(set(side), key=lambda t: (zlib.crc32(t.encode()), t)) for side in (toxic, ordinary)]
+    sizes = DICT_BYTES[::-1]
+    blank = np.zeros(LENGTHS * GAINS)
+    final = Model(_trained(sets[1], sizes[1]), _trained(sets[0], sizes[0]), blank, blank, np.zeros(7))
+    if not final.toxic or not final.ordinary or min(map(len, sets)) < 2:
+        known = len(toxic) + len(ordinary)
+        return Model(b"", b"", blank, blank, np.zeros(7), len(toxic) / known if known else 0.0)
+    judged: list[list[tuple[np.ndarray, np.ndarray, int]]] = [[], []]
+    for half in (0, 1):
+        model = Model(*(_trained(sets[k][1 - half :: 2], sizes[k]) or b"\0" for k in (1, 0)), blank, blank, np.zeros(7))
+        known = _Known(model.compressors())
+        for kind in (0, 1):
+            judged[kind] += _judged(sets[kind][half::2], known)
+    (docs, windows), (other_docs, other_windows) = _tables(judged[0]), _tables(judged[1])
+    evidence = np.log(docs / other_docs)
+    evidence[:, : NO_GAIN + 1] = 0
+    final.evidence, final.odds = evidence.ravel(), np.log(windows / other_windows).ravel()
+    table = [[features(*part, final.evidence, final.odds) for part in side] for side in judged]
+    y = np.concatenate([np.full(sum(len(x) for x in side), 1.0 - k) for k, side in enumerate(table)])
+    final.weights = _logistic(np.concatenate([x for side in table for x in side]), y)
+    return final
 
 
-def scores(model: Model, best: np.ndarray, over: np.ndarray, n: np.ndarray) -> np.ndarray:
+def scores(model: Model, x: np.ndarray) -> np.ndarray:
     if model.constant is not None:
-        return np.full(len(best), model.constant)
-    return 1 / (1 + np.exp(-np.clip(_features(best, over, n) @ model.weights, -30, 30)))
+        return np.full(len(x), model.constant)
+    return 1 / (1 + np.exp(-np.clip(x @ model.weights, -30, 30)))
 
 
-_tables: dict[int, tuple] = {}
+_worker: dict = {}
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, trains: Column, fit_rows: int, doc_id: str, text: str) -> tuple[list[str], list[str]]:
-    """At most ``fit_rows`` texts of each class from the training fold: those with the smallest hashes of their ids."""
+def training_texts(
+    docs: DataFrame, labels: DataFrame, trains: Column, fit_rows: int, doc_id: str, text: str, fit_bytes: int = FIT_BYTES
+) -> tuple[list[str], list[str]]:
+    """Texts of each class from the training fold: those with the smallest hashes of their ids, at most ``fit_rows``
+    documents and ``fit_bytes`` of text; a document that does not fit what is left is passed over."""
     clear = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     clear = clear.filter("toxic = most").select(F.col("doc_id").alias("label_id"), "toxic")
     pool = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")).filter(trains).join(clear, F.col("doc_id") == F.col("label_id"))
     out = []
     for toxic in (1, 0):
         own = pool.filter((F.col("toxic") == toxic) & F.col("text").isNotNull())
-        # ids first: texts of the chosen rows only are read
-        ids = own.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+        # ids and sizes first: texts of the chosen rows only are read
+        sized = own.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+        left, chosen = fit_bytes, []
+        for r in sized.collect():  # fit_rows rows
+            if r["size"] <= left:
+                left -= r["size"]
+                chosen.append((r["doc_id"],))
+        ids = docs.sparkSession.createDataFrame(chosen, own.select("doc_id").schema)
         rows = own.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text").distinct().toLocalIterator()
         out.append([r["text"] for r in rows])
     return out[0], out[1]
@@ -309,16 +282,19 @@ def score_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        if _tables.get("for") != own.toxic:
-            _tables.clear()
-            _tables.update({"for": own.toxic, "known": _Known(), "tool": own.compressors() if own.toxic else None})
+        if _worker.get("for") != (own.toxic, own.ordinary):
+            _worker.clear()
+            _worker.update({"for": (own.toxic, own.ordinary), "known": _Known(own.compressors()) if own.toxic else None})
         for batch in batches:
             for piece in tokens.pieces(batch.column(1)):
-                best, over, n = piece_evidence(own, piece, _tables["known"], _tables["tool"])
-                s = scores(own, best, over, n)
-                cut = lambda c: c.slice(piece.lo, piece.hi - piece.lo)  # noqa: B023, E731
+                n = piece.hi - piece.lo
+                doc, cell = piece_cells(piece, _worker["known"]) if own.toxic else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                x = features(doc, cell, n, own.evidence, own.odds)
+                s = scores(own, x)
+                over = np.bincount(doc[own.evidence[cell] >= 1], minlength=n)
+                cut = lambda c: c.slice(piece.lo, n)  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
-                    [cut(batch.column(0)), cut(batch.column(2)), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array(best[:, 0].astype(float)), pa.array(over.astype(np.int64))],
+                    [cut(batch.column(0)), cut(batch.column(2)), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32)), pa.array(x[:, 0]), pa.array(over.astype(np.int64))],
                     names=["doc_id", "held_out", "score", "predicted", "evidence", "n_over"],
                 )
 
