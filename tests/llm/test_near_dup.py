@@ -181,3 +181,46 @@ def test_embedding_dedup_equals_brute_force(spark, dim):
     assert all(g["kept"] == (g["vec_id"] == g["component_id"]) for g in got)
     assert [(g["n_links"], g["component_id"]) for g in sorted(got, key=lambda g: g["vec_id"]) if g["vec_id"] >= 300] == [(0, i) for i in range(300, 306)] + [(1, 306)] * 2
     assert embedding_dedup.classes(spark.createDataFrame([], "vec_id bigint, embedding array<float>, turned int")).count() == 0
+
+
+def test_a_dense_cluster_needs_bounded_memory_and_no_pair_list(spark):
+    """5,000 near-equal vectors of 384 dimensions, some of them at the threshold: all pairs are open to the end."""
+    import tracemalloc
+
+    r = np.random.default_rng(12)
+    n, dim = 5000, 384
+    x = r.normal(size=dim) + r.normal(size=(n, dim)) * r.uniform(0.05, 0.6, (n, 1))
+    x = x.astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    axes = np.linalg.eigh(unit.T @ unit)[1][:, ::-1]
+    turned = unit @ axes
+    tracemalloc.start()
+    i, j = embedding_dedup._linked(x[:2048].astype(float), x[2048:4096].astype(float), turned[:2048], turned[2048:4096], 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    near = unit @ unit.T >= 0.9
+    assert len(i) == near[:2048, 2048:4096].sum() > 10**6 and near[:2048, 2048:4096][i, j].all()
+    assert peak < 300 << 20
+    np.fill_diagonal(near, False)
+    rows = [(k, [float(v) for v in row]) for k, row in enumerate(x)]
+    got = embedding_dedup.classes(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(4)).collect()
+    assert {g["vec_id"]: g["n_links"] for g in got} == {k: int(c) for k, c in enumerate(near.sum(1))}
+    want = _classes([(0, int(k)) for k in np.flatnonzero(near[0])] + [(int(a), int(near[a].argmax())) for a in range(n) if near[a].any()], range(n))
+    assert {g["vec_id"]: g["component_id"] for g in got} == want
+
+
+def test_boxes_drop_tiles_before_vectors_move(spark, tmp_path_factory, monkeypatch):
+    """Clusters apart on the leading axes: of the tiles between neighbouring cells only those whose boxes can hold a link stay."""
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(12, 3))
+    x = np.concatenate([np.column_stack([c + 0.01 * r.normal(size=(60, 3)), 0.01 * r.normal(size=(60, 13))]) for c in centres])
+    kept = {}
+    monkeypatch.setattr(embedding_dedup, "written", lambda df, name, f=embedding_dedup.written: kept.setdefault(name, f(df, name)))
+    rows = [(k, [float(v) for v in row]) for k, row in enumerate(x)]
+    got = {g["vec_id"]: g["n_links"] for g in embedding_dedup.classes(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.9).sum(1) - 1
+    assert got == {k: int(c) for k, c in enumerate(near)}
+    cells = kept["boxes"].select("name", "c0", "c1", "c2").collect()
+    adjoining = sum(a["name"] <= b["name"] and max(abs(a[c] - b[c]) for c in ("c0", "c1", "c2")) <= 1 for a in cells for b in cells)
+    assert kept["tile-pairs"].count() <= adjoining - 5

@@ -11,10 +11,17 @@ below the threshold, and only the pairs that reach the end are linked.
 Tiles: a link means a distance of at most sqrt(2 - 2t) in every direction, so
 on each of the first three axes linked vectors lie in the same or in adjoining
 cells of that width. A cell is cut into blocks of at most about ``BLOCK``
-vectors by hash; a tile is a pair of blocks of adjoining cells. The product is
-symmetric: each pair of blocks is compared once. A tile returns a count of
-links per vector and a spanning set of its links, never its pairs. Equal
-vectors are one vector with a multiplicity before anything is compared.
+vectors by hash; a tile is a pair of blocks of adjoining cells. Every block has
+a box: its least and greatest value on ``BOX_AXES`` leading axes and its
+largest suffix norm. Tiles whose boxes bound the cosine below the threshold are
+dropped before any vector moves. A tile gets the vectors as they came, in their
+own precision, and turns them itself. The product is symmetric: each pair of
+blocks is compared once, some rows at a time; where more than a tenth of the
+pairs are still open their sums go on as a matrix product, else pair by pair in
+portions, so a dense cluster needs no more memory than a sparse one. A tile
+returns a count of links per vector and a spanning set of its links, never its
+pairs. Equal vectors are one vector with a multiplicity before anything is
+compared.
 
 The last word on a pair has the cosine of the vectors themselves in double
 precision: pairs within 1e-9 of the threshold are computed again without the
@@ -30,18 +37,24 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import col, components, ship_package, written
 
 THRESHOLD = 0.9
 BLOCK = 2048
 CELL_AXES = 3
+BOX_AXES = 8
 STEPS = (8, 16, 32)  # leading axes after which pairs may stop
+ROWS = 256  # of a tile compared at a time
+PAIRS = 16_384  # open pairs whose sums go on at a time
+CLOSE = 1e-9  # from the threshold: computed again without the rotation
 
 
 def _rows(column: pa.Array, dim: int) -> np.ndarray:
@@ -82,24 +95,36 @@ def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
 def _linked(a: np.ndarray, b: np.ndarray, ra: np.ndarray, rb: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of linked rows of two blocks; ``ra``, ``rb``: the unit rows on the principal axes."""
     dim = ra.shape[1]
-    cuts = [c for c in STEPS if c < dim]
-    lead = cuts[0] if cuts else dim
-    suffix = lambda r, k: np.sqrt(np.maximum((r[:, k:] ** 2).sum(axis=1), 0))
-    sums = ra[:, :lead] @ rb[:, :lead].T
-    i, j = np.nonzero(sums + np.outer(suffix(ra, lead), suffix(rb, lead)) >= threshold - 1e-9)
-    part = sums[i, j]
-    for lo, hi in zip([lead, *cuts[1:]], [*cuts[1:], dim]):
-        if lo >= hi:
-            break
-        part = part + np.einsum("ij,ij->i", ra[i, lo:hi], rb[j, lo:hi])
-        alive = part + suffix(ra, hi)[i] * suffix(rb, hi)[j] >= threshold - 1e-9
-        i, j, part = i[alive], j[alive], part[alive]
-    close = np.flatnonzero(np.abs(part - threshold) <= 1e-9)
-    if len(close):
-        x, y = a[i[close]], b[j[close]]
-        part[close] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
-    ok = part >= threshold
-    return i[ok], j[ok]
+    cuts = [*(c for c in STEPS if c < dim), dim]
+    rest = {k: tuple(np.sqrt(np.maximum((r[:, k:] ** 2).sum(axis=1), 0)) for r in (ra, rb)) for k in cuts}
+    out_i, out_j = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for start in range(0, len(ra), ROWS):
+        own = ra[start : start + ROWS]
+        sums = np.zeros((len(own), len(rb)))
+        alive = np.ones(sums.shape, bool)
+        for lo, hi in zip([0, *cuts], cuts):
+            bound = lambda i, j: rest[hi][0][start + i] * rest[hi][1][j]  # noqa: B023, E731
+            if alive.mean() > 0.1:
+                sums += own[:, lo:hi] @ rb[:, lo:hi].T
+                alive &= sums + np.outer(rest[hi][0][start : start + ROWS], rest[hi][1]) >= threshold - CLOSE
+                continue
+            i, j = np.nonzero(alive)
+            for at in range(0, len(i), PAIRS):
+                x, y = i[at : at + PAIRS], j[at : at + PAIRS]
+                part = sums[x, y] + np.einsum("ij,ij->i", own[x, lo:hi], rb[y, lo:hi])
+                sums[x, y] = part
+                alive[x, y] = part + bound(x, y) >= threshold - CLOSE
+        i, j = np.nonzero(alive)
+        part = sums[i, j]
+        close = np.flatnonzero(np.abs(part - threshold) <= CLOSE)
+        for at in range(0, len(close), PAIRS):
+            k = close[at : at + PAIRS]
+            x, y = a[start + i[k]], b[j[k]]
+            part[k] = (x * y).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((y * y).sum(axis=1)))
+        ok = part >= threshold
+        out_i.append((start + i[ok]).astype(np.int32))
+        out_j.append(j[ok].astype(np.int32))
+    return np.concatenate(out_i), np.concatenate(out_j)
 
 
 def _spanning(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
@@ -119,13 +144,15 @@ def classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
     """``(vec_id, n_links, component_id, kept)`` per row."""
     spark = vectors.sparkSession
     ship_package(spark)
-    raw = col(embedding).cast("array<double>")
+    single = vectors.select(col(embedding)).schema[0].dataType == T.ArrayType(T.FloatType())
+    vec_type = "array<float>" if single else "array<double>"  # floats are doubles already: half the bytes to move
+    raw = col(embedding).cast(vec_type)
     fine = F.coalesce(
-        (F.size(raw) > 0) & ~F.exists(raw, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(raw, lambda x: x != 0), F.lit(False)
+        (F.size(raw) > 0) & ~F.exists(raw, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf"))) & F.exists(raw, lambda x: x != 0), F.lit(False)
     )
     rows = vectors.select(col(vec_id).alias("vec_id"), F.when(fine, raw).alias("vec"))
     # -0.0 and 0.0 are one number: equal vectors get equal keys
-    key = F.md5(F.array_join(F.transform("vec", lambda x: (x + F.lit(0.0)).cast("string")), ",").cast("binary"))
+    key = F.md5(F.array_join(F.transform("vec", lambda x: (x.cast("double") + F.lit(0.0)).cast("string")), ",").cast("binary"))
     rows = rows.withColumn("key", F.unhex(key))
     each = rows.filter("key is not null").groupBy("key").agg(F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"))
     each = written(each.withColumn("dim", F.size("vec")), "vectors")
@@ -138,34 +165,44 @@ def classes(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
             for dim in np.unique(dims):
                 own = batch.filter(pa.array(dims == dim))
                 turned = _unit(_rows(own.column(1), int(dim))) @ axes.value[int(dim)]
-                cells = np.zeros((own.num_rows, CELL_AXES), np.int32)
-                n = min(CELL_AXES, int(dim))
-                cells[:, :n] = np.floor(turned[:, :n] / width)
+                lead = np.zeros((own.num_rows, BOX_AXES))
+                n = min(BOX_AXES, int(dim))
+                lead[:, :n] = turned[:, :n]
+                rest = np.sqrt((turned[:, n:] ** 2).sum(axis=1))
+                cells = np.floor(lead[:, :CELL_AXES] / width).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns, pa.ListArray.from_arrays(np.arange(len(turned) + 1, dtype=np.int32) * int(dim), turned.ravel()), *(pa.array(cells[:, k]) for k in range(CELL_AXES))],
-                    names=["key", "vec", "dim", "copies", "turned", "c0", "c1", "c2"],
+                    [*own.columns, *(pa.array(cells[:, k]) for k in range(CELL_AXES)), *(pa.array(lead[:, k]) for k in range(BOX_AXES)), pa.array(rest)],
+                    names=["key", "vec", "dim", "copies", "c0", "c1", "c2", *(f"l{k}" for k in range(BOX_AXES)), "rest"],
                 )
 
-    out = "key binary, vec array<double>, dim int, copies long, turned array<double>, c0 int, c1 int, c2 int"
+    lead = ", ".join(f"l{k} double" for k in range(BOX_AXES))
+    out = f"key binary, vec {vec_type}, dim int, copies long, c0 int, c1 int, c2 int, {lead}, rest double"
     turned = written(each.select("key", "vec", "dim", "copies").mapInArrow(turn, out), "turned")
     cell = ["dim", "c0", "c1", "c2"]
     blocks = turned.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    near = F.explode(F.array(*[F.struct(*(F.lit(d).alias(f"d{k}") for k, d in enumerate(x))) for x in np.ndindex(3, 3, 3)]))
-    # blocks of cells, and for each the blocks of the cells around it: a few rows per cell, none per vector
-    named = blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    named = named.withColumn("name", F.concat_ws(".", *cell, "block"))
-    around = named.withColumn("s", near).select("name", "dim", *[(F.col(f"c{k}") + F.col(f"s.d{k}") - 1).alias(f"c{k}") for k in range(3)])
-    tiles = around.join(named.withColumnRenamed("name", "other").drop("block"), cell).filter("name <= other").select("name", "other")
-    tiles = written(tiles.distinct(), "tile-pairs")
     block = F.pmod(F.hash("key"), F.col("blocks"))
-    members = turned.join(blocks, cell).withColumn("name", F.concat_ws(".", *cell, block)).select("name", "key", "vec", "dim", "copies", "turned")
-    left = members.join(tiles, "name").select("name", "other", F.lit(0).alias("side"), "key", "vec", "dim", "copies", "turned")
-    right = members.withColumnRenamed("name", "other").join(tiles.filter("name != other"), "other").select("name", "other", F.lit(1).alias("side"), "key", "vec", "dim", "copies", "turned")
+    members = turned.join(blocks, cell).withColumn("name", F.concat_ws(".", *cell, block))
+    sides = [f(f"l{k}").alias(f"{f.__name__}{k}") for k in range(BOX_AXES) for f in (F.min, F.max)]
+    # a row per block: what follows up to the tiles moves no vector
+    boxes = written(members.groupBy("name", *cell).agg(*sides, F.max("rest").alias("rest")), "boxes")
+    near = F.explode(F.array(*[F.struct(*(F.lit(d).alias(f"d{k}") for k, d in enumerate(x))) for x in np.ndindex(3, 3, 3)]))
+    inner = [x for x in boxes.columns if x not in cell]
+    around = boxes.withColumn("s", near).select("dim", *inner, *[(F.col(f"c{k}") + F.col(f"s.d{k}") - 1).alias(f"c{k}") for k in range(CELL_AXES)])
+    others = boxes.select(*cell, *[F.col(x).alias(f"o_{x}") for x in inner])
+    tiles = around.join(others, cell).filter(F.col("name") <= F.col("o_name"))
+    corners = [F.greatest(*[F.col(f"{p}{k}") * F.col(f"o_{q}{k}") for p in ("min", "max") for q in ("min", "max")]) for k in range(BOX_AXES)]
+    most = reduce(lambda x, y: x + y, corners) + F.col("rest") * F.col("o_rest")
+    tiles = written(tiles.filter(most >= threshold - CLOSE).select("name", F.col("o_name").alias("other")).distinct(), "tile-pairs")
+    members = members.select("name", "key", "vec", "dim", "copies")
+    left = members.join(tiles, "name").select("name", "other", F.lit(0).alias("side"), "key", "vec", "dim", "copies")
+    right = members.withColumnRenamed("name", "other").join(tiles.filter("name != other"), "other").select("name", "other", F.lit(1).alias("side"), "key", "vec", "dim", "copies")
+
     # one row per tile and side part: a tile is gathered whole, and is at most two blocks
     def compare(tile: pa.Table) -> pa.Table:
         side = tile["side"].to_numpy()
         dim = int(tile["dim"][0].as_py())
-        vec, own = (_rows(tile[x].combine_chunks(), dim) for x in ("vec", "turned"))
+        vec = _rows(tile["vec"].combine_chunks(), dim)
+        own = _unit(vec) @ axes.value[dim]
         copies = tile["copies"].to_numpy()
         a = np.flatnonzero(side == 0)
         b = np.flatnonzero(side == 1)
