@@ -94,7 +94,7 @@ def test_raking_meets_the_marginals(spark):
     rows = [(i, "w " * 100, "en" if i % 4 else "fr", f"s{i % 3}", 200) for i in range(600)]
     docs = spark.createDataFrame(rows, DOCS)
     given = {"source": {"s0": 0.2, "s1": 0.3, "s2": 0.5}, "lang": {"en": 0.6, "fr": 0.4}, "topic": {"article": 1.0, "note": 0.0}}
-    cells = mixing.mixed(docs, targets=given, keep=0.3, sweeps=12).groupBy("source", "lang").agg(F.first("prob").alias("p"), F.sum("tokens").alias("t")).collect()
+    cells = mixing.mixed(docs, targets=given, keep=0.3, strict=True, tolerance=1e-4).groupBy("source", "lang").agg(F.first("prob").alias("p"), F.sum("tokens").alias("t")).collect()
     kept = {(r["source"], r["lang"]): r["p"] * r["t"] for r in cells}
     total = sum(kept.values())
     assert abs(total - 0.3 * 60_000) < 1
@@ -103,6 +103,29 @@ def test_raking_meets_the_marginals(spark):
             assert abs(sum(w for k, w in kept.items() if k[at] == value) / total - share) < 1e-3
 
 
+def test_targets_that_cannot_be_met_are_cut_and_told(spark, caplog):
+    """s0 has a tenth of the tokens and is asked for half: it gives all it has, the others keep their proportion."""
+    rows = [(i, "w " * 100, "en" if i % 4 else "fr", "s0" if i % 10 == 0 else f"s{1 + i % 2}", 200) for i in range(800)]
+    docs = spark.createDataFrame(rows, DOCS)
+    given = {"source": {"s0": 0.5, "s1": 0.2, "s2": 0.3}}
+    base = mixing.mixed(docs).groupBy(*mixing.DIMS).agg(F.sum("tokens").alias("tokens"))
+    report = {(r["dim"], r["value"]): r for r in mixing.achieved(mixing.rake(base, 0.5, targets=given), 0.5, targets=given).collect()}
+    s0, s1, s2 = (report["source", s] for s in ("s0", "s1", "s2"))
+    assert abs(s0["target_share"] - 0.5) < 1e-12 and abs(s0["reachable_share"] - 0.2) < 1e-12
+    assert abs(s1["reachable_share"] - 0.8 * 0.4) < 1e-12 and abs(s2["reachable_share"] - 0.8 * 0.6) < 1e-12
+    assert all(abs(r["achieved_share"] - r["reachable_share"]) < 2e-3 for r in report.values())
+    with caplog.at_level("WARNING", "tidemark.mixing"):
+        drawn = mixing.mixed(docs, targets=given)
+        assert "source s0: 0.2" in caplog.text and "of 0.500" in caplog.text
+    assert drawn.where("source = 's0' and not sampled").count() == 0  # all it has
+    with pytest.raises(mixing.TargetsMissed, match="3 target shares"):
+        mixing.mixed(docs, targets=given, strict=True)
+    mixing.mixed(docs, targets=given, strict=True, keep=0.15)  # fewer documents: within reach
+    none = {"source": {"s1": 1.0}}  # values without a share leave the other marginals less to reach
+    only = mixing.mixed(docs, targets=none)
+    assert only.where("sampled and source <> 's1'").count() == 0 and only.where("prob > 1 or prob < 0").count() == 0
+
+
 def test_mixing_edges_and_repeatability(spark, edges, empty):
     a, b = (mixing.mixed(edges.repartition(n)).select("row.doc_id", "row.text", "prob", "sampled") for n in (1, 7))
     assert _sorted(a.collect()) == _sorted(b.collect())

@@ -6,9 +6,20 @@ document is then sampled with its cell's calibrated probability.
 
 A target is a share per value. Shares may be given; by default they are the
 natural token shares raised to ``alpha`` and normalised (tempering: rare
-sources are raised, frequent ones lowered). After each sweep a cell's weight
-is held to what it can supply, ``tokens / keep``, so that no probability passes
-one; the other cells take up the rest in the next sweep.
+sources are raised, frequent ones lowered). A value can supply at most all its
+tokens, and so at most the share ``tokens / (keep * all)``: a target above that
+is cut down to it and the others of its marginal are raised in proportion. The
+result is the reachable target, and what is raked to. After each sweep a cell's
+weight is held to what it can supply, ``tokens / keep``, so that no probability
+passes one; the other cells take up the rest in the next sweep. Sweeps end as
+soon as every marginal is within ``TOLERANCE`` of its reachable target, as a
+share of all tokens, or a sweep changes nothing more (marginals that can be
+reached one by one, but not together), after ``MAX_SWEEPS`` at the latest.
+
+Nothing is missed silently: ``achieved`` gives target, reachable and achieved
+share of every value; ``mixed`` logs how many values miss their target and the
+worst of them, and with ``strict`` raises ``TargetsMissed``. A lower ``keep``
+draws fewer documents and brings more targets within reach.
 
 Sampling is a function of the seed and the document's id (its text where the
 id is null): the same documents are drawn on any cluster, after any retry, and
@@ -23,7 +34,9 @@ carried whatever their names.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +45,18 @@ from .common import col, packed, written
 
 DIMS = ("source", "lang", "topic")
 ALPHA = {"source": 0.5, "lang": 0.7, "topic": 0.5}
-SWEEPS = 8
+TOLERANCE = 1e-3
+STALL = 0.01  # of the tolerance: a sweep that brings the worst value no nearer than this is the last
+MAX_SWEEPS = 100
 KEEP = 0.5
 NONE = "(none)"
 
+log = logging.getLogger("tidemark.mixing")
+
+
+class TargetsMissed(ValueError):
+    """Some values cannot have their target share at this ``keep``."""
+
 
 def n_tokens(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^ \t\n\r]+")), F.lit(0)).cast("long")
@@ -52,24 +73,53 @@ def form_topic(text: Column) -> Column:
     )
 
 
-def _marginal(cells: DataFrame, dim: str, alpha: float, given: Mapping[str, float] | None) -> DataFrame:
-    """``(dim, target)``: target tokens per value, summing to the total where feasible."""
+def _marginal(cells: DataFrame, dim: str, keep: float, alpha: float, given: Mapping[str, float] | None) -> DataFrame:
+    """``(dim, wanted, target)``: target tokens per value as asked for, and as far as they can be supplied.
+
+    The reachable target is ``least(level * share, tokens / keep)``; the level
+    that uses all tokens is found by raising it as long as values are cut.
+    """
     per = cells.groupBy(dim).agg(F.sum("tokens").alias("t"))
     if given is not None:
         shares = F.create_map(*[x for k, v in given.items() for x in (F.lit(k), F.lit(float(v)))])
         per = per.select(dim, "t", F.coalesce(F.element_at(shares, F.col(dim)), F.lit(0.0)).alias("share"))
     else:
         per = per.select(dim, "t", F.pow(F.col("t").cast("double"), F.lit(alpha)).alias("share"))
+    per = written(per, f"mix-{dim}")
     all_t, all_share = per.agg(F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("share"), F.lit(0.0))).first()  # two numbers
-    return per.select(dim, (F.col("share") / F.lit(all_share or 1.0) * F.lit(all_t)).alias("target"))
+    cap = F.col("t") / F.lit(keep)
+    level = all_t / (all_share or 1.0)
+    wanted = F.lit(level) * F.col("share")
+    while all_t:
+        cut = F.lit(level) * F.col("share") >= cap
+        held, free = per.agg(F.coalesce(F.sum(F.when(cut, cap)), F.lit(0.0)), F.coalesce(F.sum(F.when(~cut, F.col("share"))), F.lit(0.0))).first()  # two numbers
+        if not free or (all_t - held) / free <= level * (1 + 1e-12):
+            break
+        level = (all_t - held) / free
+    return per.select(dim, wanted.alias("wanted"), F.least(F.lit(float(level)) * F.col("share"), cap).alias("target"))
+
+
+def _targets(cells: DataFrame, keep: float, alpha: Mapping[str, float], targets: Mapping[str, Mapping[str, float]] | None) -> dict[str, DataFrame]:
+    """The marginals, with equal totals: where given shares leave values out, the least total that all can reach."""
+    found = {d: _marginal(cells, d, keep, alpha[d], (targets or {}).get(d)) for d in DIMS}
+    totals = {d: x.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0] for d, x in found.items()}  # a number each
+    least = min(totals.values())
+    return {d: x.withColumn("target", F.col("target") * F.lit(least / totals[d] if totals[d] > least * (1 + 1e-9) else 1.0)) for d, x in found.items()}
+
+
+def _errors(state: DataFrame, wanted: Mapping[str, DataFrame]) -> DataFrame:
+    """``(off)``: by how many tokens each value of each marginal misses its reachable target."""
+    each = [state.groupBy(d).agg(F.sum("weight").alias("have")).join(x, d).select(F.abs(F.col("have") - F.col("target")).alias("off")) for d, x in wanted.items()]
+    return reduce(DataFrame.unionByName, each)
 
 
 def rake(
     cells: DataFrame,
     keep: float = KEEP,
-    sweeps: int = SWEEPS,
     alpha: Mapping[str, float] = ALPHA,
     targets: Mapping[str, Mapping[str, float]] | None = None,
+    tolerance: float = TOLERANCE,
+    max_sweeps: int = MAX_SWEEPS,
 ) -> DataFrame:
     """Cells ``(source, lang, topic, tokens)`` with their raked ``weight``.
 
@@ -77,16 +127,50 @@ def rake(
     one written table, so lineage and plan stay short.
     """
     state = written(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
-    wanted = {d: written(_marginal(state, d, alpha[d], (targets or {}).get(d)), f"mix-{d}") for d in DIMS}
-    for _ in range(sweeps):
+    wanted = _targets(state, keep, alpha, targets)
+    total = state.agg(F.sum("tokens")).first()[0] or 0
+    off = float("inf")
+    for _ in range(max_sweeps):
         for d in DIMS:
             now = state.groupBy(d).agg(F.sum("weight").alias("have")).join(wanted[d], d)
             factor = now.select(d, F.when(F.col("have") > 0, F.col("target") / F.col("have")).otherwise(0.0).alias("factor"))
             state = state.join(factor, d).select(*DIMS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"))
         state = written(state.withColumn("weight", F.least("weight", F.col("tokens") / F.lit(keep))), "mix-sweep")
+        off, before = (_errors(state, wanted).agg(F.max("off")).first()[0] if total else 0.0), off
+        if off <= tolerance * total or abs(before - off) <= STALL * tolerance * total:
+            break
     return state
 
 
+def achieved(
+    state: DataFrame, keep: float = KEEP, alpha: Mapping[str, float] = ALPHA, targets: Mapping[str, Mapping[str, float]] | None = None
+) -> DataFrame:
+    """``(dim, value, target_share, reachable_share, achieved_share)`` of raked cells, one row per value of each marginal."""
+    each = []
+    for d, x in _targets(state, keep, alpha, targets).items():
+        share = lambda c, t: (F.col(c) / F.lit(t or 1.0))
+        found = written(state.groupBy(d).agg(F.sum("weight").alias("have")).join(x, d), f"mix-have-{d}")
+        sums = found.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in ("wanted", "target", "have")]).first()  # three numbers
+        each.append(found.select(
+            F.lit(d).alias("dim"), F.col(d).alias("value"), share("wanted", sums[0]).alias("target_share"),
+            share("target", sums[1]).alias("reachable_share"), share("have", sums[2]).alias("achieved_share"),
+        ))
+    return reduce(DataFrame.unionByName, each)
+
+
+def _told(state: DataFrame, strict: bool, keep: float, tolerance: float, alpha, targets) -> None:
+    """Say which values miss their target share by more than ten times the tolerance."""
+    report = achieved(state, keep, alpha, targets).withColumn("off", F.col("achieved_share") - F.col("target_share"))
+    missed = report.filter(F.abs("off") > 10 * tolerance)
+    worst = missed.orderBy(F.abs("off").desc(), "dim", "value").limit(5).collect()  # a report of the five worst
+    if worst:
+        text = ", ".join(f"{r['dim']} {r['value']}: {r['achieved_share']:.3f} of {r['target_share']:.3f}" for r in worst)
+        text = f"{missed.count()} target shares are missed at keep={keep}: {text}"
+        if strict:
+            raise TargetsMissed(text)
+        log.warning(text)
+
+
 def mixed(
     docs: DataFrame,
     topic: Column | None = None,
@@ -95,10 +179,11 @@ def mixed(
     source: str = "source",
     lang: str = "lang",
     keep: float = KEEP,
-    sweeps: int = SWEEPS,
     alpha: Mapping[str, float] = ALPHA,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     seed: str = "mix",
+    strict: bool = False,
+    tolerance: float = TOLERANCE,
 ) -> DataFrame:
     """``row`` (input row), ``source, lang, topic, tokens, prob, sampled``."""
     named = lambda c: F.coalesce(c.cast("string"), F.lit(NONE))
@@ -111,7 +196,9 @@ def mixed(
         F.coalesce(col(doc_id).cast("string"), F.md5(col(text).cast("binary")), F.lit("")).alias("key"),
     )
     cells = base.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens"))
-    prob = rake(cells, keep, sweeps, alpha, targets).select(*DIMS, F.least(F.lit(1.0), F.lit(keep) * F.col("weight") / F.col("tokens")).alias("prob"))
+    state = rake(cells, keep, alpha, targets, tolerance)
+    _told(state, strict, keep, tolerance, alpha, targets)
+    prob = state.select(*DIMS, F.least(F.lit(1.0), F.lit(keep) * F.col("weight") / F.col("tokens")).alias("prob"))
     u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("key"))), 1, 8), 16, 10).cast("double") / 4294967296.0
     # The cells are small but their number is not bounded: AQE broadcasts them while below its threshold.
     return base.join(prob, list(DIMS)).select("row", *DIMS, "tokens", "prob", (u < F.col("prob")).alias("sampled"))

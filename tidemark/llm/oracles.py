@@ -34,6 +34,24 @@ FROM d JOIN x USING (s) GROUP BY doc_id, item_id, n HAVING count(*) / n::DOUBLE
 """
 
 
+#: Sweeps that the SQL spells out; the tables it is run on need fewer.
+SQL_SWEEPS = 20
+
+
+def _reachable(x: str) -> list[str]:
+    """A marginal's targets as far as values can supply them: those cut are the first by supply over share."""
+    per = (
+        f"v_{x} AS (SELECT {x}, t, pow(t, {mixing.ALPHA[x]}) AS share, t / {mixing.KEEP}::DOUBLE AS cap, t / {mixing.KEEP}::DOUBLE / pow(t, {mixing.ALPHA[x]}) AS ratio, "
+        f"sum(t) OVER () AS total FROM (SELECT {x}, sum(tokens)::DOUBLE AS t FROM s0 GROUP BY {x}))"
+    )
+    # with the values below a ratio cut, the others share what is left at this level; the first ratio whose level cuts no more holds
+    level = (
+        f"l_{x} AS (SELECT level FROM (SELECT (any_value(a.total) - coalesce(sum(b.cap) FILTER (WHERE b.ratio < a.ratio), 0)) "
+        f"/ sum(b.share) FILTER (WHERE b.ratio >= a.ratio) AS level, a.ratio FROM v_{x} a, v_{x} b GROUP BY a.ratio) WHERE level <= ratio ORDER BY ratio LIMIT 1)"
+    )
+    return [per, level, f"m_{x} AS MATERIALIZED (SELECT {x}, least((SELECT level FROM l_{x}) * share, cap) AS target FROM v_{x})"]
+
+
 def _mix_sql() -> str:
     dims = mixing.DIMS
     d = ", ".join(dims)
@@ -45,12 +63,10 @@ def _mix_sql() -> str:
         f"s0 AS MATERIALIZED (SELECT {d}, sum(tokens)::BIGINT AS tokens, sum(tokens)::DOUBLE AS weight FROM base GROUP BY {d})",
     ]
     for x in dims:
-        ctes.append(
-            f"m_{x} AS MATERIALIZED (SELECT {x}, pow(t, {mixing.ALPHA[x]}) / sum(pow(t, {mixing.ALPHA[x]})) OVER () * sum(t) OVER () AS target "
-            f"FROM (SELECT {x}, sum(tokens)::DOUBLE AS t FROM s0 GROUP BY {x}))"
-        )
-    prev = "s0"
-    for k in range(mixing.SWEEPS):
+        ctes += _reachable(x)
+    prev, done = "s0", "FALSE"
+    for k in range(SQL_SWEEPS):  # a sweep after the last one that is needed changes nothing
+        start = prev
         for x in dims:
             name = f"s{k}_{x}"
             ctes.append(
@@ -59,8 +75,21 @@ def _mix_sql() -> str:
                 f"JOIN (SELECT {x}, sum(weight) AS have FROM {prev} GROUP BY {x}) h ON h.{x} = p.{x} JOIN m_{x} m ON m.{x} = p.{x})"
             )
             prev = name
-        ctes.append(f"s{k}_end AS MATERIALIZED (SELECT {d}, tokens, least(weight, tokens / {mixing.KEEP}::DOUBLE) AS weight FROM {prev})")
+        keys = " AND ".join(f"p.{y} = q.{y}" for y in dims)
+        ctes.append(
+            f"s{k}_end AS MATERIALIZED (SELECT {', '.join('p.' + y for y in dims)}, p.tokens, CASE WHEN {done} THEN q.weight "
+            f"ELSE least(p.weight, p.tokens / {mixing.KEEP}::DOUBLE) END AS weight FROM {prev} p JOIN {start} q ON {keys})"
+        )
         prev = f"s{k}_end"
+        off = " UNION ALL ".join(
+            f"SELECT abs(h.have - m.target) AS off FROM (SELECT {x}, sum(weight) AS have FROM {prev} GROUP BY {x}) h JOIN m_{x} m ON m.{x} = h.{x}" for x in dims
+        )
+        before = f"(SELECT off FROM d{k - 1})" if k else "'inf'::DOUBLE"
+        least = f"{mixing.TOLERANCE}::DOUBLE * (SELECT sum(tokens) FROM s0)"
+        ctes.append(
+            f"d{k} AS MATERIALIZED (SELECT off, off <= {least} OR abs({before} - off) <= {mixing.STALL}::DOUBLE * {least} AS done FROM (SELECT max(off) AS off FROM ({off}) o) x)"
+        )
+        done = f"(SELECT done FROM d{k})"
     ctes.append(f"probs AS (SELECT {d}, least(1.0::DOUBLE, {mixing.KEEP}::DOUBLE * weight / tokens) AS prob FROM {prev})")
     return "WITH " + ",\n".join(ctes) + (
         f"\nSELECT doc_id, {d}, tokens, round(prob, 6) AS prob, "
