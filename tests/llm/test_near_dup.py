@@ -1,5 +1,8 @@
 """Near-dedup, suffix dedup and embedding dedup against brute force, with edge cases."""
 
+import math
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -43,6 +46,52 @@ def _family(seed, n, copies, edits):
     return out
 
 
+def _by_hand(texts):
+    """Each text's shingles and weights, counted with plain Python: count times 1 + ln(N / df) / ln(N + 1)."""
+    grams = [Counter(zip(*(t.lower().split()[k:] for k in range(5)))) for t in texts]
+    df, n = Counter(g for own in grams for g in own), len(texts)
+    return [{g: c * (1 + math.log(n / df[g]) / math.log(n + 1)) for g, c in own.items()} for own in grams]
+
+
+def _alike(a, b):
+    low = sum(min(w, b[g]) for g, w in a.items() if g in b)
+    return low / (sum(a.values()) + sum(b.values()) - low) if a and b else 0.0
+
+
+def test_shingle_frequencies_are_exact(spark, monkeypatch):
+    texts = [" ".join(words(7, 40) + words(100 + k, 30, 50)) for k in range(60)] + [None, "", "a b c d", "a b c d e", "a b c d e"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS).repartition(5)
+    monkeypatch.setattr(near_dedup, "BLOCK", 2000)
+    found = near_dedup.document_frequencies(docs)
+    hand = _by_hand([t or "" for t in texts])
+    for t, own in zip(texts, hand):
+        h, w = near_dedup._weighted(pa.array([t], pa.string()), found)
+        assert len(h) == len(own) and np.allclose(sorted(w), sorted(own.values()), rtol=1e-6)
+    some = near_dedup.document_frequencies(docs, frequent=36)  # room for the shingles of the common part only
+    assert len(some.h) == 36 and np.allclose(some.idf, 1 + math.log(65 / 60) / math.log(66))
+    assert some.rest == near_dedup.Weights(some.h, some.idf, 4, 65).rest < found.rest
+    none = near_dedup.document_frequencies(docs.limit(0))
+    assert len(none.h) == 0 and np.isfinite(none.rest)
+
+
+@pytest.mark.parametrize("least, most", [(0.8, 0.82), (0.84, 0.87), (0.89, 0.92)])
+def test_near_copies_at_and_above_the_threshold_are_found(spark, least, most):
+    """Planted edits: of the pairs whose weighted Jaccard similarity is in the range, at least nine tenths share a class."""
+    texts, r = [], np.random.default_rng(int(least * 100))
+    for k in range(120):
+        own = words(3000 + k, 200, 5000)
+        copy = list(own)
+        for at in r.choice(200, {0.8: 4, 0.84: 3, 0.89: 2}[least], replace=False):
+            copy[at] = f"edit{k}x{at}"
+        texts += [" ".join(own), " ".join(copy)]
+    vectors = _by_hand(texts)
+    pairs = [k for k in range(0, len(texts), 2) if least <= _alike(vectors[k], vectors[k + 1]) <= most]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.near_classes(docs).select("row.doc_id", "class_id").collect()}
+    assert len(pairs) >= 20 and sum(got[k] == got[k + 1] for k in pairs) >= 0.9 * len(pairs)
+    assert all(got[k] == got[k + 1] for k in pairs if _alike(vectors[k], vectors[k + 1]) > 0.81)
+
+
 def test_near_dedup_equals_brute_force(spark):
     texts = []
     for f in range(6):
@@ -52,10 +101,8 @@ def test_near_dedup_equals_brute_force(spark):
     texts += [passage + " " + " ".join(words(1500 + k, 80)) for k in range(30)]
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)
     got = {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_dedup.near_classes(docs).select("row.doc_id", "class_id", "kept").collect()}
-    df, n = near_dedup.document_frequencies(docs)
-    idf = near_dedup.idf_table(df, n)
-    vectors = [near_dedup._weighted(pa.array([t]), idf) for t in texts]
-    links = [(i, j) for i in range(len(texts)) for j in range(i) if texts[i] == texts[j] or near_dedup.weighted_jaccard(vectors[i], vectors[j]) >= 0.8]
+    vectors = _by_hand(texts)
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if texts[i] == texts[j] or _alike(vectors[i], vectors[j]) >= 0.8]
     want = _classes(links, range(len(texts)))
     assert {i: c for i, (c, _) in got.items()} == want
     assert {i for i, (_, k) in got.items() if k} == set(want.values())
@@ -63,7 +110,7 @@ def test_near_dedup_equals_brute_force(spark):
 
 def test_consistent_weighted_samples_estimate_weighted_jaccard():
     a, b = _family(3, 400, 2, (0, 12))
-    one = np.ones(1 << near_dedup.DF_BITS, np.float32)
+    one = near_dedup.Weights(np.zeros(0, np.uint64), np.zeros(0), 2, 1)
     sampler, found = near_dedup.Sampler(samples=1024), []
     for t in (a, b):
         h, w = near_dedup._weighted(pa.array([t]), one)

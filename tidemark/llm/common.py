@@ -7,6 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
+import zstandard
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +45,22 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-llm/{name}-{uuid.uuid4().hex}"
 
 
+def planes_packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, byte plane by byte plane, compressed: high bytes of small numbers cost nothing."""
+    planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def planes_unpacked(blob: bytes, *kinds: type) -> list[np.ndarray]:
+    sizes = [np.dtype(k).itemsize for k in kinds]
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    n, at, out = len(raw) // sum(sizes), 0, []
+    for kind, size in zip(kinds, sizes):
+        out.append(np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind).ravel())
+        at += n * size
+    return out
+
+
 _shipped: set[str] = set()
 
 

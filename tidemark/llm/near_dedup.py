@@ -2,9 +2,12 @@
 
 A text is a weighted set of five-word shingles: weight = count in the text
 times a damped inverse document frequency, 1 + ln(N / df) / ln(N + 1). Document
-frequencies are counted over all documents in a table of 2**18 hashed counters
-(fixed size at any corpus size: distinct shingles per document, not in the
-corpus, set its noise floor). ICWS draws 64 samples (shingle, level) of which
+frequencies are counted exactly over all documents: blocks of texts send their
+distinct shingles and counts, by hash bucket, to be added up. What a worker
+needs of them are the frequent ones: those with df >= ``least`` are broadcast,
+``least`` being the least power of two (2 at least) that leaves no more than
+``FREQUENT`` of them; all rarer shingles weigh alike, as with df = least / 2.
+With least = 2 that is each shingle's own frequency. ICWS draws 64 samples (shingle, level) of which
 two texts share each with probability equal to their weighted Jaccard
 similarity; 16 bands of 4 make candidates (0.9998 found at similarity 0.8).
 
@@ -33,13 +36,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import col, components, packed, ship_package, unpacked, written
+from .common import col, components, packed, planes_packed, planes_unpacked, ship_package, unpacked, written
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 TILE = 256
-DF_BITS = 18
+FREQUENT = 2_000_000
+BLOCK = 8 << 20  # bytes of text whose shingles are counted together
+_BITS = np.uint64(48)
 _SLOTS = 1 << 16
 
 
@@ -53,28 +58,75 @@ def _sets(piece: tokens.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 48) - 1), count
 
 
-def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, int]:
-    """Counters of 2**DF_BITS shingle hashes over all documents, and the number of documents."""
+class Weights:
+    """Inverse document frequencies: of the frequent shingles each its own, of all others one."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << DF_BITS, np.int64)
-        for batch in batches:
-            for piece in tokens.pieces(batch.column(0)):
-                _, h, _ = _sets(piece)
-                total += np.bincount((h & np.uint64((1 << DF_BITS) - 1)).astype(np.int64), minlength=1 << DF_BITS)
-        at = np.flatnonzero(total)
-        for lo in range(0, len(at), 1 << 16):
-            part = at[lo : lo + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["slot", "n"])
+    def __init__(self, h: np.ndarray, df: np.ndarray, least: int, n_docs: int):
+        n = max(n_docs, 1)
+        damped = lambda df: 1 + np.log(n / np.clip(df, 1, n)) / math.log(n + 1.0)
+        self.h, self.idf, self.rest = h, damped(df).astype(np.float32), np.float32(damped(least // 2))
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        out = np.full(len(h), self.rest, np.float32)
+        if len(self.h):
+            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+            known = self.h[at] == h
+            out[known] = self.idf[at[known]]
+        return out
 
-    rows = docs.select(col(text).alias("text")).mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    df = np.zeros(1 << DF_BITS, np.int64)
-    df[rows["slot"].to_numpy()] = rows["n"].to_numpy()
-    return df, docs.count()
 
+def _shingle_counts(bits: int):
+    """A row per block of texts and bucket: the distinct shingles and how many of the block's texts hold each."""
 
-def idf_table(df: np.ndarray, n_docs: int) -> np.ndarray:
-    return (1 + np.log(max(n_docs, 1) / np.clip(df, 1, max(n_docs, 1))) / math.log(max(n_docs, 1) + 1.0)).astype(np.float32)
+    def close(parts: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(parts), return_counts=True)
+        bucket = (h >> (_BITS - np.uint64(bits))).astype(np.int32)
+        cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(h)) if len(h) else np.zeros(1, np.int64)
+        blobs = [planes_packed(np.diff(h[a:b], prepend=np.uint64(0)), n[a:b].astype(np.uint32)) for a, b in zip(cuts[:-1], cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
+        for batch in batches:
+            for piece in tokens.pieces(batch.column(0)):
+                parts.append(_sets(piece)[1])
+                held += len(piece.data)
+                if held >= BLOCK:
+                    yield close(parts)
+                    parts, held = [], 0
+        if parts:
+            yield close(parts)
+
+    return run
+
+
+def _added(group: pa.Table) -> pa.Table:
+    """All blocks' counts of one bucket: its shingles in two texts or more, by the power of two that their frequency reaches."""
+    parts = [planes_unpacked(x, np.uint64, np.uint32) for x in group["blob"].to_pylist()]
+    h, at = np.unique(np.concatenate([np.cumsum(d, dtype=np.uint64) for d, _ in parts]), return_inverse=True)
+    df = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+    power = np.frexp(df)[1] - 1
+    out = [(int(p), int((power == p).sum()), planes_packed(h[power == p], df[power == p])) for p in np.unique(power) if p > 0]
+    power, n, blob = zip(*out) if out else ((), (), ())
+    return pa.table({"power": pa.array(power, pa.int32()), "n": pa.array(n, pa.int64()), "blob": pa.array(blob, pa.binary())})
+
+
+def document_frequencies(docs: DataFrame, text: str = "text", frequent: int | None = None) -> Weights:
+    """The weights of all documents' shingles."""
+    texts = docs.select(col(text).alias("text"))
+    size, n_docs = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    bits = max(1, math.ceil(math.log2(max(1, size / (32 << 20)))))  # buckets of bounded size: their number follows the input
+    counts = texts.mapInArrow(_shingle_counts(bits), "bucket int, blob binary")
+    found = written(counts.groupBy("bucket").applyInArrow(_added, "power int, n long, blob binary"), "shingle-frequencies")
+    per = {r["power"]: r["n"] for r in found.groupBy("power").agg(F.sum("n").alias("n")).collect()}  # at most 63 rows
+    power, left = max(per, default=0) + 1, FREQUENT if frequent is None else frequent
+    while power > 1 and per.get(power - 1, 0) <= left:
+        power -= 1
+        left -= per.get(power, 0)
+    own = [planes_unpacked(r["blob"], np.uint64, np.int64) for r in found.filter(F.col("power") >= power).select("blob").toLocalIterator()]  # FREQUENT entries at most
+    h, df = (np.concatenate([np.zeros(0, k), *x]) for k, x in zip((np.uint64, np.int64), zip(*own) if own else ((), ())))
+    order = np.argsort(h)
+    return Weights(h[order], df[order], 1 << power, n_docs)
 
 
 class Sampler:
@@ -115,9 +167,9 @@ def _band_keys(codes: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def band_keys(spark: SparkSession, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+def band_keys(spark: SparkSession, texts: DataFrame, idf: Weights) -> DataFrame:
     """``(key, bucket)`` for ``texts(key, text)``: 16 bucket keys a text, the band mixed in."""
-    shared = spark.sparkContext.broadcast(idf)  # 2**18 floats, whatever the corpus
+    shared = spark.sparkContext.broadcast(idf)  # at most FREQUENT shingles
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler, table = Sampler(), shared.value
@@ -127,7 +179,7 @@ def band_keys(spark: SparkSession, texts: DataFrame, idf: np.ndarray) -> DataFra
                 if not len(doc):
                     continue
                 first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-                weight = count * table[(h & np.uint64((1 << DF_BITS) - 1)).astype(np.int64)]
+                weight = count * table.of(h)
                 keys = _band_keys(sampler.sample(h, weight, first))
                 own = batch.column(0).take(pa.array(np.repeat(piece.lo + doc[first], BANDS)))
                 yield pa.RecordBatch.from_arrays([own, pa.array(keys.ravel())], names=["key", "bucket"])
@@ -135,10 +187,10 @@ def band_keys(spark: SparkSession, texts: DataFrame, idf: np.ndarray) -> DataFra
     return texts.mapInArrow(run, "key binary, bucket long")
 
 
-def _weighted(text: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _weighted(text: pa.Array, table: Weights) -> tuple[np.ndarray, np.ndarray]:
     piece = next(tokens.pieces(text, 1 << 62))
     _, h, count = _sets(piece)
-    return h, count * table[(h & np.uint64((1 << DF_BITS) - 1)).astype(np.int64)].astype(np.float64)
+    return h, count * table.of(h).astype(np.float64)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -151,7 +203,7 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
     return float(low / (wa.sum() + wb.sum() - low))
 
 
-def similarities(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+def similarities(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: Weights) -> DataFrame:
     """``(centre, key, similarity)`` for ``pairs(centre, key)``.
 
     A centre's text meets its partners' texts in sorted partitions and is
@@ -205,7 +257,7 @@ def _apart(in_bucket: DataFrame, comp: DataFrame) -> DataFrame:
     return written(placed.join(open_, "bucket").select("bucket", "key", "comp", "apart", "members"), "apart")
 
 
-def _tile_links(spark: SparkSession, placed: DataFrame, texts: DataFrame, idf: np.ndarray, threshold: float) -> DataFrame:
+def _tile_links(spark: SparkSession, placed: DataFrame, texts: DataFrame, idf: Weights, threshold: float) -> DataFrame:
     """``(a, b)``: links between different components of a bucket, from all its members that are apart against all its members.
 
     A bucket is cut into blocks of about ``TILE`` members; a tile holds the
@@ -289,8 +341,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     ship_package(spark)
     key = F.unhex(F.md5(col(text).cast("binary")))
     texts = docs.select(key.alias("key"), col(text).alias("text")).filter(F.col("text").isNotNull())
-    df, n = document_frequencies(docs, text)
-    idf = idf_table(df, n)
+    idf = document_frequencies(docs, text)
     bands = written(band_keys(spark, texts, idf).distinct(), "bands")
 
     buckets = bands.groupBy("bucket").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("members")).filter("members > 1")
