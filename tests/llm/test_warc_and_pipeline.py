@@ -56,6 +56,35 @@ def test_same_records_give_the_same_files(spark):
     assert sums[0] == sums[1]
 
 
+@pytest.mark.parametrize("hot", [7, None])
+def test_an_id_with_a_third_of_all_rows_lies_in_many_shards(spark, hot):
+    pages = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(hot).cast("long")).otherwise(F.col("id")).alias("page_id"), F.lit("u").alias("url"),
+        F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("html"),
+    )
+    root = tempfile.mkdtemp(prefix="tidemark-warc-") + "/a"
+    warc.write_warc(pages, root, shard_bytes=150_000)
+    per = {r["shard"]: r["n"] for r in spark.read.parquet(f"{root}/manifest").groupBy("shard").agg(F.sum("records").alias("n")).collect()}
+    assert len(per) > 20 and sum(per.values()) == 3000 and max(per.values()) < 2 * 3000 / len(per)
+    got = warc.read_warc(spark, root)
+    assert got.count() == 3000 and got.where("page_id is null" if hot is None else "page_id = 7").count() >= 1000
+
+
+def test_a_large_record_is_read_in_linear_time(spark):
+    import io
+    import time
+
+    def read(size):
+        data = gzip.compress(warc.record(1, "u", os.urandom(size), None, 0), 1)
+        began = time.process_time()
+        ((_, block),) = warc.records(io.BytesIO(data))
+        assert len(block) > size
+        return time.process_time() - began
+
+    read(1 << 20)
+    assert read(128 << 20) < 60 * max(read(8 << 20), 0.02)  # 16 times the bytes
+
+
 def test_lost_attempts_are_not_published(spark):
     root = tempfile.mkdtemp(prefix="tidemark-warc-") + "/a"
     os.makedirs(f"{root}/_temporary")

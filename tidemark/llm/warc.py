@@ -1,10 +1,12 @@
 """Deterministic sharded WARC writer, and a reader of its archives.
 
-Records are sorted by id and cut into shards by id ranges of about
-``SHARD_BYTES`` of payload (more where that would make over ``MAX_SHARDS``). The bounds come from the ids whose hash falls into
-a class chosen from the row count, so they depend on the records alone: the
-same records give the same files on any cluster and after any retry. A shard
-is one task's sorted stream; it rolls to a new file when the compressed size
+Records are sorted by id, then payload digest, and cut into shards by ranges of
+both, of about ``SHARD_BYTES`` of payload (more where that would make over
+``MAX_SHARDS``): an id that many rows share, or a third of all rows without an
+id, lies in as many shards as its bytes ask for. The bounds part the bytes of
+the records whose hash falls into a class chosen from the row count, so they
+depend on the records alone: the same records give the same files on any
+cluster and after any retry. A shard is one task's sorted stream; it rolls to a new file when the compressed size
 reaches ``FILE_BYTES``. Each record is a gzip member of its own. HTTP headers,
 lengths, payload and block digests and record ids are made anew from the
 payload; dates are a parameter, never the clock.
@@ -32,24 +34,25 @@ import base64
 import gzip
 import hashlib
 import io
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import col, shared_path, ship_package
+from .common import bound, col, shared_path, ship_package
 
 REVISIT_BYTES = 1000
 SHARD_BYTES = 32 << 20
 FILE_BYTES = 4 << 20
-MAX_SHARDS = 4096  # beyond this many the shards grow instead: a row's shard is looked up among their bounds
+MAX_SHARDS = 65_536  # beyond this many, 2 TB of payload, the shards grow instead: their bounds are one constant of the plan
 DATE = "2024-01-01T00:00:00Z"
-_SAMPLE = 16_384  # ids looked at for the bounds, in the mean
+_SAMPLE = 16_384  # records looked at for the bounds, in the mean, or eight a shard
+_NO_ID = -(2**63)  # where rows without an id stand in the order
 _MANIFEST = "shard int, seq int, temporary string, name string, records long, bytes long, sha1 string"
 _READ = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
@@ -117,13 +120,32 @@ class _Roller:
         return row
 
 
-def _bounds(rows: DataFrame, shards: int, count: int) -> np.ndarray:
-    """Upper ids of all shards but the last, from the ids of one hash class: by the records alone."""
-    classes = 1 << max(0, (count // _SAMPLE).bit_length())
-    sample = rows.filter((F.pmod(F.crc32(F.col("page_id").cast("string").cast("binary")), F.lit(classes)) == 0) & F.col("page_id").isNotNull())
-    ids = np.sort(sample.select("page_id").distinct().toArrow()["page_id"].to_numpy())  # about _SAMPLE ids at any size
-    at = (np.arange(1, shards) * len(ids)) // shards
-    return np.unique(ids[at]) if len(ids) else np.zeros(0, np.int64)
+def _place() -> Column:
+    """A record's place in the order: its id, and the beginning of its payload's digest as a number."""
+    return F.struct(F.coalesce("page_id", F.lit(_NO_ID)).alias("i"), F.conv(F.substring("sha1", 1, 15), 16, 10).cast("long").alias("h"))
+
+
+def _bounds(rows: DataFrame, shards: int, count: int) -> list[tuple[int, int]]:
+    """Lower ends of all shards but the first, from the records of one hash class: by the records alone."""
+    classes = 1 << max(0, (count // max(_SAMPLE, 8 * shards)).bit_length())
+    name = F.concat_ws(":", F.col("page_id").cast("string"), F.col("sha1"))
+    sample = rows.filter(F.pmod(F.crc32(name.cast("binary")), F.lit(classes)) == 0).select(_place().alias("p"), (F.octet_length("payload") + 1).alias("size"))
+    found = sample.groupBy("p").agg(F.sum("size").alias("size")).select("p.i", "p.h", "size").toArrow().to_pandas()  # about _SAMPLE rows, or eight a shard
+    found = found.sort_values(["i", "h"], ignore_index=True)
+    before = found["size"].cumsum() - found["size"]
+    shard = (before * shards // max(1, int(found["size"].sum()))).astype(int)
+    first = found[shard != shard.shift(fill_value=0)]
+    return list(zip(first["i"].tolist(), first["h"].tolist()))
+
+
+def _shard(bounds: list[tuple[int, int]]) -> Column:
+    """How many bounds a record's place reaches, by binary search over one constant."""
+    if not bounds:
+        return F.lit(0)
+    edges = F.from_json(F.lit(json.dumps([{"i": i, "h": h} for i, h in bounds])), "array<struct<i:bigint,h:bigint>>")
+    steps = F.array(*[F.lit(1 << k) for k in range(len(bounds).bit_length() - 1, -1, -1)])
+    search = lambda p: F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.try_element_at(edges, at + step) <= p, at + step).otherwise(at))
+    return bound(_place(), search)
 
 
 def write_warc(
@@ -141,9 +163,7 @@ def write_warc(
     n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0))).first()
     shards = min(MAX_SHARDS, max(1, -(-size // shard_bytes)))
     bounds = _bounds(rows, shards, n)
-    edges = F.array(*[F.lit(int(b)) for b in bounds]) if len(bounds) else F.array().cast("array<bigint>")
-    shard = F.when(F.col("page_id").isNull(), 0).otherwise(F.size(F.filter(edges, lambda b: b <= F.col("page_id"))))
-    rows = rows.withColumn("shard", shard)
+    rows = rows.withColumn("shard", _shard(bounds))
     # which response a repeated payload refers to goes to the shard as a row of its own, sorted before the
     # page's: payloads are shuffled once, to their shards, and not to meet their digests
     notes = rows.filter(large).select("shard", "page_id", "sha1").distinct().join(first, "sha1")
@@ -151,7 +171,7 @@ def write_warc(
     records_ = rows.select("shard", "page_id", "sha1", F.lit(1).alias("kind"), "url", "payload", F.lit(None).cast("long").alias("response_id"))
     store, path = _store(root)
     store.create_dir(f"{path}/_temporary", recursive=True)
-    dealt = notes.unionByName(records_).repartitionById(int(shards), F.col("shard")).sortWithinPartitions("shard", "page_id", "sha1", "kind", "url")
+    dealt = notes.unionByName(records_).repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "page_id", "sha1", "kind", "url")
 
     columns = ["page_id", "url", "payload", "sha1", "response_id", "shard", "kind"]
 
@@ -216,18 +236,18 @@ def _publish(spark: SparkSession, root: str) -> None:
 
 def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record of an open ``.warc.gz`` stream, member by member."""
-    unpack, held, raw = zlib.decompressobj(31), b"", b""
+    unpack, held, raw = zlib.decompressobj(31), [], b""
     while True:
         if unpack.eof:
-            held, raw = b"", unpack.unused_data
+            held, raw = [], unpack.unused_data
             unpack = zlib.decompressobj(31)
         else:
             raw = stream.read(1 << 16)
             if not raw:
                 return
-        held += unpack.decompress(raw)
-        if unpack.eof:
-            head, _, rest = held.partition(b"\r\n\r\n")
+        held.append(unpack.decompress(raw))
+        if unpack.eof:  # put together once, however many reads the record took
+            head, _, rest = b"".join(held).partition(b"\r\n\r\n")
             lines = head.decode().split("\r\n")
             fields = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
             yield fields, rest[: int(fields["Content-Length"])]
