@@ -50,6 +50,34 @@ def test_quality_tells_classes_it_was_not_fitted_on(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_quality_reads_the_words(spark):
+    """Texts alike in every count: only their words tell, to documents that have no label too, and no label tells on itself."""
+    r = random.Random(6)
+    names = [[f"{a}{b}{c}" for b in "xyzuvw" for c in "klmnop"] for a in ("ga", "ba", "oa")]
+    docs, labels = [], []
+    for i in range(500):
+        good = i % 2
+        ws = [r.choice(names[1 - good] if r.random() < 0.2 else names[2]) for _ in range(60)]
+        docs.append((i, " ".join(ws), "en", "s", 300))
+        if i % 5 != 1:
+            labels.append((i, good, 0))
+    docs, labels = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    got = [x for x in quality.scored(docs, labels).collect() if x["doc_id"] % 5 == 1]
+    assert _auc([x["score"] for x in got], [x["doc_id"] % 2 for x in got]) > 0.97
+    mixed = labels.withColumn("quality", F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int"))  # labels that nothing tells
+    blind = quality.scored(docs, mixed).join(mixed, "doc_id").collect()
+    assert _auc([x["score"] for x in blind], [x["quality"] for x in blind]) < 0.75
+
+
+def test_quality_evidence_of_hosts_follows_their_number(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("a b c").alias("text"), F.lit("en").alias("lang"), F.concat(F.lit("h"), F.col("id") % 1000).alias("source"), F.lit(5).alias("n_chars"))
+    labels = spark.range(4000).select(F.col("id").alias("doc_id"), (F.col("id") % 1000 % 2).cast("int").alias("quality"))
+    found = quality.fit_evidence(docs, labels, "doc_id", "text")
+    assert found.sources.shape[1] >= 4000
+    got = quality.scored(docs, labels.where("doc_id < 3000")).where("doc_id >= 3000").collect()
+    assert _auc([x["score"] for x in got], [x["doc_id"] % 2 for x in got]) > 0.95  # a thousand hosts, told apart
+
+
 def test_quality_edges(spark, edges, empty, labels):
     assert quality.scored(edges, labels).count() == edges.count()
     left = quality.keep_good(edges, labels)

@@ -1,8 +1,9 @@
 """Quality classifier by co-training of a text view and a metadata view.
 
-The text view sees counts of the text alone (lengths, symbols, capitals,
-digits, bars, repetition); the metadata view sees the other columns (language,
-source, length). Each is a logistic regression. In every round a view is
+The text view reads the words: the evidence that they and their pairs give,
+beside counts (lengths, symbols, capitals, digits, bars, repetition). The
+metadata view sees the other columns (language, source, length) and the evidence
+of the source. Each is a logistic regression over these. In every round a view is
 fitted on the labelled training rows and on the rows without a label that the
 *other* view is confident about (probability at least 0.95 or at most 0.05),
 at a third of a labelled row's weight; the two views exchange these
@@ -10,10 +11,17 @@ pseudo-labels again in the next round. Then both views are calibrated (Platt)
 on labelled rows that neither was fitted on, and combined by a logistic
 regression of the two calibrated log odds on the same rows.
 
+Evidence is a log ratio of good to bad labelled training documents that hold a
+word or pair (hashed to ``SLOTS``) or have a source (hashed to eight times as
+many slots as there are sources). It is fitted crosswise: documents are halved
+by a hash of their id, and each half is judged by the other half's table, so no
+document's label tells on itself. The tables come from at most ``FIT_ROWS``
+labelled documents, those with the smallest hashes of their ids: this bound is
+the only one.
+
 All rows take part: a Newton step adds up gradient and Hessian (some thousand
-numbers) over the whole feature table by key, so nothing is sampled and the
-driver sees sums only. The feature table holds some 60 numbers a row, not the
-texts, and is written once.
+numbers) over the whole feature table by key, and the driver sees sums only. The
+feature table holds some 70 numbers a row, not the texts, and is written once.
 
 Defined cases: null labels are no labels, contradicting labels of a document
 are not used, repeated equal labels count once. Null and empty texts have
@@ -25,6 +33,7 @@ nothing is rejected).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -48,13 +57,16 @@ _SYMBOLS = "#$%&*+<=>@\\^_`{}~"
 _CLASS = np.zeros(256, np.uint8)
 for _i, _chars in enumerate((" \t\r\v\f", "\n", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ".,;:?'\"()-", "!", "|", _SYMBOLS), start=1):
     _CLASS[[ord(c) for c in _chars]] = _i
-TEXT_FEATURES = 18
+COUNTS, WORDS = 18, 6
+TEXT_FEATURES = COUNTS + WORDS
 LANGS, SOURCES = 8, 32
-META_FEATURES = LANGS + SOURCES + 5
+META_FEATURES = LANGS + SOURCES + 6
+SLOTS = 1 << 16
+FIT_ROWS = 20_000
 
 
 def text_features(piece: tokens.Piece) -> np.ndarray:
-    """(rows, TEXT_FEATURES) of a piece."""
+    """(rows, COUNTS) of a piece."""
     rows = piece.hi - piece.lo
     size = np.diff(piece.offsets)
     n = np.maximum(np.diff(piece.first), 1).astype(float)
@@ -88,8 +100,35 @@ def text_features(piece: tokens.Piece) -> np.ndarray:
     return np.stack(f, axis=1).astype(np.float32)
 
 
-def meta_features(lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> np.ndarray:
-    """(rows, META_FEATURES): language and source by hashed one-hot, length by a few hinges."""
+def word_slots(piece: tokens.Piece) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(text, slot) of every word, and of every pair of neighbours."""
+    pairs, at = tokens.ngrams(piece, 2)
+    return [(piece.doc, (piece.hashes >> np.uint64(48)).astype(np.int64)), (piece.doc[at], (tokens.mix(pairs) >> np.uint64(48)).astype(np.int64))]
+
+
+@dataclass
+class Evidence:
+    """Log ratios by the half they were fitted on: of hashed words and pairs, and of hashed sources."""
+
+    words: np.ndarray
+    sources: np.ndarray
+
+    def word_features(self, piece: tokens.Piece, half: np.ndarray) -> np.ndarray:
+        """(rows, WORDS): mean and sum by root of number, of words and of pairs, and the extremes; by the other half's table."""
+        rows = piece.hi - piece.lo
+        out = np.zeros((rows, WORDS), np.float32)
+        for k, (doc, slot) in enumerate(word_slots(piece)):
+            e = self.words[1 - half[doc], slot]
+            n = np.maximum(np.bincount(doc, minlength=rows), 1)
+            total = np.bincount(doc, e, rows)
+            out[:, 2 * k], out[:, 2 * k + 1] = total / n, total / np.sqrt(n)
+            np.maximum.at(out[:, 4], doc, e)
+            np.minimum.at(out[:, 5], doc, e)
+        return out
+
+
+def meta_features(lang: pa.Array, source: pa.Array, n_chars: pa.Array, half: np.ndarray, evidence: Evidence) -> np.ndarray:
+    """(rows, META_FEATURES): language and source by hashed one-hot, length by a few hinges, the source's evidence."""
     out = np.zeros((len(lang), META_FEATURES), np.float32)
     rows = np.arange(len(lang))
     for values, at, slots in ((lang, 0, LANGS), (source, LANGS, SOURCES)):
@@ -104,9 +143,16 @@ def meta_features(lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> np.nda
     out[:, at], out[:, at + 1] = known, logs / 10
     for k, knee in enumerate((5.0, 7.0, 9.0)):
         out[:, at + 2 + k] = np.maximum(logs - knee, 0) / 10
+    out[:, at + 5] = evidence.sources[1 - half, source_slots(source, evidence.sources.shape[1])]
     return out
 
 
+def source_slots(source: pa.Array, slots: int) -> np.ndarray:
+    table = source.dictionary_encode()
+    code = np.array([_slot(None, slots)] + [_slot(v.as_py(), slots) for v in table.dictionary])
+    return code[table.indices.fill_null(-1).to_numpy(zero_copy_only=False) + 1]
+
+
 def _slot(value, slots: int) -> int:
     if value is None:
         return 0
@@ -148,27 +194,81 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def feature_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def _half(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(2)).cast("int")
+
+
+def _holds(doc_id: Column) -> Column:
+    """The calibration fold."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
+
+
+def _clear(labels: DataFrame) -> DataFrame:
+    """``(label_id, y)`` of the documents whose labels agree."""
+    clear = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("most"))
+    return clear.filter("y = most").select(F.col("doc_id").alias("label_id"), "y")
+
+
+def _seen(docs: DataFrame, doc_id: str, text: str) -> list[Column]:
+    """What both views are made of, by working names."""
+    have = set(docs.columns)
+    meta = [(col(c).cast(t) if c in have else F.lit(None).cast(t)).alias(f"_{c}") for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "double"))]
+    return [col(text).alias("_text"), *meta, _half(col(doc_id) if doc_id in have else F.lit(None)).alias("_half")]
+
+
+def fit_evidence(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, fit_rows: int = FIT_ROWS) -> Evidence:
+    """Evidence tables from the training fold's labelled documents."""
+    seen = docs.select(col(doc_id).alias("doc_id"), *_seen(docs, doc_id, text))
+    n_sources = seen.agg(F.approx_count_distinct("_source")).first()[0]
+    slots = min(1 << 20, max(256, 1 << math.ceil(math.log2(8 * n_sources + 1))))
+    own = _clear(labels).filter(~_holds(F.col("label_id"))).orderBy(F.xxhash64("label_id"), "label_id").limit(fit_rows)
+    rows = seen.join(F.broadcast(own), F.col("doc_id") == F.col("label_id")).select("_text", "_source", "_half", F.col("y").cast("int").alias("y"))  # fit_rows ids
+    width = SLOTS + slots + 1  # documents with a word, with a source, and all of them, by half and label
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(4 * width, np.int64)
+        for batch in batches:
+            for piece in tokens.pieces(batch.column(0)):
+                cut = lambda k: batch.column(k).slice(piece.lo, piece.hi - piece.lo)  # noqa: B023, E731
+                kind = 2 * cut(2).to_numpy() + (cut(3).to_numpy() > 0)
+                pair = np.unique(np.concatenate([(doc << 16) | slot for doc, slot in word_slots(piece)]))
+                at = [kind[pair >> 16] * width + (pair & 0xFFFF), kind * width + SLOTS + source_slots(cut(1), slots), kind * width + width - 1]
+                total += np.bincount(np.concatenate(at), minlength=4 * width)
+        at = np.flatnonzero(total)
+        for lo in range(0, len(at), 1 << 16):
+            part = at[lo : lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(total[part])], names=["at", "n"])
+
+    got = rows.mapInArrow(run, "at int, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()  # at most 4 x width numbers
+    count = np.zeros(4 * width)
+    count[got["at"].to_numpy()] = got["n"].to_numpy()
+    count = count.reshape(2, 2, width)
+    share = np.log((count[:, :, :-1] + 1) / (count[:, :, -1:] + 2))
+    ratio = (share[:, 1] - share[:, 0]).astype(np.float32)
+    return Evidence(ratio[:, :SLOTS], ratio[:, SLOTS:])
+
+
+def feature_rows(docs: DataFrame, evidence: Evidence, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, text_view, meta_view)`` per row."""
     kind = docs.select(col(doc_id)).schema[0].dataType.simpleString()
-    have = set(docs.columns)
-    meta = [(col(c).cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "double"))]
-    rows = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"), *meta)
+    shared = docs.sparkSession.sparkContext.broadcast(evidence)  # two tables of bounded size
+    rows = docs.select(col(doc_id).alias("doc_id"), *_seen(docs, doc_id, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t, m, lo, hi in _views(batch, 1):
+            for t, m, lo, hi in _views(batch, 1, shared.value):
                 lists = lambda x: pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists(t), lists(m)], names=["doc_id", "text_view", "meta_view"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, text_view array<float>, meta_view array<float>")
 
 
-def _views(batch: pa.RecordBatch, at: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
-    """Both views of a batch whose columns from ``at`` are text, lang, source, n_chars."""
+def _views(batch: pa.RecordBatch, at: int, evidence: Evidence) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """Both views of a batch whose columns from ``at`` are text, lang, source, n_chars, half."""
     for piece in tokens.pieces(batch.column(at)):
-        own = [batch.column(at + k).slice(piece.lo, piece.hi - piece.lo) for k in (1, 2, 3)]
-        yield text_features(piece), meta_features(*own), piece.lo, piece.hi
+        *own, half = [batch.column(at + k).slice(piece.lo, piece.hi - piece.lo) for k in (1, 2, 3, 4)]
+        half = half.to_numpy()
+        yield np.hstack([text_features(piece), evidence.word_features(piece, half)]), meta_features(*own, half, evidence), piece.lo, piece.hi
 
 
 def _sums(table: DataFrame, one) -> np.ndarray:
@@ -265,20 +365,17 @@ def fit(table: DataFrame) -> Model:
     return model
 
 
-def training_table(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def training_table(docs: DataFrame, labels: DataFrame, evidence: Evidence, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Features of every row with its label or null, written once."""
-    clear = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("most"))
-    clear = clear.filter("y = most").select(F.col("doc_id").alias("label_id"), "y")
-    rows = feature_rows(docs, doc_id, text).join(clear, F.col("doc_id") == F.col("label_id"), "left").drop("label_id")
-    holds = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
-    return written(rows.withColumn("holds", holds), "quality-features")
+    rows = feature_rows(docs, evidence, doc_id, text).join(_clear(labels), F.col("doc_id") == F.col("label_id"), "left").drop("label_id")
+    return written(rows.withColumn("holds", _holds(F.col("doc_id"))), "quality-features")
 
 
 def scored(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, text_score, meta_score, score, kept)`` per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
-    table = training_table(docs, labels, doc_id, text)
+    table = training_table(docs, labels, fit_evidence(docs, labels, doc_id, text), doc_id, text)
     shared = spark.sparkContext.broadcast(fit(table))
     kind = table.schema["doc_id"].dataType.simpleString()
 
@@ -303,19 +400,16 @@ def keep_good(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     """
     spark = docs.sparkSession
     ship_package(spark)
-    shared = spark.sparkContext.broadcast(fit(training_table(docs, labels, doc_id, text)))
-    have = set(docs.columns)
+    evidence = fit_evidence(docs, labels, doc_id, text)
+    shared = spark.sparkContext.broadcast((fit(training_table(docs, labels, evidence, doc_id, text)), evidence))
     names = [f"_c{i}" for i in range(len(docs.columns))]
-    plain = docs.toDF(*names)
-    by_name = dict(zip(docs.columns, names))
-    view = [F.col(by_name[text]).alias("_text")]
-    view += [(F.col(by_name[c]).cast(t) if c in have else F.lit(None).cast(t)).alias(f"_{c}") for c, t in (("lang", "string"), ("source", "string"), ("n_chars", "double"))]
+    plain = docs.select(*[col(c).alias(n) for c, n in zip(docs.columns, names)], *_seen(docs, doc_id, text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model, evidence = shared.value
         for batch in batches:
-            keep = [model.score(t.astype(float), m.astype(float)) >= KEEP for t, m, _, _ in _views(batch, len(names))]
+            keep = [model.score(t.astype(float), m.astype(float)) >= KEEP for t, m, _, _ in _views(batch, len(names), evidence)]
             if keep:
                 yield batch.select(range(len(names))).filter(pa.array(np.concatenate(keep)))
 
-    return plain.select(*names, *view).mapInArrow(run, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(run, plain.select(*names).schema).toDF(*docs.columns)
