@@ -9,18 +9,18 @@ position in 21). Equal windows select equal positions, so two texts that share
 50 words share a kept suffix inside them. Suffixes whose ten-word gram stands
 in one text only cannot match and go first. The suffixes of a gram that has at
 most nine carry the 50 words to their right and the 40 to their left (as word
-hashes). They are sorted by range over the whole corpus, each is compared with
-the next eight, which are all others of its gram, and matches are extended
-right and left; a match of 50 words or more is a span. A partition's first and
-last suffixes are compared across the partition boundary in a second, small
-pass.
+hashes). They are sorted by range over the whole corpus, in ranges of grams, so
+a gram lies in one partition; each is compared with the next eight, which are
+all others of its gram, and matches are extended right and left; a match of 50
+words or more is a span.
 
 A gram with more suffixes (a common phrase) has no order in which all matches
 are neighbours: a match may lie left and right of the gram. Its suffixes send
 the hash of every window of 50 words that holds the gram instead. A window
 that stands in two texts is a span; windows are counted with partial
 aggregation, without pairs, so a phrase may stand in any number of texts.
-Both ways are exact. Longer passages are covered by the spans of their
+Texts are shuffled once, to make equal ones one and to meet their positions, and
+written with these; both ways read them from there. Both are exact. Longer passages are covered by the spans of their
 positions, which are merged.
 
 Defined cases: repeats within one text only are no match. Equal texts (copies
@@ -166,11 +166,8 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), ">u4").reshape(len(column), width).astype(np.uint32)
 
 
-_OUT = "key binary, from_word int, to_word int, edge boolean, gram long, right binary, left binary, pos int"
-
-
-def _compare(length: int, gram: int = GRAM, keep_edges: bool = True):
-    """Compare sorted suffixes with their next neighbours: spans, and the rows at the partition's ends."""
+def _compare(length: int, gram: int = GRAM):
+    """Compare a partition's sorted suffixes with their next neighbours: ``(key, from_word, to_word)``."""
     width = {"right": length, "left": length - gram}
     names = ["gram", "right", "left", "key", "pos"]
 
@@ -190,28 +187,16 @@ def _compare(length: int, gram: int = GRAM, keep_edges: bool = True):
                 np.minimum.at(lo, x, pos[x] - l[ok])
                 np.maximum.at(hi, x, pos[x] + r[ok])
         at = np.flatnonzero(hi >= 0)
-        none = lambda kind: pa.nulls(len(at), kind)
-        cols = [keys.take(pa.array(at)), pa.array(lo[at].astype(np.int32)), pa.array(hi[at].astype(np.int32)), pa.array(np.zeros(len(at), bool))]
-        return pa.RecordBatch.from_arrays([*cols, none(pa.int64()), none(pa.binary()), none(pa.binary()), none(pa.int32())], names=[x.split()[0] for x in _OUT.split(", ")])
-
-    def edge(t: pa.Table) -> pa.RecordBatch:
-        n = t.num_rows
-        cols = [t["key"].combine_chunks(), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.array(np.ones(n, bool))]
-        return pa.RecordBatch.from_arrays([*cols, *[t[x].combine_chunks() for x in ("gram", "right", "left", "pos")]], names=[x.split()[0] for x in _OUT.split(", ")])
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(at)), pa.array(lo[at].astype(np.int32)), pa.array(hi[at].astype(np.int32))], names=["key", "from_word", "to_word"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried = None
+        carried = None  # the last suffixes of the batch before
         for batch in batches:
             own = pa.Table.from_batches([batch]).select(names)
-            if not own.num_rows:
-                continue
-            if carried is None and keep_edges:
-                yield edge(own.slice(0, NEIGHBOURS))
-            t = own if carried is None else pa.concat_tables([carried, own])
-            yield spans(t)
-            carried = t.slice(max(0, t.num_rows - NEIGHBOURS))
-        if carried is not None and keep_edges:
-            yield edge(carried)
+            if own.num_rows:
+                t = own if carried is None else pa.concat_tables([carried, own])
+                yield spans(t)
+                carried = t.slice(max(0, t.num_rows - NEIGHBOURS))
 
     return run
 
@@ -225,29 +210,23 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     # written, so that the joins below have plain exchanges on both sides and AQE can split a hot gram
     counted = kept.groupBy("gram").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), (F.count(F.lit(1)) > NEIGHBOURS + 1).alias("common"))
     shared = written(counted.filter("lo != hi").select("gram", "common"), "shared")
-    once = base.groupBy("key").agg(F.first("text").alias("text"))
-
-    def at(grams: DataFrame) -> DataFrame:
-        lists = kept.join(grams.select("gram"), "gram").groupBy("key").agg(F.collect_set("pos").alias("at"))
-        return once.join(lists, "key").select("key", "text", "at")
-
-    rows = _contexts(at(shared.filter("not common")), length)
-    order = ["gram", "right", "key", "pos"]
+    lists = kept.join(shared, "gram").groupBy("key").agg(
+        F.collect_set(F.when(~F.col("common"), F.col("pos"))).alias("rare"), F.collect_set(F.when(F.col("common"), F.col("pos"))).alias("often")
+    )
+    once = base.groupBy("key").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    held = written(once.join(lists, "key", "left").filter("rare is not null or copies > 1"), "texts")
+    at = lambda which: held.filter(F.size(which) > 0).select("key", "text", F.col(which).alias("at"))
+
+    rows = _contexts(at("rare"), length)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    found = written(dealt.mapInArrow(_compare(length), _OUT), "spans")
-    # at most 16 rows of each partition
-    edges = found.filter("edge").select("gram", "right", "left", "key", "pos").distinct().repartition(1).sortWithinPartitions(*order)
-    crossing = edges.mapInArrow(_compare(length, keep_edges=False), _OUT)
-    spans = found.filter("not edge").select("key", "from_word", "to_word").unionByName(crossing.select("key", "from_word", "to_word"))
+    dealt = rows.repartitionByRange(parts, "gram").sortWithinPartitions("gram", "right", "key", "pos")  # at most nine of a gram
+    found = written(dealt.mapInArrow(_compare(length), "key binary, from_word int, to_word int"), "spans")
     # written: read twice below, and the join has plain exchanges as above
-    windows = written(_windows(at(shared.filter("common")), length), "windows")
+    windows = written(_windows(at("often"), length), "windows")
     several = written(windows.groupBy("window").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo != hi").select("window"), "several")
     common = windows.join(several, "window").select("key", F.col("pos").alias("from_word"), (F.col("pos") + length).alias("to_word"))
-    spans = spans.unionByName(common)
-    copies = base.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text")).filter("copies > 1")
-    copies = copies.select("key", F.lit(0).alias("from_word"), F.regexp_count("text", F.lit(_WORD)).alias("to_word")).filter(F.col("to_word") >= length)
-    spans = spans.unionByName(copies)
+    copies = held.filter("copies > 1").select("key", F.lit(0).alias("from_word"), F.regexp_count("text", F.lit(_WORD)).alias("to_word")).filter(F.col("to_word") >= length)
+    spans = found.unionByName(common).unionByName(copies)
     w = W.partitionBy("key").orderBy("from_word", "to_word")
     reach = F.max("to_word").over(w.rowsBetween(W.unboundedPreceding, -1))
     islands = spans.withColumn("fresh", F.when(F.col("from_word") <= reach, 0).otherwise(1)).withColumn("island", F.sum("fresh").over(w))
