@@ -268,169 +268,6 @@ def training_texts(
     return out[0], out[1]
 
 
-def gains(words: list[bytes], compressors) -> np.ndarray:
-    """Compressed length with the ordinary dictionary less that with the toxic one, per word."""
-    if not words:
-        return np.zeros(0, np.int64)
-    spelt = list(map(_spelt, words))
-    x, y = (c.multi_compress_to_buffer(spelt) for c in compressors)
-    return np.array([len(x[i]) - len(y[i]) for i in range(len(words))], np.int64)
-
-
-def cells(words: list[bytes], compressors) -> np.ndarray:
-    """Each word's cell."""
-    n = np.minimum([len(w) for w in words], LENGTHS - 1).astype(np.int64)
-    return (n * GAINS + np.clip(gains(words, compressors) + NO_GAIN, 0, GAINS - 1)).astype(np.int16)
-
-
-class _Known:
-    """Cells of words by hash, kept in the worker; started anew when full."""
-
-    def __init__(self, compressors):
-        self.compressors = compressors
-        self.hashes, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int16)
-
-    def look_up(self, hashes: np.ndarray, word) -> np.ndarray:
-        """Cells of distinct words; ``word(indices)`` gives those not met before."""
-        at = np.searchsorted(self.hashes, hashes)
-        found = np.zeros(len(hashes), bool)
-        inside = at < len(self.hashes)
-        found[inside] = self.hashes[at[inside]] == hashes[inside]
-        out = np.zeros(len(hashes), np.int16)
-        out[found] = self.values[at[found]]
-        missing = np.flatnonzero(~found)
-        if len(missing):
-            out[missing] = cells(word(missing), self.compressors)
-            if len(self.hashes) + len(missing) > CACHE:
-                self.hashes, self.values = np.zeros(0, np.uint64), np.zeros(0, np.int16)
-            joined = np.concatenate([self.hashes, hashes[missing]])
-            order = np.argsort(joined)
-            self.hashes, self.values = joined[order], np.concatenate([self.values, out[missing]])[order]
-        return out
-
-
-def piece_cells(piece: tokens.Piece, known: _Known) -> tuple[np.ndarray, np.ndarray]:
-    """(text, cell) of every text's distinct words, by text."""
-    hashes, first, number = np.unique(piece.hashes, return_index=True, return_inverse=True)
-
-    def word(missing: np.ndarray) -> list[bytes]:
-        at = first[missing]
-        raw = piece.data.tobytes()
-        return [_normal(raw[a:b]) for a, b in zip(piece.starts[at], piece.ends[at])]
-
-    cell = known.look_up(hashes, word)
-    pair = np.unique((piece.doc.astype(np.int64) << 32) | number)
-    return pair >> 32, cell[pair & 0xFFFFFFFF].astype(np.int64)
-
-
-def features(doc: np.ndarray, cell: np.ndarray, rows: int, evidence: np.ndarray, odds: np.ndarray) -> np.ndarray:
-    """Three largest pieces of evidence, windows of evidence >= 1, sum of the odds by root and by number of windows, 1."""
-    e = evidence[cell]
-    order = np.lexsort((-e, doc))
-    first, ends = (np.searchsorted(doc[order], np.arange(rows), side) for side in ("left", "right"))
-    out = np.zeros((rows, 7))
-    for k in range(3):
-        has = first + k < ends
-        out[has, k] = np.maximum(e[order[first[has] + k]], 0)
-    n = np.maximum(np.bincount(doc, minlength=rows), 1)
-    sums = np.bincount(doc, weights=odds[cell], minlength=rows)
-    out[:, 3] = np.bincount(doc[e >= 1], minlength=rows) / np.sqrt(n)
-    out[:, 4], out[:, 5], out[:, 6] = sums / np.sqrt(n), sums / n, 1
-    return out
-
-
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 40) -> np.ndarray:
-    """Weights of the features; both classes count the same, as the sample is drawn by class."""
-    own = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
-    w = np.zeros(x.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        h = (x * (own * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(h, x.T @ (own * (y - p)) - ridge * w)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
-
-
-def _judged(texts: list[str], known: _Known) -> list[tuple[np.ndarray, np.ndarray, int]]:
-    """(text, cell, texts) of the texts' pieces."""
-    return [(*piece_cells(p, known), p.hi - p.lo) for p in tokens.pieces(pa.array(texts, pa.large_string()))]
-
-
-def _tables(side: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """By length and gain: the share of documents with such a window or one of a greater gain, and of windows of the length."""
-    docs, windows, total = np.zeros((LENGTHS, GAINS)), np.zeros((LENGTHS, GAINS)), 0
-    for doc, cell, rows in side:
-        most = np.full((rows, LENGTHS), -1)
-        np.maximum.at(most, (doc, cell // GAINS), cell % GAINS)
-        for n in range(LENGTHS):
-            top = np.bincount(most[most[:, n] >= 0, n], minlength=GAINS)
-            docs[n] += top[::-1].cumsum()[::-1]
-        windows += np.bincount(cell, minlength=LENGTHS * GAINS).reshape(LENGTHS, GAINS)
-        total += rows
-    return (docs + 0.5) / (total + 1), (windows + 0.3) / (windows.sum(1, keepdims=True) + 0.3 * GAINS)
-
-
-def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    """Dictionaries from all labelled texts; calibration crosswise, each half by the other half's dictionaries."""
-    # by a hash, so that the halves do not depend on the order in which texts came
-    sets = [sorted(set(side), key=lambda t: (zlib.crc32(t.encode()), t)) for side in (toxic, ordinary)]
-    sizes = DICT_BYTES[::-1]
-    blank = np.zeros(LENGTHS * GAINS)
-    final = Model(_trained(sets[1], sizes[1]), _trained(sets[0], sizes[0]), blank, blank, np.zeros(7))
-    if not final.toxic or not final.ordinary or min(map(len, sets)) < 2:
-        known = len(toxic) + len(ordinary)
-        return Model(b"", b"", blank, blank, np.zeros(7), len(toxic) / known if known else 0.0)
-    judged: list[list[tuple[np.ndarray, np.ndarray, int]]] = [[], []]
-    for half in (0, 1):
-        model = Model(*(_trained(sets[k][1 - half :: 2], sizes[k]) or b"\0" for k in (1, 0)), blank, blank, np.zeros(7))
-        known = _Known(model.compressors())
-        for kind in (0, 1):
-            judged[kind] += _judged(sets[kind][half::2], known)
-    (docs, windows), (other_docs, other_windows) = _tables(judged[0]), _tables(judged[1])
-    evidence = np.log(docs / other_docs)
-    evidence[:, : NO_GAIN + 1] = 0
-    final.evidence, final.odds = evidence.ravel(), np.log(windows / other_windows).ravel()
-    table = [[features(*part, final.evidence, final.odds) for part in side] for side in judged]
-    y = np.concatenate([np.full(sum(len(x) for x in side), 1.0 - k) for k, side in enumerate(table)])
-    final.weights = _logistic(np.concatenate([x for side in table for x in side]), y)
-    return final
-
-
-def scores(model: Model, x: np.ndarray) -> np.ndarray:
-    if model.constant is not None:
-        return np.full(len(x), model.constant)
-    return 1 / (1 + np.exp(-np.clip(x @ model.weights, -30, 30)))
-
-
-_worker: dict = {}
-
-
-def training_texts(
-    docs: DataFrame, labels: DataFrame, trains: Column, fit_rows: int, doc_id: str, text: str, fit_bytes: int = FIT_BYTES
-) -> tuple[list[str], list[str]]:
-    """Texts of each class from the training fold: those with the smallest hashes of their ids, at most ``fit_rows``
-    documents and ``fit_bytes`` of text; a document that does not fit what is left is passed over."""
-    clear = labels.filter(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
-    clear = clear.filter("toxic = most").select(F.col("doc_id").alias("label_id"), "toxic")
-    pool = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")).filter(trains).join(clear, F.col("doc_id") == F.col("label_id"))
-    out = []
-    for toxic in (1, 0):
-        own = pool.filter((F.col("toxic") == toxic) & F.col("text").isNotNull())
-        # ids and sizes first: texts of the chosen rows only are read
-        sized = own.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("size")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-        left, chosen = fit_bytes, []
-        for r in sized.collect():  # fit_rows rows
-            if r["size"] <= left:
-                left -= r["size"]
-                chosen.append((r["doc_id"],))
-        ids = docs.sparkSession.createDataFrame(chosen, own.select("doc_id").schema)
-        rows = own.join(F.broadcast(ids), "doc_id", "left_semi").select("doc_id", "text").distinct().toLocalIterator()
-        out.append([r["text"] for r in rows])
-    return out[0], out[1]
-
-
 def score_documents(
     docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", fit_rows: int = FIT_ROWS
 ) -> DataFrame:
