@@ -109,7 +109,7 @@ def test_targets_that_cannot_be_met_are_cut_and_told(spark, caplog):
     docs = spark.createDataFrame(rows, DOCS)
     given = {"source": {"s0": 0.5, "s1": 0.2, "s2": 0.3}}
     base = mixing.mixed(docs).groupBy(*mixing.DIMS).agg(F.sum("tokens").alias("tokens"))
-    report = {(r["dim"], r["value"]): r for r in mixing.achieved(mixing.rake(base, 0.5, targets=given), 0.5, targets=given).collect()}
+    report = {(r["dim"], r["value"]): r for r in mixing.achieved(*mixing.rake(base, 0.5, targets=given)).collect()}
     s0, s1, s2 = (report["source", s] for s in ("s0", "s1", "s2"))
     assert abs(s0["target_share"] - 0.5) < 1e-12 and abs(s0["reachable_share"] - 0.2) < 1e-12
     assert abs(s1["reachable_share"] - 0.8 * 0.4) < 1e-12 and abs(s2["reachable_share"] - 0.8 * 0.6) < 1e-12

@@ -9,7 +9,9 @@ natural token shares raised to ``alpha`` and normalised (tempering: rare
 sources are raised, frequent ones lowered). A value can supply at most all its
 tokens, and so at most the share ``tokens / (keep * all)``: a target above that
 is cut down to it and the others of its marginal are raised in proportion. The
-result is the reachable target, and what is raked to. After each sweep a cell's
+result is the reachable target, and what is raked to. The cells of a value that
+is cut give all they have from the start (unless they alone would pass another
+target) and the others are raked to what is left. After each sweep a cell's
 weight is held to what it can supply, ``tokens / keep``, so that no probability
 passes one; the other cells take up the rest in the next sweep. Sweeps end as
 soon as every marginal is within ``TOLERANCE`` of its reachable target, as a
@@ -74,7 +76,7 @@ def form_topic(text: Column) -> Column:
 
 
 def _marginal(cells: DataFrame, dim: str, keep: float, alpha: float, given: Mapping[str, float] | None) -> DataFrame:
-    """``(dim, wanted, target)``: target tokens per value as asked for, and as far as they can be supplied.
+    """``(dim, wanted, target, cut)``: target tokens per value as asked for, as far as they can be supplied, and whether that is all.
 
     The reachable target is ``least(level * share, tokens / keep)``; the level
     that uses all tokens is found by raising it as long as values are cut.
@@ -96,7 +98,7 @@ def _marginal(cells: DataFrame, dim: str, keep: float, alpha: float, given: Mapp
         if not free or (all_t - held) / free <= level * (1 + 1e-12):
             break
         level = (all_t - held) / free
-    return per.select(dim, wanted.alias("wanted"), F.least(F.lit(float(level)) * F.col("share"), cap).alias("target"))
+    return per.select(dim, wanted.alias("wanted"), F.least(F.lit(float(level)) * F.col("share"), cap).alias("target"), (F.lit(float(level)) * F.col("share") >= cap).alias("cut"))
 
 
 def _targets(cells: DataFrame, keep: float, alpha: Mapping[str, float], targets: Mapping[str, Mapping[str, float]] | None) -> dict[str, DataFrame]:
@@ -104,13 +106,34 @@ def _targets(cells: DataFrame, keep: float, alpha: Mapping[str, float], targets:
     found = {d: _marginal(cells, d, keep, alpha[d], (targets or {}).get(d)) for d in DIMS}
     totals = {d: x.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0] for d, x in found.items()}  # a number each
     least = min(totals.values())
-    return {d: x.withColumn("target", F.col("target") * F.lit(least / totals[d] if totals[d] > least * (1 + 1e-9) else 1.0)) for d, x in found.items()}
+    return {d: written(x.withColumn("target", F.col("target") * F.lit(least / totals[d] if totals[d] > least * (1 + 1e-9) else 1.0)), f"mix-target-{d}") for d, x in found.items()}
 
 
-def _errors(state: DataFrame, wanted: Mapping[str, DataFrame]) -> DataFrame:
-    """``(off)``: by how many tokens each value of each marginal misses its reachable target."""
-    each = [state.groupBy(d).agg(F.sum("weight").alias("have")).join(x, d).select(F.abs(F.col("have") - F.col("target")).alias("off")) for d, x in wanted.items()]
-    return reduce(DataFrame.unionByName, each)
+def _start(cells: DataFrame, keep: float, wanted: Mapping[str, DataFrame]) -> DataFrame:
+    """Cells with their first ``weight`` and whether it is ``held``: of cells that a cut value makes give all they have."""
+    state = cells
+    for d in DIMS:
+        state = state.join(wanted[d].select(d, F.col("cut").alias(f"cut_{d}"), (F.col("target") > 0).alias(f"open_{d}")), d)
+    given = (F.col("cut_source") | F.col("cut_lang") | F.col("cut_topic")) & F.col("open_source") & F.col("open_lang") & F.col("open_topic")
+    state = written(state.select(*DIMS, "tokens", given.alias("given")), "mix-cells")
+    for d in DIMS:
+        own = state.groupBy(d).agg(F.coalesce(F.sum(F.when(F.col("given"), F.col("tokens") / F.lit(keep))), F.lit(0.0)).alias("all"))
+        fits = own.join(wanted[d], d).select(d, (F.col("all") <= F.col("target") * F.lit(1 + 1e-9)).alias(f"fits_{d}"))
+        state = state.join(fits, d)
+    held = F.col("given") & F.col("fits_source") & F.col("fits_lang") & F.col("fits_topic")
+    state = state.select(*DIMS, "tokens", held.alias("held"))
+    return written(state.withColumn("weight", F.when(F.col("held"), F.col("tokens") / F.lit(keep)).otherwise(F.col("tokens").cast("double"))), "mix-start")
+
+
+def _all(wanted: Mapping[str, DataFrame]) -> DataFrame:
+    """``(dim, value, wanted, target)`` of all marginals."""
+    return reduce(DataFrame.unionByName, [x.select(F.lit(d).alias("dim"), F.col(d).alias("value"), "wanted", "target") for d, x in wanted.items()])
+
+
+def _have(state: DataFrame) -> DataFrame:
+    """``(dim, value, have)``: the weight of each value of each marginal, by one aggregate."""
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).alias("value")) for d in DIMS])).alias("v")
+    return state.select("weight", each).groupBy("v.dim", "v.value").agg(F.sum("weight").alias("have"))
 
 
 def rake(
@@ -120,49 +143,46 @@ def rake(
     targets: Mapping[str, Mapping[str, float]] | None = None,
     tolerance: float = TOLERANCE,
     max_sweeps: int = MAX_SWEEPS,
-) -> DataFrame:
-    """Cells ``(source, lang, topic, tokens)`` with their raked ``weight``.
+) -> tuple[DataFrame, DataFrame]:
+    """Cells ``(source, lang, topic, tokens)`` with their raked ``weight``, and the marginals they were raked to.
 
     The work is on cells and marginals only, never on documents. Each sweep is
     one written table, so lineage and plan stay short.
     """
-    state = written(cells.withColumn("weight", F.col("tokens").cast("double")), "mix-cells")
-    wanted = _targets(state, keep, alpha, targets)
-    total = state.agg(F.sum("tokens")).first()[0] or 0
+    cells = written(cells, "mix-cells")
+    wanted = _targets(cells, keep, alpha, targets)
+    marginals = written(_all(wanted), "mix-marginals")
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    state = _start(cells, keep, wanted)
     off = float("inf")
     for _ in range(max_sweeps):
         for d in DIMS:
-            now = state.groupBy(d).agg(F.sum("weight").alias("have")).join(wanted[d], d)
-            factor = now.select(d, F.when(F.col("have") > 0, F.col("target") / F.col("have")).otherwise(0.0).alias("factor"))
-            state = state.join(factor, d).select(*DIMS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"))
+            have = [F.coalesce(F.sum(F.when(on, F.col("weight"))), F.lit(0.0)) for on in (F.col("held"), ~F.col("held"))]
+            now = state.groupBy(d).agg(have[0].alias("fixed"), have[1].alias("free")).join(wanted[d], d)
+            factor = now.select(d, F.when(F.col("free") > 0, F.greatest(F.col("target") - F.col("fixed"), F.lit(0.0)) / F.col("free")).otherwise(0.0).alias("factor"))
+            weight = F.when(F.col("held"), F.col("weight")).otherwise(F.col("weight") * F.col("factor"))
+            state = state.join(factor, d).select(*DIMS, "tokens", "held", weight.alias("weight"))
         state = written(state.withColumn("weight", F.least("weight", F.col("tokens") / F.lit(keep))), "mix-sweep")
-        off, before = (_errors(state, wanted).agg(F.max("off")).first()[0] if total else 0.0), off
+        errors = _have(state).join(marginals, ["dim", "value"]).agg(F.max(F.abs(F.col("have") - F.col("target"))).alias("off"))
+        off, before = (errors.first()[0] if total else 0.0), off
         if off <= tolerance * total or abs(before - off) <= STALL * tolerance * total:
             break
-    return state
+    return state, marginals
 
 
-def achieved(
-    state: DataFrame, keep: float = KEEP, alpha: Mapping[str, float] = ALPHA, targets: Mapping[str, Mapping[str, float]] | None = None
-) -> DataFrame:
+def achieved(state: DataFrame, marginals: DataFrame) -> DataFrame:
     """``(dim, value, target_share, reachable_share, achieved_share)`` of raked cells, one row per value of each marginal."""
-    each = []
-    for d, x in _targets(state, keep, alpha, targets).items():
-        share = lambda c, t: (F.col(c) / F.lit(t or 1.0))
-        found = written(state.groupBy(d).agg(F.sum("weight").alias("have")).join(x, d), f"mix-have-{d}")
-        sums = found.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in ("wanted", "target", "have")]).first()  # three numbers
-        each.append(found.select(
-            F.lit(d).alias("dim"), F.col(d).alias("value"), share("wanted", sums[0]).alias("target_share"),
-            share("target", sums[1]).alias("reachable_share"), share("have", sums[2]).alias("achieved_share"),
-        ))
-    return reduce(DataFrame.unionByName, each)
-
-
-def _told(state: DataFrame, strict: bool, keep: float, tolerance: float, alpha, targets) -> None:
+    found = written(_have(state).join(marginals, ["dim", "value"]), "mix-achieved")
+    sums = found.groupBy("dim").agg(*[F.sum(c).alias(f"all_{c}") for c in ("wanted", "target", "have")])  # a row per marginal
+    share = lambda c: F.when(F.col(f"all_{c}") > 0, F.col(c) / F.col(f"all_{c}")).otherwise(0.0)
+    return found.join(sums, "dim").select("dim", "value", share("wanted").alias("target_share"), share("target").alias("reachable_share"), share("have").alias("achieved_share"))
+
+
+def _told(state: DataFrame, marginals: DataFrame, strict: bool, keep: float, tolerance: float) -> None:
     """Say which values miss their target share by more than ten times the tolerance."""
-    report = achieved(state, keep, alpha, targets).withColumn("off", F.col("achieved_share") - F.col("target_share"))
-    missed = report.filter(F.abs("off") > 10 * tolerance)
-    worst = missed.orderBy(F.abs("off").desc(), "dim", "value").limit(5).collect()  # a report of the five worst
+    off = F.abs(F.col("achieved_share") - F.col("target_share"))
+    missed = written(achieved(state, marginals).filter(off > 10 * tolerance), "mix-missed")
+    worst = missed.orderBy(off.desc(), "dim", "value").limit(5).collect()  # a report of the five worst
     if worst:
         text = ", ".join(f"{r['dim']} {r['value']}: {r['achieved_share']:.3f} of {r['target_share']:.3f}" for r in worst)
         text = f"{missed.count()} target shares are missed at keep={keep}: {text}"
@@ -196,8 +216,8 @@ def mixed(
         F.coalesce(col(doc_id).cast("string"), F.md5(col(text).cast("binary")), F.lit("")).alias("key"),
     )
     cells = base.groupBy(*DIMS).agg(F.sum("tokens").alias("tokens"))
-    state = rake(cells, keep, alpha, targets, tolerance)
-    _told(state, strict, keep, tolerance, alpha, targets)
+    state, marginals = rake(cells, keep, alpha, targets, tolerance)
+    _told(state, marginals, strict, keep, tolerance)
     prob = state.select(*DIMS, F.least(F.lit(1.0), F.lit(keep) * F.col("weight") / F.col("tokens")).alias("prob"))
     u = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col("key"))), 1, 8), 16, 10).cast("double") / 4294967296.0
     # The cells are small but their number is not bounded: AQE broadcasts them while below its threshold.

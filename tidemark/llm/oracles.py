@@ -35,7 +35,7 @@ FROM d JOIN x USING (s) GROUP BY doc_id, item_id, n HAVING count(*) / n::DOUBLE
 
 
 #: Sweeps that the SQL spells out; the tables it is run on need fewer.
-SQL_SWEEPS = 20
+SQL_SWEEPS = 10
 
 
 def _reachable(x: str) -> list[str]:
@@ -49,7 +49,7 @@ def _reachable(x: str) -> list[str]:
         f"l_{x} AS (SELECT level FROM (SELECT (any_value(a.total) - coalesce(sum(b.cap) FILTER (WHERE b.ratio < a.ratio), 0)) "
         f"/ sum(b.share) FILTER (WHERE b.ratio >= a.ratio) AS level, a.ratio FROM v_{x} a, v_{x} b GROUP BY a.ratio) WHERE level <= ratio ORDER BY ratio LIMIT 1)"
     )
-    return [per, level, f"m_{x} AS MATERIALIZED (SELECT {x}, least((SELECT level FROM l_{x}) * share, cap) AS target FROM v_{x})"]
+    return [per, level, f"m_{x} AS MATERIALIZED (SELECT {x}, least((SELECT level FROM l_{x}) * share, cap) AS target, (SELECT level FROM l_{x}) * share >= cap AS cut FROM v_{x})"]
 
 
 def _mix_sql() -> str:
@@ -64,20 +64,31 @@ def _mix_sql() -> str:
     ]
     for x in dims:
         ctes += _reachable(x)
-    prev, done = "s0", "FALSE"
+    cells = ", ".join(f"p.{x}" for x in dims)
+    joins = lambda t: " ".join(f"JOIN {t}_{x} USING ({x})" for x in dims)
+    ctes.append(f"g AS MATERIALIZED (SELECT {cells}, p.tokens, {' OR '.join(f'm_{x}.cut' for x in dims)} AS given FROM s0 p {joins('m')})")
+    for x in dims:  # cells of a cut value give all, unless they alone would pass another target
+        ctes.append(
+            f"f_{x} AS (SELECT {x}, coalesce(sum(tokens / {mixing.KEEP}::DOUBLE) FILTER (WHERE given), 0) <= any_value(m_{x}.target) * (1 + 1e-9) AS fits FROM g JOIN m_{x} USING ({x}) GROUP BY {x})"
+        )
+    held = " AND ".join(["p.given", *(f"f_{x}.fits" for x in dims)])
+    ctes.append(f"h AS MATERIALIZED (SELECT {cells}, p.tokens, {held} AS held FROM g p {joins('f')})")
+    ctes.append(f"start AS MATERIALIZED (SELECT *, CASE WHEN held THEN tokens / {mixing.KEEP}::DOUBLE ELSE tokens::DOUBLE END AS weight FROM h)")
+    prev, done = "start", "FALSE"
     for k in range(SQL_SWEEPS):  # a sweep after the last one that is needed changes nothing
         start = prev
         for x in dims:
             name = f"s{k}_{x}"
             ctes.append(
-                f"{name} AS MATERIALIZED (SELECT {', '.join('p.' + y for y in dims)}, p.tokens, "
-                f"p.weight * CASE WHEN h.have > 0 THEN m.target / h.have ELSE 0 END AS weight FROM {prev} p "
-                f"JOIN (SELECT {x}, sum(weight) AS have FROM {prev} GROUP BY {x}) h ON h.{x} = p.{x} JOIN m_{x} m ON m.{x} = p.{x})"
+                f"{name} AS MATERIALIZED (SELECT {cells}, p.tokens, p.held, CASE WHEN p.held THEN p.weight ELSE "
+                f"p.weight * CASE WHEN h.free > 0 THEN greatest(m.target - h.fixed, 0) / h.free ELSE 0 END END AS weight FROM {prev} p "
+                f"JOIN (SELECT {x}, coalesce(sum(weight) FILTER (WHERE held), 0) AS fixed, coalesce(sum(weight) FILTER (WHERE NOT held), 0) AS free "
+                f"FROM {prev} GROUP BY {x}) h ON h.{x} = p.{x} JOIN m_{x} m ON m.{x} = p.{x})"
             )
             prev = name
         keys = " AND ".join(f"p.{y} = q.{y}" for y in dims)
         ctes.append(
-            f"s{k}_end AS MATERIALIZED (SELECT {', '.join('p.' + y for y in dims)}, p.tokens, CASE WHEN {done} THEN q.weight "
+            f"s{k}_end AS MATERIALIZED (SELECT {cells}, p.tokens, p.held, CASE WHEN {done} THEN q.weight "
             f"ELSE least(p.weight, p.tokens / {mixing.KEEP}::DOUBLE) END AS weight FROM {prev} p JOIN {start} q ON {keys})"
         )
         prev = f"s{k}_end"
