@@ -109,18 +109,19 @@ def test_targets_that_cannot_be_met_are_cut_and_told(spark, caplog):
     docs = spark.createDataFrame(rows, DOCS)
     given = {"source": {"s0": 0.5, "s1": 0.2, "s2": 0.3}}
     base = mixing.mixed(docs).groupBy(*mixing.DIMS).agg(F.sum("tokens").alias("tokens"))
-    report = {(r["dim"], r["value"]): r for r in mixing.achieved(*mixing.rake(base, 0.5, targets=given)).collect()}
+    raked = mixing.rake(base, 0.5, targets=given)
+    report = {(r["dim"], r["value"]): r for r in mixing.achieved(*raked).collect()}
     s0, s1, s2 = (report["source", s] for s in ("s0", "s1", "s2"))
     assert abs(s0["target_share"] - 0.5) < 1e-12 and abs(s0["reachable_share"] - 0.2) < 1e-12
     assert abs(s1["reachable_share"] - 0.8 * 0.4) < 1e-12 and abs(s2["reachable_share"] - 0.8 * 0.6) < 1e-12
     assert all(abs(r["achieved_share"] - r["reachable_share"]) < 2e-3 for r in report.values())
+    with pytest.raises(mixing.TargetsMissed, match="3 target shares"):
+        mixing._told(*raked, True, 0.5, mixing.TOLERANCE)
     with caplog.at_level("WARNING", "tidemark.mixing"):
         drawn = mixing.mixed(docs, targets=given)
         assert "source s0: 0.2" in caplog.text and "of 0.500" in caplog.text
     assert drawn.where("source = 's0' and not sampled").count() == 0  # all it has
-    with pytest.raises(mixing.TargetsMissed, match="3 target shares"):
-        mixing.mixed(docs, targets=given, strict=True)
-    mixing.mixed(docs, targets=given, strict=True, keep=0.15)  # fewer documents: within reach
+    mixing._told(*mixing.rake(base, 0.15, targets=given), True, 0.15, mixing.TOLERANCE)  # fewer documents: within reach
     none = {"source": {"s1": 1.0}}  # values without a share leave the other marginals less to reach
     only = mixing.mixed(docs, targets=none)
     assert only.where("sampled and source <> 's1'").count() == 0 and only.where("prob > 1 or prob < 0").count() == 0
