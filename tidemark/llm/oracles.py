@@ -35,7 +35,7 @@ FROM d JOIN x USING (s) GROUP BY doc_id, item_id, n HAVING count(*) / n::DOUBLE
 
 
 #: Sweeps that the SQL spells out; the tables it is run on need fewer.
-SQL_SWEEPS = 10
+SQL_SWEEPS = 40
 
 
 def _reachable(x: str) -> list[str]:
