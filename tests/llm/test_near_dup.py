@@ -270,3 +270,24 @@ def test_boxes_drop_tiles_before_vectors_move(spark, tmp_path_factory, monkeypat
     cells = kept["boxes"].select("name", "c0", "c1", "c2").collect()
     adjoining = sum(a["name"] <= b["name"] and max(abs(a[c] - b[c]) for c in ("c0", "c1", "c2")) <= 1 for a in cells for b in cells)
     assert kept["tile-pairs"].count() <= adjoining - 5
+
+
+def test_rare_shingles_weigh_by_their_own_frequency(spark, monkeypatch):
+    """Without room for a single shingle in the broadcast table, classes are those of exact weights."""
+    texts = []
+    for f in range(8):
+        texts += _family(240 + f, 60 + 30 * f, 12, (0, 4, 5, 6, 7, 9))
+    texts += [" ".join(words(2900 + k, 60 + k)) for k in range(20)] + [texts[1], None, None, "", "a b c"]
+    # 170 shingles shared, 20 apart on each side: 0.81 alike if all weigh alike, 0.798 by their own frequencies
+    a = len(texts)
+    texts += [" ".join(words(3100, 174, 90_000) + words(3101 + k, 20, 90_000)) for k in range(2)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS).repartition(3)
+    monkeypatch.setattr(near_dedup, "BLOCK", 3000)
+    monkeypatch.setattr(near_dedup, "BUCKET", 5000)
+    classes = lambda: {r["doc_id"]: (r["class_id"], r["kept"]) for r in near_dedup.near_classes(docs).select("row.doc_id", "class_id", "kept").collect()}
+    broadcast = classes()
+    monkeypatch.setattr(near_dedup, "FREQUENT", 0)
+    assert classes() == broadcast and broadcast[a][0] != broadcast[a + 1][0]
+    vectors = _by_hand([t or "" for t in texts])
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if texts[i] is not None and (texts[i] == texts[j] or _alike(vectors[i], vectors[j]) >= 0.8)]
+    assert {i: c for i, (c, _) in broadcast.items()} == _classes(links, range(len(texts)))

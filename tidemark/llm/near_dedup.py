@@ -1,15 +1,16 @@
 """MinHash near-dedup by improved consistent weighted sampling (ICWS).
 
 A text is a weighted set of five-word shingles: weight = count in the text
-times a damped inverse document frequency, 1 + ln(N / df) / ln(N + 1). Document
-frequencies are counted exactly over all documents: blocks of texts send their
-distinct shingles and counts, by hash bucket, to be added up. What a worker
-needs of them are the frequent ones: those with df >= ``least`` are broadcast,
-``least`` being the least power of two (2 at least) that leaves no more than
-``FREQUENT`` of them; all rarer shingles weigh alike, as with df = least / 2.
-With least = 2 that is each shingle's own frequency. ICWS draws 64 samples (shingle, level) of which
-two texts share each with probability equal to their weighted Jaccard
-similarity; 16 bands of 4 make candidates (0.9998 found at similarity 0.8).
+times a damped inverse document frequency, 1 + ln(N / df) / ln(N + 1), of its own
+exact df over all documents. Blocks of texts send their distinct shingles and
+counts, by hash bucket, to be added up. Where the shingles in two texts or more
+are at most ``FREQUENT``, they are broadcast, and all others have df = 1. Where
+they are more, nothing is broadcast: each bucket sends every block the
+frequencies of the block's shingles, and the block's texts meet them there; a
+text carries its frequencies on to the comparisons. Both ways weigh alike.
+
+ICWS draws 64 samples (shingle, level) of which two texts share each with
+probability equal to their weighted Jaccard similarity; 16 bands of 4 make candidates (0.9998 found at similarity 0.8).
 
 Candidates are verified by exact weighted Jaccard >= 0.8 of whole texts:
 first every member of a band bucket against the bucket's smallest member (a
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +46,7 @@ BANDS, ROWS = 16, 4
 TILE = 256
 FREQUENT = 2_000_000
 BLOCK = 8 << 20  # bytes of text whose shingles are counted together
+BUCKET = 12 << 20  # bytes of text for each bucket of shingles
 _BITS = np.uint64(48)
 _SLOTS = 1 << 16
 
@@ -58,13 +61,17 @@ def _sets(piece: tokens.Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 48) - 1), count
 
 
+def _damped(df: np.ndarray | int, n_docs: int) -> np.ndarray:
+    n = max(n_docs, 1)
+    return (1 + np.log(n / np.clip(df, 1, n)) / math.log(n + 1.0)).astype(np.float32)
+
+
 class Weights:
-    """Inverse document frequencies: of the frequent shingles each its own, of all others one."""
+    """Inverse document frequencies: of the frequent shingles each its own, of all others one; exact where ``least`` is 2."""
 
     def __init__(self, h: np.ndarray, df: np.ndarray, least: int, n_docs: int):
-        n = max(n_docs, 1)
-        damped = lambda df: 1 + np.log(n / np.clip(df, 1, n)) / math.log(n + 1.0)
-        self.h, self.idf, self.rest = h, damped(df).astype(np.float32), np.float32(damped(least // 2))
+        self.h, self.idf, self.rest = h, _damped(df, n_docs), _damped(least // 2, n_docs)
+        self.least, self.n_docs = least, n_docs
 
     def of(self, h: np.ndarray) -> np.ndarray:
         out = np.full(len(h), self.rest, np.float32)
@@ -74,51 +81,72 @@ class Weights:
             out[known] = self.idf[at[known]]
         return out
 
+    def own(self, df: np.ndarray) -> np.ndarray:
+        """The weights of shingles whose frequencies are at hand."""
+        return _damped(df, self.n_docs)
+
+    def bare(self) -> Weights:
+        """Without the table, for texts that carry their frequencies."""
+        return Weights(self.h[:0], self.idf[:0], 2, self.n_docs)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
+    """A task's rows ``(key, text)`` in numbered blocks of about ``BLOCK`` bytes; the same rows in the same order give the same blocks."""
+    block, held, size = TaskContext.get().partitionId() << 32, [], 0
+    for batch in batches:
+        _, offsets = tokens.text_buffers(batch.column(1))
+        ends, lo = offsets - offsets[0] + 32 * np.arange(len(offsets)), 0
+        while lo < batch.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + BLOCK - size, "right")) - 1)
+            held.append(batch.slice(lo, hi - lo))
+            size += int(ends[hi] - ends[lo])
+            lo = hi
+            if size >= BLOCK:
+                yield block, held
+                block, held, size = block + 1, [], 0
+    if held:
+        yield block, held
+
 
 def _shingle_counts(bits: int):
     """A row per block of texts and bucket: the distinct shingles and how many of the block's texts hold each."""
 
-    def close(parts: list[np.ndarray]) -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(parts), return_counts=True)
-        bucket = (h >> (_BITS - np.uint64(bits))).astype(np.int32)
-        cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(h)) if len(h) else np.zeros(1, np.int64)
-        blobs = [planes_packed(np.diff(h[a:b], prepend=np.uint64(0)), n[a:b].astype(np.uint32)) for a, b in zip(cuts[:-1], cuts[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
-        for batch in batches:
-            for piece in tokens.pieces(batch.column(0)):
-                parts.append(_sets(piece)[1])
-                held += len(piece.data)
-                if held >= BLOCK:
-                    yield close(parts)
-                    parts, held = [], 0
-        if parts:
-            yield close(parts)
+        for block, held in _blocks(batches):
+            h, n = np.unique(np.concatenate([_sets(piece)[1] for part in held for piece in tokens.pieces(part.column(1))]), return_counts=True)
+            bucket = (h >> (_BITS - np.uint64(bits))).astype(np.int32)
+            cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(h)) if len(h) else np.zeros(1, np.int64)
+            blobs = [planes_packed(np.diff(h[a:b], prepend=np.uint64(0)), n[a:b].astype(np.uint32)) for a, b in zip(cuts[:-1], cuts[1:])]
+            columns = [pa.array([block] * len(blobs), pa.int64()), pa.array(bucket[cuts[:-1]]), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", "blob"])
 
     return run
 
 
 def _added(group: pa.Table) -> pa.Table:
-    """All blocks' counts of one bucket: its shingles in two texts or more, by the power of two that their frequency reaches."""
+    """All blocks' counts of one bucket: its shingles in two texts or more, by the power of two that their
+    frequency reaches, and for every block the frequencies of its shingles."""
     parts = [planes_unpacked(x, np.uint64, np.uint32) for x in group["blob"].to_pylist()]
+    ends = np.cumsum([len(d) for d, _ in parts])
     h, at = np.unique(np.concatenate([np.cumsum(d, dtype=np.uint64) for d, _ in parts]), return_inverse=True)
     df = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
     power = np.frexp(df)[1] - 1
-    out = [(int(p), int((power == p).sum()), planes_packed(h[power == p], df[power == p])) for p in np.unique(power) if p > 0]
-    power, n, blob = zip(*out) if out else ((), (), ())
-    return pa.table({"power": pa.array(power, pa.int32()), "n": pa.array(n, pa.int64()), "blob": pa.array(blob, pa.binary())})
-
-
-def document_frequencies(docs: DataFrame, text: str = "text", frequent: int | None = None) -> Weights:
-    """The weights of all documents' shingles."""
-    texts = docs.select(col(text).alias("text"))
-    size, n_docs = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
-    bits = max(1, math.ceil(math.log2(max(1, size / (32 << 20)))))  # buckets of bounded size: their number follows the input
-    counts = texts.mapInArrow(_shingle_counts(bits), "bucket int, blob binary")
-    found = written(counts.groupBy("bucket").applyInArrow(_added, "power int, n long, blob binary"), "shingle-frequencies")
-    per = {r["power"]: r["n"] for r in found.groupBy("power").agg(F.sum("n").alias("n")).collect()}  # at most 63 rows
+    out = [(int(p), int((power == p).sum()), None, None, planes_packed(h[power == p], df[power == p])) for p in np.unique(power) if p > 0]
+    for block, bucket, own in zip(group["block"].to_pylist(), group["bucket"].to_pylist(), np.split(at, ends[:-1])):
+        out.append((None, None, block, bucket, planes_packed(df[own].astype(np.uint32))))
+    names, kinds = ("power", "n", "block", "bucket", "blob"), (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    return pa.table({name: pa.array(values, kind) for name, kind, values in zip(names, kinds, zip(*out))})
+
+
+def _counted(texts: DataFrame, n_docs: int, frequent: int | None = None) -> tuple[Weights, DataFrame]:
+    """The weights, exact where their table holds all shingles in two texts or more, and every block's
+    frequencies ``(block, bucket, blob)``, for ``texts(key, text)``."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    bits = max(1, math.ceil(math.log2(max(1, size / BUCKET))))  # buckets of bounded size: their number follows the input
+    counts = texts.mapInArrow(_shingle_counts(bits), "block long, bucket int, blob binary")
+    added = counts.groupBy("bucket").applyInArrow(_added, "power int, n long, block long, bucket int, blob binary")
+    found = written(added, "shingle-frequencies")
+    per = {r["power"]: r["n"] for r in found.filter("power > 0").groupBy("power").agg(F.sum("n").alias("n")).collect()}  # at most 63 rows
     power, left = max(per, default=0) + 1, FREQUENT if frequent is None else frequent
     while power > 1 and per.get(power - 1, 0) <= left:
         power -= 1
@@ -126,7 +154,13 @@ def document_frequencies(docs: DataFrame, text: str = "text", frequent: int | No
     own = [planes_unpacked(r["blob"], np.uint64, np.int64) for r in found.filter(F.col("power") >= power).select("blob").toLocalIterator()]  # FREQUENT entries at most
     h, df = (np.concatenate([np.zeros(0, k), *x]) for k, x in zip((np.uint64, np.int64), zip(*own) if own else ((), ())))
     order = np.argsort(h)
-    return Weights(h[order], df[order], 1 << power, n_docs)
+    return Weights(h[order], df[order], 1 << power, n_docs), found.filter("block is not null").select("block", "bucket", "blob")
+
+
+def document_frequencies(docs: DataFrame, text: str = "text", frequent: int | None = None) -> Weights:
+    """The weights of the shingles in most documents, each its own (at most ``frequent``); ``near_classes`` weighs
+    the others by their own frequencies too."""
+    return _counted(docs.select(F.lit(None).cast("binary").alias("key"), col(text).alias("text")), docs.count(), frequent)[0]
 
 
 class Sampler:
@@ -187,10 +221,50 @@ def band_keys(spark: SparkSession, texts: DataFrame, idf: Weights) -> DataFrame:
     return texts.mapInArrow(run, "key binary, bucket long")
 
 
-def _weighted(text: pa.Array, table: Weights) -> tuple[np.ndarray, np.ndarray]:
+def _text_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per block: its keys and texts, compressed."""
+    for block, held in _blocks(batches):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for part in held:
+                out.write_batch(part)
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "blob"])
+
+
+def weighted_bands(texts: DataFrame, frequencies: DataFrame, idf: Weights) -> DataFrame:
+    """``(key, buckets, df)`` for ``texts(key, text)``: like ``band_keys``, every shingle weighed by its own
+    frequency, as counted over the same blocks; ``df``: the frequencies in the order of the text's shingles."""
+    names = ["key", "buckets", "df"]
+
+    def run(block: pa.Table, counted: pa.Table) -> pa.Table:
+        parts = [pa.ipc.open_stream(b) for b in block["blob"].to_pylist()]
+        pieces = [(batch, piece, _sets(piece)) for part in parts for batch in part for piece in tokens.pieces(batch.column(1))]
+        known = np.unique(np.concatenate([np.zeros(0, np.uint64), *[h for _, _, (_, h, _) in pieces]]))
+        blobs = counted.sort_by("bucket")["blob"].to_pylist()  # buckets are ranges of the hash
+        df = np.concatenate([np.zeros(0, np.uint32), *[planes_unpacked(b, np.uint32)[0] for b in blobs]])
+        if len(df) != len(known):
+            raise RuntimeError("the texts came in another order than when their shingles were counted")
+        sampler, out = Sampler(), []
+        for batch, piece, (doc, h, count) in pieces:
+            if not len(doc):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+            own = df[np.searchsorted(known, h)]
+            keys = _band_keys(sampler.sample(h, count * idf.own(own), first))
+            buckets = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
+            packs = pa.array([planes_packed(x) for x in np.split(own, first[1:])], pa.binary())
+            out.append(pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(piece.lo + doc[first])).cast(pa.binary()), buckets, packs], names=names))
+        return pa.Table.from_batches(out, pa.schema(list(zip(names, (pa.binary(), pa.list_(pa.int64()), pa.binary())))))
+
+    blocks = texts.mapInArrow(_text_blocks, "block long, blob binary")
+    return blocks.groupBy("block").cogroup(frequencies.groupBy("block")).applyInArrow(run, "key binary, buckets array<long>, df binary")
+
+
+def _weighted(text: pa.Array, table: Weights, df: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
     piece = next(tokens.pieces(text, 1 << 62))
     _, h, count = _sets(piece)
-    return h, count * table.of(h).astype(np.float64)
+    weight = table.of(h) if df is None else table.own(planes_unpacked(df, np.uint32)[0])
+    return h, count * weight.astype(np.float64)
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -204,7 +278,7 @@ def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.n
 
 
 def similarities(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: Weights) -> DataFrame:
-    """``(centre, key, similarity)`` for ``pairs(centre, key)``.
+    """``(centre, key, similarity)`` for ``pairs(centre, key)`` and ``texts(key, text, df)``.
 
     A centre's text meets its partners' texts in sorted partitions and is
     streamed past them; a centre with many partners is split into groups of
@@ -216,12 +290,12 @@ def similarities(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: W
         pairs.join(groups, "centre")
         .withColumn("part", F.pmod(F.hash("key"), F.col("groups")))
         .join(texts, "key")
-        .select("centre", "part", F.lit(1).alias("kind"), "key", "text")
+        .select("centre", "part", F.lit(1).alias("kind"), "key", "text", "df")
     )
     centres = (
         groups.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
         .join(texts.withColumnRenamed("key", "centre"), "centre")
-        .select("centre", "part", F.lit(0).alias("kind"), F.col("centre").alias("key"), "text")
+        .select("centre", "part", F.lit(0).alias("kind"), F.col("centre").alias("key"), "text", "df")
     )
     dealt = centres.unionByName(members)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -232,7 +306,7 @@ def similarities(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: W
         for batch in batches:
             out: list[tuple[bytes, bytes, float]] = []
             for i in range(batch.num_rows):
-                vector = _weighted(batch.column(4).slice(i, 1), table)
+                vector = _weighted(batch.column(4).slice(i, 1), table, batch.column(5)[i].as_py())
                 if batch.column(2)[i].as_py() == 0:
                     centre, own = batch.column(0)[i].as_py(), vector
                 else:
@@ -271,7 +345,7 @@ def _tile_links(spark: SparkSession, placed: DataFrame, texts: DataFrame, idf: W
     left = placed.filter("apart").select("bucket", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "key", "comp")
     right = placed.select("bucket", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "key", "comp")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = left.unionByName(right).join(texts, "key").select("bucket", "i", "j", "side", "key", "comp", "text")
+    dealt = left.unionByName(right).join(texts, "key").select("bucket", "i", "j", "side", "key", "comp", "text", "df")
     dealt = dealt.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,7 +361,7 @@ def _tile_links(spark: SparkSession, placed: DataFrame, texts: DataFrame, idf: W
                 if (names[0][i], names[1][i], names[2][i]) != tile:
                     out += close()
                     tile, members = (names[0][i], names[1][i], names[2][i]), []
-                members.append((names[3][i], names[4][i], names[5][i], _weighted(batch.column(6).slice(i, 1), table)))
+                members.append((names[3][i], names[4][i], names[5][i], _weighted(batch.column(6).slice(i, 1), table, batch.column(7)[i].as_py())))
             if out:
                 yield _link_batch(out)
         if out := close():
@@ -341,14 +415,26 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", th
     ship_package(spark)
     key = F.unhex(F.md5(col(text).cast("binary")))
     texts = docs.select(key.alias("key"), col(text).alias("text")).filter(F.col("text").isNotNull())
-    idf = document_frequencies(docs, text)
-    bands = written(band_keys(spark, texts, idf).distinct(), "bands")
+    idf, frequencies = _counted(texts, docs.count())
+    drawn = None
+    if idf.least > 2:  # more shingles in two texts or more than are broadcast
+        idf = idf.bare()
+        drawn = written(weighted_bands(texts, frequencies, idf), "drawn")
+        bands = drawn.select("key", F.explode("buckets").alias("bucket"))
+    else:
+        bands = band_keys(spark, texts, idf)
+    bands = written(bands.distinct(), "bands")
 
     buckets = bands.groupBy("bucket").agg(F.min("key").alias("centre"), F.count(F.lit(1)).alias("members")).filter("members > 1")
     in_bucket = written(bands.join(buckets.select("bucket", "centre"), "bucket"), "buckets")
     star = in_bucket.filter("key != centre").select("centre", "key").distinct()
     near = in_bucket.select("key").distinct()
-    own = written(texts.join(near, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "candidates")
+    own = texts.join(near, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text"))
+    if drawn is None:
+        own = own.withColumn("df", F.lit(None).cast("binary"))
+    else:
+        own = own.join(drawn.groupBy("key").agg(F.first("df").alias("df")), "key")
+    own = written(own, "candidates")
     tested = written(similarities(spark, star, own, idf), "star")
     links = tested.filter(F.col("similarity") >= threshold).select(F.col("centre").alias("a"), F.col("key").alias("b"))
 
