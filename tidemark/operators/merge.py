@@ -14,14 +14,17 @@ a caller that knows the staged row count (a job observed it while writing
 staging) passes it, and keys of fixed width that are few enough bytes are then
 broadcast; otherwise the join is left to ``autoBroadcastJoinThreshold`` and AQE.
 
-``merge_into_snapshot`` publishes the result (U14): see ``snapshots``.
+``merge_into_snapshot`` publishes the result (U14): see ``snapshots``. Where it
+writes many parts of like size, old and staged rows are dealt by part once,
+merged and written there, instead of being shuffled by key, for the join and by
+part; where one key swells a part, the way above holds.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,6 +61,7 @@ __all__ = [
 
 #: Staged keys are broadcast up to this many bytes: rows observed x bytes a key takes.
 BROADCAST_KEY_BYTES = 32 << 20
+STAGED = "_staged"
 _ROW_BYTES = 16  # of a broadcast row, beside 8 for each column
 
 
@@ -132,6 +136,29 @@ def upsert(
     return kept.unionByName(staged)
 
 
+def _upsert_by_part(
+    target: DataFrame | None, staging: DataFrame, keys: Sequence[str], columns: Sequence[str], part: Column, arrival: str | None = None
+) -> DataFrame:
+    """``upsert`` with one exchange: old and new rows are dealt by ``part``, a function of the keys, and merged there.
+
+    Of a key's rows a staged one goes before the target's, and among staged
+    ones ``dedup_by_key``'s rule holds. The result has the column ``PART`` and lies by it.
+    """
+    fields = {f.name: f.dataType for f in staging.schema.fields}
+    columns = [c for c in columns if c != arrival]
+    others = [c for c in columns if c not in keys]
+    order = [arrival] if arrival else []
+    rows = _not_null(staging.select(*columns, *order), keys).withColumn(STAGED, F.lit(1))
+    if target is not None:
+        old = target.select(*columns, *[F.lit(None).cast(fields[c]).alias(c) for c in order])
+        rows = old.withColumn(STAGED, F.lit(0)).unionByName(rows)
+    rows = rows.withColumn(PART, part).repartition(PART)
+    row = F.struct(STAGED, *others)
+    best = F.max(row) if arrival is None else F.max_by(row, F.struct(STAGED, arrival))
+    merged = rows.groupBy(PART, *keys).agg(best.alias("_row"))
+    return merged.select(PART, *keys, *[F.col(f"_row.{c}").alias(c) for c in others]).select(*columns, PART)
+
+
 def merge_into_snapshot(
     staging: DataFrame,
     root: str,
@@ -171,11 +198,25 @@ def merge_into_snapshot(
             values = values.unionByName(target.select(value.alias(VALUE)))
         index = range_index(F.col(VALUE), [p.lower for p in parts[1:]])
         layout = new_layout(parts, changes, inner_cuts(values.withColumn(PART, index), changes))
-        merged = upsert(target, staging, keys, columns, staged_rows=staged_rows, arrival=arrival)
+        part = range_index(value, [p.lower for p in layout[1:]])
+        if _even(values, layout, part_rows):
+            merged = _upsert_by_part(target, staging, keys, columns or (target or staging).columns, part, arrival)
+        else:
+            merged = upsert(target, staging, keys, columns, staged_rows=staged_rows, arrival=arrival)
         done = write_parts(merged, root, value, layout)
+        merged = merged.drop(PART)
     return commit(spark, root, base, pointer_for(merged.schema, keys, order, part_rows, done))
 
 
+def _even(values: DataFrame, layout: Sequence[Part], part_rows: int) -> bool:
+    """Whether the new parts keep all cores busy and none is much larger than the others, as a key with very many rows makes one."""
+    if sum(p.folder is None for p in layout) < values.sparkSession.sparkContext.defaultParallelism:
+        return False
+    index = range_index(F.col(VALUE), [p.lower for p in layout[1:]])
+    most = values.groupBy(index.alias(PART)).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+    return most <= 4 * part_rows
+
+
 def publish(df: DataFrame, root: str, keys: Sequence[str], base: int | None = None, part_rows: int | None = None) -> str:
     """Write all of ``df`` as the version after ``base`` (default: the current one); returns the pointer's path.
 
