@@ -313,3 +313,29 @@ def test_prune_snapshots_keeps_newest(spark, tmp_root):
     assert read_current(spark, root).count() == 50
     assert _rows(read_current(spark, root).where("k = 1")) == [(1, "b", 2.0)]
     assert prune_snapshots(spark, root, keep=2) == []
+
+
+def test_a_merge_deals_rows_once(spark, tmp_root, monkeypatch):
+    """Rows and columns lie as ``upsert`` alone gives them, by one exchange, and a swollen key takes the other way."""
+    from tidemark.operators import merge
+
+    taken = []
+    by_part = merge._upsert_by_part
+    monkeypatch.setattr(merge, "_upsert_by_part", lambda *a: taken.append(by_part(*a)) or taken[-1])
+    first = spark.createDataFrame([(f"a{k % 5}", k % 700, k % 3, float(k)) for k in range(1500)], "s string, k long, n int, v double")
+    second = spark.createDataFrame([(None, k, k % 3, float(-k)) for k in range(300, 1100) for _ in range(2)], "s string, k long, n int, v double")
+    for arrival in (None, "v"):
+        for part_rows in (20, 10_000):
+            root, columns, want = os.path.join(tmp_root, f"by-{arrival}-{part_rows}"), ["s", "k", "n"] if arrival else None, None
+            for staged in (first, second):
+                want = upsert(want, staged, ["k", "n"], columns, arrival=arrival)
+                merge_into_snapshot(staged, root, ["k", "n"], columns, part_rows=part_rows, arrival=arrival)
+                got = read_current(spark, root)
+                assert got.columns == want.columns and _rows(got) == _rows(want)
+    assert len(taken) == 8
+    for df in taken:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan
+    hot = first.unionByName(spark.createDataFrame([("h", 7, 1, float(k)) for k in range(200)], first.schema))
+    merge_into_snapshot(hot, os.path.join(tmp_root, "hot"), ["k", "n"], part_rows=20)
+    assert len(taken) == 8 and _rows(read_current(spark, os.path.join(tmp_root, "hot"))) == _rows(upsert(None, hot, ["k", "n"]))

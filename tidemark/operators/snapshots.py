@@ -16,10 +16,11 @@ plans from the pointer alone:
 * any other part is read, merged and rewritten, cut anew where it has grown to
   more than ``part_rows`` twice over. Cut points come from ``approx_percentile``.
 
-Rows are dealt to writers by ``REBALANCE`` on the part: AQE splits a large part
-over as many tasks as its bytes ask for and lets small parts share one, so the
-number of writers follows the bytes and a file holds at most about
-``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of shuffled rows.
+A merge deals rows by part and slot before it combines them, and its tasks write
+what they hold (``merge``). Other rows are dealt to writers by ``REBALANCE`` on the
+part: AQE splits a large part over as many tasks as its bytes ask for and lets
+small parts share one, so the number of writers follows the bytes and a file holds
+at most about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of shuffled rows.
 
 The pointer is created last and never overwritten, as the version after the
 one the merge was based on: a half-written run is never seen, nothing that is
@@ -43,6 +44,7 @@ from pyspark.sql import types as T
 from ..sources.bounds import accuracy_for, range_index
 
 FORMAT = 2
+COMPRESSION = "zstd"  # of staging and target files
 PART_ROWS = 1_000_000
 #: Parts by hash are cut finer: a delta's keys lie all over them.
 HASH_PART_ROWS = PART_ROWS // 8
@@ -247,13 +249,14 @@ def inner_cuts(values: DataFrame, changes: Sequence[Change]) -> dict[int, list[i
 
 
 def write_parts(df: DataFrame, root: str, order: Column, layout: Sequence[Part]) -> list[Part]:
-    """Write ``df``'s rows into the layout's new parts; the whole layout, complete."""
+    """Write ``df``'s rows into the layout's new parts; the whole layout, complete. With the column ``PART``, rows are dealt already."""
     spark = df.sparkSession
     data = f"data/{uuid.uuid4().hex}"
     path = f"{root.rstrip('/')}/{data}"
     index = range_index(order, [p.lower for p in layout[1:]])
-    df.withColumn(PART, index).hint("rebalance", F.col(PART)).write.partitionBy(PART).parquet(path)
-    schema = T.StructType([*df.schema.fields, T.StructField(PART, T.IntegerType())])
+    dealt = df if PART in df.columns else df.withColumn(PART, index).hint("rebalance", F.col(PART))
+    dealt.write.partitionBy(PART).option("compression", COMPRESSION).parquet(path)
+    schema = T.StructType([*df.drop(PART).schema.fields, T.StructField(PART, T.IntegerType())])
     back = spark.read.schema(schema).parquet(path)
     found = {r[PART]: r for r in back.groupBy(PART).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("lo"), F.max(order).alias("hi")).collect()}
     out = []

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.snapshots import COMPRESSION
 from .schemas import JDBC_COLUMN_TYPES, NOT_NULL, STAGING_SCHEMAS
 
 FITS, REASONS, VALUES = "_fits", "_reasons", "_values"
@@ -96,7 +97,7 @@ def write_conforming(df: DataFrame, path: str, table: Definition, passing: Seque
         *[F.when(fits, F.col(c)).alias(c) for c in passing],
         F.when(~fits, F.col(REASONS)).alias(REASONS), F.when(~fits, values).alias(VALUES), fits.alias(FITS),
     )
-    out.write.mode("errorifexists").partitionBy(FITS).parquet(path)
+    out.write.mode("errorifexists").option("compression", COMPRESSION).partitionBy(FITS).parquet(path)
     got = seen.get
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [df.schema[c] for c in passing])
     broken = {key: got[f"r{k}"] for k, key in enumerate(rules)}

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.partitioning import throttle
+from ..operators.snapshots import COMPRESSION
 from ..sources.jdbc import JdbcEndpoint
 
 
@@ -31,7 +32,7 @@ def counted(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observat
 def write_parquet_staging(df: DataFrame, path: str, max_records_per_file: int | None = None) -> int:
     """K1 (parquet): write ``df`` to a fresh run folder; return the rows written."""
     observed, obs = counted(df)
-    writer = observed.write.mode("errorifexists")
+    writer = observed.write.mode("errorifexists").option("compression", COMPRESSION)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
     writer.parquet(path)
@@ -46,7 +47,7 @@ def write_bucketed_staging(df: DataFrame, path: str, table: str, key: str, bucke
     share of the rows lies in one bucket; leave such a table unbucketed.
     """
     observed, obs = counted(df.repartition(buckets, key))
-    observed.write.mode("errorifexists").bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    observed.write.mode("errorifexists").bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", COMPRESSION).format("parquet").saveAsTable(table)
     return int(obs.get["rows"])
 
 
