@@ -173,3 +173,24 @@ def test_differing_profile_rows_of_one_customer_share_one_event(spark):
     docs = [json.loads(s) for s in json.loads(events[0]["event_parameters"])]
     assert sorted(d["name"] for d in docs) == ["Ann", "Ann B"]
     assert all(len(d["customer_order"]) == 2 for d in docs)
+
+
+def test_lists_of_few_orders_are_built_by_one_exchange(spark, monkeypatch):
+    """One level gives the texts of two, for repeated identifiers too, and is taken only where no customer is hot."""
+    from tidemark.operators import event
+    from tidemark.plans.spec import SPECS, JobOptions
+
+    ids = lambda c: F.unhex(F.md5(c.cast("string")))
+    orders = spark.range(400).select(
+        ids(F.col("id") % 130).alias("order_aggregate_identifier"), ids(F.col("id") % 7).alias("customer_aggregate_identifier"),
+        F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("orderstatus"), (F.col("id") * 5 % 9).cast("decimal(15,2)").alias("totalprice"),
+    )
+    profile = spark.range(9).select(F.col("id").alias("custkey"), ids(F.col("id")).alias("customer_aggregate_identifier"))
+    texts = lambda df: sorted((r["custkey"], r["event_parameters"]) for r in event.encode_events(df, 1).collect())
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    staged = {"staging.customer_profile": profile, "staging.customer_orders": orders}
+    want = texts(event.event_rows(profile, orders))
+    one = SPECS["customer_event"].query(staged, JobOptions())
+    monkeypatch.setattr(event, "HOT_ORDERS", 10)
+    two = SPECS["customer_event"].query(staged, JobOptions())
+    assert texts(one) == texts(two) == want and exchanges(two) == exchanges(one) + 1

@@ -13,7 +13,9 @@ so lists are built in two levels, the same way for every customer: orders are
 collected, sorted and encoded per (customer, first hex digit of the order
 identifier), uniform because the identifier is an MD5, and the at most 16
 sub-lists of a customer are then joined in digit order. Both levels keep the
-order of the raw identifier, so the text repeats.
+order of the raw identifier, so the text repeats. W11, whose orders are written
+staging, first counts them (``few_orders_each``): where no customer is hot, its
+lists are the same and are built in one level, by one exchange.
 
 The profile meets the finished lists in one LEFT JOIN on the customer; the
 event is a projection of the joined row. Differing profile rows of one
@@ -44,6 +46,9 @@ ORDER_EVENT_COLUMNS = (
 )
 EVENT_TYPE = "MigEvent"
 
+#: Orders of one customer that one task may gather and sort; looked for among this many hashes of the customer.
+HOT_ORDERS, BUCKETS = 100_000, 4096
+
 DIGIT = "_digit"
 CUSTOMER_ID = "customer_aggregate_identifier"
 ORDER_ID = "order_aggregate_identifier"
@@ -88,19 +93,35 @@ def deal_orders(customer_orders: DataFrame, partitions: int, key: str = CUSTOMER
     return repartition_by_key(customer_orders, partitions, key, salt=order_digit(), salt_name=DIGIT)
 
 
-def _order_lists(orders: DataFrame, keys: list[str], value: Column, name: str) -> DataFrame:
-    """Per ``keys`` the values of its orders in identifier order, built in two levels."""
+def few_orders_each(customer_orders: DataFrame) -> bool:
+    """Whether no customer has more than ``HOT_ORDERS`` orders, by counts per hash of the customer: a number a bucket and task."""
+    bucket = F.pmod(F.xxhash64(CUSTOMER_ID), F.lit(BUCKETS)).alias("bucket")
+    counts = customer_orders.groupBy(bucket).agg(F.count(F.lit(1)).alias("n"))
+    most, rows = counts.agg(F.max("n"), F.sum("n")).first()
+    return (most or 0) - (rows or 0) / BUCKETS <= HOT_ORDERS
+
+
+def _order_lists(orders: DataFrame, keys: list[str], encode: Callable[[Column], Column], name: str, levels: int = 2) -> DataFrame:
+    """Per ``keys`` its orders, encoded, in the order of identifier and encoding, built in two levels (or one).
+
+    Exchanges carry the orders' plain fields, about half the bytes of their
+    texts; in two levels a text is made where rows are sorted by it and again in
+    the whole list.
+    """
+    order = F.struct(ORDER_ID, *[c for c in present(orders, ORDER_EVENT_COLUMNS) if c != ORDER_ID])
+    by_text = lambda o: F.struct(o[ORDER_ID].alias("k"), encode(o).alias("v"), o.alias("o"))
+    ranked = lambda c: F.sort_array(F.transform(c, by_text))
+    if levels == 1:
+        lists = orders.groupBy(*keys).agg(F.collect_list(order).alias("_part"))
+        return lists.select(*keys, F.transform(ranked("_part"), lambda x: x["v"]).alias(name))
     digit = F.col(DIGIT) if DIGIT in orders.columns else order_digit().alias(DIGIT)
-    parts = orders.groupBy(*keys, digit).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(ORDER_ID).alias("k"), value.alias("v")))).alias("_part")
-    )
-    lists = parts.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(DIGIT).alias("d"), F.col("_part.v").alias("p")))).alias("_parts")
-    )
-    return lists.select(*keys, F.flatten(F.transform("_parts", lambda x: x["p"])).alias(name))
+    parts = orders.groupBy(*keys, digit).agg(F.collect_list(order).alias("_part"))
+    parts = parts.withColumn("_part", F.transform(ranked("_part"), lambda x: x["o"]))
+    lists = parts.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(DIGIT).alias("d"), F.col("_part").alias("p")))).alias("_parts"))
+    return lists.select(*keys, F.transform(F.flatten(F.transform("_parts", lambda x: x["p"])), encode).alias(name))
 
 
-def _with_lists(profile: DataFrame, customer_orders: DataFrame, value: Column, name: str, empty: Column) -> DataFrame:
+def _with_lists(profile: DataFrame, customer_orders: DataFrame, encode: Callable[[Column], Column], name: str, empty: Column, levels: int = 2) -> DataFrame:
     """J5 + A7: one row per customer: ``custkey``, its profile rows ``_profiles`` and its order list."""
     require(profile, [CUSTOMER_ID, "custkey"], "customer_profile")
     require(customer_orders, [CUSTOMER_ID, ORDER_ID], "customer_orders")
@@ -108,18 +129,21 @@ def _with_lists(profile: DataFrame, customer_orders: DataFrame, value: Column, n
     profiles = profile.groupBy(CUSTOMER_ID).agg(
         F.min("custkey").alias("custkey"), F.collect_list(F.struct(*fields)).alias("_profiles")
     )
-    lists = _order_lists(customer_orders, [CUSTOMER_ID], value, name)
+    lists = _order_lists(customer_orders, [CUSTOMER_ID], encode, name, levels)
     joined = profiles.join(lists, CUSTOMER_ID, "left")
     return joined.withColumn(name, F.coalesce(name, empty.cast(lists.schema[name].dataType)))
 
 
-def _order_json(orders: DataFrame) -> Column:
-    return F.to_json(F.struct(*present(orders, ORDER_EVENT_COLUMNS)))
+def _order_json(order: Column) -> Column:
+    return F.to_json(order)
+
 
+def event_rows(profile: DataFrame, customer_orders: DataFrame, levels: int = 2) -> DataFrame:
+    """W11's staging rows: per customer its profile rows and the encoded list of its orders.
 
-def event_rows(profile: DataFrame, customer_orders: DataFrame) -> DataFrame:
-    """W11's staging rows: per customer its profile rows and the encoded list of its orders."""
-    return _with_lists(profile, customer_orders, _order_json(customer_orders), "customer_order", F.array(F.lit("{}")))
+    ``levels=1`` is for orders of which no customer has very many (``few_orders_each``): the same lists by one exchange.
+    """
+    return _with_lists(profile, customer_orders, _order_json, "customer_order", F.array(F.lit("{}")), levels)
 
 
 def _events(rows: DataFrame, event_time: int | None, document: Callable[[Column], Column]) -> DataFrame:
@@ -146,7 +170,7 @@ def encode_events(rows: DataFrame, event_time: int | None = None) -> DataFrame:
     if "_profiles" not in rows.columns:
         flat = rows
         fields = present(flat, PROFILE_EVENT_COLUMNS)
-        documents = _order_lists(flat, fields, _order_json(flat), "customer_order")
+        documents = _order_lists(flat, fields, _order_json, "customer_order")
         # the list belongs to the profile row here: it travels in the row's struct
         rows = documents.groupBy(CUSTOMER_ID).agg(
             F.min("custkey").alias("custkey"), F.collect_list(F.struct(*fields, "customer_order")).alias("_profiles")
@@ -173,9 +197,11 @@ def customer_event_nested(profile: DataFrame, customer_orders: DataFrame, event_
     """Like E1, but ``event_parameters`` nests real objects:
     ``[{..., "customer_orders": [{...}, ...]}]`` with upper-case hex identifiers
     and ``[]`` for a customer without orders."""
-    order = F.struct(
-        *[(F.hex(ORDER_ID) if c == ORDER_ID else F.col(c)).alias(c) for c in present(customer_orders, ORDER_EVENT_COLUMNS)]
-    )
+    names = present(customer_orders, ORDER_EVENT_COLUMNS)
+
+    def order(o: Column) -> Column:
+        return F.struct(*[(F.hex(o[c]) if c == ORDER_ID else o[c]).alias(c) for c in names])
+
     rows = _with_lists(profile, customer_orders, order, "customer_orders", F.array())
     fields = _profile_fields(rows)
 

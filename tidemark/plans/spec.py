@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from ..operators.event import deal_orders, event_rows
+from ..operators.event import deal_orders, event_rows, few_orders_each
 from ..operators.profile import customer_profile
 from ..operators.staging import COPY_KEYS, stage_copy, stage_customer_orders
 from ..sources.tables import ARRIVAL, with_arrival
@@ -79,8 +79,8 @@ def _customer_event(t: Mapping[str, DataFrame], opts: JobOptions) -> DataFrame:
     # job's transform encodes the rows.
     profile, orders = t["staging.customer_profile"], t["staging.customer_orders"]
     if opts.partitions:
-        orders = deal_orders(orders, opts.partitions, TRANSFORM_KEY)
-    return event_rows(profile, orders)
+        return event_rows(profile, deal_orders(orders, opts.partitions, TRANSFORM_KEY))
+    return event_rows(profile, orders, levels=1 if few_orders_each(orders) else 2)
 
 
 # Fixed value: the transform key that all of the reference's job configs name.
