@@ -118,6 +118,61 @@ def test_consistent_weighted_samples_estimate_weighted_jaccard():
     assert abs((found[0] == found[1]).mean() - exact) < 0.06
 
 
+@pytest.mark.parametrize("likely", [5.0, 0.02])
+def test_samples_are_the_smallest_of_all_draws(monkeypatch, likely):
+    """As drawn for every shingle, though at the usual first bound under a fifth of the draws are computed; at a
+    bound that few texts reach, too."""
+    monkeypatch.setattr(near_dedup, "LIKELY", likely)
+    sampler, r = near_dedup.Sampler(), np.random.default_rng(11)
+    sizes = np.array([1, 2, 700, 1, 400, 5, 900, 30, 300, 600])
+    h = r.integers(0, 2**48, sizes.sum(), dtype=np.uint64)
+    weight = r.integers(1, 4, len(h)) * np.exp(r.normal(0, 1, len(h))).astype(np.float32)
+    log_w, first, want = np.log(weight).astype(np.float32), np.cumsum(sizes) - sizes, []
+    for odd in sampler.odd:
+        slot = ((h * odd) >> np.uint64(48)).astype(np.int64)
+        level = np.floor(log_w * sampler.inv_r[slot] + sampler.beta[slot])
+        draws = sampler.log_c[slot] - sampler.r[slot] * (level - sampler.beta[slot] + np.float32(1))
+        at = np.array([lo + int(np.argmin(draws[lo : lo + n])) for lo, n in zip(first, sizes)])
+        want.append(tokens.mix(h[at] * np.uint64(0x9E3779B97F4A7C15) + level[at].astype(np.int64).astype(np.uint64)))
+    computed, draws_of = [], near_dedup.Sampler._draws
+    monkeypatch.setattr(near_dedup.Sampler, "_draws", lambda self, slot, log_w, at: computed.append(len(at)) or draws_of(self, slot, log_w, at))
+    assert np.array_equal(sampler.sample(h, weight, first), np.column_stack(want))
+    assert likely < 5 or sum(computed) < len(h) * len(sampler.odd) / 5
+
+
+def test_texts_to_compare_are_shingled_together(monkeypatch):
+    texts = [" ".join(words(60 + k, 20 + k)) for k in range(50)] + ["", "a b c", "a b c d e a b c d e"]
+    table = near_dedup.Weights(np.zeros(0, np.uint64), np.zeros(0), 2, 53)
+    alone = [near_dedup._weighted(pa.array([t]), table) for t in texts]
+    calls, sets = [], near_dedup._sets
+    monkeypatch.setattr(near_dedup, "_sets", lambda piece: calls.append(1) or sets(piece))
+    for df in (None, [near_dedup.planes_packed(np.arange(2, 2 + len(h), dtype=np.uint32)) for h, _ in alone if len(h)]):
+        held = [k for k, (h, _) in enumerate(alone) if df is None or len(h)]  # texts without a shingle carry no frequencies
+        column = pa.array(["x", *[texts[k] for k in held]]).slice(1)
+        got = list(near_dedup._vectors(column, pa.array(df or [None] * len(texts), pa.binary()), table))
+        assert len(got) == len(held)
+        for (h, w), (own, plain) in zip(got, [alone[k] for k in held]):
+            assert np.array_equal(h, own) and np.array_equal(w, plain if df is None else plain / table.rest * table.own(np.arange(2, 2 + len(h))))
+    assert len(calls) == 2
+
+
+def test_a_tile_of_one_block_holds_each_text_once(spark, monkeypatch):
+    """Links of a bucket's members that are apart, found from one row a text and tile."""
+    texts = _family(71, 80, 6, (0, 0, 30, 1, 30, 2))
+    rows = [(1, bytes([k]), bytes([k]), k > 0, len(texts)) for k in range(len(texts))]
+    placed = spark.createDataFrame(rows, "bucket long, key binary, comp binary, apart boolean, members long")
+    own = spark.createDataFrame([(bytes([k]), t, None) for k, t in enumerate(texts)], "key binary, text string, df binary")
+    table = near_dedup.Weights(np.zeros(0, np.uint64), np.zeros(0), 2, 6)
+    dealt, repartition = [], type(placed).repartition
+    monkeypatch.setattr(type(placed), "repartition", lambda df, *by: dealt.append(df) or repartition(df, *by))
+    links = near_dedup._tile_links(spark, placed, own, table, 0.8).collect()
+    vectors = [near_dedup._weighted(pa.array([t]), table) for t in texts]
+    want = [(bytes([i]), bytes([j])) for i in range(6) for j in range(i) if near_dedup.weighted_jaccard(vectors[i], vectors[j]) >= 0.8]
+    nodes = [bytes([k]) for k in range(6)]
+    assert _classes([(r["a"], r["b"]) for r in links], nodes) == _classes(want, nodes) and 0 < len(want) < 15
+    assert len(dealt) == 1 and dealt[0].count() == len(texts)
+
+
 def test_near_dedup_edges(spark, edges, empty):
     got = near_dedup.near_classes(edges).collect()
     assert len(got) == edges.count()

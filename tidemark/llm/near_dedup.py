@@ -45,6 +45,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 TILE = 256
 FREQUENT = 2_000_000
+LIKELY = 5.0  # expected draws below the first bound of a text's smallest draw
 BLOCK = 8 << 20  # bytes of text whose shingles are counted together
 BUCKET = 12 << 20  # bytes of text for each bucket of shingles
 _BITS = np.uint64(48)
@@ -164,7 +165,13 @@ def document_frequencies(docs: DataFrame, text: str = "text", frequent: int | No
 
 
 class Sampler:
-    """ICWS with 64 samples; the draws of a shingle come from seeded tables by its hash."""
+    """ICWS with 64 samples; the draws of a shingle come from seeded tables by its hash.
+
+    A sample is the shingle of a text's smallest draw. That is below
+    ``LIKELY`` / the text's weight but once in e ** ``LIKELY`` samples, and a
+    shingle's draw is above a bound that one table holds, so most shingles are
+    ruled out by one comparison; where no draw is that small, all are computed.
+    """
 
     def __init__(self, samples: int = BANDS * ROWS, seed: int = 7):
         rng = np.random.default_rng(seed)
@@ -173,23 +180,45 @@ class Sampler:
         self.log_c = np.log(rng.gamma(2.0, 1.0, _SLOTS)).astype(np.float32) + np.float32(64)
         self.beta = rng.uniform(0, 1, _SLOTS).astype(np.float32)
         self.odd = rng.integers(1, 2**63, samples, dtype=np.uint64) | np.uint64(1)
+        self.least = self.log_c - self.r - np.float32(1e-3)  # no draw is below this less its shingle's log weight; the last term: rounding
 
     def sample(self, h: np.ndarray, weight: np.ndarray, first: np.ndarray) -> np.ndarray:
         """(texts, samples) codes; ``first`` has each text's first shingle (none empty)."""
         log_w = np.log(weight).astype(np.float32)
         out = np.empty((len(first), len(self.odd)), np.uint64)
-        place = np.arange(len(h), dtype=np.uint64)
+        edges = np.append(first, len(h))
+        likely = np.float32(64) + np.log(LIKELY / np.add.reduceat(weight, first)).astype(np.float32)
+        bound, enough = log_w + np.repeat(likely, np.diff(edges)), _ordered(likely) << np.uint64(32)
+        place, least, small = np.empty(len(h), np.uint64), np.empty(len(h), np.float32), np.empty(len(h), bool)
+        slot = place.view(np.int64)
         for k, odd in enumerate(self.odd):
-            slot = ((h * odd) >> np.uint64(48)).astype(np.int64)
-            r, beta = self.r[slot], self.beta[slot]
-            a = self.log_c[slot] - r * (np.floor(log_w * self.inv_r[slot] + beta) - beta + np.float32(1))
-            # the value's bits (a > 0, so they sort as it does), then the place, as one number
-            best = np.minimum.reduceat((np.maximum(a, np.float32(0)).view(np.uint32).astype(np.uint64) << np.uint64(32)) | place, first)
+            np.right_shift(np.multiply(h, odd, out=place), np.uint64(48), out=place)
+            np.less_equal(np.take(self.least, slot, out=least, mode="clip"), bound, out=small)
+            at = np.flatnonzero(small)
+            cuts = np.searchsorted(at, edges)
+            some = np.flatnonzero(cuts[1:] > cuts[:-1])
+            best = np.full(len(first), np.uint64(2**64 - 1))
+            if len(some):
+                best[some] = np.minimum.reduceat(self._draws(slot, log_w, at), cuts[some])
+            for text in np.flatnonzero(best >= enough):
+                best[text] = self._draws(slot, log_w, np.arange(edges[text], edges[text + 1])).min()
             won = (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            level = np.floor(log_w[won] * self.inv_r[slot[won]] + beta[won]).astype(np.int64).astype(np.uint64)
+            level = np.floor(log_w[won] * self.inv_r[slot[won]] + self.beta[slot[won]]).astype(np.int64).astype(np.uint64)
             out[:, k] = tokens.mix(h[won] * np.uint64(0x9E3779B97F4A7C15) + level)
         return out
 
+    def _draws(self, slot: np.ndarray, log_w: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The draws of the shingles ``at``, each with its place, as one number."""
+        slot = slot[at]
+        r, beta = self.r[slot], self.beta[slot]
+        a = self.log_c[slot] - r * (np.floor(log_w[at] * self.inv_r[slot] + beta) - beta + np.float32(1))
+        return (_ordered(a) << np.uint64(32)) | at.astype(np.uint64)
+
+
+def _ordered(a: np.ndarray) -> np.ndarray:
+    """The bits of numbers above zero: they sort as the numbers do."""
+    return np.maximum(a, np.float32(0)).view(np.uint32).astype(np.uint64)
+
 
 def _band_keys(codes: np.ndarray) -> np.ndarray:
     out = np.empty((len(codes), BANDS), np.uint64)
@@ -239,17 +268,16 @@ def weighted_bands(texts: DataFrame, frequencies: DataFrame, idf: Weights) -> Da
     def run(block: pa.Table, counted: pa.Table) -> pa.Table:
         parts = [pa.ipc.open_stream(b) for b in block["blob"].to_pylist()]
         pieces = [(batch, piece, _sets(piece)) for part in parts for batch in part for piece in tokens.pieces(batch.column(1))]
-        known = np.unique(np.concatenate([np.zeros(0, np.uint64), *[h for _, _, (_, h, _) in pieces]]))
+        known, at = np.unique(np.concatenate([np.zeros(0, np.uint64), *[h for _, _, (_, h, _) in pieces]]), return_inverse=True)
         blobs = counted.sort_by("bucket")["blob"].to_pylist()  # buckets are ranges of the hash
         df = np.concatenate([np.zeros(0, np.uint32), *[planes_unpacked(b, np.uint32)[0] for b in blobs]])
         if len(df) != len(known):
             raise RuntimeError("the texts came in another order than when their shingles were counted")
-        sampler, out = Sampler(), []
-        for batch, piece, (doc, h, count) in pieces:
+        sampler, out, ends = Sampler(), [], np.cumsum([len(h) for _, _, (_, h, _) in pieces])
+        for (batch, piece, (doc, h, count)), own in zip(pieces, np.split(df[at], ends[:-1])):
             if not len(doc):
                 continue
             first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-            own = df[np.searchsorted(known, h)]
             keys = _band_keys(sampler.sample(h, count * idf.own(own), first))
             buckets = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
             packs = pa.array([planes_packed(x) for x in np.split(own, first[1:])], pa.binary())
@@ -260,11 +288,20 @@ def weighted_bands(texts: DataFrame, frequencies: DataFrame, idf: Weights) -> Da
     return blocks.groupBy("block").cogroup(frequencies.groupBy("block")).applyInArrow(run, "key binary, buckets array<long>, df binary")
 
 
-def _weighted(text: pa.Array, table: Weights, df: bytes | None = None) -> tuple[np.ndarray, np.ndarray]:
-    piece = next(tokens.pieces(text, 1 << 62))
-    _, h, count = _sets(piece)
-    weight = table.of(h) if df is None else table.own(planes_unpacked(df, np.uint32)[0])
-    return h, count * weight.astype(np.float64)
+def _vectors(text: pa.Array, df: pa.Array, table: Weights) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Every text's shingles and weights, in order, worked out for a piece of texts at a time."""
+    for piece in tokens.pieces(text):
+        doc, h, count = _sets(piece)
+        own = df.slice(piece.lo, piece.hi - piece.lo)
+        weight = table.of(h) if own.null_count else table.own(np.concatenate([planes_unpacked(x, np.uint32)[0] for x in own.to_pylist()]))
+        weight = count * weight.astype(np.float64)
+        cuts = np.searchsorted(doc, np.arange(piece.hi - piece.lo + 1))
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield h[lo:hi], weight[lo:hi]
+
+
+def _weighted(text: pa.Array, table: Weights) -> tuple[np.ndarray, np.ndarray]:
+    return next(_vectors(text, pa.nulls(1, pa.binary()), table))
 
 
 def weighted_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -305,12 +342,12 @@ def similarities(spark: SparkSession, pairs: DataFrame, texts: DataFrame, idf: W
         table, centre, own = shared.value, None, None
         for batch in batches:
             out: list[tuple[bytes, bytes, float]] = []
-            for i in range(batch.num_rows):
-                vector = _weighted(batch.column(4).slice(i, 1), table, batch.column(5)[i].as_py())
-                if batch.column(2)[i].as_py() == 0:
-                    centre, own = batch.column(0)[i].as_py(), vector
+            names = [batch.column(k).to_pylist() for k in (0, 2, 3)]
+            for name, kind, key, vector in zip(*names, _vectors(batch.column(4), batch.column(5), table)):
+                if kind == 0:
+                    centre, own = name, vector
                 else:
-                    out.append((centre, batch.column(3)[i].as_py(), weighted_jaccard(own, vector)))
+                    out.append((centre, key, weighted_jaccard(own, vector)))
             if out:
                 c, k, s = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()), pa.array(k, pa.binary()), pa.array(s)], names=["centre", "key", "similarity"])
@@ -335,18 +372,20 @@ def _tile_links(spark: SparkSession, placed: DataFrame, texts: DataFrame, idf: W
     """``(a, b)``: links between different components of a bucket, from all its members that are apart against all its members.
 
     A bucket is cut into blocks of about ``TILE`` members; a tile holds the
-    apart members of one block and all members of another, compares them
-    exactly (weighted sets as sparse columns of a matrix product) and returns
-    only links that join something, at most one a member.
+    apart members of one block and all members of another (of the same one:
+    each text once), compares them exactly (weighted sets as sparse columns of
+    a matrix product) and returns only links that join something, at most one a
+    member.
     """
     shared = spark.sparkContext.broadcast(idf)
     placed = placed.withColumn("blocks", F.ceil(F.col("members") / TILE).cast("int"))
     placed = placed.withColumn("own", F.pmod(F.hash("key"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    left = placed.filter("apart").select("bucket", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "key", "comp")
-    right = placed.select("bucket", F.col("other").alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"), "key", "comp")
+    left = placed.filter("apart and own != other").select("bucket", F.col("own").alias("i"), F.col("other").alias("j"), F.lit(True).alias("left"), F.lit(False).alias("right"), "key", "comp")
+    both = (F.col("apart") & (F.col("own") == F.col("other"))).alias("left")
+    right = placed.select("bucket", F.col("other").alias("i"), F.col("own").alias("j"), both, F.lit(True).alias("right"), "key", "comp")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = left.unionByName(right).join(texts, "key").select("bucket", "i", "j", "side", "key", "comp", "text", "df")
-    dealt = dealt.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "side", "key")
+    dealt = left.unionByName(right).join(texts, "key").select("bucket", "i", "j", "left", "right", "key", "comp", "text", "df")
+    dealt = dealt.repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, tile, members = shared.value, None, []
@@ -356,12 +395,12 @@ def _tile_links(spark: SparkSession, placed: DataFrame, texts: DataFrame, idf: W
 
         for batch in batches:
             out: list[tuple[bytes, bytes]] = []
-            names = [batch.column(k).to_pylist() for k in range(6)]
-            for i in range(batch.num_rows):
-                if (names[0][i], names[1][i], names[2][i]) != tile:
+            names = [batch.column(k).to_pylist() for k in range(7)]
+            for bucket, i, j, *member, vector in zip(*names, _vectors(batch.column(7), batch.column(8), table)):
+                if (bucket, i, j) != tile:
                     out += close()
-                    tile, members = (names[0][i], names[1][i], names[2][i]), []
-                members.append((names[3][i], names[4][i], names[5][i], _weighted(batch.column(6).slice(i, 1), table, batch.column(7)[i].as_py())))
+                    tile, members = (bucket, i, j), []
+                members.append((*member, vector))
             if out:
                 yield _link_batch(out)
         if out := close():
@@ -376,9 +415,9 @@ def _link_batch(links: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
 
 
 def _links_of(members: list[tuple], threshold: float) -> list[tuple[bytes, bytes]]:
-    """Joining links of one tile: every left member against every right member of another component."""
-    left, right = [m for m in members if m[0] == 0], [m for m in members if m[0] == 1]
-    if not left or not right:
+    """Joining links of one tile's ``(left, right, key, component, vector)``: every left member against every right member of another component."""
+    left, right = [m for m in members if m[0]], [m for m in members if m[1]]
+    if not left or len({m[3] for m in members}) < 2:
         return []
     parent: dict[bytes, bytes] = {}
 
@@ -388,24 +427,24 @@ def _links_of(members: list[tuple], threshold: float) -> list[tuple[bytes, bytes
         return x
 
     # all right members' shingles in one sorted list: (hash, member, weight)
-    h = np.concatenate([m[3][0] for m in right])
-    w = np.concatenate([m[3][1] for m in right])
-    who = np.repeat(np.arange(len(right)), [len(m[3][0]) for m in right])
+    h = np.concatenate([m[4][0] for m in right])
+    w = np.concatenate([m[4][1] for m in right])
+    who = np.repeat(np.arange(len(right)), [len(m[4][0]) for m in right])
     order = np.argsort(h, kind="stable")
     h, w, who = h[order], w[order], who[order]
-    total = np.array([m[3][1].sum() for m in right])
+    total = np.array([m[4][1].sum() for m in right])
     out = []
-    for _, key, comp, (own, weight) in left:
+    for _, _, key, comp, (own, weight) in left:
         lo, hi = np.searchsorted(h, own), np.searchsorted(h, own, "right")
         runs = hi - lo
         at = np.repeat(lo - np.cumsum(runs) + runs, runs) + np.arange(runs.sum())
         low = np.bincount(who[at], np.minimum(w[at], np.repeat(weight, runs)), len(right))
         similar = low >= threshold * (total + weight.sum() - low)
         for i in np.flatnonzero(similar):
-            a, b = root(comp), root(right[i][2])
+            a, b = root(comp), root(right[i][3])
             if a != b:
                 parent[a] = b
-                out.append((key, right[i][1]))
+                out.append((key, right[i][2]))
     return out
 
 
